@@ -44,15 +44,49 @@ def as_text(value: Column) -> Column:
 def keep_first(value: Column) -> Column:
     """First character, then one ``*`` per remaining character; NULL stays NULL."""
     text = as_text(value)
-    return F.rpad(F.substring(text, 1, 1), F.length(text), "*")
+    return F.concat(F.substring(text, 1, 1), F.repeat(F.lit("*"), F.length(text) - 1))
+
+
+def _keep_first_of_time(value: Column, stars: Column) -> Column:
+    """``keep_first`` where the text is known from the year, without formatting it."""
+    year = F.year(value)
+    known = F.concat((year / 1000).cast("int").cast("string"), stars)
+    return F.when(year.between(1000, 9999), known).otherwise(keep_first(value))
+
+
+def _stars_of_timestamp(value: Column) -> Column:
+    """Stars for ``yyyy-MM-dd HH:mm:ss`` and the digits of the fraction that Spark prints."""
+    micros = F.pmod(F.unix_micros(value.cast("timestamp")), F.lit(1_000_000))
+    stars = F.when(micros == 0, "*" * 18)
+    for digits in range(1, 6):
+        stars = stars.when(micros % 10 ** (6 - digits) == 0, "*" * (19 + digits))
+    return stars.otherwise("*" * 25)
 
 
 def redact(value: Column, dtype: str) -> Column:
-    if base_type(dtype) == "boolean":
+    """First character kept, or the constant for booleans."""
+    kind = base_type(dtype)
+    if kind == "boolean":
         return F.lit(FULL_MASK)
+    if kind == "date":
+        return _keep_first_of_time(value, F.lit("*" * 9))
+    if kind in ("timestamp", "timestamp_ntz"):
+        return _keep_first_of_time(value, _stars_of_timestamp(value))
     return keep_first(value)
 
 
+def survives_redaction(value: Column, dtype: str) -> Column:
+    """Whether the redacted text is the stored text; cheap, as most values are not."""
+    kind = base_type(dtype)
+    if kind in ("int", "bigint"):
+        return value.between(0, 9)
+    if kind in ("boolean", "date", "double", "float", "timestamp", "timestamp_ntz"):
+        return F.lit(False)
+    text = as_text(value)
+    one = F.substring(text, 1, 1) == text
+    return one | ((F.substring(text, 2, 1) == "*") & (keep_first(text) == text))
+
+
 def keyed_hash(value: Column, key: str | Column) -> Column:
     """SHA-256 of key and value. NULL stays NULL.
 

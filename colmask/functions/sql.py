@@ -16,7 +16,7 @@ def _function_sql(name: str, dtype: str, authorized: str, temporary: bool) -> st
     hidden = (
         f"'{FULL_MASK}'"
         if dtype == "boolean"
-        else f"rpad(left({text}, 1), char_length({text}), '*')"
+        else f"left({text}, 1) || repeat('*', char_length({text}) - 1)"
     )
     scope = "TEMPORARY " if temporary else ""
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colmask.functions.names import base_type, quote_ident
-from colmask.functions.redact import MASK_FUNCTIONS, as_text, mask_expr
+from colmask.functions.redact import MASK_FUNCTIONS, as_text, mask_expr, survives_redaction
 from colmask.operators.planning import masked_columns_from_ddl
 
 
@@ -93,8 +93,10 @@ def exposure_audit(
     sums, rows = [], []
     for i, (column, strategy) in enumerate(strategies.items()):
         value = F.col(quote_ident(column))
-        masked = mask_expr(value, types[column], False, strategy, "", functions)
-        same = masked == as_text(value)
+        if strategy == "redact":
+            same = survives_redaction(value, types[column])
+        else:
+            same = mask_expr(value, types[column], False, strategy, "", functions) == as_text(value)
         sums += [F.count(value).alias(f"c{i}"), F.count_if(same).alias(f"e{i}")]
         rows.append(
             F.struct(

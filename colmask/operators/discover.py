@@ -4,21 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colmask.operators.rules import Rule, default_rules, has_excluded_suffix, rule_position
 
 
-def _lowered(columns: DataFrame) -> DataFrame:
-    return columns.select(
-        "TableName",
-        "Ordinal",
-        F.lower("ColumnName").alias("ColumnName"),
-        F.lower("DataType").alias("DataType"),
+def _candidates(columns: DataFrame, rules: Sequence[Rule], excluded: bool) -> DataFrame:
+    """Lowercased columns that a rule matches, with ``prio``, the first such rule.
+
+    The position goes through ``explode`` so that the filter on it stays above
+    the projection. Pushed below, it would lowercase the name once per rule.
+    """
+    name, dtype = F.col("ColumnName"), F.col("DataType")
+    suffix = has_excluded_suffix(name)
+    position = F.when(suffix if excluded else ~suffix, rule_position(name, dtype, rules))
+    return (
+        columns.select(
+            "TableName",
+            "Ordinal",
+            F.lower("ColumnName").alias("ColumnName"),
+            F.lower("DataType").alias("DataType"),
+        )
+        .select("*", F.explode(F.array(position)).alias("prio"))
+        .filter(F.col("prio").isNotNull())
     )
 
 
+def _keyword(rules: Sequence[Rule], prio: Column) -> Column:
+    return F.get(F.array(*[F.lit(r.keyword.lower()) for r in rules] or [F.lit("")]), prio)
+
+
 def classify_columns(columns: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """One row per column that a rule matches, with the first such rule's keyword.
 
@@ -28,19 +44,13 @@ def classify_columns(columns: DataFrame, rules: Sequence[Rule] | None = None) ->
     table that holds most of the inventory spreads over all tasks.
     """
     rules = default_rules() if rules is None else list(rules)
-    keywords = F.array(*[F.lit(r.keyword.lower()) for r in rules] or [F.lit("")])
-    matched = (
-        _lowered(columns)
-        .filter(~has_excluded_suffix(F.col("ColumnName")))
-        .withColumn("prio", rule_position(F.col("ColumnName"), F.col("DataType"), rules))
-        .filter(F.col("prio").isNotNull())
-    )
+    matched = _candidates(columns, rules, excluded=False)
     return (
         matched.groupBy("TableName", "ColumnName")
         .agg(F.min(F.struct("prio", "Ordinal", "DataType")).alias("best"))
         .select(
             "TableName",
-            F.get(keywords, F.col("best.prio")).alias("PIICategory"),
+            _keyword(rules, F.col("best.prio")).alias("PIICategory"),
             "ColumnName",
             F.col("best.DataType").alias("DataType"),
             F.lit(True).alias("EncryptFlag"),
@@ -51,16 +61,9 @@ def classify_columns(columns: DataFrame, rules: Sequence[Rule] | None = None) ->
 def excluded_by_suffix(columns: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Columns that a rule matches but whose name ending rules them out."""
     rules = default_rules() if rules is None else list(rules)
-    keywords = F.array(*[F.lit(r.keyword.lower()) for r in rules] or [F.lit("")])
-    return (
-        _lowered(columns)
-        .filter(has_excluded_suffix(F.col("ColumnName")))
-        .withColumn("prio", rule_position(F.col("ColumnName"), F.col("DataType"), rules))
-        .filter(F.col("prio").isNotNull())
-        .select(
-            "TableName",
-            F.get(keywords, F.col("prio")).alias("PIICategory"),
-            "ColumnName",
-            "DataType",
-        )
+    return _candidates(columns, rules, excluded=True).select(
+        "TableName",
+        _keyword(rules, F.col("prio")).alias("PIICategory"),
+        "ColumnName",
+        "DataType",
     )

@@ -20,6 +20,7 @@ from colmask.operators.control import (
     prune_control,
     upsert_control,
 )
+from colmask.operators.tokens import extend_vault
 
 
 class VersionedTable:
@@ -88,3 +89,7 @@ class Vault(VersionedTable):
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(spark, path, schemas.VAULT)
+
+    def add(self, df: DataFrame, column: str) -> int:
+        """Give every new value of a column a token."""
+        return self.write(extend_vault(self.read(), df, column))

@@ -34,7 +34,7 @@ def inventory_columns(spark, sf_dir):
         for name, df in frames.items()
     ]
     sizes = reduce(DataFrame.unionByName, sizes)
-    return columns_inventory(spark, frames).join(F.broadcast(sizes), "TableName")
+    return columns_inventory(spark, frames).join(sizes, "TableName")
 
 
 _SPARK_TYPE = r"""CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'

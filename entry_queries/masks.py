@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from colmask import extend_vault, has_grant, mask_expr, mask_table, register_mask_functions, tokenize
+from colmask import Vault, has_grant, mask_expr, mask_table, register_mask_functions, tokenize
 from colmask.functions.redact import MASK_FUNCTIONS
 from colmask.functions.sql import ACCESS_GROUP
-from colmask.schemas import VAULT
 from colmask.session import work_folder
 from colmask.streaming.masked_stream import write_masked_stream
 from entry_queries import derived as d
@@ -101,13 +100,13 @@ def mask_shape(spark, sf_dir):
 
 def mask_token(spark, sf_dir):
     """Part keys as tokens; the vault knows customer keys from an earlier run."""
-    empty = spark.createDataFrame([], VAULT)
-    vault = extend_vault(empty, table(spark, sf_dir, "customer"), "c_custkey")
-    vault = extend_vault(vault, table(spark, sf_dir, "lineitem"), "l_partkey")
+    vault = Vault(spark, work_folder(spark, "vault"))
+    vault.add(table(spark, sf_dir, "customer"), "c_custkey")
+    vault.add(table(spark, sf_dir, "lineitem"), "l_partkey")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_partkey"
     )
-    return tokenize(lines, "l_partkey", vault)
+    return tokenize(lines, "l_partkey", vault.read())
 
 
 MASK_TOKEN_SQL = """WITH first AS (
