@@ -86,4 +86,5 @@ def duplicate_keys(control: DataFrame) -> DataFrame:
 
 def stale_columns(control: DataFrame, columns: DataFrame) -> DataFrame:
     """Control rows whose column is no longer in the inventory."""
-    return _keyed(control).join(_keyed(columns).select(*_KEY), _KEY, "left_anti").drop(*_KEY)
+    known = _keyed(columns).select(*_KEY)
+    return _keyed(control).join(known, _KEY, "left_anti").select(*control.columns)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colmask.functions.names import quote_ident
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
 
@@ -15,7 +17,7 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the measured size of ``df`` stays under ``limit`` bytes."""
     width = F.lit(_ROW_OVERHEAD)
     for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+        width = width + F.coalesce(F.octet_length(F.col(quote_ident(name)).cast("string")), F.lit(0))
     size = df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
     return size <= limit
 
@@ -57,8 +59,10 @@ def skew_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type not supported: {how}")
     keys = list(keys)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    shown = [F.col(quote_ident(c)) for c in left.columns + added]
     if fits_broadcast(right, broadcast_limit):
-        return left.join(F.broadcast(right), keys, how)
+        return left.join(F.broadcast(right), keys, how).select(*shown)
     hot = hot_key_hashes(left, keys, share)
     any_null = F.lit(False)
     for key in keys:
@@ -68,4 +72,4 @@ def skew_join(
     shuffled = left.filter(~(any_null | is_hot)).join(
         right.filter(~is_hot).hint("shuffle_merge"), keys, how
     )
-    return beside.unionByName(shuffled)
+    return beside.select(*shown).unionByName(shuffled.select(*shown))

@@ -49,7 +49,7 @@ def pending_columns(control: DataFrame, applied: DataFrame) -> DataFrame:
         .withColumn("_table", table)
         .withColumn("_column", column)
         .join(done, ["_table", "_column"], "left_anti")
-        .drop("_table", "_column")
+        .select(*control.columns)
     )
 
 

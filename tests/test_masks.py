@@ -1,0 +1,163 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from colmask import UnsupportedTypeError, mask_expr, mask_table, write_masked
+from colmask.functions.redact import (
+    LOCAL_TIMESTAMP,
+    MASK_FUNCTIONS,
+    as_text,
+    keep_first,
+    survives_redaction,
+)
+from colmask.operators.audit import exposure_audit
+from tests.conftest import rows
+
+EXAMPLES = [
+    ("'Smith'", "string", "S****"),
+    ("'John'", "string", "J***"),
+    ("12345", "int", "1****"),
+    ("-12345", "int", "-*****"),
+    ("7", "int", "7"),
+    ("12345L", "bigint", "1****"),
+    ("'X'", "string", "X"),
+    ("''", "string", ""),
+    ("CAST(1234.50 AS DECIMAL(10,2))", "decimal(10,2)", "1******"),
+    ("CAST(1234.5 AS DECIMAL(12,4))", "decimal(12,4)", "1********"),
+    ("12345678.9D", "double", "1***********"),
+    ("CAST(1.5 AS FLOAT)", "float", "1**"),
+    ("DATE'1980-02-03'", "date", "1*********"),
+    ("DATE'0980-02-03'", "date", "0*********"),
+    ("TIMESTAMP'2020-01-01 00:00:00'", "timestamp", "2" + "*" * 18),
+    ("TIMESTAMP'2020-01-01 00:00:00.120'", "timestamp", "2" + "*" * 21),
+    ("'Élan😀'", "string", "É****"),
+    ("true", "boolean", "****"),
+    ("CAST(NULL AS BOOLEAN)", "boolean", "****"),
+] + [
+    (f"CAST(NULL AS {t})", t, None)
+    for t in ("int", "bigint", "string", "decimal(10,2)", "double", "float", "date", "timestamp")
+]
+
+
+def test_redaction_examples(spark):
+    masked = [mask_expr(F.expr(sql), t).alias(f"c{i}") for i, (sql, t, _) in enumerate(EXAMPLES)]
+    got = spark.range(1).select(*masked).first()
+    assert list(got) == [expected for _, _, expected in EXAMPLES]
+
+
+def test_masks_are_text_for_every_reader(spark):
+    df = spark.sql("SELECT 12 AS n, true AS b, 'x' AS s")
+    for authorized in (False, True, F.lit(True)):
+        masked = mask_table(df, ["n", "b", "s"], authorized=authorized)
+        assert [t for _, t in masked.dtypes] == ["string"] * 3
+    assert rows(mask_table(df, ["n", "b"], authorized=True)) == [("12", "true", "x")]
+
+
+def test_unknown_authorization_is_no_authorization(spark):
+    df = spark.sql("SELECT 'abc' AS s")
+    assert mask_table(df, ["s"], authorized=F.lit(None).cast("boolean")).first()[0] == "a**"
+
+
+TIMES = [
+    "0001-01-01 00:00:00", "0999-12-31 23:59:59.9", "1000-01-01 00:00:00", "1582-10-04 12:00:00.5",
+    "1899-12-31 23:59:59.999999", "1969-12-31 23:59:59.000001", "1970-01-01 00:00:00",
+    "2024-02-29 01:02:03.1", "2024-02-29 01:02:03.01", "2024-02-29 01:02:03.001",
+    "2024-02-29 01:02:03.0001", "2024-02-29 01:02:03.00001", "2024-02-29 01:02:03.123456",
+    "2024-02-29 01:02:03.100100", "9999-12-31 23:59:59", "+10000-01-01 00:00:00",
+    "-0044-03-15 00:00:00.25",
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize("dtype", ["date", "timestamp", "timestamp_ntz"])
+def test_time_masks_equal_the_masked_text(spark, dtype, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in TIMES], "s string")
+        df = df.select(F.col("s").cast(dtype).alias("v")).union(spark.sql(f"SELECT CAST(NULL AS {dtype})"))
+        functions = MASK_FUNCTIONS | LOCAL_TIMESTAMP
+        masked = mask_expr(F.col("v"), dtype, functions=functions)
+        got = df.select(masked.alias("got"), keep_first(F.col("v")).alias("want")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r["got"] for r in got] == [r["want"] for r in got]
+
+
+def test_strategies(spark):
+    df = spark.sql("SELECT 'AbCD123-@$#' AS a, 'k' AS b, CAST(NULL AS STRING) AS c, 5 AS d")
+    got = mask_table(df, {"a": "shape", "b": "hash", "c": "hash", "d": "full"}, key="salt").first()
+    assert got["a"] == "XxXXnnn-@$#"
+    assert got["b"] == spark.sql("SELECT sha2('saltk', 256)").first()[0]
+    assert got["c"] is None
+    assert got["d"] == "****"
+    keys = spark.sql("SELECT 'salt' AS k")
+    assert mask_table(df, {"b": "hash"}, key=keys.scalar()).first()["b"] == got["b"]
+    with pytest.raises(ValueError, match="needs a key"):
+        mask_table(df, {"a": "hash"})
+    with pytest.raises(ValueError, match="unknown strategy"):
+        mask_table(df, {"a": "rot13"})
+    with pytest.raises(ValueError, match="needs a vault"):
+        mask_table(df, {"a": "token"})
+
+
+def test_unsupported_and_missing_columns_are_refused(spark):
+    df = spark.sql("SELECT array(1) AS a, TIMESTAMP_NTZ'2020-01-01 00:00:00' AS t, 1S AS s, 'x' AS ok")
+    with pytest.raises(UnsupportedTypeError, match="a; t; s"):
+        mask_table(df, ["a", "t", "s", "ok"])
+    with pytest.raises(ValueError, match="no such column: gone"):
+        mask_table(df, ["gone"])
+    assert mask_table(df, ["t"], functions=MASK_FUNCTIONS | LOCAL_TIMESTAMP).first()["t"] == "2" + "*" * 18
+
+
+def test_names_compare_without_case_and_may_need_quotes(spark):
+    df = spark.sql("SELECT 'abc' AS `Full.Name`, 'xy' AS `we``ird`")
+    assert rows(mask_table(df, ["full.name", "WE`IRD"])) == [("a**", "x*")]
+
+
+def test_mask_is_one_projection(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    masked = mask_table(df, ["l_extendedprice", "l_returnflag"])
+    plan = masked.select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+    whole = masked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in whole and "Python" not in whole
+
+
+def test_survives_redaction_agrees_with_the_mask(spark):
+    texts = ["", "a", "ab", "a*", "**", "*", "a**b", "é", "😀", "😀*", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    other = spark.sql(
+        "SELECT * FROM VALUES (0, 10L, 1.5D, DATE'2020-01-01', true, CAST(7 AS DECIMAL(3,0))), "
+        "(-1, -3L, 7.0D, NULL, NULL, NULL), (9, 9L, NULL, NULL, false, CAST(70 AS DECIMAL(3,0))) "
+        "AS t(i, l, d, dd, b, c)"
+    )
+    for frame in (df, other):
+        for name, dtype in frame.dtypes:
+            value = F.col(name)
+            want = F.coalesce(mask_expr(value, dtype) == as_text(value), F.lit(False))
+            got = F.coalesce(survives_redaction(value, dtype), F.lit(False))
+            assert frame.filter(want != got).count() == 0, name
+
+
+def test_exposure_audit(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', 10), ('bc', 3), (NULL, 4) AS t(s, n)")
+    assert rows(exposure_audit("t", df)) == [("t", "n", 3, 2), ("t", "s", 2, 1)]
+    assert rows(exposure_audit("t", df, {"s": "shape"})) == [("t", "s", 2, 0)]
+
+
+def test_python_values_keep_their_shape(spark):
+    df = spark.createDataFrame(
+        [(dt.date(1980, 2, 3), Decimal("12.30"), 1.0)], "d date, m decimal(5,2), f double"
+    )
+    assert rows(mask_table(df, ["d", "m", "f"])) == [("1*********", "1****", "1**")]
+
+
+def test_write_masked(spark, tmp_path):
+    df = spark.sql("SELECT * FROM VALUES (1, 'abc'), (2, 'de') AS t(k, s)")
+    write_masked(df, ["s"], str(tmp_path / "copy"), partition_by=["k"])
+    assert rows(spark.read.parquet(str(tmp_path / "copy")), "k", "s") == [(1, "a**"), (2, "d*")]
+    with pytest.raises(ValueError, match="folders"):
+        write_masked(df, ["s"], str(tmp_path / "other"), partition_by=["S"])

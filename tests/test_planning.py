@@ -1,0 +1,106 @@
+from colmask import mask_plan, masked_columns_from_ddl, pending_columns, unsupported, unsupported_messages
+from colmask.functions.redact import LOCAL_TIMESTAMP, MASK_FUNCTIONS
+from colmask.operators.audit import as_json, log_from_plan, masked_count_by_table, run_summary
+from colmask.schemas import APPLIED, CONTROL, DDL, RUN_LOG
+from tests.conftest import rows
+
+TABLE = """CREATE TABLE c.s.t (
+  id BIGINT,
+  `ssn` STRING MASK c.s.string_mask,
+  `full name` STRING MASK c.s.string_mask,
+  note STRING COMMENT 'MASK me',
+  MASKED_AT DATE)
+USING parquet"""
+
+TRICKY = """CREATE TABLE c.s.u (
+  `it's` STRING MASK c.s.string_mask COMMENT 'it''s here',
+  plain STRING COMMENT 'say \\' MASK x',
+  `tick``ed` DECIMAL(10,2) MASK c.s.decimal_mask,
+  nested STRUCT<a: INT, b: STRING> MASK c.s.other,
+  `MASK me` STRING,
+  masked STRING)
+USING parquet"""
+
+
+def test_loose_reading_counts_every_line_with_the_word(spark):
+    got = masked_columns_from_ddl(spark.createDataFrame([("c.s.t", TABLE)], DDL), strict=False)
+    assert rows(got, "ColumnName") == [("MASKED_AT",), ("full",), ("note",), ("ssn",)]
+
+
+def test_strict_reading_finds_masked_columns_only(spark):
+    ddl = spark.createDataFrame([("c.s.t", TABLE), ("c.s.u", TRICKY)], DDL)
+    got = masked_columns_from_ddl(ddl)
+    assert rows(got.filter("TableName = 'c.s.t'"), "ColumnName") == [("full name",), ("ssn",)]
+    assert {r["ColumnName"] for r in got.filter("TableName = 'c.s.u'").collect()} == {
+        "it's", "nested", "tick`ed",
+    }
+    assert rows(masked_count_by_table(ddl)) == [("c.s.t", 2), ("c.s.u", 3)]
+
+
+def control(spark, entries):
+    data = [(i, t, "x", c, d, f) for i, (t, c, d, f) in enumerate(entries)]
+    return spark.createDataFrame(data, CONTROL)
+
+
+def test_pending_columns(spark):
+    have = control(spark, [("a.b.T", "ssn", "int", True), ("a.b.t", "dob", "date", True),
+                           ("a.b.t", "zip", "int", False), ("a.b.t", "fax", "string", None)])
+    applied = spark.createDataFrame([("A.b.t", "SSN"), ("A.b.t", "SSN")], APPLIED)
+    assert rows(pending_columns(have, applied), "ColumnName") == [("dob",)]
+    nothing = spark.createDataFrame([], APPLIED)
+    assert rows(pending_columns(have, nothing), "ColumnName") == [("dob",), ("ssn",)]
+
+
+TYPES = ["int", "decimal(12,4)", "STRING", "timestamp_ntz", "array<string>", "smallint"]
+
+
+def planned(spark, functions=MASK_FUNCTIONS):
+    have = control(spark, [("a.b.t", f"c{i}", t, True) for i, t in enumerate(TYPES)])
+    return mask_plan(have, functions)
+
+
+def test_mask_plan(spark):
+    got = planned(spark).orderBy("ColumnName").collect()
+    assert [r["mask_function"] for r in got] == [
+        "tc_int_mask", "tc_decimal_type_mask", "tc_string_mask", None, None, None,
+    ]
+    assert [r["status"] for r in got] == ["pending"] * 3 + ["unsupported"] * 3
+    more = planned(spark, MASK_FUNCTIONS | LOCAL_TIMESTAMP).filter("ColumnName = 'c3'").first()
+    assert more["status"] == "pending"
+
+
+def test_strategy_per_category(spark):
+    have = control(spark, [("a.b.t", "c", "int", True)])
+    assert mask_plan(have, strategies={"x": "hash"}).first()["strategy"] == "hash"
+    assert mask_plan(have).first()["strategy"] == "redact"
+
+
+def test_unsupported(spark):
+    plan = planned(spark)
+    assert rows(unsupported(plan), "ColumnName", "error") == [
+        ("c3", "Unsupported data type: timestamp_ntz"),
+        ("c4", "Unsupported data type: array<string>"),
+        ("c5", "Unsupported data type: smallint"),
+    ]
+    assert rows(unsupported_messages(plan)) == [(0, 3, "a.b.t.c3; a.b.t.c4; a.b.t.c5")]
+
+
+def test_messages_hold_every_name_in_short_lines(spark):
+    have = control(spark, [("hot", f"c{i}", "binary", True) for i in range(250)])
+    lines = unsupported_messages(mask_plan(have)).collect()
+    assert sorted(r["n_columns"] for r in lines) == [50, 100, 100]
+    names = [n for r in lines for n in r["message"].split("; ")]
+    assert sorted(names) == sorted(f"hot.c{i}" for i in range(250))
+
+
+def test_run_log(spark):
+    log = log_from_plan(planned(spark))
+    assert rows(log) == [("a.b.t", "failed", 3, "3 unsupported column(s)")]
+    more = log.union(
+        spark.createDataFrame([("x", "success", 4, None), ("y", "skipped", 0, "gone")], RUN_LOG)
+    )
+    assert rows(run_summary(more)) == [(1, 1, 1, 3, 7)]
+    assert rows(run_summary(spark.createDataFrame([], RUN_LOG))) == [(0, 0, 0, 0, 0)]
+    assert as_json(more.filter("unit = 'x'")).first()[0] == (
+        '{"unit":"x","status":"success","n_columns":4,"error":null}'
+    )

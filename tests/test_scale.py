@@ -1,0 +1,85 @@
+"""Operators that must hold when one key owns much of the data."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from colmask import Vault, extend_vault, mask_table, tokenize
+from colmask.operators.joins import fits_broadcast, hot_key_hashes, skew_join
+from colmask.operators.numbering import number_rows
+from colmask.schemas import VAULT
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module")
+def lopsided(spark):
+    """A third of the rows with one key, another third without any."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), "id"))
+    return spark.range(3000).select(F.col("id").alias("n"), key.alias("key"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_is_the_plain_join(spark, lopsided, how):
+    right = lopsided.filter("key IS NOT NULL AND n < 2000").groupBy("key").agg(F.max("n").alias("m"))
+    want = rows(lopsided.join(right, "key", how), "n", "key")
+    for limit in (0, 1 << 30):
+        got = skew_join(lopsided, right, ["key"], how, broadcast_limit=limit)
+        assert rows(got, "n", "key") == want
+    with pytest.raises(ValueError):
+        skew_join(lopsided, right, ["key"], "full")
+
+
+def test_hot_rows_stay_out_of_the_shuffle(spark, lopsided):
+    hot = hot_key_hashes(lopsided.filter("key IS NOT NULL"), ["key"])
+    assert hot == [spark.sql("SELECT xxhash64('hot')").first()[0]]
+    right = lopsided.filter("key IS NOT NULL").groupBy("key").agg(F.max("n").alias("m"))
+    plan = skew_join(lopsided, right, ["key"], "left", broadcast_limit=0)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in text and "BroadcastHashJoin" in text and "SortMergeJoin" in text
+
+
+def test_fits_broadcast(spark):
+    assert fits_broadcast(spark.range(10), 1000)
+    assert not fits_broadcast(spark.range(10), 100)
+    assert fits_broadcast(spark.range(0), 0)
+
+
+def test_numbers_are_consecutive_and_repeatable(spark):
+    df = spark.range(5000).select(F.concat(F.lit("v"), "id").alias("v"))
+    first = number_rows(df, ["v"], "n", after=10)
+    assert sorted(r["n"] for r in first.collect()) == list(range(11, 5011))
+    again = number_rows(df.repartition(7).orderBy(F.desc("v")), ["v"], "n", after=10)
+    assert rows(first) == rows(again)
+    assert number_rows(df.limit(0), ["v"], "n").count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_tokens_are_stable(spark, lopsided, limit):
+    vault = extend_vault(spark.createDataFrame([], VAULT), lopsided.filter("n < 900"), "key")
+    first = {r["value"]: r["token"] for r in vault.collect()}
+    assert sorted(first.values()) == list(range(1, len(first) + 1))
+    vault = extend_vault(vault, lopsided, "key")
+    second = {r["value"]: r["token"] for r in vault.collect()}
+    assert {v: second[v] for v in first} == first
+    assert sorted(second.values()) == list(range(1, 1002))
+    got = tokenize(lopsided, "key", vault, broadcast_limit=limit)
+    assert got.columns == lopsided.columns
+    want = [(r["n"], f"tok_{second[r['key']]}" if r["key"] else None) for r in lopsided.collect()]
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_values_without_a_token_are_not_shown(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "v string")
+    vault = extend_vault(spark.createDataFrame([], VAULT), df.filter("v = 'a'"), "v")
+    assert rows(tokenize(df, "v", vault)) == sorted([("tok_1",), (None,)], key=repr)
+
+
+def test_token_strategy_with_a_stored_vault(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "n int, v string")
+    vault = Vault(spark, str(tmp_path / "vault"))
+    vault.add(df, "v")
+    vault.add(df, "v")
+    assert vault.read().count() == 2
+    got = mask_table(df, {"v": "token", "n": "full"}, vault=vault.read()).collect()
+    assert sorted(r["v"] for r in got)[0] == "tok_1" and {r["n"] for r in got} == {"****"}
+    with pytest.raises(ValueError, match="copies only"):
+        mask_table(df, {"v": "token"}, authorized=F.lit(True), vault=vault.read())
