@@ -1,7 +1,9 @@
-"""Masks as native column expressions.
+"""Masks as native expressions.
 
 Every mask returns STRING, for authorised readers too, so the schema of a
-masked column does not depend on who reads it.
+masked column does not depend on who reads it. Masks are built as SQL text:
+tables have thousands of columns, and one text costs the driver far less than
+a tree of column objects.
 """
 
 from __future__ import annotations
@@ -30,61 +32,63 @@ FULL_MASK = "****"
 # Optional extra row for tables that store local timestamps.
 LOCAL_TIMESTAMP = {"timestamp_ntz": "tc_timestamp_mask"}
 
-STRATEGIES = ("redact", "full", "hash", "shape", "token")
-
 
 class UnsupportedTypeError(ValueError):
     """A column was to be masked whose type has no mask function."""
 
 
-def as_text(value: Column) -> Column:
-    return value.cast("string")
+def text_sql(value: str) -> str:
+    return f"CAST({value} AS STRING)"
 
 
-def keep_first(value: Column) -> Column:
+def keep_first_sql(value: str) -> str:
     """First character, then one ``*`` per remaining character; NULL stays NULL."""
-    text = as_text(value)
-    return F.concat(F.substring(text, 1, 1), F.repeat(F.lit("*"), F.length(text) - 1))
+    text = text_sql(value)
+    return f"left({text}, 1) || repeat('*', char_length({text}) - 1)"
 
 
-def _keep_first_of_time(value: Column, stars: Column) -> Column:
-    """``keep_first`` where the text is known from the year, without formatting it."""
-    year = F.year(value)
-    known = F.concat((year / 1000).cast("int").cast("string"), stars)
-    return F.when(year.between(1000, 9999), known).otherwise(keep_first(value))
+def _keep_first_of_time_sql(value: str, stars: str) -> str:
+    """``keep_first_sql`` where the year and ``stars`` give the text without formatting it."""
+    return (
+        f"CASE WHEN year({value}) BETWEEN 1000 AND 9999 "
+        f"THEN CAST(year({value}) DIV 1000 AS STRING) || {stars} "
+        f"ELSE {keep_first_sql(value)} END"
+    )
 
 
-def _stars_of_timestamp(value: Column) -> Column:
+def _stars_of_timestamp_sql(value: str) -> str:
     """Stars for ``yyyy-MM-dd HH:mm:ss`` and the digits of the fraction that Spark prints."""
-    micros = F.pmod(F.unix_micros(value.cast("timestamp")), F.lit(1_000_000))
-    stars = F.when(micros == 0, "*" * 18)
+    micros = f"pmod(unix_micros(CAST({value} AS TIMESTAMP)), 1000000)"
+    branches = [f"WHEN {micros} = 0 THEN '{'*' * 18}'"]
     for digits in range(1, 6):
-        stars = stars.when(micros % 10 ** (6 - digits) == 0, "*" * (19 + digits))
-    return stars.otherwise("*" * 25)
+        branches.append(f"WHEN {micros} % {10 ** (6 - digits)} = 0 THEN '{'*' * (19 + digits)}'")
+    return f"CASE {' '.join(branches)} ELSE '{'*' * 25}' END"
 
 
-def redact(value: Column, dtype: str) -> Column:
+def redact_sql(value: str, dtype: str) -> str:
     """First character kept, or the constant for booleans."""
     kind = base_type(dtype)
     if kind == "boolean":
-        return F.lit(FULL_MASK)
+        return f"'{FULL_MASK}'"
     if kind == "date":
-        return _keep_first_of_time(value, F.lit("*" * 9))
+        return _keep_first_of_time_sql(value, f"'{'*' * 9}'")
     if kind in ("timestamp", "timestamp_ntz"):
-        return _keep_first_of_time(value, _stars_of_timestamp(value))
-    return keep_first(value)
+        return _keep_first_of_time_sql(value, _stars_of_timestamp_sql(value))
+    return keep_first_sql(value)
 
 
-def survives_redaction(value: Column, dtype: str) -> Column:
+def survives_redaction_sql(value: str, dtype: str) -> str:
     """Whether the redacted text is the stored text; cheap, as most values are not."""
     kind = base_type(dtype)
     if kind in ("int", "bigint"):
-        return value.between(0, 9)
+        return f"{value} BETWEEN 0 AND 9"
     if kind in ("boolean", "date", "double", "float", "timestamp", "timestamp_ntz"):
-        return F.lit(False)
-    text = as_text(value)
-    one = F.substring(text, 1, 1) == text
-    return one | ((F.substring(text, 2, 1) == "*") & (keep_first(text) == text))
+        return "false"
+    text = text_sql(value)
+    return (
+        f"(left({text}, 1) = {text} "
+        f"OR substring({text}, 2, 1) = '*' AND {keep_first_sql(value)} = {text})"
+    )
 
 
 def keyed_hash(value: Column, key: str | Column) -> Column:
@@ -94,23 +98,39 @@ def keyed_hash(value: Column, key: str | Column) -> Column:
     plans and event logs; a literal shows up in both.
     """
     key = F.lit(key) if isinstance(key, str) else key
-    return F.sha2(F.concat(key, as_text(value)), 256)
+    return F.sha2(F.concat(key, value.cast("string")), 256)
+
 
+def masked_column(
+    value: str, dtype: str, strategy: str = "redact", key: str | Column | None = None
+) -> Column:
+    """The mask of an SQL expression ``value`` by strategy.
 
-def keep_shape(value: Column) -> Column:
-    """Letters become ``X``/``x`` and digits ``n``; everything else stays."""
-    return F.mask(as_text(value))
+    ``redact`` keeps the first character, ``full`` nothing, ``shape`` turns
+    letters into ``X``/``x`` and digits into ``n``, ``hash`` is a keyed hash.
+    """
+    if strategy == "redact":
+        return F.expr(redact_sql(value, dtype))
+    if strategy == "full":
+        return F.lit(FULL_MASK)
+    if strategy == "shape":
+        return F.expr(f"mask({text_sql(value)})")
+    if strategy == "hash":
+        if key is None:
+            raise ValueError("the hash strategy needs a key")
+        return keyed_hash(F.expr(value), key)
+    raise ValueError(f"unknown strategy: {strategy}")
 
 
 def mask_expr(
-    value: Column,
+    value: str,
     dtype: str,
     authorized: bool | Column = False,
     strategy: str = "redact",
     key: str | Column | None = None,
     functions: Mapping[str, str] = MASK_FUNCTIONS,
 ) -> Column:
-    """What a reader sees of ``value``: its text if authorised, else its mask.
+    """What a reader sees of an SQL expression: its text if authorised, else its mask.
 
     ``authorized`` may be a column, e.g. the grant lookup of
     :func:`colmask.operators.grants.has_grant`.
@@ -118,19 +138,8 @@ def mask_expr(
     if base_type(dtype) not in functions:
         raise UnsupportedTypeError(f"Unsupported data type: {dtype.lower()}")
     if authorized is True:
-        return as_text(value)
-    if strategy == "redact":
-        masked = redact(value, dtype)
-    elif strategy == "full":
-        masked = F.lit(FULL_MASK)
-    elif strategy == "hash":
-        if key is None:
-            raise ValueError("the hash strategy needs a key")
-        masked = keyed_hash(value, key)
-    elif strategy == "shape":
-        masked = keep_shape(value)
-    else:
-        raise ValueError(f"unknown strategy: {strategy}")
+        return F.expr(text_sql(value))
+    masked = masked_column(value, dtype, strategy, key)
     if authorized is False:
         return masked
-    return F.when(authorized, as_text(value)).otherwise(masked)
+    return F.when(authorized, F.expr(text_sql(value))).otherwise(masked)

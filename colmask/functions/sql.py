@@ -5,26 +5,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from colmask.functions.names import quote_ident, quote_table
-from colmask.functions.redact import FULL_MASK, MASK_FUNCTIONS
+from colmask.functions.redact import MASK_FUNCTIONS, redact_sql, text_sql
 
 # Fixed value: the group whose members see the stored values.
 ACCESS_GROUP = "pii_access"
 
 
-def _function_sql(name: str, dtype: str, authorized: str, temporary: bool) -> str:
-    text = "CAST(v AS STRING)"
-    hidden = (
-        f"'{FULL_MASK}'"
-        if dtype == "boolean"
-        else f"left({text}, 1) || repeat('*', char_length({text}) - 1)"
-    )
-    scope = "TEMPORARY " if temporary else ""
-    return (
-        f"CREATE OR REPLACE {scope}FUNCTION {name}(v {dtype}) "
-        f"RETURNS STRING RETURN CASE WHEN {authorized} THEN {text} ELSE {hidden} END"
-    )
-
-
 def register_mask_functions(
     spark: SparkSession,
     grants_table: str,
@@ -44,11 +30,15 @@ def register_mask_functions(
         f"EXISTS (SELECT 1 FROM {quote_table(grants_table)} g "
         f"WHERE g.principal = current_user() AND g.grp = '{group}')"
     )
+    scope = "FUNCTION" if schema else "TEMPORARY FUNCTION"
     prefix = f"{quote_table(schema)}." if schema else ""
     names = []
     for dtype, function in MASK_FUNCTIONS.items():
         name = prefix + quote_ident(function)
-        sql_type = decimal_type if dtype == "decimal" else dtype
-        spark.sql(_function_sql(name, sql_type, authorized, temporary=schema is None))
+        spark.sql(
+            f"CREATE OR REPLACE {scope} {name}(v {decimal_type if dtype == 'decimal' else dtype}) "
+            f"RETURNS STRING RETURN CASE WHEN {authorized} THEN {text_sql('v')} "
+            f"ELSE {redact_sql('v', dtype)} END"
+        )
         names.append(name)
     return names

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colmask.functions.names import base_type, quote_ident
-from colmask.functions.redact import MASK_FUNCTIONS, as_text, mask_expr, survives_redaction
+from colmask.functions.redact import MASK_FUNCTIONS, mask_expr, survives_redaction_sql, text_sql
 from colmask.operators.planning import masked_columns_from_ddl
 
 
@@ -59,22 +59,25 @@ def masked_count_by_table(ddl: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def count_values(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Number of stored (not NULL) values of the given columns of one table."""
-    counted = df.agg(*[F.count(quote_ident(c)).alias(f"c{i}") for i, c in enumerate(columns)])
-    return counted.select(
+def _by_column(name: str, counted: DataFrame, columns: list[str], *counts: str) -> DataFrame:
+    """One row per column from one row with ``<count><i>`` for column ``i``."""
+    pairs = [
+        "struct(" + ", ".join(f"{count}{i} AS {count}" for count in counts) + ")"
+        for i in range(len(columns))
+    ]
+    return counted.selectExpr(f"posexplode(array({', '.join(pairs)})) AS (i, counts)").select(
         F.lit(name).alias("TableName"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("ColumnName"), F.col(f"c{i}").alias("n_values"))
-                    for i, c in enumerate(columns)
-                ]
-            )
-        ),
+        F.get(F.lit(columns), F.col("i")).alias("ColumnName"),
+        *[f"counts.{count}" for count in counts],
     )
 
 
+def count_values(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Number of stored (not NULL) values of the given columns of one table."""
+    counts = [f"count({quote_ident(c)}) AS n_values{i}" for i, c in enumerate(columns)]
+    return _by_column(name, df.selectExpr(*counts), columns, "n_values")
+
+
 def exposure_audit(
     name: str,
     df: DataFrame,
@@ -90,19 +93,13 @@ def exposure_audit(
     types = dict(df.dtypes)
     if strategies is None:
         strategies = {c: "redact" for c, t in types.items() if base_type(t) in functions}
-    sums, rows = [], []
+    counts = []
     for i, (column, strategy) in enumerate(strategies.items()):
-        value = F.col(quote_ident(column))
+        value, dtype = quote_ident(column), types[column]
         if strategy == "redact":
-            same = survives_redaction(value, types[column])
+            same = F.expr(f"count_if({survives_redaction_sql(value, dtype)})")
         else:
-            same = mask_expr(value, types[column], False, strategy, "", functions) == as_text(value)
-        sums += [F.count(value).alias(f"c{i}"), F.count_if(same).alias(f"e{i}")]
-        rows.append(
-            F.struct(
-                F.lit(column).alias("ColumnName"),
-                F.col(f"c{i}").alias("n_values"),
-                F.col(f"e{i}").alias("n_exposed"),
-            )
-        )
-    return df.agg(*sums).select(F.lit(name).alias("TableName"), F.inline(F.array(*rows)))
+            masked = mask_expr(value, dtype, strategy=strategy, key="", functions=functions)
+            same = F.count_if(masked == F.expr(text_sql(value)))
+        counts += [F.expr(f"count({value}) AS n_values{i}"), same.alias(f"n_exposed{i}")]
+    return _by_column(name, df.select(*counts), list(strategies), "n_values", "n_exposed")

@@ -49,13 +49,15 @@ def mask_table(
         raise ValueError("the token strategy needs a vault and makes copies only")
     for name in tokens:
         df = tokenize(df, name, vault)
-    selected = []
+    selected: list[str | Column] = []
     for name, dtype in df.dtypes:
-        value = F.col(quote_ident(name))
+        ident = quote_ident(name)
         if name.lower() in wanted and name not in tokens:
             strategy = wanted[name.lower()]
-            value = mask_expr(value, dtype, authorized, strategy, key, functions).alias(name)
-        selected.append(value)
+            masked = mask_expr(ident, dtype, authorized, strategy, key, functions)
+            selected.append(masked.alias(name))
+        else:
+            selected.append(ident)
     return df.select(*selected)
 
 

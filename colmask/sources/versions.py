@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from colmask import schemas
 from colmask.operators.control import (
@@ -53,7 +54,7 @@ class VersionedTable:
     def write(self, df: DataFrame) -> int:
         last = self.version()
         version = 0 if last is None else last + 1
-        names = [f.name for f in self.spark.createDataFrame([], self.schema).schema]
+        names = StructType.fromDDL(self.schema).names
         df.select(*names).write.mode("overwrite").parquet(f"{self.path}/rows/version={version}")
         commit = self.spark.createDataFrame([(version,)], "version bigint").coalesce(1)
         commit.write.mode("append").parquet(f"{self.path}/commits")

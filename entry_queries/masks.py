@@ -30,7 +30,7 @@ HASH_KEY = "a key for the test tables"
 
 def _by_type(dtype, column):
     def query(spark, sf_dir):
-        masked = mask_expr(F.col(column), dtype).alias("masked")
+        masked = mask_expr(column, dtype).alias("masked")
         return d.subjects(spark, sf_dir).select("subject_id", masked)
 
     hidden = "'****'" if dtype == "boolean" else mask_sql(column)
