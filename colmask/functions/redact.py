@@ -101,24 +101,18 @@ def keyed_hash(value: Column, key: str | Column) -> Column:
     return F.sha2(F.concat(key, value.cast("string")), 256)
 
 
-def masked_column(
-    value: str, dtype: str, strategy: str = "redact", key: str | Column | None = None
-) -> Column:
-    """The mask of an SQL expression ``value`` by strategy.
+def mask_sql(value: str, dtype: str, strategy: str = "redact") -> str:
+    """The mask of an SQL expression as SQL text, for strategies that need no key.
 
-    ``redact`` keeps the first character, ``full`` nothing, ``shape`` turns
-    letters into ``X``/``x`` and digits into ``n``, ``hash`` is a keyed hash.
+    ``redact`` keeps the first character, ``full`` nothing, and ``shape``
+    turns letters into ``X``/``x`` and digits into ``n``.
     """
     if strategy == "redact":
-        return F.expr(redact_sql(value, dtype))
+        return redact_sql(value, dtype)
     if strategy == "full":
-        return F.lit(FULL_MASK)
+        return f"'{FULL_MASK}'"
     if strategy == "shape":
-        return F.expr(f"mask({text_sql(value)})")
-    if strategy == "hash":
-        if key is None:
-            raise ValueError("the hash strategy needs a key")
-        return keyed_hash(F.expr(value), key)
+        return f"mask({text_sql(value)})"
     raise ValueError(f"unknown strategy: {strategy}")
 
 
@@ -133,13 +127,19 @@ def mask_expr(
     """What a reader sees of an SQL expression: its text if authorised, else its mask.
 
     ``authorized`` may be a column, e.g. the grant lookup of
-    :func:`colmask.operators.grants.has_grant`.
+    :func:`colmask.operators.grants.has_grant`. Strategies are those of
+    ``mask_sql`` and ``hash``, a hash keyed with ``key``.
     """
     if base_type(dtype) not in functions:
         raise UnsupportedTypeError(f"Unsupported data type: {dtype.lower()}")
     if authorized is True:
         return F.expr(text_sql(value))
-    masked = masked_column(value, dtype, strategy, key)
+    if strategy == "hash":
+        if key is None:
+            raise ValueError("the hash strategy needs a key")
+        masked = keyed_hash(F.expr(value), key)
+    else:
+        masked = F.expr(mask_sql(value, dtype, strategy))
     if authorized is False:
         return masked
     return F.when(authorized, F.expr(text_sql(value))).otherwise(masked)

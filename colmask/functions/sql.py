@@ -11,6 +11,14 @@ from colmask.functions.redact import MASK_FUNCTIONS, redact_sql, text_sql
 ACCESS_GROUP = "pii_access"
 
 
+def granted_sql(grants_table: str, group: str = ACCESS_GROUP) -> str:
+    """Condition that the reader is in ``group``, looked up when the query runs."""
+    return (
+        f"EXISTS (SELECT 1 FROM {quote_table(grants_table)} g "
+        f"WHERE g.principal = current_user() AND g.grp = '{group}')"
+    )
+
+
 def register_mask_functions(
     spark: SparkSession,
     grants_table: str,
@@ -26,10 +34,7 @@ def register_mask_functions(
     decimal type, so a value of another scale is cast to ``decimal_type``
     first; :func:`colmask.functions.redact.mask_expr` takes any precision.
     """
-    authorized = (
-        f"EXISTS (SELECT 1 FROM {quote_table(grants_table)} g "
-        f"WHERE g.principal = current_user() AND g.grp = '{group}')"
-    )
+    authorized = granted_sql(grants_table, group)
     scope = "FUNCTION" if schema else "TEMPORARY FUNCTION"
     prefix = f"{quote_table(schema)}." if schema else ""
     names = []

@@ -10,16 +10,21 @@ from colmask.operators.joins import BROADCAST_BYTES, skew_join
 from colmask.operators.numbering import number_rows
 
 
-def extend_vault(vault: DataFrame, df: DataFrame, column: str) -> DataFrame:
-    """``vault`` (value, token) plus a token for every new value of ``df[column]``.
+def new_tokens(vault: DataFrame, df: DataFrame, column: str) -> DataFrame:
+    """Tokens for the values of ``df[column]`` that ``vault`` (value, token) does not have.
 
-    Known values keep their tokens. Values are made distinct before they are
-    shuffled to the vault, so a frequent value costs one row per task.
+    Values are made distinct before they are shuffled to the vault, so a
+    frequent value costs one row per task.
     """
     values = df.select(F.col(quote_ident(column)).cast("string").alias("value")).filter("value IS NOT NULL")
     fresh = values.distinct().join(vault, "value", "left_anti")
     after = F.coalesce(vault.agg(F.max("token")).scalar(), F.lit(0))
-    return vault.unionByName(number_rows(fresh, ["value"], "token", after=after))
+    return number_rows(fresh, ["value"], "token", after=after)
+
+
+def extend_vault(vault: DataFrame, df: DataFrame, column: str) -> DataFrame:
+    """``vault`` plus a token for every new value of a column; old values keep theirs."""
+    return vault.unionByName(new_tokens(vault, df, column))
 
 
 def tokenize(

@@ -5,9 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from colmask.functions.names import qualified_name
 from colmask.operators.discover import classify_columns
 from colmask.operators.rules import Rule
 from colmask.session import work_folder
@@ -15,7 +13,7 @@ from colmask.sources.inventory import (
     columns_inventory,
     exclude_namespaces,
     list_namespaces,
-    list_tables,
+    stored_tables,
     write_inventory,
 )
 from colmask.sources.versions import ControlTable
@@ -54,15 +52,12 @@ def discover_catalog(
 ) -> DataFrame:
     """Scan every table outside the excluded namespaces; returns the run log.
 
-    Schemas are read from the catalog, then all tables are classified and
-    merged in one job.
+    Definitions are read from the catalog in batches that are written out,
+    then all tables are classified and merged in one job. A schema or table
+    that fails is in the log and stops nothing.
     """
     if names is None:
-        pairs = exclude_namespaces(list_namespaces(spark)).toLocalIterator()
-        tables = list_tables(spark, [(r["catalog"], r["schema"]) for r in pairs])
-        name = qualified_name(F.col("catalog"), F.col("schema"), F.col("tableName"))
-        stored = tables.filter(~F.col("isTemporary")).select(name)
-        names = (r[0] for r in stored.toLocalIterator())
+        names = stored_tables(spark, exclude_namespaces(list_namespaces(spark)))
     columns, log = write_inventory(spark, names, work_folder(spark, "inventory"))
     control.add(classify_columns(columns, rules), keep_flag)
     return log

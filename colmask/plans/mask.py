@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from colmask import schemas
 from colmask.functions.names import base_type, quote_ident, quote_table
-from colmask.functions.redact import MASK_FUNCTIONS, UnsupportedTypeError, mask_expr
+from colmask.functions.redact import (
+    MASK_FUNCTIONS,
+    UnsupportedTypeError,
+    mask_expr,
+    mask_sql,
+    text_sql,
+)
+from colmask.functions.sql import ACCESS_GROUP, granted_sql
 from colmask.operators.tokens import tokenize
 
 MESSAGE_NAMES = 10_000
@@ -49,8 +56,13 @@ def mask_table(
         raise ValueError("the token strategy needs a vault and makes copies only")
     for name in tokens:
         df = tokenize(df, name, vault)
+    types = df.dtypes
+    if isinstance(authorized, Column):
+        # One lookup for all columns, however many there are.
+        df = df.select("*", authorized.alias("_authorized"))
+        authorized = F.col("_authorized")
     selected: list[str | Column] = []
-    for name, dtype in df.dtypes:
+    for name, dtype in types:
         ident = quote_ident(name)
         if name.lower() in wanted and name not in tokens:
             strategy = wanted[name.lower()]
@@ -84,21 +96,25 @@ def create_masked_view(
     spark: SparkSession,
     view: str,
     table: str,
-    columns: Iterable[str],
-    functions_schema: str | None = None,
+    columns: Mapping[str, str] | Iterable[str],
+    grants_table: str,
+    group: str = ACCESS_GROUP,
+    temporary: bool = True,
     functions: Mapping[str, str] = MASK_FUNCTIONS,
 ) -> str:
     """A view over ``table`` that masks by who reads it; returns its SQL.
 
-    Uses the functions of :func:`colmask.functions.sql.register_mask_functions`;
-    a view with session functions lives as long as the session.
+    The reader is looked up in ``grants_table`` (principal, grp) once per
+    query, so the view follows the grants. It is no barrier for someone who
+    can read the files; give those readers a masked copy instead.
     """
-    wanted = {name.lower() for name in columns}
+    if not isinstance(columns, Mapping):
+        columns = {name: "redact" for name in columns}
+    wanted = {name.lower(): strategy for name, strategy in columns.items()}
     source = spark.table(quote_table(table))
-    missing = sorted(wanted - {c.lower() for c in source.columns})
+    missing = sorted(set(wanted) - {c.lower() for c in source.columns})
     if missing:
         raise ValueError(f"no such column: {', '.join(missing)}")
-    prefix = f"{quote_table(functions_schema)}." if functions_schema else ""
     selected, bad = [], []
     for name, dtype in source.dtypes:
         ident = quote_ident(name)
@@ -107,13 +123,15 @@ def create_masked_view(
         elif base_type(dtype) not in functions:
             bad.append(f"{table}.{name}")
         else:
-            selected.append(f"{prefix}{functions[base_type(dtype)]}({ident}) AS {ident}")
+            masked = mask_sql(ident, dtype, wanted[name.lower()])
+            shown = f"CASE WHEN _authorized THEN {text_sql(ident)} ELSE {masked} END"
+            selected.append(f"{shown} AS {ident}")
     if bad:
         raise UnsupportedTypeError(f"Unsupported data type(s) encountered for: {'; '.join(bad)}")
-    scope = "" if functions_schema else "TEMPORARY "
     sql = (
-        f"CREATE OR REPLACE {scope}VIEW {quote_table(view)} AS "
-        f"SELECT {', '.join(selected)} FROM {quote_table(table)}"
+        f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}VIEW {quote_table(view)} AS "
+        f"SELECT {', '.join(selected)} FROM (SELECT *, {granted_sql(grants_table, group)} "
+        f"AS _authorized FROM {quote_table(table)})"
     )
     spark.sql(sql)
     return sql

@@ -27,11 +27,12 @@ def columns_inventory(spark: SparkSession, tables: Mapping[str, DataFrame]) -> D
 
 
 def scan_tables(
-    spark: SparkSession, names: Iterable[str], batch: int = 1000
+    spark: SparkSession, names: Iterable[str | tuple[str, str]], batch: int = 1000
 ) -> Iterator[tuple[DataFrame, DataFrame]]:
     """Inventory and run log of catalog tables, ``batch`` tables at a time.
 
-    A table that cannot be read is logged as failed and stops nothing.
+    A table that cannot be read is logged as failed and stops nothing. A pair
+    (unit, error) among the names is logged as a failure as it is.
     """
     columns, log = [], []
 
@@ -42,13 +43,16 @@ def scan_tables(
         )
 
     for name in names:
-        try:
-            dtypes = spark.table(quote_table(name)).dtypes
-        except Exception as error:
-            log.append((name, "failed", 0, str(error)))
+        if isinstance(name, tuple):
+            log.append((name[0], "failed", 0, name[1]))
         else:
-            columns += [(name, i, column, dtype) for i, (column, dtype) in enumerate(dtypes)]
-            log.append((name, "success", len(dtypes), None))
+            try:
+                dtypes = spark.table(quote_table(name)).dtypes
+            except Exception as error:
+                log.append((name, "failed", 0, str(error)))
+            else:
+                columns += [(name, i, column, dtype) for i, (column, dtype) in enumerate(dtypes)]
+                log.append((name, "success", len(dtypes), None))
         if len(log) == batch:
             yield frames()
             columns, log = [], []
@@ -56,14 +60,33 @@ def scan_tables(
         yield frames()
 
 
-def write_inventory(spark: SparkSession, names: Iterable[str], path: str, batch: int = 1000):
+def write_inventory(
+    spark: SparkSession, names: Iterable[str | tuple[str, str]], path: str, batch: int = 1000
+) -> tuple[DataFrame, DataFrame]:
     """Scan catalog tables into two written tables; returns (inventory, run log)."""
     spark.createDataFrame([], schemas.COLUMNS).write.mode("overwrite").parquet(f"{path}/columns")
     spark.createDataFrame([], schemas.RUN_LOG).write.mode("overwrite").parquet(f"{path}/log")
     for columns, log in scan_tables(spark, names, batch):
-        columns.write.mode("append").parquet(f"{path}/columns")
-        log.write.mode("append").parquet(f"{path}/log")
-    return spark.read.parquet(f"{path}/columns"), spark.read.parquet(f"{path}/log")
+        columns.coalesce(1).write.mode("append").parquet(f"{path}/columns")
+        log.coalesce(1).write.mode("append").parquet(f"{path}/log")
+    return (
+        spark.read.schema(schemas.COLUMNS).parquet(f"{path}/columns"),
+        spark.read.schema(schemas.RUN_LOG).parquet(f"{path}/log"),
+    )
+
+
+def stored_tables(spark: SparkSession, namespaces: DataFrame) -> Iterator[str | tuple[str, str]]:
+    """Names of all tables of the given schemas, one schema at a time.
+
+    A schema that cannot be listed comes out as the pair (schema, error).
+    """
+    for row in namespaces.toLocalIterator():
+        try:
+            names = table_names(list_tables(spark, row["catalog"], row["schema"])).collect()
+        except Exception as error:
+            yield f"{row['catalog']}.{row['schema']}", str(error)
+        else:
+            yield from (name["TableName"] for name in names)
 
 
 def list_namespaces(spark: SparkSession) -> DataFrame:
@@ -78,16 +101,11 @@ def list_namespaces(spark: SparkSession) -> DataFrame:
     return reduce(DataFrame.unionByName, frames, empty)
 
 
-def list_tables(spark: SparkSession, namespaces: Iterable[tuple[str, str]]) -> DataFrame:
-    """(catalog, schema, tableName, isTemporary) of the given schemas."""
-    frames = [
-        spark.sql(f"SHOW TABLES IN {quote_ident(catalog)}.{quote_ident(schema)}").select(
-            F.lit(catalog).alias("catalog"), F.lit(schema).alias("schema"), "tableName", "isTemporary"
-        )
-        for catalog, schema in namespaces
-    ]
-    empty = spark.createDataFrame([], schemas.TABLES)
-    return reduce(DataFrame.unionByName, frames, empty)
+def list_tables(spark: SparkSession, catalog: str, schema: str) -> DataFrame:
+    """(catalog, schema, tableName, isTemporary) of one schema."""
+    return spark.sql(f"SHOW TABLES IN {quote_ident(catalog)}.{quote_ident(schema)}").select(
+        F.lit(catalog).alias("catalog"), F.lit(schema).alias("schema"), "tableName", "isTemporary"
+    )
 
 
 def exclude_namespaces(

@@ -21,7 +21,7 @@ from colmask.operators.control import (
     prune_control,
     upsert_control,
 )
-from colmask.operators.tokens import extend_vault
+from colmask.operators.tokens import new_tokens
 
 
 class VersionedTable:
@@ -86,11 +86,21 @@ class ControlTable(VersionedTable):
 
 
 class Vault(VersionedTable):
-    """The token table in a folder. It holds stored values: keep it as safe as they are."""
+    """The token table in a folder; a version adds rows to the ones before.
+
+    It holds stored values: keep it as safe as they are.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(spark, path, schemas.VAULT)
 
+    def read(self, version: int | None = None) -> DataFrame:
+        version = self.version() if version is None else version
+        if version is None:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(f"{self.schema}, version bigint").parquet(f"{self.path}/rows")
+        return rows.filter(F.col("version") <= version).drop("version")
+
     def add(self, df: DataFrame, column: str) -> int:
         """Give every new value of a column a token."""
-        return self.write(extend_vault(self.read(), df, column))
+        return self.write(new_tokens(self.read(), df, column))

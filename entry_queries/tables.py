@@ -54,10 +54,10 @@ MASKABLE = {
 
 
 def find_columns(spark, name: str, df: DataFrame) -> dict[str, str]:
-    """Strategy by column, from the rules; no longer than the table's schema."""
+    """Strategy by column, from the rules; at most one entry per column of the schema."""
     matches = classify_columns(columns_inventory(spark, {name: df}), TABLE_RULES)
     plan = mask_plan(matches, FUNCTIONS).filter("status = 'pending'")
-    return {r["ColumnName"]: r["strategy"] for r in plan.limit(len(df.columns)).collect()}
+    return {r["ColumnName"]: r["strategy"] for r in plan.collect()}
 
 
 def masked(spark, sf_dir, name):

@@ -28,6 +28,7 @@ from colmask.sources.inventory import (
     list_namespaces,
     list_tables,
     scan_tables,
+    stored_tables,
     table_names,
 )
 from tests.conftest import rows
@@ -59,7 +60,7 @@ def test_listing(spark, clinic):
     assert ("spark_catalog", "clinic") in rows(namespaces)
     kept = exclude_namespaces(namespaces)
     assert not {"default", "test"} & {r["schema"] for r in kept.collect()}
-    tables = list_tables(spark, [("spark_catalog", "clinic")])
+    tables = list_tables(spark, "spark_catalog", "clinic")
     assert tables.filter("isTemporary").count() >= 1
     assert rows(table_names(tables)) == [(PATIENTS,), (VISITS,)]
 
@@ -187,7 +188,11 @@ def test_view_follows_the_grants(spark, clinic, tmp_path):
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW grants USING parquet OPTIONS (path '{path}')")
     names = register_mask_functions(spark, "grants")
     assert names == [f"`{f}`" for f in MASK_FUNCTIONS.values()]
-    create_masked_view(spark, "patients_view", "clinic.patients", ["lastname", "ssn", "dob"])
+    create_masked_view(
+        spark, "patients_view", "clinic.patients", ["lastname", "ssn", "dob"], "grants"
+    )
+    by_function = "SELECT tc_string_mask(LastName), tc_date_mask(dob) FROM clinic.patients"
+    assert rows(spark.sql(by_function)) == [("L*", None), ("S****", "1*********")]
     shown = ("patient_id", "LastName", "ssn", "dob")
     assert rows(spark.table("patients_view"), *shown) == [
         (1, "S****", "1**********", "1*********"), (2, "L*", None, None),
@@ -200,20 +205,49 @@ def test_view_follows_the_grants(spark, clinic, tmp_path):
     assert rows(spark.table("patients_view"), *shown) == [
         (1, "Smith", "123-45-6789", "1980-02-03"), (2, "Li", None, None),
     ]
+    assert rows(spark.sql(by_function)) == [("Li", None), ("Smith", "1980-02-03")]
     assert rows(mask_table(spark.table("clinic.patients"), ["LastName"],
                            has_grant(spark.table("grants"))), "LastName") == [("Li",), ("Smith",)]
     with pytest.raises(ValueError, match="ssn_history"):
-        create_masked_view(spark, "v", "clinic.patients", ["ssn_history"])
+        create_masked_view(spark, "v", "clinic.patients", ["ssn_history"], "grants")
     with pytest.raises(ValueError, match="no such column: nope"):
-        create_masked_view(spark, "v", "clinic.patients", ["nope"])
+        create_masked_view(spark, "v", "clinic.patients", ["nope"], "grants")
 
 
 def test_stored_functions_and_view(spark, clinic):
     spark.createDataFrame([], GRANTS).write.mode("overwrite").saveAsTable("clinic.grants")
     register_mask_functions(spark, "spark_catalog.clinic.grants", schema="clinic")
     register_mask_functions(spark, "spark_catalog.clinic.grants", schema="clinic")
+    by_function = spark.sql("SELECT clinic.tc_string_mask(street) FROM clinic.visits")
+    assert rows(by_function) == [("M******",)]
+    assert "Python" not in by_function._jdf.queryExecution().toString()
+    columns = {"street": "shape", "n": "redact"}
     create_masked_view(
-        spark, "clinic.visits_view", "clinic.visits", ["street", "n"], functions_schema="clinic"
+        spark, "clinic.visits_view", "clinic.visits", columns, "spark_catalog.clinic.grants", temporary=False
     )
-    assert rows(spark.table("clinic.visits_view")) == [(1, "M******", "5")]
-    assert "Python" not in spark.table("clinic.visits_view")._jdf.queryExecution().toString()
+    assert rows(spark.table("clinic.visits_view")) == [(1, "Xxxx Xx", "5")]
+    spark.sql("DROP VIEW clinic.visits_view")
+
+
+def test_one_grant_lookup_for_all_columns(spark, clinic):
+    grants = spark.createDataFrame([("x", "y")], GRANTS)
+    df = mask_table(spark.table("clinic.patients"), ["LastName", "ssn", "dob"], has_grant(grants))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scalar-subquery") == 1
+
+
+def test_a_schema_that_cannot_be_listed_is_logged(spark, clinic, tmp_path):
+    pairs = [("spark_catalog", "nowhere"), ("spark_catalog", "clinic")]
+    names = list(stored_tables(spark, spark.createDataFrame(pairs, NAMESPACES)))
+    assert ("spark_catalog.nowhere", True) in [(n[0], True) for n in names if isinstance(n, tuple)]
+    control = ControlTable(spark, str(tmp_path / "control"))
+    log = discover_catalog(spark, control, names=names)
+    assert ("spark_catalog.nowhere", "failed") in rows(log, "unit", "status")
+    assert (PATIENTS, "success") in rows(log, "unit", "status")
+
+
+def test_any_decimal_precision_in_a_view(spark, clinic):
+    spark.sql("SELECT CAST(1234.5 AS DECIMAL(12,4)) AS m").createOrReplaceTempView("money")
+    spark.createDataFrame([], GRANTS).createOrReplaceTempView("no_grants")
+    create_masked_view(spark, "money_view", "money", ["m"], "no_grants")
+    assert rows(spark.table("money_view")) == [("1********",)]

@@ -76,9 +76,11 @@ def test_values_without_a_token_are_not_shown(spark):
 def test_token_strategy_with_a_stored_vault(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "n int, v string")
     vault = Vault(spark, str(tmp_path / "vault"))
+    vault.add(df.limit(1), "v")
     vault.add(df, "v")
     vault.add(df, "v")
-    assert vault.read().count() == 2
+    assert rows(vault.read()) == [("a", 1), ("b", 2)]
+    assert rows(vault.read(0)) == [("a", 1)]
     got = mask_table(df, {"v": "token", "n": "full"}, vault=vault.read()).collect()
     assert sorted(r["v"] for r in got)[0] == "tok_1" and {r["n"] for r in got} == {"****"}
     with pytest.raises(ValueError, match="copies only"):
