@@ -21,6 +21,7 @@ from colmask.operators.planning import (
 )
 from colmask.operators.rules import Rule, default_rules, load_rules, shadowed_rules
 from colmask.operators.tokens import extend_vault, tokenize
+from colmask.plans.apply import apply_control
 from colmask.plans.discover import discover_catalog, discover_frames, discover_table
 from colmask.plans.mask import create_masked_view, mask_all, mask_table, write_masked
 from colmask.sources.versions import ControlTable, Vault
@@ -31,6 +32,7 @@ __all__ = [
     "Rule",
     "UnsupportedTypeError",
     "Vault",
+    "apply_control",
     "classify_columns",
     "create_masked_view",
     "default_rules",

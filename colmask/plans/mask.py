@@ -19,6 +19,7 @@ from colmask.functions.redact import (
 )
 from colmask.functions.sql import ACCESS_GROUP, granted_sql
 from colmask.operators.tokens import tokenize
+from colmask.sources.versions import Vault
 
 MESSAGE_NAMES = 10_000
 
@@ -144,19 +145,23 @@ def mask_all(
     write: Callable[[str, DataFrame], None],
     log_path: str,
     strict: bool = True,
+    keep_unsupported: bool = False,
     key: str | Column | None = None,
     functions: Mapping[str, str] = MASK_FUNCTIONS,
-    vault: DataFrame | None = None,
+    vault: Vault | None = None,
     batch: int = 100,
 ) -> DataFrame:
-    """Mask every table of a plan and return the log, one row per column.
-
-    Each table is one write on the executors. The driver walks through the
-    plan table by table; the log is appended to ``log_path`` every ``batch``
-    tables. A table or column that fails is logged and stops nothing; with
-    ``strict`` a ``ValueError`` names the failed columns once all others are done.
+    """Write masked copies of the tables of a plan; returns the log, one row per column.
+
+    The plan must list all flagged columns of a table, as its write replaces
+    an earlier copy. Each table is one write on the executors. The driver
+    walks through the plan table by table; the log is a new table at ``log_path`` that grows
+    every ``batch`` tables. What fails is logged and stops
+    nothing; with ``strict`` a ``ValueError`` names the failed columns once
+    all others are done. Columns of unsupported types are left out of the
+    copies unless ``keep_unsupported`` lets them through as they are.
     """
-    spark.createDataFrame([], schemas.MASK_LOG).write.mode("overwrite").parquet(log_path)
+    spark.createDataFrame([], schemas.MASK_LOG).write.parquet(log_path)
     rows: list[tuple] = []
 
     def save():
@@ -165,8 +170,14 @@ def mask_all(
 
     ordered = plan.orderBy("TableName", "ColumnName").toLocalIterator()
     for n, (table, entries) in enumerate(groupby(ordered, key=lambda r: r["TableName"]), 1):
-        options = {"key": key, "functions": functions, "vault": vault}
-        rows += _mask_one(table, list(entries), read, write, options)
+        entries = list(entries)
+        try:
+            masked, log = _masked_copy(read(table), entries, keep_unsupported, key, functions, vault)
+            if any(status == "success" for _, status, _ in log):
+                write(table, masked)
+        except Exception as error:
+            log = [(e["ColumnName"], "failed", str(error)) for e in entries]
+        rows += [(table, *entry) for entry in log]
         if n % batch == 0:
             save()
     if rows:
@@ -177,32 +188,30 @@ def mask_all(
     return log
 
 
-def _mask_one(table, entries, read, write, options) -> list[tuple]:
-    log, columns = [], {}
-    functions = options["functions"]
-    try:
-        df = read(table)
-        types = {name.lower(): base_type(dtype) for name, dtype in df.dtypes}
-        for entry in entries:
-            name = entry["ColumnName"]
-            dtype = types.get(name.lower())
-            if dtype is None:
-                log.append((table, name, "failed", "no such column"))
-            elif entry["status"] == "unsupported" or dtype not in functions:
-                shown = entry["DataType"] if entry["status"] == "unsupported" else dtype
-                log.append((table, name, "failed", f"Unsupported data type: {shown}"))
-            else:
-                columns[name] = entry["strategy"]
-        if columns:
-            write(table, mask_table(df, columns, **options))
-        return log + [(table, name, "success", None) for name in columns]
-    except Exception as error:
-        logged = {row[1] for row in log}
-        return log + [
-            (table, e["ColumnName"], "failed", str(error))
-            for e in entries
-            if e["ColumnName"] not in logged
-        ]
+def _masked_copy(df, entries, keep_unsupported, key, functions, vault):
+    """One table masked by its plan entries, and (column, status, error) of each."""
+    types = {name.lower(): base_type(dtype) for name, dtype in df.dtypes}
+    columns, unmasked, log = {}, set(), []
+    for entry in entries:
+        name = entry["ColumnName"]
+        dtype = types.get(name.lower())
+        if dtype is None:
+            log.append((name, "failed", "no such column"))
+        elif entry["status"] == "unsupported" or dtype not in functions:
+            shown = entry["DataType"] if entry["status"] == "unsupported" else dtype
+            unmasked.add(name.lower())
+            log.append((name, "failed", f"Unsupported data type: {shown}"))
+        else:
+            columns[name] = entry["strategy"]
+            log.append((name, "success", None))
+    if not keep_unsupported:
+        df = df.select(*[quote_ident(c) for c in df.columns if c.lower() not in unmasked])
+    for name in [name for name, strategy in columns.items() if strategy == "token"]:
+        if vault is None:
+            raise ValueError("the token strategy needs a vault")
+        vault.add(df, name)
+    tokens = None if vault is None else vault.read()
+    return mask_table(df, columns, key=key, functions=functions, vault=tokens), log
 
 
 def raise_failures(log: DataFrame, log_path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -25,3 +25,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
             _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="colmask-")
         root = _LOCAL_FOLDERS[app]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a work folder and read back.
+
+    For results that several later steps need: they then read files, which
+    outlive lost executors, and do not compute the result again.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

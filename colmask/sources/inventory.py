@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from colmask import schemas
 from colmask.functions.names import qualified_name, quote_ident, quote_table
 
-# Namespaces that are never scanned.
-EXCLUDED_CATALOGS = ("__databricks_internal", "system", "samples", "hive_metastore")
+# Namespaces that are never scanned. Catalogs whose name starts
+# with the prefix belong to the platform.
+INTERNAL_PREFIX = "__"
+EXCLUDED_CATALOGS = ("system", "samples", "hive_metastore")
 EXCLUDED_SCHEMAS = ("default", "information_schema", "test")
 
 
@@ -113,8 +115,11 @@ def exclude_namespaces(
     catalogs: Sequence[str] = EXCLUDED_CATALOGS,
     schemas: Sequence[str] = EXCLUDED_SCHEMAS,
 ) -> DataFrame:
-    """``listing`` without the given catalogs and schemas."""
-    return listing.filter(~F.col("catalog").isin(*catalogs) & ~F.col("schema").isin(*schemas))
+    """``listing`` without internal catalogs and the given catalogs and schemas."""
+    catalog, schema = F.col("catalog"), F.col("schema")
+    return listing.filter(
+        ~catalog.startswith(INTERNAL_PREFIX) & ~catalog.isin(*catalogs) & ~schema.isin(*schemas)
+    )
 
 
 def table_names(tables: DataFrame) -> DataFrame:

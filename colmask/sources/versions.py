@@ -22,6 +22,7 @@ from colmask.operators.control import (
     upsert_control,
 )
 from colmask.operators.tokens import new_tokens
+from colmask.session import stored
 
 
 class VersionedTable:
@@ -72,6 +73,7 @@ class ControlTable(VersionedTable):
 
     def add(self, matches: DataFrame, keep_flag: bool = True) -> int:
         """Merge discovered columns in; refuses a column listed twice."""
+        matches = stored(matches, "matches")
         twice = duplicate_keys(matches).first()
         if twice is not None:
             raise ValueError(f"listed twice: {twice['TableName']}.{twice['ColumnName']}")

@@ -201,10 +201,11 @@ OVERWRITE_FLAG = "coalesce(n.EncryptFlag, o.EncryptFlag)"
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table listing with one entry per order, five catalogs and three schemas."""
+    """Table listing with one entry per order, six catalogs and three schemas."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select(
-        F.when(priority == "1-URGENT", "main")
+        F.when((priority == "1-URGENT") & (F.col("o_totalprice") > 400000), "__internal")
+        .when(priority == "1-URGENT", "main")
         .when(priority == "2-HIGH", "system")
         .when(priority == "3-MEDIUM", "samples")
         .when(priority == "4-NOT SPECIFIED", "hive_metastore")
@@ -217,7 +218,8 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LISTING = """listing AS (
-  SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'main' WHEN '2-HIGH' THEN 'system'
+  SELECT CASE o_orderpriority WHEN '1-URGENT' THEN
+      CASE WHEN o_totalprice > 400000 THEN '__internal' ELSE 'main' END WHEN '2-HIGH' THEN 'system'
       WHEN '3-MEDIUM' THEN 'samples' WHEN '4-NOT SPECIFIED' THEN 'hive_metastore'
       ELSE 'dev' END AS catalog,
     CASE o_orderstatus WHEN 'F' THEN 'clinic' WHEN 'O' THEN 'default' ELSE 'test' END AS schema,
@@ -228,6 +230,7 @@ LISTING = """listing AS (
 _DDL_HEAD = "CREATE TABLE "
 _DDL_SSN = " (\n  id BIGINT,\n  `ssn` STRING"
 _DDL_MASK = " MASK clinic.fn.string_mask"
+_DDL_GONE = ",\n  gone INT MASK clinic.fn.int_mask"
 _DDL_REST = (
     ",\n  `home_city` STRING MASK clinic.fn.string_mask"
     ",\n  `full name` STRING MASK clinic.fn.string_mask"
@@ -236,10 +239,11 @@ _DDL_REST = (
 
 
 def ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table definition per tenant; those in the black already mask ssn."""
+    """A table definition per tenant; those in the black already mask ssn, the rich also gone."""
     name = tenant_table()
     mask = F.when(F.col("c_acctbal") > 0, _DDL_MASK).otherwise("")
-    text = F.concat(F.lit(_DDL_HEAD), name, F.lit(_DDL_SSN), mask, F.lit(_DDL_REST))
+    gone = F.when(F.col("c_acctbal") > 5000, _DDL_GONE).otherwise("")
+    text = F.concat(F.lit(_DDL_HEAD), name, F.lit(_DDL_SSN), mask, gone, F.lit(_DDL_REST))
     return table(spark, sf_dir, "customer").select(name.alias("TableName"), text.alias("ddl"))
 
 
@@ -251,6 +255,7 @@ DDL = f"""ddl AS (
   SELECT {TENANT} AS TableName,
     {_sql_text(_DDL_HEAD)} || {TENANT} || {_sql_text(_DDL_SSN)}
     || CASE WHEN c_acctbal > 0 THEN {_sql_text(_DDL_MASK)} ELSE '' END
+    || CASE WHEN c_acctbal > 5000 THEN {_sql_text(_DDL_GONE)} ELSE '' END
     || {_sql_text(_DDL_REST)} AS ddl
   FROM customer),
 lines AS (SELECT TableName, unnest(string_split(ddl, chr(10))) AS line FROM ddl)"""

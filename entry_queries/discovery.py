@@ -142,7 +142,7 @@ QUERIES = {
     "discover_one_table": discover_one_table,
 }
 
-_KEPT = """catalog NOT IN ('__databricks_internal', 'system', 'samples', 'hive_metastore')
+_KEPT = """NOT starts_with(catalog, '__') AND catalog NOT IN ('system', 'samples', 'hive_metastore')
   AND schema NOT IN ('default', 'information_schema', 'test')"""
 _NAME = "catalog || '.' || schema || '.' || tableName AS TableName"
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from colmask import (
     classify_columns,
+    flagged,
     mask_plan,
     masked_columns_from_ddl,
     pending_columns,
@@ -15,6 +16,7 @@ from colmask import (
 )
 from colmask.functions.redact import MASK_FUNCTIONS
 from colmask.operators.audit import as_json, log_from_plan, masked_count_by_table, run_summary
+from colmask.plans.apply import remaining_plan
 from entry_queries import derived as d
 
 
@@ -44,6 +46,12 @@ def _plan(spark, sf_dir):
     return mask_plan(_pending(spark, sf_dir), strategies={"ssn": "hash", "mail": "shape"})
 
 
+def plan_remaining(spark, sf_dir):
+    """All flagged columns of the tables that need a new copy."""
+    applied = masked_columns_from_ddl(d.ddl(spark, sf_dir))
+    return remaining_plan(flagged(d.control(spark, sf_dir)), applied)
+
+
 def plan_unsupported(spark, sf_dir):
     return unsupported(_plan(spark, sf_dir))
 
@@ -70,6 +78,7 @@ QUERIES = {
     "masked_count_by_table": masked_count,
     "pending_columns": pending,
     "mask_plan": _plan,
+    "plan_remaining": plan_remaining,
     "plan_unsupported": plan_unsupported,
     "plan_unsupported_message": plan_unsupported_message,
     "run_log": run_log,
@@ -107,6 +116,13 @@ ORACLES = {
     "SELECT TableName, count(*) AS n_masked FROM applied GROUP BY TableName",
     "pending_columns": f"{_PENDING} SELECT TableName, PIICategory, ColumnName, DataType FROM pending",
     "mask_plan": f"{_PLAN} SELECT * FROM plan",
+    "plan_remaining": f"""WITH {d.CONTROL}, {d.DDL}, {d.STRICT_COLUMNS},
+functions(dtype, mask_function) AS (VALUES {_MAP}),
+open AS (
+  SELECT DISTINCT TableName FROM control c WHERE EncryptFlag AND NOT EXISTS (SELECT 1 FROM applied a
+    WHERE lower(a.TableName) = lower(c.TableName) AND lower(a.ColumnName) = lower(c.ColumnName)))
+SELECT TableName, ColumnName, DataType, mask_function, 'redact' AS strategy, 'pending' AS status
+FROM control JOIN open USING (TableName) JOIN functions ON dtype = DataType WHERE EncryptFlag""",
     "plan_unsupported": f"{_PLAN} SELECT TableName, ColumnName, DataType, "
     "'Unsupported data type: ' || DataType AS error FROM plan WHERE status = 'unsupported'",
     "plan_unsupported_message": f"""{_PLAN},

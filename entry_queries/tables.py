@@ -17,6 +17,10 @@ FUNCTIONS = MASK_FUNCTIONS | LOCAL_TIMESTAMP
 
 # Columns the rules find and the masks cover, and all others.
 MASKED = {
+    "region": (["r_name"], ["r_regionkey"]),
+    "nation": (["n_name"], ["n_nationkey", "n_regionkey"]),
+    "part": (["p_name", "p_retailprice"], ["p_partkey", "p_brand", "p_type", "p_size"]),
+    "benchmark": (["text"], ["item_id"]),
     "customer": (["c_name", "c_acctbal"], ["c_custkey", "c_nationkey", "c_mktsegment"]),
     "supplier": (["s_name", "s_acctbal"], ["s_suppkey", "s_nationkey"]),
     "orders": (

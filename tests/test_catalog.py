@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from colmask import (
     ControlTable,
+    Vault,
+    apply_control,
     create_masked_view,
     discover_catalog,
     discover_table,
@@ -21,8 +23,8 @@ from colmask.functions.redact import MASK_FUNCTIONS
 from colmask.operators.audit import log_from_columns, run_summary
 from colmask.plans import mask as mask_module
 from colmask.plans.mask import applied_columns
-from colmask.schemas import APPLIED, GRANTS, NAMESPACES, TABLES
-from colmask.sources.ddl import table_definitions
+from colmask.schemas import APPLIED, CONTROL, GRANTS, NAMESPACES, TABLES
+from colmask.sources.ddl import write_definitions
 from colmask.sources.inventory import (
     exclude_namespaces,
     list_namespaces,
@@ -70,7 +72,7 @@ def test_exclusions(spark):
         ("main", "clinic", "patients", False), ("main", "clinic", "tmp_x", True),
         ("main", "default", "a", False), ("system", "access", "b", False),
         ("samples", "tpch", "c", False), ("hive_metastore", "old", "d", False),
-        ("dev", "test", "e", False),
+        ("dev", "test", "e", False), ("__internal", "clinic", "f", False),
     ]
     listing = spark.createDataFrame(data, TABLES)
     assert rows(table_names(exclude_namespaces(listing))) == [("main.clinic.patients",)]
@@ -118,8 +120,12 @@ def test_from_discovery_to_masked_copies(spark, clinic, tmp_path):
     assert rows(log_from_columns(log), "unit", "status", "n_columns") == [
         (PATIENTS, "failed", 3), (VISITS, "success", 1),
     ]
+    assert "ssn_history" not in copy.columns
     left = pending_columns(control.flagged(), applied_columns(log))
     assert rows(left, "ColumnName") == [("ssn_history",)]
+    mask_all(spark, plan, read, write, f"{tmp_path}/kept", strict=False, keep_unsupported=True)
+    copy = spark.read.parquet(f"{tmp_path}/masked/{PATIENTS}")
+    assert rows(copy, "patient_id", "ssn_history") == [(1, ["a"]), (2, None)]
 
     steward = control.read().withColumn(
         "EncryptFlag", F.col("EncryptFlag") & (F.col("ColumnName") != "ssn_history")
@@ -129,6 +135,41 @@ def test_from_discovery_to_masked_copies(spark, clinic, tmp_path):
     assert pending_columns(control.flagged(), applied_columns(log)).count() == 0
 
 
+def test_repeated_runs_mask_what_is_new_and_keep_what_was(spark, clinic, tmp_path):
+    control = ControlTable(spark, str(tmp_path / "control"))
+    control.replace(
+        spark.createDataFrame(
+            [(0, PATIENTS, "ssn", "ssn", "string", True), (0, PATIENTS, "dob", "dob", "date", False),
+             (0, VISITS, "street", "street", "string", True),
+             (0, "spark_catalog.clinic.nowhere", "x", "x", "int", True)],
+            CONTROL,
+        )
+    )
+    written = []
+
+    def write(name, df):
+        written.append(name)
+        df.write.mode("overwrite").parquet(f"{tmp_path}/copies/{name}")
+
+    def run():
+        written.clear()
+        vault = Vault(spark, f"{tmp_path}/vault")
+        apply_control(spark, control, write, f"{tmp_path}/logs", {"street": "token"}, vault=vault)
+        return sorted(written)
+
+    assert run() == [PATIENTS, VISITS]
+    assert rows(control.read(), "TableName").count(("spark_catalog.clinic.nowhere",)) == 0
+    assert rows(spark.read.parquet(f"{tmp_path}/copies/{VISITS}"), "street") == [("tok_1",)]
+    assert run() == []
+    control.write(control.read().withColumn("EncryptFlag", F.lit(True)))
+    assert run() == [PATIENTS]
+    copy = spark.read.parquet(f"{tmp_path}/copies/{PATIENTS}")
+    assert rows(copy, "patient_id", "ssn", "dob") == [
+        (1, "1**********", "1*********"), (2, None, None),
+    ]
+    assert run() == []
+
+
 def test_other_failures_are_logged_and_raised_last(spark, clinic, tmp_path):
     control = spark.createDataFrame(
         [("clinic.nowhere", "x", "ssn", "string", True), (PATIENTS, "x", "ssn", "string", True),
@@ -161,8 +202,9 @@ def test_long_failure_lists_point_to_the_log(spark, monkeypatch):
         mask_module.raise_failures(log, "/some/log")
 
 
-def test_definitions_and_dead_tables(spark, clinic):
-    ddl, log, gone = table_definitions(spark, [PATIENTS, "spark_catalog.clinic.nowhere"])
+def test_definitions_and_dead_tables(spark, clinic, tmp_path):
+    names = [PATIENTS, "spark_catalog.clinic.nowhere"]
+    ddl, log, gone = write_definitions(spark, names, str(tmp_path), batch=1)
     assert rows(ddl, "TableName") == [(PATIENTS,)]
     assert "CREATE TABLE" in ddl.first()["ddl"]
     assert masked_columns_from_ddl(ddl).count() == 0

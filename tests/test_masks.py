@@ -160,3 +160,13 @@ def test_write_masked(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "copy")), "k", "s") == [(1, "a**"), (2, "d*")]
     with pytest.raises(ValueError, match="folders"):
         write_masked(df, ["s"], str(tmp_path / "other"), partition_by=["S"])
+
+
+def test_masked_text_is_as_long_as_the_stored_text(spark):
+    for name in ("customer", "orders", "events", "documents", "pages", "conversations"):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        functions = MASK_FUNCTIONS | LOCAL_TIMESTAMP
+        for column, dtype in df.dtypes:
+            masked = F.char_length(mask_expr(column, dtype, functions=functions))
+            text = F.char_length(F.col(column).cast("string"))
+            assert df.filter(~masked.eqNullSafe(text)).isEmpty(), (name, column)
