@@ -26,19 +26,36 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[int]:
-    """Hashes of keys that own at least ``share`` of the rows: at most 1/share of them.
+def _any_null(keys: Sequence[str]) -> Column:
+    null = F.lit(False)
+    for key in keys:
+        null = null | F.col(key).isNull()
+    return null
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> tuple[list[int], bool]:
+    """Hashes of keys that own at least ``share`` of the rows, and whether any key is NULL.
 
-    One pass with a bounded sketch per task. The counts are estimates, which
-    is enough: the result only decides which way a row takes through a join.
+    One pass over the key columns with a bounded sketch per task; there are at
+    most 1/share such keys. The counts are estimates, which is enough: they
+    only decide which way a row takes through a join.
     """
-    k = int(1 / share)
-    top = (
-        df.select(_key_hash(keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {k}, 10000)").alias("top"), F.count(F.lit(1)).alias("n"))
+    k = max(1, int(1 / share))
+    null = _any_null(keys)
+    found = (
+        df.select(F.when(~null, _key_hash(keys)).alias("h"))
+        .agg(
+            F.expr(f"approx_top_k(h, {k}, {max(10_000, 8 * k)})").alias("top"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("h").isNull()).alias("n_null"),
+        )
         .first()
     )
-    return sorted(row["item"] for row in top["top"] or [] if row["count"] >= share * top["n"])
+    least = share * found["n"]
+    hot = [
+        row["item"] for row in found["top"] or [] if row["item"] is not None and row["count"] >= least
+    ]
+    return sorted(hot), found["n_null"] > 0
 
 
 def skew_join(
@@ -46,7 +63,7 @@ def skew_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    share: float = 0.01,
+    share: float | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Equi join of a large ``left`` with a ``right`` that has each key once.
@@ -54,7 +71,10 @@ def skew_join(
     A small ``right`` is broadcast. Otherwise rows with a hot or NULL key join
     a broadcast of the hot keys' rows (at most 1/share of them) and never enter
     the shuffle; all others take a shuffle join. Together they are the whole
-    join. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    join. A key is hot from ``share`` of the rows on, by default what one
+    shuffle partition would hold of evenly spread rows. ``left`` is read up to
+    three times, so it should be a table, not a long computation. ``how`` is
+    ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type not supported: {how}")
@@ -63,13 +83,14 @@ def skew_join(
     shown = [F.col(quote_ident(c)) for c in left.columns + added]
     if fits_broadcast(right, broadcast_limit):
         return left.join(F.broadcast(right), keys, how).select(*shown)
-    hot = hot_key_hashes(left, keys, share)
-    any_null = F.lit(False)
-    for key in keys:
-        any_null = any_null | F.col(key).isNull()
+    if share is None:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = min(0.01, 1 / partitions)
+    hot, nulls = hot_keys(left, keys, share)
+    if not hot and not nulls:
+        return left.join(right.hint("shuffle_merge"), keys, how).select(*shown)
     is_hot = _key_hash(keys).isin(hot) if hot else F.lit(False)
-    beside = left.filter(any_null | is_hot).join(F.broadcast(right.filter(is_hot)), keys, how)
-    shuffled = left.filter(~(any_null | is_hot)).join(
-        right.filter(~is_hot).hint("shuffle_merge"), keys, how
-    )
+    aside = _any_null(keys) | is_hot
+    beside = left.filter(aside).join(F.broadcast(right.filter(is_hot)), keys, how)
+    shuffled = left.filter(~aside).join(right.filter(~is_hot).hint("shuffle_merge"), keys, how)
     return beside.select(*shown).unionByName(shuffled.select(*shown))

@@ -98,7 +98,8 @@ def unsupported_messages(plan: DataFrame, names_per_line: int = 100) -> DataFram
     Lines of at most ``names_per_line`` names, however many columns there are
     and however many of them one table has.
     """
-    numbered = number_rows(unsupported(plan), ["TableName", "ColumnName"], "_n")
+    columns = unsupported(plan).select("TableName", "ColumnName").distinct()
+    numbered = number_rows(columns, ["TableName", "ColumnName"], "_n")
     line = F.floor((F.col("_n") - 1) / names_per_line).cast("bigint")
     name = F.concat_ws(".", "TableName", "ColumnName")
     return (

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from colmask import (
     classify_columns,
     duplicate_keys,
-    flagged,
     flagged_tables,
     prune_control,
     stale_columns,

@@ -276,7 +276,7 @@ def dead_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     active = table(spark, sf_dir, "orders").filter(
         (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
     )
-    active = active.select(F.col("o_custkey").alias("c_custkey"))
+    active = active.select(F.col("o_custkey").alias("c_custkey")).distinct()
     gone = table(spark, sf_dir, "customer").join(active, "c_custkey", "left_anti")
     return gone.select(tenant_table().alias("TableName"))
 

@@ -104,6 +104,8 @@ def test_versions(spark, tmp_path, existing, incoming):
     assert control.version() == 2
     assert rows(control.read(1)) == rows(existing.select(*control.read(1).columns))
     assert rows(control.flagged(), "ColumnName") == [("dob",), ("gone",)]
+    plan = control.flagged()._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(EncryptFlag,true)" in plan
     control.prune(spark.createDataFrame([("a.b.t1",)], "TableName string"))
     assert rows(control.read(), "TableName") == [("a.b.t2",)]
     with pytest.raises(ValueError, match="listed twice: a.b.t"):

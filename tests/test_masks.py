@@ -122,6 +122,8 @@ def test_mask_is_one_projection(spark):
     masked = mask_table(df, ["l_extendedprice", "l_returnflag"])
     plan = masked.select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+    point = masked.filter("l_orderkey = 5")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_orderkey,5)" in point
     whole = masked._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in whole and "Python" not in whole
 

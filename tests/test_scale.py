@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colmask import Vault, extend_vault, mask_table, tokenize
-from colmask.operators.joins import fits_broadcast, hot_key_hashes, skew_join
+from colmask.operators.joins import fits_broadcast, hot_keys, skew_join
 from colmask.operators.numbering import number_rows
 from colmask.schemas import VAULT
 from tests.conftest import rows
@@ -29,14 +29,36 @@ def test_skew_join_is_the_plain_join(spark, lopsided, how):
 
 
 def test_hot_rows_stay_out_of_the_shuffle(spark, lopsided):
-    hot = hot_key_hashes(lopsided.filter("key IS NOT NULL"), ["key"])
-    assert hot == [spark.sql("SELECT xxhash64('hot')").first()[0]]
+    hash_of_hot = spark.sql("SELECT xxhash64('hot')").first()[0]
+    assert hot_keys(lopsided, ["key"], 0.01) == ([hash_of_hot], True)
+    assert hot_keys(lopsided.filter("key IS NOT NULL"), ["key"], 0.01) == ([hash_of_hot], False)
+    assert hot_keys(lopsided.limit(0), ["key"], 0.01) == ([], False)
     right = lopsided.filter("key IS NOT NULL").groupBy("key").agg(F.max("n").alias("m"))
     plan = skew_join(lopsided, right, ["key"], "left", broadcast_limit=0)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Union" in text and "BroadcastHashJoin" in text and "SortMergeJoin" in text
 
 
+def test_even_keys_take_the_shuffle_only(spark):
+    left = spark.range(5000).select(F.col("id").alias("key"), F.lit(1).alias("x"))
+    right = spark.range(0, 5000, 2).select(F.col("id").alias("key"), F.lit(2).alias("y"))
+    got = skew_join(left, right, ["key"], "left", share=0.01, broadcast_limit=0)
+    assert "Union" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.filter("y = 2").count() == 2500 and got.count() == 5000
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_on_two_keys(spark, how):
+    left = spark.range(900).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("a"),
+        F.when(F.col("id") % 7 > 0, F.lit("x")).alias("b"),
+        "id",
+    )
+    right = spark.range(0, 50, 5).select(F.col("id").alias("a"), F.lit("x").alias("b"), F.lit(1).alias("y"))
+    want = rows(left.join(right, ["a", "b"], how).select("id"))
+    assert rows(skew_join(left, right, ["a", "b"], how, broadcast_limit=0), "id") == want
+
+
 def test_fits_broadcast(spark):
     assert fits_broadcast(spark.range(10), 1000)
     assert not fits_broadcast(spark.range(10), 100)
