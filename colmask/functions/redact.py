@@ -91,21 +91,12 @@ def survives_redaction_sql(value: str, dtype: str) -> str:
     )
 
 
-def keyed_hash(value: Column, key: str | Column) -> Column:
-    """SHA-256 of key and value. NULL stays NULL.
+def mask_sql(value: str, dtype: str, strategy: str = "redact", key: str | None = None) -> str:
+    """The mask of an SQL expression as SQL text.
 
-    Pass the key as a scalar subquery (``keys.scalar()``) to keep it out of
-    plans and event logs; a literal shows up in both.
-    """
-    key = F.lit(key) if isinstance(key, str) else key
-    return F.sha2(F.concat(key, value.cast("string")), 256)
-
-
-def mask_sql(value: str, dtype: str, strategy: str = "redact") -> str:
-    """The mask of an SQL expression as SQL text, for strategies that need no key.
-
-    ``redact`` keeps the first character, ``full`` nothing, and ``shape``
-    turns letters into ``X``/``x`` and digits into ``n``.
+    ``redact`` keeps the first character, ``full`` nothing, ``shape`` turns
+    letters into ``X``/``x`` and digits into ``n``, and ``hash`` is the SHA-256
+    of ``key``, an SQL expression too, and the value.
     """
     if strategy == "redact":
         return redact_sql(value, dtype)
@@ -113,33 +104,35 @@ def mask_sql(value: str, dtype: str, strategy: str = "redact") -> str:
         return f"'{FULL_MASK}'"
     if strategy == "shape":
         return f"mask({text_sql(value)})"
+    if strategy == "hash":
+        if key is None:
+            raise ValueError("the hash strategy needs a key")
+        return f"sha2(concat({key}, {text_sql(value)}), 256)"
     raise ValueError(f"unknown strategy: {strategy}")
 
 
-def mask_expr(
+def shown_sql(
     value: str,
     dtype: str,
-    authorized: bool | Column = False,
+    authorized: bool | str = False,
     strategy: str = "redact",
-    key: str | Column | None = None,
+    key: str | None = None,
     functions: Mapping[str, str] = MASK_FUNCTIONS,
-) -> Column:
+) -> str:
     """What a reader sees of an SQL expression: its text if authorised, else its mask.
 
-    ``authorized`` may be a column, e.g. the grant lookup of
-    :func:`colmask.operators.grants.has_grant`. Strategies are those of
-    ``mask_sql`` and ``hash``, a hash keyed with ``key``.
+    ``authorized`` may be an SQL condition.
     """
     if base_type(dtype) not in functions:
         raise UnsupportedTypeError(f"Unsupported data type: {dtype.lower()}")
     if authorized is True:
-        return F.expr(text_sql(value))
-    if strategy == "hash":
-        if key is None:
-            raise ValueError("the hash strategy needs a key")
-        masked = keyed_hash(F.expr(value), key)
-    else:
-        masked = F.expr(mask_sql(value, dtype, strategy))
+        return text_sql(value)
+    masked = mask_sql(value, dtype, strategy, key)
     if authorized is False:
         return masked
-    return F.when(authorized, F.expr(text_sql(value))).otherwise(masked)
+    return f"CASE WHEN {authorized} THEN {text_sql(value)} ELSE {masked} END"
+
+
+def mask_expr(value: str, dtype: str, authorized: bool | str = False, **options) -> Column:
+    """``shown_sql`` as a column."""
+    return F.expr(shown_sql(value, dtype, authorized, **options))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colmask.functions.names import base_type, quote_ident
-from colmask.functions.redact import MASK_FUNCTIONS, mask_expr, survives_redaction_sql, text_sql
+from colmask.functions.redact import MASK_FUNCTIONS, mask_sql, survives_redaction_sql, text_sql
 from colmask.operators.planning import masked_columns_from_ddl
 
 
@@ -97,9 +97,8 @@ def exposure_audit(
     for i, (column, strategy) in enumerate(strategies.items()):
         value, dtype = quote_ident(column), types[column]
         if strategy == "redact":
-            same = F.expr(f"count_if({survives_redaction_sql(value, dtype)})")
+            same = survives_redaction_sql(value, dtype)
         else:
-            masked = mask_expr(value, dtype, strategy=strategy, key="", functions=functions)
-            same = F.count_if(masked == F.expr(text_sql(value)))
-        counts += [F.expr(f"count({value}) AS n_values{i}"), same.alias(f"n_exposed{i}")]
-    return _by_column(name, df.select(*counts), list(strategies), "n_values", "n_exposed")
+            same = f"{mask_sql(value, dtype, strategy, key="''")} = {text_sql(value)}"
+        counts += [f"count({value}) AS n_values{i}", f"count_if({same}) AS n_exposed{i}"]
+    return _by_column(name, df.selectExpr(*counts), list(strategies), "n_values", "n_exposed")

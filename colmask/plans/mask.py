@@ -13,9 +13,7 @@ from colmask.functions.names import base_type, quote_ident, quote_table
 from colmask.functions.redact import (
     MASK_FUNCTIONS,
     UnsupportedTypeError,
-    mask_expr,
-    mask_sql,
-    text_sql,
+    shown_sql,
 )
 from colmask.functions.sql import ACCESS_GROUP, granted_sql
 from colmask.operators.tokens import tokenize
@@ -36,42 +34,61 @@ def mask_table(
 
     ``columns`` lists names or maps names to strategies; names compare without
     case. Masked columns are STRING, all others are as stored. It is one
-    ``select``: no shuffle, native expressions only, and a query that leaves
+    projection: no shuffle, native expressions only, and a query that leaves
     masked columns out does not read them. Works on streams too.
 
-    Only the ``token`` strategy joins, with a ``vault`` that has all values
-    (see ``extend_vault``); it is for copies, not for views.
+    ``authorized`` may be a column, e.g. ``has_grant(grants)``. Pass the
+    ``key`` of hashes as a scalar subquery (``keys.scalar()``) to keep it out
+    of plans and event logs; a literal shows up in both. Only the ``token``
+    strategy joins, with a ``vault`` that has all values (see
+    ``extend_vault``); it is for copies, not for views.
     """
-    if not isinstance(columns, Mapping):
-        columns = {name: "redact" for name in columns}
-    wanted = {name.lower(): strategy for name, strategy in columns.items()}
-    present = {name.lower() for name in df.columns}
-    missing = sorted(set(wanted) - present)
-    if missing:
-        raise ValueError(f"no such column: {', '.join(missing)}")
-    bad = [c for c, t in df.dtypes if c.lower() in wanted and base_type(t) not in functions]
-    if bad:
-        raise UnsupportedTypeError(f"Unsupported data type(s) encountered for: {'; '.join(bad)}")
+    wanted = _by_lower_name(columns)
+    _check_columns(df, wanted, functions)
     tokens = [c for c in df.columns if wanted.get(c.lower()) == "token"]
     if tokens and (vault is None or authorized is not False):
         raise ValueError("the token strategy needs a vault and makes copies only")
+    types = df.dtypes
     for name in tokens:
         df = tokenize(df, name, vault)
-    types = df.dtypes
+
+    # Lookups become columns of their own, so they are made once for all masks.
+    lookups = []
     if isinstance(authorized, Column):
-        # One lookup for all columns, however many there are.
-        df = df.select("*", authorized.alias("_authorized"))
-        authorized = F.col("_authorized")
-    selected: list[str | Column] = []
+        lookups.append(authorized.alias("_authorized"))
+        authorized = "_authorized"
+    if key is not None:
+        lookups.append((F.lit(key) if isinstance(key, str) else key).alias("_key"))
+        key = "_key"
+    if lookups:
+        df = df.select("*", *lookups)
+
+    selected = []
     for name, dtype in types:
         ident = quote_ident(name)
         if name.lower() in wanted and name not in tokens:
             strategy = wanted[name.lower()]
-            masked = mask_expr(ident, dtype, authorized, strategy, key, functions)
-            selected.append(masked.alias(name))
+            shown = shown_sql(ident, dtype, authorized, strategy, key, functions)
+            selected.append(f"{shown} AS {ident}")
         else:
             selected.append(ident)
-    return df.select(*selected)
+    return df.selectExpr(*selected)
+
+
+def _by_lower_name(columns: Mapping[str, str] | Iterable[str]) -> dict[str, str]:
+    """Strategy by lowercase column name."""
+    if isinstance(columns, Mapping):
+        return {name.lower(): strategy for name, strategy in columns.items()}
+    return {name.lower(): "redact" for name in columns}
+
+
+def _check_columns(df: DataFrame, wanted: Mapping[str, str], functions: Mapping[str, str]) -> None:
+    missing = sorted(set(wanted) - {c.lower() for c in df.columns})
+    if missing:
+        raise ValueError(f"no such column: {', '.join(missing)}")
+    bad = [c for c, t in df.dtypes if c.lower() in wanted and base_type(t) not in functions]
+    if bad:
+        raise UnsupportedTypeError(f"Unsupported data type(s) encountered for: {'; '.join(bad)}")
 
 
 def write_masked(
@@ -83,11 +100,11 @@ def write_masked(
     **options,
 ) -> None:
     """Write a masked copy as parquet, the form to publish where readers reach files."""
-    columns = columns if isinstance(columns, Mapping) else {c: "redact" for c in columns}
-    masked_keys = {c.lower() for c in columns} & {c.lower() for c in partition_by}
+    wanted = _by_lower_name(columns)
+    masked_keys = set(wanted) & {c.lower() for c in partition_by}
     if masked_keys:
         raise ValueError(f"masked columns cannot name folders: {', '.join(sorted(masked_keys))}")
-    writer = mask_table(df, columns, **options).write.mode(mode)
+    writer = mask_table(df, wanted, **options).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -109,26 +126,18 @@ def create_masked_view(
     query, so the view follows the grants. It is no barrier for someone who
     can read the files; give those readers a masked copy instead.
     """
-    if not isinstance(columns, Mapping):
-        columns = {name: "redact" for name in columns}
-    wanted = {name.lower(): strategy for name, strategy in columns.items()}
+    wanted = _by_lower_name(columns)
     source = spark.table(quote_table(table))
-    missing = sorted(set(wanted) - {c.lower() for c in source.columns})
-    if missing:
-        raise ValueError(f"no such column: {', '.join(missing)}")
-    selected, bad = [], []
+    _check_columns(source, wanted, functions)
+    selected = []
     for name, dtype in source.dtypes:
         ident = quote_ident(name)
-        if name.lower() not in wanted:
-            selected.append(ident)
-        elif base_type(dtype) not in functions:
-            bad.append(f"{table}.{name}")
-        else:
-            masked = mask_sql(ident, dtype, wanted[name.lower()])
-            shown = f"CASE WHEN _authorized THEN {text_sql(ident)} ELSE {masked} END"
+        if name.lower() in wanted:
+            strategy = wanted[name.lower()]
+            shown = shown_sql(ident, dtype, "_authorized", strategy, functions=functions)
             selected.append(f"{shown} AS {ident}")
-    if bad:
-        raise UnsupportedTypeError(f"Unsupported data type(s) encountered for: {'; '.join(bad)}")
+        else:
+            selected.append(ident)
     sql = (
         f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}VIEW {quote_table(view)} AS "
         f"SELECT {', '.join(selected)} FROM (SELECT *, {granted_sql(grants_table, group)} "

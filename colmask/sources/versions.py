@@ -74,6 +74,9 @@ class ControlTable(VersionedTable):
     def add(self, matches: DataFrame, keep_flag: bool = True) -> int:
         """Merge discovered columns in; refuses a column listed twice."""
         matches = stored(matches, "matches")
+        version = self.version()
+        if version is not None and matches.isEmpty():
+            return version
         twice = duplicate_keys(matches).first()
         if twice is not None:
             raise ValueError(f"listed twice: {twice['TableName']}.{twice['ColumnName']}")

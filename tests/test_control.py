@@ -102,6 +102,7 @@ def test_versions(spark, tmp_path, existing, incoming):
     control.write(existing)
     control.add(incoming)
     assert control.version() == 2
+    assert control.add(incoming.limit(0)) == 2
     assert rows(control.read(1)) == rows(existing.select(*control.read(1).columns))
     assert rows(control.flagged(), "ColumnName") == [("dob",), ("gone",)]
     plan = control.flagged()._jdf.queryExecution().executedPlan().toString()
