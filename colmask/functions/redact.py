@@ -47,33 +47,29 @@ def keep_first_sql(value: str) -> str:
     return f"left({text}, 1) || repeat('*', char_length({text}) - 1)"
 
 
-def _keep_first_of_time_sql(value: str, stars: str) -> str:
-    """``keep_first_sql`` where the year and ``stars`` give the text without formatting it."""
+def _redact_time_sql(value: str, dtype: str) -> str:
+    """``keep_first_sql`` that formats only unusual values.
+
+    A date in a year of four digits has ten characters, and a timestamp
+    without a fraction has nineteen.
+    """
+    usual, stars = f"year({value}) BETWEEN 1000 AND 9999", "*" * 9
+    if dtype != "date":
+        usual += f" AND unix_micros(CAST({value} AS TIMESTAMP)) % 1000000 = 0"
+        stars = "*" * 18
     return (
-        f"CASE WHEN year({value}) BETWEEN 1000 AND 9999 "
-        f"THEN CAST(year({value}) DIV 1000 AS STRING) || {stars} "
+        f"CASE WHEN {usual} THEN CAST(year({value}) DIV 1000 AS STRING) || '{stars}' "
         f"ELSE {keep_first_sql(value)} END"
     )
 
 
-def _stars_of_timestamp_sql(value: str) -> str:
-    """Stars for ``yyyy-MM-dd HH:mm:ss`` and the digits of the fraction that Spark prints."""
-    micros = f"pmod(unix_micros(CAST({value} AS TIMESTAMP)), 1000000)"
-    branches = [f"WHEN {micros} = 0 THEN '{'*' * 18}'"]
-    for digits in range(1, 6):
-        branches.append(f"WHEN {micros} % {10 ** (6 - digits)} = 0 THEN '{'*' * (19 + digits)}'")
-    return f"CASE {' '.join(branches)} ELSE '{'*' * 25}' END"
-
-
 def redact_sql(value: str, dtype: str) -> str:
     """First character kept, or the constant for booleans."""
     kind = base_type(dtype)
     if kind == "boolean":
         return f"'{FULL_MASK}'"
-    if kind == "date":
-        return _keep_first_of_time_sql(value, f"'{'*' * 9}'")
-    if kind in ("timestamp", "timestamp_ntz"):
-        return _keep_first_of_time_sql(value, _stars_of_timestamp_sql(value))
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return _redact_time_sql(value, kind)
     return keep_first_sql(value)
 
 
