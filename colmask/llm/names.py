@@ -1,0 +1,13 @@
+"""Helper columns that do not meet the columns of a table."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, lengthened until no column has it in any case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
