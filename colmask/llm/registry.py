@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from colmask.llm import rules, sharding
+from colmask.llm import chat, rules, sharding
 
-_MODULES = (rules, sharding)
+_MODULES = (rules, chat, sharding)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

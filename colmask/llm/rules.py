@@ -138,7 +138,7 @@ def base_failed(stats: str) -> Column:
 
 
 @dataclass(frozen=True)
-class Test:
+class Cut:
     """``feature <= threshold`` (``below``) or ``feature > threshold``."""
 
     feature: str
@@ -157,7 +157,7 @@ class Test:
 class DecisionList:
     """Ordered rules; the first whose tests all hold rejects a text, and texts no rule covers are kept."""
 
-    rules: tuple[tuple[Test, ...], ...]
+    rules: tuple[tuple[Cut, ...], ...]
 
     def rejected_by(self, stats: str) -> Column:
         """Number of the first rule that holds, from 1 on, or 0."""
@@ -173,7 +173,7 @@ class DecisionList:
         return "\n".join(f"{i}. reject if {' and '.join(map(str, r))}" for i, r in enumerate(self.rules, 1)) or "keep"
 
 
-def _all(tests: Sequence[Test], stats: str) -> Column:
+def _all(tests: Sequence[Cut], stats: str) -> Column:
     out = F.lit(True)
     for test in tests:
         out = out & test.column(stats)
@@ -231,7 +231,7 @@ def learn_rules(labelled: DataFrame, stats: str, max_rules: int = 8) -> Decision
         row = df.agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n")).first()
         return row["p"], row["n"]
 
-    def best_test(df: DataFrame, p0: int, n0: int) -> tuple[float, Test, int, int] | None:
+    def best_test(df: DataFrame, p0: int, n0: int) -> tuple[float, Cut, int, int] | None:
         counts = (
             df.select("bad", F.posexplode("bins").alias("f", "bin"))
             .groupBy("f", "bin")
@@ -254,9 +254,9 @@ def learn_rules(labelled: DataFrame, stats: str, max_rules: int = 8) -> Decision
         if best is None:
             return None
         gain, feature, below, p, n = best
-        return gain, Test(feature, below, ties[len(ties) // 2]), p, n
+        return gain, Cut(feature, below, ties[len(ties) // 2]), p, n
 
-    rules: list[tuple[Test, ...]] = []
+    rules: list[tuple[Cut, ...]] = []
     left = rows
     while len(rules) < max_rules:
         grow, tests = left.filter(~F.col("held")), []
