@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from colmask.llm import chat, rules, sharding, simhash
+from colmask.llm import chat, decontaminate, rules, sharding, simhash, toxicity
 
-_MODULES = (simhash, rules, chat, sharding)
+_MODULES = (simhash, decontaminate, toxicity, rules, chat, sharding)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
