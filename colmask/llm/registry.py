@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from colmask.llm import chat, decontaminate, pieces, rules, sharding, simhash, tokens, toxicity
+from colmask.llm import chat, decontaminate, pieces, rules, sharding, simhash, tokens, toxicity, warc
 
-_MODULES = (simhash, tokens, pieces, decontaminate, toxicity, rules, chat, sharding)
+_MODULES = (simhash, tokens, pieces, warc, decontaminate, toxicity, rules, chat, sharding)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
