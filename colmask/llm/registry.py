@@ -1,10 +1,12 @@
-"""Queries of the text operators, and their SQL."""
+"""Queries of the text operators and of the pipeline, and their SQL."""
 
 from __future__ import annotations
 
-from colmask.llm import chat, decontaminate, pieces, rules, sharding, simhash, tokens, toxicity, warc
+import corpus_pipeline
+from colmask.llm import chat, decontaminate, pieces, quality, rules, sharding, simhash, tokens, toxicity, warc
 
-_MODULES = (simhash, tokens, pieces, warc, decontaminate, toxicity, rules, chat, sharding)
+_MODULES = (simhash, quality, tokens, pieces, warc, decontaminate, toxicity, rules, chat, sharding)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

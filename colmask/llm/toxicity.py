@@ -19,9 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colmask.llm.learning import fit_logistic, held_out
 from colmask.llm.names import free_name
 from colmask.llm.words import FOLD, split_words
 
@@ -149,19 +150,6 @@ def _telling(docs: list[list[bytes]], toxic: np.ndarray) -> tuple[set[tuple[str,
     return marks, seen[True] + seen[False]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weighted logistic regression with a small ridge, by Newton's method."""
-    x = np.column_stack([np.ones(len(x)), x])
-    beta = np.zeros(x.shape[1])
-    ridge = np.diag([1e-6] + [1e-2] * (x.shape[1] - 1)) * weight.sum() / len(weight)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (weight * (y - p)) - ridge @ beta
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge
-        beta += np.clip(np.linalg.solve(bend, slope), -5, 5)
-    return beta
-
-
 def _sketch(words: list[bytes]) -> list[int]:
     """The smallest hashes of a text's three-word shingles."""
     return heapq.nsmallest(SKETCH, {zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))})
@@ -234,16 +222,11 @@ def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean:
     chances = marginals([by_type[i] for i in ids], moves)
     x = np.array([[c.max(initial=0.0), math.log1p(c.sum())] for c in chances])
     stands_for = np.where(truth, n_toxic / truth.sum(), n_clean / (~truth).sum())
-    scale = _logistic(x, truth.astype(float), stands_for)
+    scale = fit_logistic(x, truth.astype(float), stands_for, 1e-2)
     kept = {f: float(weights[i]) for f, i in known.items() if abs(weights[i]) > 1e-3}
     return Field(kept, float(bias), moves, tuple(float(s) for s in scale))
 
 
-def held_out(doc_id: str = "doc_id") -> Column:
-    """Rows that are never learned from: the checksum of the id as text leaves no remainder by 5. Null counts as empty text."""
-    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
-
-
 def train_field(docs: DataFrame, labels: DataFrame) -> Field:
     """A field from the labelled documents outside the held-out fold, on the bounded sample named above."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
