@@ -128,7 +128,9 @@ def with_stats(df: DataFrame, text: str, out: str) -> DataFrame:
         "words_per_line": share("n_words", "n_lines"),
     }
     made = [F.col(f"{counts}.{n}").alias(n) for n in base] + [c.alias(n) for n, c in features.items()]
-    return df.withColumn(out, F.struct(*made)).drop(words, hashes, windows, counts)
+    # The generator keeps the optimizer from moving filters on the counts below them, where
+    # every mention of a count would be a count of its own.
+    return df.withColumn(out, F.explode(F.array(F.struct(*made)))).drop(words, hashes, windows, counts)
 
 
 def base_failed(stats: str) -> Column:
