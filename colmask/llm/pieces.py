@@ -15,6 +15,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ TRIES = 64
 CACHE_WORDS = 400_000
 #: Bytes of distinct words that are cut at once.
 CUT_BYTES = 1 << 19
+#: UTF-8 bytes of texts that are handed on together.
+SLICE_BYTES = 4 << 20
 #: Words of neighbouring texts that are looked up together.
 WORDS_AT_ONCE = 200_000
 
@@ -85,7 +88,7 @@ class Trie:
         # Any byte may be tried at the last node.
         pad = 257
         base, check, value = (
-            np.array(x + [f] * pad, np.int32) for x, f in ((base, 0), (check, -1), (value, -1))
+            np.array(x + [f] * pad, np.int64) for x, f in ((base, 0), (check, -1), (value, -1))
         )
         return cls(base, check, value)
 
@@ -182,49 +185,50 @@ def cut(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
     alone = np.zeros(len(text), bool)
     char_stop = np.zeros(len(text), np.int64)
     char_stop[begins] = next_begin
-    at, node, depth = begins, np.zeros(len(begins), np.int64), 0
+    code = text.astype(np.int64) + 1
+    at, node, till, depth = begins, np.zeros(len(begins), np.int64), end[begins], 0
     while len(at):
-        inside = at + depth < end[at]
-        at, node = at[inside], node[inside]
-        to = trie.base[node] + text[at + depth] + 1
-        goes = trie.check[to] == node
-        at, node = at[goes], to[goes].astype(np.int64)
+        to = trie.base.take(node) + code.take(at + depth)
+        goes = np.flatnonzero(trie.check.take(to) == node)
+        at, node, till = at.take(goes), to.take(goes), till.take(goes)
         depth += 1
-        value = trie.value[node]
-        whole = value >= 0
-        starts.append(at[whole])
-        stops.append(at[whole] + depth)
-        ids.append(value[whole])
-        alone[at[whole & (char_stop[at] == at + depth)]] = True
+        value = trie.value.take(node)
+        whole = np.flatnonzero(value >= 0)
+        start = at.take(whole)
+        starts.append(start)
+        stops.append(start + depth)
+        ids.append(value.take(whole))
+        alone[start[char_stop.take(start) == start + depth]] = True
+        inside = np.flatnonzero(at + depth < till)
+        at, node, till = at.take(inside), node.take(inside), till.take(inside)
     lone = begins[~alone[begins]]
     starts.append(lone)
     stops.append(char_stop[lone])
-    ids.append(np.full(len(lone), -1, np.int32))
+    ids.append(np.full(len(lone), -1, np.int64))
     start, stop, piece = np.concatenate(starts), np.concatenate(stops), np.concatenate(ids)
     gain = np.where(piece >= 0, vocab.scores[piece], vocab.fallback)
 
-    # Best score of each place, in the order of the places' distance from the word's begin.
+    # Best score of each place: by the places' distance from the word's begin, longer pieces first. The pieces
+    # of one length that end at one distance have different ends, so each such group is one step.
     owner = unit[start]
-    reach = stop - firsts[owner]
-    order = np.lexsort((start, stop, reach))
-    start, stop, piece, gain, owner, reach = (x[order] for x in (start, stop, piece, gain, owner, reach))
-    source, target = start + owner, stop + owner
-    best = np.zeros(len(text) + len(words))
+    size = stop - start
+    wide = int(size.max(initial=0)) + 1
+    rank = (stop - firsts[owner]) * wide + (wide - 1 - size)
+    rank = rank.astype(np.uint16) if rank.max(initial=0) < 1 << 16 else rank
+    order = np.argsort(rank, kind="stable")
+    rank, piece, gain = rank[order], piece[order], gain[order]
+    source = (start + owner)[order]
+    target = source + size[order]
+    best = np.full(len(text) + len(words), -np.inf)
+    best[firsts + np.arange(len(words))] = 0.0
     via = np.full(len(best), -1, np.int64)
-    cuts = np.flatnonzero(np.diff(reach)) + 1
-    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(reach)]):
-        if a == b:
-            continue
-        total = best[source[a:b]] + gain[a:b]
-        groups = np.flatnonzero(np.concatenate([[True], np.diff(target[a:b]) > 0]))
-        top = np.maximum.reduceat(total, groups)
-        sizes = np.diff(np.append(groups, b - a))
-        equal = np.flatnonzero(total == np.repeat(top, sizes))
-        which = np.repeat(np.arange(len(groups)), sizes)[equal]
-        first = equal[np.concatenate([[True], np.diff(which) > 0])]
-        where = target[a:b][groups]
-        best[where] = top
-        via[where] = first + a
+    cuts = np.flatnonzero(np.diff(rank)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rank)]):
+        total, to = best[source[a:b]] + gain[a:b], target[a:b]
+        better = total > best[to]
+        to = to[better]
+        best[to] = total[better]
+        via[to] = np.flatnonzero(better) + a
 
     # Back from the ends, all words at once.
     here = firsts + lengths + np.arange(len(words))
@@ -240,15 +244,16 @@ def cut(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
     if not steps:
         return []
     edges, words_of = np.concatenate(steps), np.concatenate(by)
-    back = np.concatenate([np.full(len(s), i) for i, s in enumerate(steps)])
-    order = np.lexsort((-back, words_of))
-    edges, words_of = edges[order], words_of[order]
-    widths = np.where(piece[edges] >= 0, 1, stop[edges] - start[edges])
+    # Steps go backwards: the last comes first.
+    order = np.argsort(words_of[::-1], kind="stable")
+    edges, words_of = edges[::-1][order], words_of[::-1][order]
+    begin, size = source[edges] - words_of, target[edges] - source[edges]
+    widths = np.where(piece[edges] >= 0, 1, size)
     out = np.repeat(piece[edges], widths)
     lost = np.flatnonzero(out < 0)
     if len(lost):
         inside = np.arange(len(out)) - np.repeat(np.cumsum(widths) - widths, widths)
-        out[lost] = vocab.byte_ids[text[np.repeat(start[edges], widths)[lost] + inside[lost]]]
+        out[lost] = vocab.byte_ids[text[np.repeat(begin, widths)[lost] + inside[lost]]]
     counts = np.bincount(words_of, weights=widths, minlength=len(words)).astype(np.int64)
     raw, marks = out.astype(np.int32).tobytes(), (4 * np.cumsum(counts)).tolist()
     return [raw[a:b] for a, b in zip([0, *marks], marks)]
@@ -285,8 +290,10 @@ class Encoder:
             held.append(None if text is None else find(b" " + text) if text else [])
             n += len(held[-1] or ())
             if n >= WORDS_AT_ONCE or i == len(texts) - 1:
-                self._learn(set().union(*(w for w in held if w)))
-                get = self.known.__getitem__
+                words = set().union(*(w for w in held if w))
+                self._learn(words)
+                # A small table of these words only is looked up faster than the large one.
+                get = dict(zip(words, map(self.known.__getitem__, words))).__getitem__
                 out += [None if w is None else b"".join(map(get, w)) for w in held]
                 held, n = [], 0
         return out
@@ -306,13 +313,22 @@ def encode_pieces(docs: DataFrame, text: str, out: str, vocab: Vocabulary) -> Da
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary())
-            ids = encoder.encode([t.as_py() for t in texts])
-            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids)], names=[*batch.schema.names, out])
+            for first, n in _slices(batch, at):
+                part = batch.slice(first, n)
+                ids = encoder.encode([t.as_py() for t in part.column(at).cast(pa.binary())])
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids)], names=[*batch.schema.names, out])
 
     return docs.mapInArrow(run, schema)
 
 
+def _slices(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of parts of a batch whose column ``at`` has a bounded size (or one row)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // SLICE_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    yield from ((a, b - a) for a, b in zip(edges, edges[1:]) if b > a)
+
+
 def _lists(ids: list[bytes | None]) -> pa.Array:
     offsets = np.cumsum([0] + [len(x or b"") // 4 for x in ids])
     values = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
