@@ -13,7 +13,6 @@ import heapq
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -26,7 +25,7 @@ from colmask.llm.learning import fit_logistic, held_out
 from colmask.llm.names import free_name
 from colmask.llm.words import FOLD, split_words
 
-#: The field is fitted on at most this many toxic and clean labelled documents, the first by a hash of their ids,
+#: The field is fitted on at most this many toxic and clean labelled documents, drawn by a hash of their ids,
 TOXIC_SAMPLE = 1500
 CLEAN_SAMPLE = 4500
 #: of at most this many characters each. Scoring takes whole texts of any length.
@@ -47,16 +46,16 @@ PADDED = 1 << 20
 SPANS = "array<struct<start:int,stop:int,p:double>>"
 
 
-def features(word: bytes) -> tuple[tuple[str, bytes], ...]:
-    """The word, its beginnings of 3 to 5 bytes and its endings of 3 and 4."""
-    return (("w", word), ("3", word[:3]), ("4", word[:4]), ("5", word[:5]), ("-3", word[-3:]), ("-4", word[-4:]))
+def features(word: bytes) -> tuple[bytes, ...]:
+    """The word, its beginnings of 3 to 5 bytes and its endings of 3 and 4, each with its kind in front."""
+    return (b"w" + word, b"3" + word[:3], b"4" + word[:4], b"5" + word[:5], b"c" + word[-3:], b"d" + word[-4:])
 
 
 @dataclass(frozen=True)
 class Field:
     """Weights of features for the label toxic, transitions (log, from, to), and the document's logistic."""
 
-    weights: dict[tuple[str, bytes], float]
+    weights: dict[bytes, float]
     bias: float
     moves: np.ndarray
     scale: tuple[float, float, float]
@@ -131,23 +130,15 @@ def marginals(emissions: Sequence[np.ndarray], moves: np.ndarray, pairs: bool =
     return (out, expected) if pairs else out
 
 
-def _telling(docs: list[list[bytes]], toxic: np.ndarray) -> tuple[set[tuple[str, bytes]], Counter]:
-    """Features that mark toxic documents, and the number of documents of every feature."""
-    seen = {True: Counter(), False: Counter()}
-    for words, is_toxic in zip(docs, toxic):
-        seen[bool(is_toxic)].update({f for w in set(words) for f in features(w)})
+def _telling(counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Which features mark toxic documents, from their numbers of clean and toxic documents."""
     n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
     share = n_toxic / (n_toxic + n_clean)
-
-    def tells(in_toxic: int, in_clean: int) -> bool:
-        if (in_toxic + 0.5) / (n_toxic + 1) < MIN_RATIO * (in_clean + 0.5) / (n_clean + 1):
-            return False
-        n = in_toxic + in_clean
-        rest = in_clean * math.log(in_clean / (n * (1 - share))) if in_clean else 0.0
-        return in_toxic * math.log(in_toxic / (n * share)) + rest >= MIN_EVIDENCE
-
-    marks = {f for f, n in seen[True].items() if tells(n, seen[False][f])}
-    return marks, seen[True] + seen[False]
+    clean, seen = counts.astype(float)
+    n = np.maximum(clean + seen, 1)
+    ratio = (seen + 0.5) / (n_toxic + 1) / ((clean + 0.5) / (n_clean + 1))
+    evidence = seen * np.log(np.maximum(seen, 1) / (n * share)) + clean * np.log(np.maximum(clean, 1) / (n * (1 - share)))
+    return (ratio >= MIN_RATIO) & (seen > 0) & (evidence >= MIN_EVIDENCE)
 
 
 def _sketch(words: list[bytes]) -> list[int]:
@@ -155,40 +146,47 @@ def _sketch(words: list[bytes]) -> list[int]:
     return heapq.nsmallest(SKETCH, {zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))})
 
 
-def _without_copies(docs: list[list[bytes]]) -> np.ndarray:
-    """Which documents to learn from: a copy of another says nothing new about a word."""
-    seen: set[int] = set()
-    new = np.ones(len(docs), bool)
-    for i, words in enumerate(docs):
-        sketch = _sketch(words)
-        new[i] = 4 * sum(h in seen for h in sketch) < len(sketch)
-        seen.update(sketch)
-    return new
-
-
 def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean: int) -> Field:
     """A field from sampled documents; ``n_toxic`` and ``n_clean`` are the counts they stand for.
 
-    With no toxic or no clean document every score is the smoothed share of toxic ones.
+    With no toxic or no clean document every score is the smoothed share of toxic ones. A near-copy of
+    another sampled document is left out: it says nothing new about a word.
     """
     share = (n_toxic + 0.5) / (n_toxic + n_clean + 2)
     truth = np.array(toxic, bool)
     flat = Field({}, -30.0, np.zeros((2, 2)), (math.log(share / (1 - share)), 0.0, 0.0))
     if not truth.any() or truth.all():
         return flat
-    docs = [split_words(t) for t in texts]
-    new = _without_copies(docs)
-    docs, truth = [d for d, n in zip(docs, new) if n], truth[new]
-    if not truth.any() or truth.all():
+    # Words become numbers text by text: the sample is held as numbers only.
+    types: dict[bytes, int] = {}
+    seen_shingles: set[int] = set()
+    ids, kept_truth = [], []
+    for text, is_toxic in zip(texts, truth):
+        words = split_words(text)
+        sketch = _sketch(words)
+        if 4 * sum(h in seen_shingles for h in sketch) < len(sketch):
+            ids.append(np.fromiter((types.setdefault(w, len(types)) for w in words), np.int64, len(words)))
+            kept_truth.append(is_toxic)
+        seen_shingles.update(sketch)
+    truth = np.array(kept_truth, bool)
+    if not truth.any() or truth.all() or not types:
         return flat
-    marks, spread = _telling(docs, truth)
-    types = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
-    if not types or not marks:
+    numbers: dict[bytes, int] = {}
+    parts = np.array([[numbers.setdefault(f, len(numbers) + 1) for f in features(w)] for w in types], np.int32)
+    counts = np.zeros((2, len(numbers) + 1), np.int64)
+    for i, is_toxic in zip(ids, truth):
+        if len(i):
+            counts[int(is_toxic), np.unique(parts[np.unique(i)])] += 1
+    marks = _telling(counts, truth)
+    if not marks.any():
         return flat
-    known = {f: i for i, f in enumerate((f for f, n in spread.items() if n >= MIN_FEATURE_DOCS), 1)}
-    parts = np.array([[known.get(f, 0) for f in features(w)] for w in types], np.int32)
-    marked = np.array([any(f in marks for f in features(w)) for w in types])
-    ids = [np.fromiter(map(types.__getitem__, d), np.int64, len(d)) for d in docs]
+    marked = marks[parts].any(axis=1)
+    # Rare features share number 0, which has no weight.
+    often = counts.sum(axis=0) >= MIN_FEATURE_DOCS
+    renumbered = np.where(often, np.cumsum(often), 0).astype(np.int32)
+    known = {f: int(renumbered[n]) for f, n in numbers.items() if often[n]}
+    parts = renumbered[parts]
+    del numbers, counts
     labels = [marked[i] & t for i, t in zip(ids, truth)]
     flat_ids, flat_labels = np.concatenate(ids), np.concatenate(labels)
     per_type = np.bincount(flat_ids, weights=flat_labels, minlength=len(types))
@@ -230,15 +228,19 @@ def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean:
 def train_field(docs: DataFrame, labels: DataFrame) -> Field:
     """A field from the labelled documents outside the held-out fold, on the bounded sample named above."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
-    known = known.groupBy("doc_id").agg(F.max(F.col("toxic") != 0).alias("toxic"))
-    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    usable = docs.select("doc_id", "text").filter(F.char_length("text") <= SAMPLE_CHARS).join(known, "doc_id")
-    texts, toxic = [], []
+    known = known.groupBy("doc_id").agg(F.max(F.col("toxic") != 0).alias("is_toxic"))
+    sizes = {r["is_toxic"]: r["n"] for r in known.groupBy("is_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = None
     for kind, most in ((True, TOXIC_SAMPLE), (False, CLEAN_SAMPLE)):
-        sample = usable.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most)
-        for row in sample.select(F.encode("text", "utf-8").alias("text")).collect():  # bounded by the sample
-            texts.append(bytes(row["text"]))
-            toxic.append(kind)
+        part = known.filter(F.col("is_toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        drawn = part if drawn is None else drawn.unionByName(part)
+    # The drawn ids are bounded, so documents are looked up in them without a shuffle of texts.
+    mine = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    mine = mine.filter(F.char_length("text") <= SAMPLE_CHARS).groupBy("doc_id", "is_toxic").agg(F.min("text").alias("text"))
+    texts, toxic = [], []
+    for row in mine.select(F.encode("text", "utf-8").alias("text"), "is_toxic").orderBy("doc_id").toLocalIterator():
+        texts.append(bytes(row["text"]))
+        toxic.append(row["is_toxic"])
     return fit_field(texts, toxic, sizes.get(True, 0), sizes.get(False, 0))
 
 
