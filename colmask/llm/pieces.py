@@ -344,7 +344,7 @@ def decode_pieces(df: DataFrame, ids: str, out: str, vocab: Vocabulary) -> DataF
     """
     at = df.columns.index(ids)
     shared = df.sparkSession.sparkContext.broadcast(vocab.pieces)
-    schema = df.select("*", F.lit("").cast("string").alias(out)).schema
+    schema = df.select("*", F.lit(None).cast("string").alias(out)).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = shared.value.__getitem__

@@ -185,8 +185,14 @@ def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean:
     often = counts.sum(axis=0) >= MIN_FEATURE_DOCS
     renumbered = np.where(often, np.cumsum(often), 0).astype(np.int32)
     known = {f: int(renumbered[n]) for f, n in numbers.items() if often[n]}
-    parts = renumbered[parts]
-    del numbers, counts
+    whole = renumbered[parts]
+    del numbers, counts, parts
+    # In training a part of the word forms, by their hash, lack their word, ending or long beginning, so that the
+    # beginnings learn to tell forms that were never seen.
+    draw = np.array([zlib.crc32(w) for w in types])
+    parts = whole.copy()
+    for bit, columns in ((1, [0]), (2, [4, 5]), (4, [3])):
+        parts[np.ix_((draw & bit) > 0, columns)] = 0
     labels = [marked[i] & t for i, t in zip(ids, truth)]
     flat_ids, flat_labels = np.concatenate(ids), np.concatenate(labels)
     per_type = np.bincount(flat_ids, weights=flat_labels, minlength=len(types))
@@ -216,7 +222,7 @@ def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean:
         weights += move[: len(weights)]
         bias += move[len(weights)]
         moves = moves + move[len(weights) + 1 :].reshape(2, 2)
-    by_type = np.clip(bias + weights[parts].sum(axis=1), -30, 30)
+    by_type = np.clip(bias + weights[whole].sum(axis=1), -30, 30)
     chances = marginals([by_type[i] for i in ids], moves)
     x = np.array([[c.max(initial=0.0), math.log1p(c.sum())] for c in chances])
     stands_for = np.where(truth, n_toxic / truth.sum(), n_clean / (~truth).sum())
