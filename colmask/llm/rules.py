@@ -321,14 +321,14 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the learned rules keep, with the columns of ``docs``.
 
-    The learned list is applied to the text in the same pass that reads the
-    rows, so nothing wide is shuffled. Nulls, repeated rows and empty tables as
+    The rows are written once with their counts. Learning reads the counts
+    alone, so no text is shuffled, and the verdict follows from the counts that are there. Nulls, repeated rows and empty tables as
     in ``quality_verdicts``; helper columns take names that ``docs`` does not use.
     """
-    known = docs.select("doc_id", "text").join(quality_labels(labels), "doc_id")
-    learned = learn_rules(with_stats(known, "text", "stats").drop("text"), "stats")
     out = free_name(docs.columns, "_stats")
-    return with_stats(docs, "text", out).filter(learned.kept(out)).drop(out)
+    rows = stored(with_stats(docs, "text", out), "stats")
+    known = rows.select("doc_id", F.col(out).alias("stats")).join(quality_labels(labels), "doc_id")
+    return rows.filter(learn_rules(known, "stats").kept(out)).drop(out)
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:

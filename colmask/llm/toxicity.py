@@ -26,8 +26,8 @@ from colmask.llm.names import free_name
 from colmask.llm.words import FOLD, split_words
 
 #: The field is fitted on at most this many toxic and clean labelled documents, drawn by a hash of their ids,
-TOXIC_SAMPLE = 1500
-CLEAN_SAMPLE = 4500
+TOXIC_SAMPLE = 1000
+CLEAN_SAMPLE = 3000
 #: of at most this many characters each. Scoring takes whole texts of any length.
 SAMPLE_CHARS = 20_000
 #: A word form or part labels words as toxic if it is this many times as frequent in toxic as in clean documents
@@ -165,7 +165,7 @@ def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean:
         words = split_words(text)
         sketch = _sketch(words)
         if 4 * sum(h in seen_shingles for h in sketch) < len(sketch):
-            ids.append(np.fromiter((types.setdefault(w, len(types)) for w in words), np.int64, len(words)))
+            ids.append(np.fromiter((types.setdefault(w, len(types)) for w in words), np.int32, len(words)))
             kept_truth.append(is_toxic)
         seen_shingles.update(sketch)
     truth = np.array(kept_truth, bool)
