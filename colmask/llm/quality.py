@@ -21,7 +21,7 @@ from colmask.llm.learning import fit_logistic, held_out, sigmoid
 from colmask.llm.rules import quality_labels
 from colmask.llm.words import split_words
 
-#: The classifiers are fitted on at most this many labelled and unlabelled documents, the first by a hash of their ids.
+#: The classifiers are fitted on at most this many labelled and unlabelled documents, drawn by a hash of their ids.
 LABELLED_SAMPLE = 6000
 UNLABELLED_SAMPLE = 6000
 ROUNDS = 4
@@ -187,11 +187,13 @@ def _needed(docs: DataFrame) -> DataFrame:
 
 def train_quality(docs: DataFrame, labels: DataFrame) -> CoTrained:
     """Co-train on bounded samples outside the held-out fold; every fifth sampled label only calibrates."""
-    known = quality_labels(labels).filter(~held_out())
-    mine = _needed(docs).filter(F.col("doc_id").isNotNull() & ~held_out()).join(known, "doc_id", "left")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
-    labelled = mine.filter(F.col("quality").isNotNull()).orderBy(*order).limit(LABELLED_SAMPLE)
-    free = mine.filter(F.col("quality").isNull()).orderBy(*order).limit(UNLABELLED_SAMPLE)
+    known = quality_labels(labels).filter(~held_out()).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    mine = _needed(docs).filter(F.col("doc_id").isNotNull() & ~held_out())
+    free = mine.select("doc_id").distinct().join(known, "doc_id", "left_anti").withColumn("quality", F.lit(None).cast("int"))
+    drawn = known.orderBy(*order).limit(LABELLED_SAMPLE).unionByName(free.orderBy(*order).limit(UNLABELLED_SAMPLE))
+    # The drawn ids are bounded, so documents are looked up in them without a shuffle of texts.
+    rows = mine.join(F.broadcast(drawn), "doc_id").select(*COLUMNS, "quality")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,11 +205,13 @@ def train_quality(docs: DataFrame, labels: DataFrame) -> CoTrained:
                 names=["doc_id", "quality", "one", "two"],
             )
 
-    parts = []
-    for sample in (labelled, free):
-        rows = sample.select(*COLUMNS, F.col("quality").cast("int").alias("quality"))
-        kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, one binary, two binary"
-        parts.append(rows.mapInArrow(run, kind).collect())  # bounded by the samples
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, one binary, two binary"
+    made = rows.mapInArrow(run, kind).groupBy("doc_id", "quality").agg(F.min(F.struct("one", "two")).alias("made"))
+    sampled = sorted(
+        made.select("doc_id", "quality", "made.*").collect(),  # a row for each drawn id at most
+        key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]),
+    )
+    parts = [[r for r in sampled if (r["quality"] is None) == unlabelled] for unlabelled in (False, True)]
 
     def table(rows, name: str, width: int) -> np.ndarray:
         return np.frombuffer(b"".join(bytes(r[name]) for r in rows), np.float32).reshape(-1, width).astype(float)
