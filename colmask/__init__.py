@@ -19,20 +19,23 @@ from colmask.operators.planning import (
     unsupported,
     unsupported_messages,
 )
-from colmask.operators.rules import Rule, default_rules, load_rules, shadowed_rules
+from colmask.operators.rules import Rule, default_rules, shadowed_rules
 from colmask.operators.tokens import extend_vault, tokenize
-from colmask.plans.apply import apply_control
+from colmask.plans.apply import ApplyRun, apply_control, apply_views
 from colmask.plans.discover import discover_catalog, discover_frames, discover_table
-from colmask.plans.mask import create_masked_view, mask_all, mask_table, write_masked
+from colmask.plans.mask import MaskRunError, create_masked_view, mask_all, mask_table, write_masked
 from colmask.sources.versions import ControlTable, Vault
 from colmask.streaming.masked_stream import write_masked_stream
 
 __all__ = [
+    "ApplyRun",
     "ControlTable",
+    "MaskRunError",
     "Rule",
     "UnsupportedTypeError",
     "Vault",
     "apply_control",
+    "apply_views",
     "classify_columns",
     "create_masked_view",
     "default_rules",
@@ -45,7 +48,6 @@ __all__ = [
     "flagged",
     "flagged_tables",
     "has_grant",
-    "load_rules",
     "mask_all",
     "mask_expr",
     "mask_plan",

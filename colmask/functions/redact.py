@@ -91,8 +91,9 @@ def mask_sql(value: str, dtype: str, strategy: str = "redact", key: str | None =
     """The mask of an SQL expression as SQL text.
 
     ``redact`` keeps the first character, ``full`` nothing, ``shape`` turns
-    letters into ``X``/``x`` and digits into ``n``, and ``hash`` is the SHA-256
-    of ``key``, an SQL expression too, and the value.
+    letters into ``X``/``x`` and digits into ``n``, and ``hash`` is SHA-256 keyed
+    by ``key``, an SQL expression too: the key goes in front of the value, and
+    again in front of the hash of both, so nothing can be appended to a value.
     """
     if strategy == "redact":
         return redact_sql(value, dtype)
@@ -103,7 +104,7 @@ def mask_sql(value: str, dtype: str, strategy: str = "redact", key: str | None =
     if strategy == "hash":
         if key is None:
             raise ValueError("the hash strategy needs a key")
-        return f"sha2(concat({key}, {text_sql(value)}), 256)"
+        return f"sha2(concat({key}, sha2(concat({key}, {text_sql(value)}), 256)), 256)"
     raise ValueError(f"unknown strategy: {strategy}")
 
 

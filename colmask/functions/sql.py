@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from colmask.functions.names import quote_ident, quote_table
+from colmask.functions.names import quote_ident, quote_table, quote_text
 from colmask.functions.redact import MASK_FUNCTIONS, redact_sql, text_sql
 
 # Fixed value: the group whose members see the stored values.
@@ -15,7 +15,7 @@ def granted_sql(grants_table: str, group: str = ACCESS_GROUP) -> str:
     """Condition that the reader is in ``group``, looked up when the query runs."""
     return (
         f"EXISTS (SELECT 1 FROM {quote_table(grants_table)} g "
-        f"WHERE g.principal = current_user() AND g.grp = '{group}')"
+        f"WHERE g.principal = current_user() AND g.grp = {quote_text(group)})"
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colmask.functions.names import base_type, quote_ident
+from colmask.functions.names import base_type, find_column, quote_ident
 from colmask.functions.redact import MASK_FUNCTIONS, mask_sql, survives_redaction_sql, text_sql
 from colmask.operators.planning import masked_columns_from_ddl
 
@@ -87,17 +87,21 @@ def exposure_audit(
     """Per column, how many values come through the mask unchanged.
 
     ``strategies`` maps columns to mask strategies; without it every column
-    of a supported type is redacted. One aggregation over the columns asked
-    for.
+    of a supported type is redacted. Names compare without case. A value that looks like a
+    token may come through as one and is counted. One aggregation over the
+    columns asked for.
     """
     types = dict(df.dtypes)
     if strategies is None:
         strategies = {c: "redact" for c, t in types.items() if base_type(t) in functions}
     counts = []
+    strategies = {find_column(df, c): strategy for c, strategy in strategies.items()}
     for i, (column, strategy) in enumerate(strategies.items()):
         value, dtype = quote_ident(column), types[column]
         if strategy == "redact":
             same = survives_redaction_sql(value, dtype)
+        elif strategy == "token":
+            same = f"{text_sql(value)} RLIKE '^tok_[0-9]+$'"
         else:
             same = f"{mask_sql(value, dtype, strategy, key="''")} = {text_sql(value)}"
         counts += [f"count({value}) AS n_values{i}", f"count_if({same}) AS n_exposed{i}"]

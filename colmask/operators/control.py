@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colmask.operators.joins import BROADCAST_BYTES, skew_join
+from colmask.operators.joins import skew_join
 from colmask.operators.numbering import number_rows
 
 _KEY = ["_table", "_column"]
@@ -15,20 +15,21 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("_table", F.lower("TableName")).withColumn("_column", F.lower("ColumnName"))
 
 
-def assign_ids(rows: DataFrame, control: DataFrame | None = None) -> DataFrame:
-    """Give ``rows`` the Ids that follow the largest one of ``control``."""
-    after = 0
+def assign_ids(rows: DataFrame, control: DataFrame | None = None, after: int = 0) -> DataFrame:
+    """Give ``rows`` the Ids that follow the largest one of ``control``, and follow ``after``."""
     if control is not None:
-        after = F.coalesce(control.agg(F.max("Id")).scalar(), F.lit(0))
+        after = F.greatest(F.coalesce(control.agg(F.max("Id")).scalar(), F.lit(0)), F.lit(after))
     return number_rows(rows, ["TableName", "ColumnName"], "Id", after=after)
 
 
-def upsert_control(control: DataFrame, matches: DataFrame, keep_flag: bool = True) -> DataFrame:
+def upsert_control(
+    control: DataFrame, matches: DataFrame, keep_flag: bool = True, after: int = 0
+) -> DataFrame:
     """``control`` with ``matches`` merged in by table and column name.
 
     A known column gets the new category and type; its EncryptFlag stays as
     the steward left it, or is taken from ``matches`` with ``keep_flag=False``.
-    New columns get the next Ids. ``matches`` must have each column once, as
+    New columns get the next Ids, above ``after`` and all there are. ``matches`` must have each column once, as
     ``classify_columns`` returns it.
     """
     new = _keyed(matches).select(
@@ -55,7 +56,7 @@ def upsert_control(control: DataFrame, matches: DataFrame, keep_flag: bool = Tru
         )
     )
     fresh = _keyed(matches).join(_keyed(control).select(*_KEY), _KEY, "left_anti").drop(*_KEY)
-    return kept.unionByName(assign_ids(fresh, control))
+    return kept.unionByName(assign_ids(fresh, control, after))
 
 
 def flagged(control: DataFrame) -> DataFrame:
@@ -67,20 +68,21 @@ def flagged_tables(control: DataFrame) -> DataFrame:
     return flagged(control).select("TableName").distinct()
 
 
-def prune_control(
-    control: DataFrame, dead_tables: DataFrame, broadcast_limit: int = BROADCAST_BYTES
-) -> DataFrame:
+def prune_control(control: DataFrame, dead_tables: DataFrame) -> DataFrame:
     """``control`` without the rows of tables confirmed to be gone."""
     dead = dead_tables.select("TableName").distinct()
-    return skew_join(control, dead, ["TableName"], "left_anti", broadcast_limit=broadcast_limit)
+    return skew_join(control, dead, ["TableName"], "left_anti")
 
 
 def duplicate_keys(control: DataFrame) -> DataFrame:
-    """Columns listed more than once, with their count; empty when all is well."""
+    """Columns listed more than once, names compared without case, with their count; empty when all is well."""
+    first = [F.min(c).alias(c) for c in ("TableName", "ColumnName")]
     return (
-        control.groupBy("TableName", "ColumnName")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        _keyed(control)
+        .groupBy(*_KEY)
+        .agg(*first, F.count(F.lit(1)).alias("n_rows"))
         .filter(F.col("n_rows") > 1)
+        .drop(*_KEY)
     )
 
 

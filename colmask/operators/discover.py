@@ -4,53 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colmask.operators.rules import Rule, default_rules, has_excluded_suffix, rule_position
+from colmask.operators.rules import (
+    Rule,
+    default_rules,
+    first_keyword,
+    has_excluded_suffix,
+    rule_position,
+    rules_value,
+)
 
 
-def _candidates(columns: DataFrame, rules: Sequence[Rule], excluded: bool) -> DataFrame:
-    """Lowercased columns that a rule matches, with ``prio``, the first such rule.
+def _candidates(columns: DataFrame, rules: Sequence[Rule] | DataFrame | None, excluded: bool) -> DataFrame:
+    """Lowercased columns that a rule matches, with ``hit``: ``prio`` and ``keyword`` of the first such rule.
 
-    The position goes through ``explode`` so that the filter on it stays above
+    The hit goes through ``explode`` so that the filter on it stays above
     the projection. Pushed below, it would lowercase the name once per rule.
     """
+    lower = columns.select(
+        "TableName",
+        "Ordinal",
+        F.lower("ColumnName").alias("ColumnName"),
+        F.lower("DataType").alias("DataType"),
+    )
     name, dtype = F.col("ColumnName"), F.col("DataType")
+    if isinstance(rules, DataFrame):
+        value = first_keyword(name, dtype, F.col("_rules"))
+        lower = lower.withColumn("_rules", rules_value(rules))
+        hit = F.when(value.isNotNull(), F.struct(value["prio"].alias("prio"), value["keyword"].alias("keyword")))
+    else:
+        rules = default_rules() if rules is None else list(rules)
+        words = F.array(*[F.lit(r.keyword.lower()) for r in rules] or [F.lit("")])
+        lower = lower.withColumn("_prio", F.explode(F.array(rule_position(name, dtype, rules))))
+        prio = F.col("_prio")
+        hit = F.when(prio.isNotNull(), F.struct(prio.alias("prio"), F.get(words, prio).alias("keyword")))
     suffix = has_excluded_suffix(name)
-    position = F.when(suffix if excluded else ~suffix, rule_position(name, dtype, rules))
-    return (
-        columns.select(
-            "TableName",
-            "Ordinal",
-            F.lower("ColumnName").alias("ColumnName"),
-            F.lower("DataType").alias("DataType"),
-        )
-        .select("*", F.explode(F.array(position)).alias("prio"))
-        .filter(F.col("prio").isNotNull())
-    )
-
-
-def _keyword(rules: Sequence[Rule], prio: Column) -> Column:
-    return F.get(F.array(*[F.lit(r.keyword.lower()) for r in rules] or [F.lit("")]), prio)
+    hit = F.when(suffix if excluded else ~suffix, hit)
+    kept = ["TableName", "Ordinal", "ColumnName", "DataType"]
+    return lower.select(*kept, F.explode(F.array(hit)).alias("hit")).filter(F.col("hit").isNotNull())
 
 
-def classify_columns(columns: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+def classify_columns(columns: DataFrame, rules: Sequence[Rule] | DataFrame | None = None) -> DataFrame:
     """One row per column that a rule matches, with the first such rule's keyword.
 
-    Two columns of a table whose names differ only in case count as one: the
+    ``rules`` are a list of rules, which becomes part of the query, or a table
+    ``(prio, keyword, mode, string_only)`` of any length. Two columns of a table whose names differ only in case count as one: the
     better rule wins, then the earlier column. That step sees matches only,
     combines them before the shuffle, and is keyed by table and column, so a
     table that holds most of the inventory spreads over all tasks.
     """
-    rules = default_rules() if rules is None else list(rules)
     matched = _candidates(columns, rules, excluded=False)
     return (
         matched.groupBy("TableName", "ColumnName")
-        .agg(F.min(F.struct("prio", "Ordinal", "DataType")).alias("best"))
+        .agg(F.min(F.struct("hit", "Ordinal", "DataType")).alias("best"))
         .select(
             "TableName",
-            _keyword(rules, F.col("best.prio")).alias("PIICategory"),
+            F.col("best.hit.keyword").alias("PIICategory"),
             "ColumnName",
             F.col("best.DataType").alias("DataType"),
             F.lit(True).alias("EncryptFlag"),
@@ -58,12 +69,11 @@ def classify_columns(columns: DataFrame, rules: Sequence[Rule] | None = None) ->
     )
 
 
-def excluded_by_suffix(columns: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+def excluded_by_suffix(columns: DataFrame, rules: Sequence[Rule] | DataFrame | None = None) -> DataFrame:
     """Columns that a rule matches but whose name ending rules them out."""
-    rules = default_rules() if rules is None else list(rules)
     return _candidates(columns, rules, excluded=True).select(
         "TableName",
-        _keyword(rules, F.col("prio")).alias("PIICategory"),
+        F.col("hit.keyword").alias("PIICategory"),
         "ColumnName",
         "DataType",
     )

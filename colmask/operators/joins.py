@@ -4,22 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colmask.functions.names import quote_ident
-
-BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_OVERHEAD = 64
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the measured size of ``df`` stays under ``limit`` bytes."""
-    width = F.lit(_ROW_OVERHEAD)
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(quote_ident(name)).cast("string")), F.lit(0))
-    size = df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
-    return size <= limit
+from colmask.functions.names import free_name, quote_ident
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -33,29 +21,26 @@ def _any_null(keys: Sequence[str]) -> Column:
     return null
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> tuple[list[int], bool]:
-    """Hashes of keys that own at least ``share`` of the rows, and whether any key is NULL.
+def default_share(spark: SparkSession) -> float:
+    """Share of the rows from which a key is hot: what one shuffle partition holds of evenly spread rows."""
+    return min(0.01, 1 / int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], share: float) -> list[list[int]]:
+    """For each set of key columns, the hashes of keys that own at least ``share`` of the rows.
 
     One pass over the key columns with a bounded sketch per task; there are at
-    most 1/share such keys. The counts are estimates, which is enough: they
-    only decide which way a row takes through a join.
+    most 1/share such keys, and 10,000 at the very most. The counts are
+    estimates, which is enough: they only decide how a row is dealt out.
     """
-    k = max(1, int(1 / share))
-    null = _any_null(keys)
-    found = (
-        df.select(F.when(~null, _key_hash(keys)).alias("h"))
-        .agg(
-            F.expr(f"approx_top_k(h, {k}, {max(10_000, 8 * k)})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("h").isNull()).alias("n_null"),
-        )
-        .first()
-    )
-    least = share * found["n"]
-    hot = [
-        row["item"] for row in found["top"] or [] if row["item"] is not None and row["count"] >= least
+    k = max(1, min(10_000, int(1 / share)))
+    hashes = [F.when(~_any_null(keys), _key_hash(keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)]
+    tops = [F.expr(f"approx_top_k(h{i}, {k}, {max(10_000, 8 * k)})").alias(f"t{i}") for i in range(len(hashes))]
+    found = df.select(*hashes).agg(F.count(F.lit(1)).alias("n"), *tops).first()
+    return [
+        sorted(r["item"] for r in found[f"t{i}"] or [] if r["item"] is not None and r["count"] >= share * found["n"])
+        for i in range(len(hashes))
     ]
-    return sorted(hot), found["n_null"] > 0
 
 
 def skew_join(
@@ -63,34 +48,32 @@ def skew_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    share: float | None = None,
-    broadcast_limit: int = BROADCAST_BYTES,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Equi join of a large ``left`` with a ``right`` that has each key once.
 
-    A small ``right`` is broadcast. Otherwise rows with a hot or NULL key join
-    a broadcast of the hot keys' rows (at most 1/share of them) and never enter
-    the shuffle; all others take a shuffle join. Together they are the whole
-    join. A key is hot from ``share`` of the rows on, by default what one
-    shuffle partition would hold of evenly spread rows. ``left`` is read up to
-    three times, so it should be a table, not a long computation. ``how`` is
-    ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    One join, and ``left`` is read once by it: rows with a hot or NULL key get a salt from the
+    rest of the row, all others salt 0, and the ``right`` rows of the hot keys are
+    there once for each salt. ``hot`` are the hashes of hot keys; without it they are looked up
+    in one pass over the keys of ``left``. Spark broadcasts ``right`` if it turns out small.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type not supported: {how}")
     keys = list(keys)
-    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
-    shown = [F.col(quote_ident(c)) for c in left.columns + added]
-    if fits_broadcast(right, broadcast_limit):
-        return left.join(F.broadcast(right), keys, how).select(*shown)
-    if share is None:
-        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        share = min(0.01, 1 / partitions)
-    hot, nulls = hot_keys(left, keys, share)
-    if not hot and not nulls:
-        return left.join(right.hint("shuffle_merge"), keys, how).select(*shown)
-    is_hot = _key_hash(keys).isin(hot) if hot else F.lit(False)
-    aside = _any_null(keys) | is_hot
-    beside = left.filter(aside).join(F.broadcast(right.filter(is_hot)), keys, how)
-    shuffled = left.filter(~aside).join(right.filter(~is_hot).hint("shuffle_merge"), keys, how)
-    return beside.select(*shown).unionByName(shuffled.select(*shown))
+    spark = left.sparkSession
+    if hot is None:
+        (hot,) = hot_keys(left, [keys], default_share(spark))
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = free_name([*left.columns, *right.columns], "_salt")
+    is_hot = _key_hash(keys).isin(list(hot)) if hot else F.lit(False)
+    rest = F.pmod(F.xxhash64(*[F.col(quote_ident(c)) for c in left.columns]), F.lit(salts)).cast("int")
+    dealt = left.withColumn(salt, F.when(_any_null(keys) | is_hot, rest).otherwise(F.lit(0)))
+    if hot:
+        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        right = right.withColumn(salt, F.explode(copies))
+    else:
+        right = right.withColumn(salt, F.lit(0))
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in (*keys, salt)]
+    joined = dealt.join(right, [*keys, salt], how)
+    return joined.select(*[F.col(quote_ident(c)) for c in left.columns + added])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from colmask.functions.names import free_name
+from colmask.session import stored
+
 
 def key_digest(keys: Sequence[str]) -> Column:
     """MD5 of the key columns; spreads rows evenly whatever the keys look like."""
@@ -18,27 +22,34 @@ def number_rows(
     keys: Sequence[str],
     out: str,
     after: int | Column = 0,
-    digits: int = 3,
+    digits: int | None = None,
 ) -> DataFrame:
     """Number the rows ``after + 1, after + 2, ...`` in the order of their key digest.
 
     ``keys`` must identify a row. The number depends on the data alone, so a
-    task that runs again gives the same numbers. Rows are split by the first
-    ``digits`` hex digits of the digest: 16**digits buckets, whose counts are
-    the only thing summed up in one place and broadcast (4,096 rows by default;
-    take 4 digits for billions of rows).
+    task that runs again gives the same numbers. ``df`` is evaluated once, into
+    the shared work folder. Rows are split by the first ``digits`` hex digits of
+    the digest, by default enough for sixteen buckets a shuffle partition; the
+    buckets' counts are the only thing summed up in one place. The number of buckets
+    does not change the numbers.
     """
     after = F.lit(after) if isinstance(after, int) else after
-    rows = df.withColumn("_digest", key_digest(keys)).withColumn(
-        "_bucket", F.substring("_digest", 1, digits)
+    if digits is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        digits = max(3, math.ceil(math.log(16 * partitions, 16)))
+    taken = [*df.columns, out]
+    digest, bucket, rank, size, before = (
+        free_name(taken, n) for n in ("_digest", "_bucket", "_rank", "_size", "_before")
     )
-    sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    in_bucket = Window.partitionBy("_bucket").orderBy("_digest", *keys)
+    rows = df.withColumn(digest, key_digest(keys)).withColumn(bucket, F.substring(digest, 1, digits))
+    rows = stored(rows, "numbered")
+    sizes = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias(size))
+    earlier = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(bucket, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(before))
+    in_bucket = Window.partitionBy(bucket).orderBy(digest, *keys)
     return (
-        rows.withColumn("_rank", F.row_number().over(in_bucket))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(out, (after + F.col("_before") + F.col("_rank")).cast("bigint"))
-        .drop("_digest", "_bucket", "_rank", "_before")
+        rows.withColumn(rank, F.row_number().over(in_bucket))
+        .join(offsets, bucket)
+        .withColumn(out, (after + F.col(before) + F.col(rank)).cast("bigint"))
+        .drop(digest, bucket, rank, before)
     )

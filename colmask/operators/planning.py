@@ -83,6 +83,28 @@ def mask_plan(
     )
 
 
+def mark_due(plan: DataFrame, applied: DataFrame) -> DataFrame:
+    """``plan`` with ``due``: the column has no mask yet, or one of another strategy.
+
+    ``applied`` has (TableName, ColumnName, strategy); a null or absent strategy is a mask that no
+    run of ours made and counts as any. Names compare without case.
+    """
+    if "strategy" not in applied.columns:
+        applied = applied.withColumn("strategy", F.lit(None).cast("string"))
+    table, column = F.lower("TableName"), F.lower("ColumnName")
+    done = applied.select(table.alias("_table"), column.alias("_column"), F.col("strategy").alias("_strategy"))
+    done = done.groupBy("_table", "_column").agg(
+        F.max(F.col("_strategy").isNull()).alias("_any"), F.max("_strategy").alias("_strategy")
+    )
+    same = F.coalesce(F.col("_any"), F.lit(False)) | F.col("_strategy").eqNullSafe(F.col("strategy"))
+    return (
+        plan.withColumn("_table", table)
+        .withColumn("_column", column)
+        .join(done, ["_table", "_column"], "left")
+        .select(*plan.columns, (~same).alias("due"))
+    )
+
+
 def unsupported(plan: DataFrame) -> DataFrame:
     return plan.filter(F.col("status") == "unsupported").select(
         "TableName",
@@ -93,12 +115,17 @@ def unsupported(plan: DataFrame) -> DataFrame:
 
 
 def unsupported_messages(plan: DataFrame, names_per_line: int = 100) -> DataFrame:
-    """All unsupported columns as text, ``table.column`` joined by ``; ``.
+    """All unsupported columns as text, see ``name_lines``."""
+    return name_lines(unsupported(plan), names_per_line)
+
+
+def name_lines(columns: DataFrame, names_per_line: int = 100) -> DataFrame:
+    """Columns as text, ``table.column`` joined by ``; ``.
 
     Lines of at most ``names_per_line`` names, however many columns there are
     and however many of them one table has.
     """
-    columns = unsupported(plan).select("TableName", "ColumnName").distinct()
+    columns = columns.select("TableName", "ColumnName").distinct()
     numbered = number_rows(columns, ["TableName", "ColumnName"], "_n")
     line = F.floor((F.col("_n") - 1) / names_per_line).cast("bigint")
     name = F.concat_ws(".", "TableName", "ColumnName")

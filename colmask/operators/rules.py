@@ -25,8 +25,6 @@ EDGE_KEYWORDS = ("fax", "city", "state")
 STRING_KEYWORDS = ("mail",)
 EXCLUDED_SUFFIXES = ("id", "flag", "yn")
 
-MAX_RULES = 10_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -57,15 +55,26 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def load_rules(rules: DataFrame) -> list[Rule]:
-    """Rules from a table ``(prio, keyword, mode, string_only)`` a steward edits.
+def rules_value(rules: DataFrame) -> Column:
+    """A table ``(prio, keyword, mode, string_only)`` a steward edits, as one value.
 
-    Rules are settings and become part of the query, so the table must be small.
+    It is looked up when the query runs: an array of structs by priority. However many rules there are, the
+    expression stays the same.
     """
-    rows = rules.orderBy("prio", "keyword").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules; is this the rules table?")
-    return [Rule(r["keyword"], r["mode"], r["string_only"]) for r in rows]
+    row = F.struct("prio", F.lower("keyword").alias("keyword"), "mode", "string_only")
+    return rules.agg(F.sort_array(F.collect_list(row)).alias("rules")).scalar()
+
+
+def first_keyword(name: Column, dtype: Column, rules: Column) -> Column:
+    """Priority and keyword of the first rule of ``rules_value`` that matches a lowercase name, null if none does."""
+
+    def found(rule: Column) -> Column:
+        word = rule["keyword"]
+        edge = name.startswith(word) | name.endswith(word)
+        hit = F.when(rule["mode"] == "edge", edge).otherwise(name.contains(word))
+        return hit & (~rule["string_only"] | (dtype == "string"))
+
+    return F.get(F.filter(rules, found), F.lit(0))
 
 
 def has_excluded_suffix(name: Column, suffixes: Sequence[str] = EXCLUDED_SUFFIXES) -> Column:

@@ -2,52 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colmask.functions.names import quote_ident
-from colmask.operators.joins import BROADCAST_BYTES, skew_join
+from colmask.functions.names import find_column, free_name, quote_ident
+from colmask.operators.joins import default_share, hot_keys, skew_join
 from colmask.operators.numbering import number_rows
 
 
-def new_tokens(vault: DataFrame, df: DataFrame, column: str) -> DataFrame:
-    """Tokens for the values of ``df[column]`` that ``vault`` (value, token) does not have.
+def new_tokens(vault: DataFrame, df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """Tokens for the values of the columns that ``vault`` (value, token) does not have.
 
-    Values are made distinct before they are shuffled to the vault, so a
-    frequent value costs one row per task.
+    One pass over ``df`` whatever the number of columns. Values are made
+    distinct before they are shuffled to the vault, so a frequent value costs
+    one row per task.
     """
-    values = df.select(F.col(quote_ident(column)).cast("string").alias("value")).filter("value IS NOT NULL")
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    texts = [F.col(quote_ident(find_column(df, c))).cast("string") for c in columns]
+    values = df.select(F.explode(F.array(*texts)).alias("value")).filter("value IS NOT NULL")
     fresh = values.distinct().join(vault, "value", "left_anti")
     after = F.coalesce(vault.agg(F.max("token")).scalar(), F.lit(0))
     return number_rows(fresh, ["value"], "token", after=after)
 
 
-def extend_vault(vault: DataFrame, df: DataFrame, column: str) -> DataFrame:
-    """``vault`` plus a token for every new value of a column; old values keep theirs."""
-    return vault.unionByName(new_tokens(vault, df, column))
+def extend_vault(vault: DataFrame, df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """``vault`` plus a token for every new value of the columns; old values keep theirs."""
+    return vault.unionByName(new_tokens(vault, df, columns))
+
 
+def tokenize(df: DataFrame, columns: str | Sequence[str], vault: DataFrame) -> DataFrame:
+    """``df`` with the columns replaced by ``tok_<n>``; NULL stays NULL.
 
-def tokenize(
-    df: DataFrame, column: str, vault: DataFrame, broadcast_limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """``df`` with ``column`` replaced by ``tok_<n>``; NULL stays NULL.
+    Names compare without case; a column that is not there is an error. Every
+    value must be in the vault; use ``extend_vault`` first. A value without a
+    token comes out as NULL, never as itself.
 
-    Every value must be in the vault; use ``extend_vault`` first. A value
-    without a token comes out as NULL, never as itself.
+    One join per column. Frequent values of all columns are found in one pass before, and their rows are spread.
+    That pass is left out on a stream, whose batches are small next to a table.
     """
-    tokens = vault.select(
-        F.col("value").alias("_value"), F.concat(F.lit("tok_"), F.col("token")).alias("_token")
-    )
-    joined = skew_join(
-        df.withColumn("_value", F.col(quote_ident(column)).cast("string")),
-        tokens,
-        ["_value"],
-        "left",
-        broadcast_limit=broadcast_limit,
-    )
-    return joined.select(
-        *[
-            F.col("_token").alias(c) if c == column else F.col(quote_ident(c))
-            for c in df.columns
-        ]
-    )
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    names = [find_column(df, c) for c in columns]
+    value, token = free_name(df.columns, "_value"), free_name(df.columns, "_token")
+    tokens = vault.select(F.col("value").alias(value), F.concat(F.lit("tok_"), F.col("token")).alias(token))
+    hot: list[list[int]] = [[] for _ in names]
+    if not df.isStreaming:
+        keys = [f"k{i}" for i in range(len(names))]
+        texts = [F.col(quote_ident(c)).cast("string").alias(k) for c, k in zip(names, keys)]
+        hot = hot_keys(df.select(*texts), [[k] for k in keys], default_share(df.sparkSession))
+    shown = df.columns
+    for name, frequent in zip(names, hot):
+        joined = skew_join(
+            df.withColumn(value, F.col(quote_ident(name)).cast("string")), tokens, [value], "left", hot=frequent
+        )
+        df = joined.select(*[F.col(token).alias(c) if c == name else F.col(quote_ident(c)) for c in shown])
+    return df

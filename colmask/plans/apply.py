@@ -4,17 +4,30 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from colmask import schemas
+from colmask.functions.names import quote_table
 from colmask.functions.redact import MASK_FUNCTIONS
+from colmask.functions.sql import ACCESS_GROUP
+from colmask.operators.audit import log_from_columns, run_summary
 from colmask.operators.control import flagged_tables
 from colmask.operators.joins import skew_join
-from colmask.operators.planning import mask_plan, masked_columns_from_ddl, pending_columns
-from colmask.plans.mask import applied_columns, mask_all
-from colmask.session import work_folder
+from colmask.operators.planning import mark_due, mask_plan, masked_columns_from_ddl
+from colmask.plans.mask import (
+    RunLog,
+    sort_out,
+    applied_columns,
+    by_table,
+    create_masked_view,
+    mask_all,
+    raise_failures,
+)
+from colmask.session import stored, work_folder
 from colmask.sources.ddl import write_definitions
 from colmask.sources.versions import ControlTable
 
@@ -36,13 +49,36 @@ def remaining_plan(
     functions: Mapping[str, str] = MASK_FUNCTIONS,
     strategies: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Mask plan for the tables with a pending column.
+    """Mask plan, with ``due``, for the tables with a due column.
 
     It lists all flagged columns of such a table: its copy is written anew and
     must not lose the masks it had.
     """
-    tables = pending_columns(flagged, applied).select("TableName").distinct()
-    return mask_plan(skew_join(flagged, tables, ["TableName"], "left_semi"), functions, strategies)
+    plan = stored(mark_due(mask_plan(flagged, functions, strategies), applied), "plan")
+    tables = plan.filter("due").select("TableName").distinct()
+    return skew_join(plan, tables, ["TableName"], "left_semi")
+
+
+@dataclass(frozen=True)
+class ApplyRun:
+    """What a run did: ``log`` has a row per column, ``inspection`` one per flagged table."""
+
+    log: DataFrame
+    inspection: DataFrame
+
+    def summary(self) -> DataFrame:
+        """Totals over tables, those that could not be inspected among them."""
+        skipped = self.inspection.filter(F.col("status") != "success")
+        return run_summary(log_from_columns(self.log).unionByName(skipped))
+
+
+def _inspect(spark: SparkSession, control: ControlTable) -> tuple[DataFrame, DataFrame]:
+    """Definitions of the flagged tables, and the log of reading them; prunes tables that are gone."""
+    names = (r["TableName"] for r in flagged_tables(control.read()).toLocalIterator())
+    ddl, log, gone = write_definitions(spark, names, work_folder(spark, "definitions"))
+    if not gone.isEmpty():
+        control.prune(gone)
+    return ddl, log
 
 
 def apply_control(
@@ -52,20 +88,68 @@ def apply_control(
     log_root: str,
     strategies: Mapping[str, str] | None = None,
     functions: Mapping[str, str] = MASK_FUNCTIONS,
+    refresh: bool = False,
     **options,
-) -> DataFrame:
-    """Write masked copies of all catalog tables that need one; returns the run's log.
+) -> ApplyRun:
+    """Write masked copies of all catalog tables that need one.
 
     Tables that are gone are pruned from the control table first. Columns
-    whose definition shows a mask and columns masked by an earlier run under
-    ``log_root`` count as done, so a repeated run has nothing to do. Further
+    whose definition shows a mask, and columns masked with the same strategy by an earlier run under
+    ``log_root``, count as done, so a repeated run writes nothing, and a changed strategy writes
+    the table anew. A copy holds the rows the source had when it was written: pass ``refresh`` to write
+    all copies anew after the sources have grown, or use ``apply_views``, which follow the table. Further
     options are those of ``mask_all``.
     """
-    names = (r["TableName"] for r in flagged_tables(control.read()).toLocalIterator())
-    ddl, _, gone = write_definitions(spark, names, work_folder(spark, "definitions"))
-    if not gone.isEmpty():
-        control.prune(gone)
-    applied = masked_columns_from_ddl(ddl).unionByName(applied_so_far(spark, log_root))
+    ddl, inspection = _inspect(spark, control)
+    applied = masked_columns_from_ddl(ddl).withColumn("strategy", F.lit(None).cast("string"))
+    if not refresh:
+        applied = applied.unionByName(applied_so_far(spark, log_root))
     plan = remaining_plan(control.flagged(), applied, functions, strategies)
     log_path = f"{log_root}/run={uuid.uuid4().hex}"
-    return mask_all(spark, plan, spark.table, write, log_path, functions=functions, **options)
+
+    def read(name: str) -> DataFrame:
+        return spark.table(quote_table(name))
+
+    return ApplyRun(mask_all(spark, plan, read, write, log_path, functions=functions, **options), inspection)
+
+
+def apply_views(
+    spark: SparkSession,
+    control: ControlTable,
+    view: Callable[[str], str],
+    grants_table: str,
+    log_root: str,
+    strategies: Mapping[str, str] | None = None,
+    functions: Mapping[str, str] = MASK_FUNCTIONS,
+    group: str = ACCESS_GROUP,
+    key: str | None = None,
+    temporary: bool = False,
+    strict: bool = True,
+    keep_unsupported: bool = False,
+) -> ApplyRun:
+    """Create or replace a masked view for every table with flagged columns.
+
+    ``view`` names the view of a table. What a view shows depends on who reads it and follows the table's rows, so views
+    have to be made again only when flags, strategies or columns change. Hashes need
+    ``key``, see ``create_masked_view``. Columns of unsupported types are
+    left out unless ``keep_unsupported``. Failures are logged and, with ``strict``,
+    raised at the end, as in ``mask_all``; a table whose columns are all unsupported or gone gets no view.
+    """
+    _, inspection = _inspect(spark, control)
+    log_path = f"{log_root}/views={uuid.uuid4().hex}"
+    log = RunLog(spark, log_path)
+    for table, entries in by_table(mask_plan(control.flagged(), functions, strategies)):
+        try:
+            columns, rows, unmasked = sort_out(spark.table(quote_table(table)), entries, functions)
+            if columns:
+                create_masked_view(
+                    spark, view(table), table, columns, grants_table, group, temporary, functions, key,
+                    () if keep_unsupported else unmasked,
+                )
+        except Exception as error:
+            rows = [(e["ColumnName"], "failed", str(error), e["strategy"]) for e in entries]
+        log.add(table, rows)
+    frame = log.read()
+    if strict:
+        raise_failures(frame, log_path)
+    return ApplyRun(frame, inspection)

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from colmask.functions.names import quote_table
 from colmask.operators.discover import classify_columns
 from colmask.operators.rules import Rule
 from colmask.session import work_folder
@@ -27,7 +28,7 @@ def discover_table(
     keep_flag: bool = True,
 ) -> DataFrame:
     """Scan one catalog table into the control table; returns its matches."""
-    return discover_frames(spark, {name: spark.table(name)}, control, rules, keep_flag)
+    return discover_frames(spark, {name: spark.table(quote_table(name))}, control, rules, keep_flag)
 
 
 def discover_frames(

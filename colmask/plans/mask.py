@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from datetime import datetime, timezone
 from itertools import groupby
+from threading import Lock
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from colmask import schemas
-from colmask.functions.names import base_type, quote_ident, quote_table
+from colmask.functions.names import base_type, free_name, quote_ident, quote_table
 from colmask.functions.redact import (
     MASK_FUNCTIONS,
     UnsupportedTypeError,
     shown_sql,
 )
 from colmask.functions.sql import ACCESS_GROUP, granted_sql
+from colmask.operators.planning import name_lines
 from colmask.operators.tokens import tokenize
 from colmask.sources.versions import Vault
 
-MESSAGE_NAMES = 10_000
-
 
 def mask_table(
     df: DataFrame,
@@ -49,17 +51,19 @@ def mask_table(
     if tokens and (vault is None or authorized is not False):
         raise ValueError("the token strategy needs a vault and makes copies only")
     types = df.dtypes
-    for name in tokens:
-        df = tokenize(df, name, vault)
+    if tokens:
+        df = tokenize(df, tokens, vault)
 
     # Lookups become columns of their own, so they are made once for all masks.
     lookups = []
     if isinstance(authorized, Column):
-        lookups.append(authorized.alias("_authorized"))
-        authorized = "_authorized"
+        name = free_name(df.columns, "_authorized")
+        lookups.append(authorized.alias(name))
+        authorized = quote_ident(name)
     if key is not None:
-        lookups.append((F.lit(key) if isinstance(key, str) else key).alias("_key"))
-        key = "_key"
+        name = free_name(df.columns, "_key")
+        lookups.append((F.lit(key) if isinstance(key, str) else key).alias(name))
+        key = quote_ident(name)
     if lookups:
         df = df.select("*", *lookups)
 
@@ -119,34 +123,90 @@ def create_masked_view(
     group: str = ACCESS_GROUP,
     temporary: bool = True,
     functions: Mapping[str, str] = MASK_FUNCTIONS,
+    key: str | None = None,
+    left_out: Iterable[str] = (),
 ) -> str:
     """A view over ``table`` that masks by who reads it; returns its SQL.
 
     The reader is looked up in ``grants_table`` (principal, grp) once per
-    query, so the view follows the grants. It is no barrier for someone who
+    query, so the view follows the grants and the table's rows. ``key`` is the SQL of a scalar subquery
+    with the key of hashes, e.g. ``(SELECT key FROM gov.keys)``. Columns ``left_out`` are not in the
+    view. Tokens need a copy. A view is no barrier for someone who
     can read the files; give those readers a masked copy instead.
     """
     wanted = _by_lower_name(columns)
     source = spark.table(quote_table(table))
     _check_columns(source, wanted, functions)
+    hidden = {c.lower() for c in left_out}
+    granted, secret = free_name(source.columns, "_authorized"), free_name(source.columns, "_key")
     selected = []
     for name, dtype in source.dtypes:
         ident = quote_ident(name)
+        if name.lower() in hidden:
+            continue
         if name.lower() in wanted:
             strategy = wanted[name.lower()]
-            shown = shown_sql(ident, dtype, "_authorized", strategy, functions=functions)
+            shown = shown_sql(
+                ident, dtype, quote_ident(granted), strategy, None if key is None else quote_ident(secret), functions
+            )
             selected.append(f"{shown} AS {ident}")
         else:
             selected.append(ident)
+    looked_up = f"{granted_sql(grants_table, group)} AS {quote_ident(granted)}"
+    if key is not None:
+        looked_up += f", {key} AS {quote_ident(secret)}"
     sql = (
         f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}VIEW {quote_table(view)} AS "
-        f"SELECT {', '.join(selected)} FROM (SELECT *, {granted_sql(grants_table, group)} "
-        f"AS _authorized FROM {quote_table(table)})"
+        f"SELECT {', '.join(selected)} FROM (SELECT *, {looked_up} FROM {quote_table(table)})"
     )
     spark.sql(sql)
     return sql
 
 
+class MaskRunError(ValueError):
+    """Columns of a run failed; ``log`` is its log and ``messages`` the folder that lists them all."""
+
+    def __init__(self, text: str, log: DataFrame, messages: str):
+        super().__init__(text)
+        self.log = log
+        self.messages = messages
+
+
+def by_table(plan: DataFrame) -> Iterator[tuple[str, list[Row]]]:
+    """The plan's entries table by table, without holding the plan."""
+    if "due" not in plan.columns:
+        plan = plan.withColumn("due", F.lit(True))
+    ordered = plan.orderBy("TableName", "ColumnName").toLocalIterator()
+    for table, entries in groupby(ordered, key=lambda r: r["TableName"]):
+        yield table, list(entries)
+
+
+class RunLog:
+    """The log of a run: a new table that grows every ``batch`` tables."""
+
+    def __init__(self, spark: SparkSession, path: str, batch: int = 100):
+        self.spark, self.path, self.batch = spark, path, batch
+        self.at = datetime.now(timezone.utc)
+        self.rows: list[tuple] = []
+        self.tables = 0
+        spark.createDataFrame([], schemas.MASK_LOG).write.parquet(path)
+
+    def add(self, table: str, entries: Iterable[tuple]) -> None:
+        self.rows += [(table, *entry, self.at) for entry in entries]
+        self.tables += 1
+        if self.tables % self.batch == 0:
+            self._save()
+
+    def _save(self) -> None:
+        if self.rows:
+            self.spark.createDataFrame(self.rows, schemas.MASK_LOG).write.mode("append").parquet(self.path)
+            self.rows.clear()
+
+    def read(self) -> DataFrame:
+        self._save()
+        return self.spark.read.schema(schemas.MASK_LOG).parquet(self.path)
+
+
 def mask_all(
     spark: SparkSession,
     plan: DataFrame,
@@ -159,97 +219,112 @@ def mask_all(
     functions: Mapping[str, str] = MASK_FUNCTIONS,
     vault: Vault | None = None,
     batch: int = 100,
+    writers: int = 4,
 ) -> DataFrame:
     """Write masked copies of the tables of a plan; returns the log, one row per column.
 
     The plan must list all flagged columns of a table, as its write replaces
-    an earlier copy. Each table is one write on the executors. The driver
+    an earlier copy. A table is written if a column that can be masked is due (see ``mark_due``;
+    without that column in the plan all are): a column of an unsupported type,
+    or one that is gone, is reported each time but writes nothing. Each table is one write on
+    the executors, and ``writers`` tables are written at a time, so that small
+    tables do not leave the cluster idle. The driver
     walks through the plan table by table; the log is a new table at ``log_path`` that grows
     every ``batch`` tables. What fails is logged and stops
-    nothing; with ``strict`` a ``ValueError`` names the failed columns once
+    nothing; with ``strict`` a ``MaskRunError`` is raised once
     all others are done. Columns of unsupported types are left out of the
     copies unless ``keep_unsupported`` lets them through as they are.
     """
-    spark.createDataFrame([], schemas.MASK_LOG).write.parquet(log_path)
-    rows: list[tuple] = []
-
-    def save():
-        spark.createDataFrame(rows, schemas.MASK_LOG).write.mode("append").parquet(log_path)
-        rows.clear()
+    log = RunLog(spark, log_path, batch)
+    one_at_a_time = Lock()
 
-    ordered = plan.orderBy("TableName", "ColumnName").toLocalIterator()
-    for n, (table, entries) in enumerate(groupby(ordered, key=lambda r: r["TableName"]), 1):
-        entries = list(entries)
+    def run(table: str, entries: list[Row]) -> list[tuple]:
         try:
-            masked, log = _masked_copy(read(table), entries, keep_unsupported, key, functions, vault)
-            if any(status == "success" for _, status, _ in log):
+            df = read(table)
+            columns, entries_log, unmasked = sort_out(df, entries, functions)
+            if any(e["due"] for e in entries if e["ColumnName"] in columns):
+                masked = _masked_copy(df, columns, () if keep_unsupported else unmasked, key, functions, vault, one_at_a_time)
                 write(table, masked)
+                return entries_log
+            due = {e["ColumnName"] for e in entries if e["due"]}
+            return [e for e in entries_log if e[0] in due]
         except Exception as error:
-            log = [(e["ColumnName"], "failed", str(error)) for e in entries]
-        rows += [(table, *entry) for entry in log]
-        if n % batch == 0:
-            save()
-    if rows:
-        save()
-    log = spark.read.schema(schemas.MASK_LOG).parquet(log_path)
+            return [(e["ColumnName"], "failed", str(error), e["strategy"]) for e in entries]
+
+    with ThreadPoolExecutor(writers) as pool:
+        running: dict[Future, str] = {}
+        for table, entries in by_table(plan):
+            running[pool.submit(run, table, entries)] = table
+            while len(running) > writers:
+                for done in wait(running, return_when=FIRST_COMPLETED).done:
+                    log.add(running.pop(done), done.result())
+        for done in list(running):
+            log.add(running.pop(done), done.result())
+    frame = log.read()
     if strict:
-        raise_failures(log, log_path)
-    return log
+        raise_failures(frame, log_path)
+    return frame
 
 
-def _masked_copy(df, entries, keep_unsupported, key, functions, vault):
-    """One table masked by its plan entries, and (column, status, error) of each."""
+def sort_out(df: DataFrame, entries: list[Row], functions: Mapping[str, str]):
+    """Strategy by column that can be masked, (column, status, error, strategy) of each entry, and the unsupported columns."""
     types = {name.lower(): base_type(dtype) for name, dtype in df.dtypes}
     columns, unmasked, log = {}, set(), []
     for entry in entries:
-        name = entry["ColumnName"]
+        name, strategy = entry["ColumnName"], entry["strategy"]
         dtype = types.get(name.lower())
         if dtype is None:
-            log.append((name, "failed", "no such column"))
+            log.append((name, "failed", "no such column", strategy))
         elif entry["status"] == "unsupported" or dtype not in functions:
             shown = entry["DataType"] if entry["status"] == "unsupported" else dtype
             unmasked.add(name.lower())
-            log.append((name, "failed", f"Unsupported data type: {shown}"))
+            log.append((name, "failed", f"Unsupported data type: {shown}", strategy))
         else:
-            columns[name] = entry["strategy"]
-            log.append((name, "success", None))
-    if not keep_unsupported:
-        df = df.select(*[quote_ident(c) for c in df.columns if c.lower() not in unmasked])
-    for name in [name for name, strategy in columns.items() if strategy == "token"]:
+            columns[name] = strategy
+            log.append((name, "success", None, strategy))
+    return columns, log, unmasked
+
+
+def _masked_copy(df, columns, left_out, key, functions, vault, one_at_a_time):
+    df = df.select(*[quote_ident(c) for c in df.columns if c.lower() not in left_out])
+    tokens = None
+    named = [name for name, strategy in columns.items() if strategy == "token"]
+    if named:
         if vault is None:
             raise ValueError("the token strategy needs a vault")
-        vault.add(df, name)
-    tokens = None if vault is None else vault.read()
-    return mask_table(df, columns, key=key, functions=functions, vault=tokens), log
+        with one_at_a_time:
+            vault.add(df, named)
+            tokens = vault.read()
+    return mask_table(df, columns, key=key, functions=functions, vault=tokens)
 
 
 def raise_failures(log: DataFrame, log_path: str) -> None:
-    """Raise a ``ValueError`` that names the failed columns, if there are any.
+    """Raise a ``MaskRunError`` if columns failed, however many there are.
 
-    Beyond ``MESSAGE_NAMES`` columns the text says where the whole list is.
+    Its text has their numbers and names a folder beside the log that lists
+    all of them, in lines of bounded length (``kind, line, n_columns, message``).
     """
     failed = log.filter(F.col("status") == "failed")
     kind = F.col("error").startswith("Unsupported data type")
     counts = failed.agg(F.count(F.lit(1)).alias("all"), F.count_if(kind).alias("types")).first()
     if counts["all"] == 0:
         return
-    if counts["all"] > MESSAGE_NAMES:
-        raise ValueError(
-            f"{counts['types']} column(s) of unsupported type and "
-            f"{counts['all'] - counts['types']} other failure(s); all are listed in {log_path}"
-        )
-    named = failed.select(F.concat_ws(".", "TableName", "ColumnName").alias("n"), kind.alias("t"))
-    names = named.orderBy("n").collect()
-    parts = []
-    if counts["types"]:
-        listed = "; ".join(r["n"] for r in names if r["t"])
-        parts.append(f"Unsupported data type(s) encountered for: {listed}")
-    if counts["types"] < counts["all"]:
-        parts.append("Failed for other reasons: " + "; ".join(r["n"] for r in names if not r["t"]))
-    raise ValueError(". ".join(parts))
+    folder, _, name = log_path.rstrip("/").rpartition("/")
+    messages = f"{folder}/messages-{name}"
+    lists = [
+        name_lines(failed.filter(of_kind)).select(F.lit(text).alias("kind"), "*")
+        for text, of_kind in (("Unsupported data type(s) encountered for", kind), ("Failed for other reasons", ~kind))
+    ]
+    lists[0].unionByName(lists[1]).write.mode("overwrite").parquet(messages)
+    raise MaskRunError(
+        f"{counts['types']} column(s) of unsupported type and {counts['all'] - counts['types']} other failure(s); "
+        f"all are listed in {messages}",
+        log,
+        messages,
+    )
 
 
 def applied_columns(mask_log: DataFrame) -> DataFrame:
-    """Columns a log shows as masked, in the form ``pending_columns`` takes."""
+    """Columns that logs show as masked, with the strategy of the latest run."""
     done = mask_log.filter(F.col("status") == "success")
-    return done.select("TableName", "ColumnName").dropDuplicates()
+    return done.groupBy("TableName", "ColumnName").agg(F.max_by("strategy", "at").alias("strategy"))

@@ -10,6 +10,8 @@ TABLES = "catalog string, schema string, tableName string, isTemporary boolean"
 DDL = "TableName string, ddl string"
 APPLIED = "TableName string, ColumnName string"
 GRANTS = "principal string, grp string"
-MASK_LOG = "TableName string, ColumnName string, status string, error string"
+MASK_LOG = (
+    "TableName string, ColumnName string, status string, error string, strategy string, at timestamp"
+)
 RUN_LOG = "unit string, status string, n_columns bigint, error string"
 VAULT = "value string, token bigint"

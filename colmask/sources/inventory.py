@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from colmask import schemas
 from colmask.functions.names import qualified_name, quote_ident, quote_table
 
-# Namespaces that are never scanned. Catalogs whose name starts
-# with the prefix belong to the platform.
-INTERNAL_PREFIX = "__"
+# Namespaces that are never scanned, by their exact names. A
+# deployment adds its platform's internal catalogs.
 EXCLUDED_CATALOGS = ("system", "samples", "hive_metastore")
 EXCLUDED_SCHEMAS = ("default", "information_schema", "test")
 
@@ -84,11 +83,10 @@ def stored_tables(spark: SparkSession, namespaces: DataFrame) -> Iterator[str |
     """
     for row in namespaces.toLocalIterator():
         try:
-            names = table_names(list_tables(spark, row["catalog"], row["schema"])).collect()
+            names = table_names(list_tables(spark, row["catalog"], row["schema"])).toLocalIterator()
+            yield from (name["TableName"] for name in names)
         except Exception as error:
             yield f"{row['catalog']}.{row['schema']}", str(error)
-        else:
-            yield from (name["TableName"] for name in names)
 
 
 def list_namespaces(spark: SparkSession) -> DataFrame:
@@ -115,11 +113,8 @@ def exclude_namespaces(
     catalogs: Sequence[str] = EXCLUDED_CATALOGS,
     schemas: Sequence[str] = EXCLUDED_SCHEMAS,
 ) -> DataFrame:
-    """``listing`` without internal catalogs and the given catalogs and schemas."""
-    catalog, schema = F.col("catalog"), F.col("schema")
-    return listing.filter(
-        ~catalog.startswith(INTERNAL_PREFIX) & ~catalog.isin(*catalogs) & ~schema.isin(*schemas)
-    )
+    """``listing`` without the given catalogs and schemas, by exact name."""
+    return listing.filter(~F.col("catalog").isin(*catalogs) & ~F.col("schema").isin(*schemas))
 
 
 def table_names(tables: DataFrame) -> DataFrame:

@@ -1,15 +1,19 @@
 """Tables that are replaced as a whole, version by version.
 
 Parquet has no MERGE, DELETE or identity column, so a change writes the whole
-(small) table to a new folder and then commits its number. Readers see the
+(small) table to a new folder and then commits that folder under the next number. Readers see the
 last committed version; a run that dies in between leaves the old one valid.
-One writer at a time.
+One writer at a time: of two that take the same number the later one fails and
+its rows are in no version.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,21 +29,34 @@ from colmask.operators.tokens import new_tokens
 from colmask.session import stored
 
 
+_COMMIT = "folder string, high bigint, version bigint"
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
 
-    def version(self) -> int | None:
-        """Number of the committed version, None before the first one."""
+    def _commits(self) -> DataFrame:
+        """One row per version: its folder, and the highest number given out so far."""
         try:
-            commits = self.spark.read.schema("version bigint").parquet(f"{self.path}/commits")
+            return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-        return commits.agg(F.max("version")).first()[0]
+            return self.spark.createDataFrame([], _COMMIT)
+
+    def _commit(self, version: int | None = None) -> Row | None:
+        commits = self._commits()
+        if version is not None:
+            commits = commits.filter(F.col("version") == version)
+        return commits.orderBy(F.desc("version")).first()
+
+    def version(self) -> int | None:
+        """Number of the committed version, None before the first one."""
+        last = self._commit()
+        return None if last is None else last["version"]
 
     def create(self) -> None:
         """Make an empty table unless there is one."""
@@ -47,20 +64,25 @@ class VersionedTable:
             self.write(self.spark.createDataFrame([], self.schema))
 
     def read(self, version: int | None = None) -> DataFrame:
-        version = self.version() if version is None else version
-        if version is None:
+        commit = self._commit(version)
+        if commit is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/version={version}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/{commit['folder']}")
 
     def write(self, df: DataFrame) -> int:
-        last = self.version()
-        version = 0 if last is None else last + 1
+        last = self._commit()
+        version = 0 if last is None else last["version"] + 1
+        folder = f"{version}-{uuid.uuid4().hex}"
         names = StructType.fromDDL(self.schema).names
-        df.select(*names).write.mode("overwrite").parquet(f"{self.path}/rows/version={version}")
-        commit = self.spark.createDataFrame([(version,)], "version bigint").coalesce(1)
-        commit.write.mode("append").parquet(f"{self.path}/commits")
+        df.select(*names).write.parquet(f"{self.path}/rows/{folder}")
+        high = max(self._highest(folder), 0 if last is None else last["high"])
+        commit = self.spark.createDataFrame([(folder, high)], "folder string, high bigint").coalesce(1)
+        commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
         return version
 
+    def _highest(self, folder: str) -> int:
+        return 0
+
 
 class ControlTable(VersionedTable):
     """The control table in a folder."""
@@ -80,14 +102,21 @@ class ControlTable(VersionedTable):
         twice = duplicate_keys(matches).first()
         if twice is not None:
             raise ValueError(f"listed twice: {twice['TableName']}.{twice['ColumnName']}")
-        return self.write(upsert_control(self.read(), matches, keep_flag))
+        last = self._commit()
+        return self.write(upsert_control(self.read(), matches, keep_flag, 0 if last is None else last["high"]))
+
+    def _highest(self, folder: str) -> int:
+        """The largest Id: kept with the commit, so that the Ids of pruned rows are not given out again."""
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/{folder}")
+        return rows.agg(F.coalesce(F.max("Id"), F.lit(0))).first()[0]
 
     def prune(self, dead_tables: DataFrame) -> int:
         return self.write(prune_control(self.read(), dead_tables))
 
     def replace(self, rows: DataFrame) -> int:
-        """Start over with ``rows``, numbered from 1."""
-        return self.write(assign_ids(rows.drop("Id")))
+        """Start over with ``rows``, numbered on from the highest Id there was."""
+        last = self._commit()
+        return self.write(assign_ids(rows.drop("Id"), after=0 if last is None else last["high"]))
 
 
 class Vault(VersionedTable):
@@ -100,12 +129,14 @@ class Vault(VersionedTable):
         super().__init__(spark, path, schemas.VAULT)
 
     def read(self, version: int | None = None) -> DataFrame:
-        version = self.version() if version is None else version
-        if version is None:
+        commits = self._commits()
+        if version is not None:
+            commits = commits.filter(F.col("version") <= version)
+        folders = [f"{self.path}/rows/{r['folder']}" for r in commits.select("folder").toLocalIterator()]
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        rows = self.spark.read.schema(f"{self.schema}, version bigint").parquet(f"{self.path}/rows")
-        return rows.filter(F.col("version") <= version).drop("version")
+        return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def add(self, df: DataFrame, column: str) -> int:
-        """Give every new value of a column a token."""
-        return self.write(new_tokens(self.read(), df, column))
+    def add(self, df: DataFrame, columns: str | Sequence[str]) -> int:
+        """Give every new value of the columns a token."""
+        return self.write(new_tokens(self.read(), df, columns))

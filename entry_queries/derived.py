@@ -204,7 +204,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table listing with one entry per order, six catalogs and three schemas."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select(
-        F.when((priority == "1-URGENT") & (F.col("o_totalprice") > 400000), "__internal")
+        F.when((priority == "1-URGENT") & (F.col("o_totalprice") > 400000), "__clinical")
         .when(priority == "1-URGENT", "main")
         .when(priority == "2-HIGH", "system")
         .when(priority == "3-MEDIUM", "samples")
@@ -219,7 +219,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LISTING = """listing AS (
   SELECT CASE o_orderpriority WHEN '1-URGENT' THEN
-      CASE WHEN o_totalprice > 400000 THEN '__internal' ELSE 'main' END WHEN '2-HIGH' THEN 'system'
+      CASE WHEN o_totalprice > 400000 THEN '__clinical' ELSE 'main' END WHEN '2-HIGH' THEN 'system'
       WHEN '3-MEDIUM' THEN 'samples' WHEN '4-NOT SPECIFIED' THEN 'hive_metastore'
       ELSE 'dev' END AS catalog,
     CASE o_orderstatus WHEN 'F' THEN 'clinic' WHEN 'O' THEN 'default' ELSE 'test' END AS schema,

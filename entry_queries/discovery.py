@@ -116,10 +116,6 @@ def inventory_tables(spark, sf_dir):
     return table_names(d.listing(spark, sf_dir))
 
 
-def inventory_namespaces(spark, sf_dir):
-    return d.listing(spark, sf_dir).select("catalog", "schema").distinct()
-
-
 def inventory_excluded(spark, sf_dir):
     return table_names(exclude_namespaces(d.listing(spark, sf_dir)))
 
@@ -132,7 +128,6 @@ def inventory_catalogs(spark, sf_dir):
 QUERIES = {
     "inventory_columns": inventory_columns,
     "inventory_tables": inventory_tables,
-    "inventory_namespaces": inventory_namespaces,
     "inventory_excluded": inventory_excluded,
     "inventory_catalogs": inventory_catalogs,
     "classify_columns": classify_columns_query,
@@ -142,14 +137,13 @@ QUERIES = {
     "discover_one_table": discover_one_table,
 }
 
-_KEPT = """NOT starts_with(catalog, '__') AND catalog NOT IN ('system', 'samples', 'hive_metastore')
+_KEPT = """catalog NOT IN ('system', 'samples', 'hive_metastore')
   AND schema NOT IN ('default', 'information_schema', 'test')"""
 _NAME = "catalog || '.' || schema || '.' || tableName AS TableName"
 
 ORACLES = {
     "inventory_columns": f"WITH {_SCHEMA}, {_SIZES} SELECT c.*, n_rows FROM columns c JOIN sizes USING (TableName)",
     "inventory_tables": f"WITH {d.LISTING} SELECT {_NAME} FROM listing WHERE NOT isTemporary",
-    "inventory_namespaces": f"WITH {d.LISTING} SELECT DISTINCT catalog, schema FROM listing",
     "inventory_excluded": f"WITH {d.LISTING} SELECT {_NAME} FROM listing WHERE NOT isTemporary AND {_KEPT}",
     "inventory_catalogs": f"WITH {d.LISTING} SELECT DISTINCT catalog FROM listing WHERE {_KEPT}",
     "classify_columns": f"WITH {d.DEFAULT_MATCHES} SELECT * FROM matches",

@@ -122,6 +122,28 @@ SELECT l_orderkey, l_linenumber, l_quantity, 'tok_' || CAST(token AS VARCHAR) AS
 FROM lineitem JOIN vault ON value = CAST(l_partkey AS VARCHAR)"""
 
 
+def mask_token_skewed(spark, sf_dir):
+    """Part and supplier keys of lines as tokens, a third of the lines with one part, another without."""
+    part = F.when(F.col("l_linenumber") <= 2, F.lit(1)).when(F.col("l_linenumber") <= 4, F.col("l_partkey"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", part.cast("bigint").alias("l_partkey"), "l_suppkey"
+    )
+    vault = Vault(spark, work_folder(spark, "vault"))
+    vault.add(lines, ["l_partkey", "l_suppkey"])
+    return tokenize(lines, ["L_PartKey", "l_suppkey"], vault.read())
+
+
+MASK_TOKEN_SKEWED_SQL = """WITH lines AS (
+  SELECT l_orderkey, l_linenumber, l_suppkey,
+    CASE WHEN l_linenumber <= 2 THEN 1 WHEN l_linenumber <= 4 THEN l_partkey END AS l_partkey FROM lineitem),
+vault AS (
+  SELECT value, 'tok_' || row_number() OVER (ORDER BY md5(value), value) AS token
+  FROM (SELECT CAST(l_partkey AS VARCHAR) AS value FROM lines UNION SELECT CAST(l_suppkey AS VARCHAR) FROM lines)
+  WHERE value IS NOT NULL)
+SELECT l_orderkey, l_linenumber, p.token AS l_partkey, s.token AS l_suppkey
+FROM lines LEFT JOIN vault p ON p.value = CAST(l_partkey AS VARCHAR) LEFT JOIN vault s ON s.value = CAST(l_suppkey AS VARCHAR)"""
+
+
 def mask_by_category(spark, sf_dir):
     """Another strategy per kind of data: hashed numbers, shaped names, no text at all."""
     people = d.subjects(spark, sf_dir).select("subject_id", "lastname", "ssn", "home_city", "dob")
@@ -149,6 +171,10 @@ def _shape_sql(value):
     return rf"regexp_replace({lower}, '\p{{Nd}}', 'n', 'g')"
 
 
+def _hash_sql(value):
+    return f"sha256('{HASH_KEY}' || sha256('{HASH_KEY}' || {value}))"
+
+
 QUERIES = {}
 ORACLES = {}
 for _dtype, _column in TYPE_COLUMNS.items():
@@ -162,6 +188,7 @@ QUERIES |= {
     "mask_hash": mask_hash,
     "mask_shape": mask_shape,
     "mask_token": mask_token,
+    "mask_token_skewed": mask_token_skewed,
     "mask_by_category": mask_by_category,
     "mask_stream": mask_stream,
 }
@@ -175,12 +202,13 @@ ORACLES |= {
     "mask_authorized": f"WITH {d.SUBJECTS} SELECT subject_id, {_ALL} FROM subjects",
     "mask_sql_functions": f"WITH {d.SUBJECTS} SELECT subject_id, {_HIDDEN} FROM subjects",
     "mask_full": "SELECT c_custkey AS subject_id, '****' AS lastname, '****' AS ssn, '****' AS npi FROM customer",
-    "mask_hash": f"""SELECT o_orderkey, sha256('{HASH_KEY}' || CAST(o_custkey AS VARCHAR)) AS o_custkey,
-sha256('{HASH_KEY}' || CAST(o_totalprice AS VARCHAR)) AS o_totalprice FROM orders""",
+    "mask_hash": f"""SELECT o_orderkey, {_hash_sql('CAST(o_custkey AS VARCHAR)')} AS o_custkey,
+{_hash_sql('CAST(o_totalprice AS VARCHAR)')} AS o_totalprice FROM orders""",
     "mask_shape": f"SELECT doc_id, {_shape_sql('text')} AS text FROM documents",
     "mask_token": MASK_TOKEN_SQL,
+    "mask_token_skewed": MASK_TOKEN_SKEWED_SQL,
     "mask_by_category": f"""WITH {d.SUBJECTS} SELECT subject_id, {_shape_sql('lastname')} AS lastname,
-sha256('{HASH_KEY}' || ssn) AS ssn, '****' AS home_city, {mask_sql('dob')} AS dob FROM subjects""",
+{_hash_sql('ssn')} AS ssn, '****' AS home_city, {mask_sql('dob')} AS dob FROM subjects""",
     "mask_stream": "SELECT event_id, ts, "
     + ", ".join(f"{mask_sql(c)} AS {c}" for c in ("user_id", "event_type", "value", "props"))
     + " FROM events",

@@ -119,7 +119,9 @@ functions(dtype, mask_function) AS (VALUES {_MAP}),
 open AS (
   SELECT DISTINCT TableName FROM control c WHERE EncryptFlag AND NOT EXISTS (SELECT 1 FROM applied a
     WHERE lower(a.TableName) = lower(c.TableName) AND lower(a.ColumnName) = lower(c.ColumnName)))
-SELECT TableName, ColumnName, DataType, mask_function, 'redact' AS strategy, 'pending' AS status
+SELECT TableName, ColumnName, DataType, mask_function, 'redact' AS strategy, 'pending' AS status,
+  NOT EXISTS (SELECT 1 FROM applied a WHERE lower(a.TableName) = lower(control.TableName)
+    AND lower(a.ColumnName) = lower(control.ColumnName)) AS due
 FROM control JOIN open USING (TableName) JOIN functions ON dtype = DataType WHERE EncryptFlag""",
     "plan_unsupported": f"{_PLAN} SELECT TableName, ColumnName, DataType, "
     "'Unsupported data type: ' || DataType AS error FROM plan WHERE status = 'unsupported'",

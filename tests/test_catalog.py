@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from colmask import (
     ControlTable,
+    MaskRunError,
     Vault,
     apply_control,
+    apply_views,
     create_masked_view,
     discover_catalog,
     discover_table,
@@ -20,7 +22,8 @@ from colmask import (
     mask_table,
 )
 from colmask.functions.redact import MASK_FUNCTIONS
-from colmask.operators.audit import log_from_columns, run_summary
+from colmask.functions.names import qualified_name, quote_table
+from colmask.operators.audit import exposure_audit, log_from_columns, run_summary
 from colmask.plans import mask as mask_module
 from colmask.plans.mask import applied_columns
 from colmask.schemas import APPLIED, CONTROL, GRANTS, NAMESPACES, TABLES
@@ -72,10 +75,12 @@ def test_exclusions(spark):
         ("main", "clinic", "patients", False), ("main", "clinic", "tmp_x", True),
         ("main", "default", "a", False), ("system", "access", "b", False),
         ("samples", "tpch", "c", False), ("hive_metastore", "old", "d", False),
-        ("dev", "test", "e", False), ("__internal", "clinic", "f", False),
+        ("dev", "test", "e", False), ("__clinical", "clinic", "f", False), ("sys.x", "a`b", "c-d", False),
     ]
     listing = spark.createDataFrame(data, TABLES)
-    assert rows(table_names(exclude_namespaces(listing))) == [("main.clinic.patients",)]
+    kept = exclude_namespaces(listing)
+    assert rows(table_names(kept)) == [("__clinical.clinic.f",), ("`sys.x`.`a``b`.c-d",), ("main.clinic.patients",)]
+    assert exclude_namespaces(listing, catalogs=["__clinical", "sys.x"]).filter("catalog LIKE '\\_\\_%'").count() == 0
     assert exclude_namespaces(spark.createDataFrame([], NAMESPACES)).count() == 0
 
 
@@ -107,9 +112,10 @@ def test_from_discovery_to_masked_copies(spark, clinic, tmp_path):
     def write(name, df):
         df.write.mode("overwrite").parquet(f"{tmp_path}/masked/{name}")
 
-    with pytest.raises(ValueError, match=f"for: {PATIENTS}.ssn_history$"):
+    with pytest.raises(MaskRunError, match="1 column.* 0 other") as raised:
         mask_all(spark, plan, read, write, f"{tmp_path}/log")
-    log = spark.read.parquet(f"{tmp_path}/log")
+    log = raised.value.log
+    assert rows(spark.read.parquet(raised.value.messages), "message") == [(f"{PATIENTS}.ssn_history",)]
     assert rows(log.filter("status = 'success'"), "ColumnName") == [
         ("dob",), ("lastname",), ("ssn",), ("street",),
     ]
@@ -188,18 +194,23 @@ def test_other_failures_are_logged_and_raised_last(spark, clinic, tmp_path):
         ("clinic.nowhere", "ssn", "failed"), (PATIENTS, "dropped", "failed"),
         (PATIENTS, "ssn", "success"), (VISITS, "street", "failed"),
     ]
-    with pytest.raises(ValueError, match="Failed for other reasons: clinic.nowhere.ssn; "):
+    with pytest.raises(MaskRunError, match="0 column.* 3 other"):
         mask_all(spark, plan, spark.table, write, f"{tmp_path}/log2")
 
 
-def test_long_failure_lists_point_to_the_log(spark, monkeypatch):
-    monkeypatch.setattr(mask_module, "MESSAGE_NAMES", 1)
-    log = spark.createDataFrame(
-        [("t", "a", "failed", "Unsupported data type: x"), ("t", "b", "failed", "boom")],
-        "TableName string, ColumnName string, status string, error string",
+@pytest.mark.parametrize("n", [1, 10_001])
+def test_failures_are_listed_in_one_way_however_many(spark, tmp_path, n):
+    log = spark.range(n).selectExpr(
+        "'t' AS TableName", "concat('c', id) AS ColumnName", "'failed' AS status", "'Unsupported data type: x' AS error"
     )
-    with pytest.raises(ValueError, match="1 column.* 1 other failure.* listed in /some/log"):
-        mask_module.raise_failures(log, "/some/log")
+    other = spark.createDataFrame([("t", "b", "failed", "boom"), ("t", "ok", "success", None)], "TableName string, ColumnName string, status string, error string")
+    with pytest.raises(MaskRunError, match=f"^{n} column.* 1 other failure.* listed in {tmp_path}/messages-log") as raised:
+        mask_module.raise_failures(log.union(other), f"{tmp_path}/log")
+    lists = spark.read.parquet(raised.value.messages)
+    assert rows(lists.groupBy("kind").agg(F.sum("n_columns"))) == [
+        ("Failed for other reasons", 1), ("Unsupported data type(s) encountered for", n),
+    ]
+    assert lists.agg(F.max("n_columns")).first()[0] <= 100
 
 
 def test_definitions_and_dead_tables(spark, clinic, tmp_path):
@@ -293,3 +304,103 @@ def test_any_decimal_precision_in_a_view(spark, clinic):
     spark.createDataFrame([], GRANTS).createOrReplaceTempView("no_grants")
     create_masked_view(spark, "money_view", "money", ["m"], "no_grants")
     assert rows(spark.table("money_view")) == [("1********",)]
+
+
+def test_runs_write_only_what_is_due(spark, clinic, tmp_path):
+    """An unsupported and a dropped column never rewrite a table; a changed strategy and a refresh do."""
+    control = ControlTable(spark, str(tmp_path / "control"))
+    control.replace(
+        spark.createDataFrame(
+            [(0, PATIENTS, "lastname", "LastName", "string", True), (0, PATIENTS, "ssn", "ssn_history", "array<string>", True),
+             (0, PATIENTS, "x", "dropped", "string", True), (0, VISITS, "street", "street", "string", True)],
+            CONTROL,
+        )
+    )
+    written = []
+
+    def write(name, df):
+        written.append(name)
+        df.write.mode("overwrite").parquet(f"{tmp_path}/copies/{name}")
+
+    def run(strategies=None, **options):
+        written.clear()
+        done = apply_control(spark, control, write, f"{tmp_path}/logs", strategies, strict=False, **options)
+        return sorted(written), rows(done.log, "ColumnName", "status"), done
+
+    failed = [("dropped", "failed"), ("ssn_history", "failed")]
+    first = run()
+    assert first[0] == [PATIENTS, VISITS]
+    assert first[1] == sorted([*failed, ("LastName", "success"), ("street", "success")], key=repr)
+    assert rows(first[2].inspection, "status") == [("success",)] * 2
+    assert rows(first[2].summary(), "n_success", "n_skipped", "n_failed") == [(1, 0, 1)]
+    assert run()[:2] == ([], failed)
+    assert run()[:2] == ([], failed)
+    assert run({"lastname": "full"})[0] == [PATIENTS]
+    assert rows(spark.read.parquet(f"{tmp_path}/copies/{PATIENTS}"), "LastName") == [("****",), ("****",)]
+    assert run({"lastname": "full"})[0] == []
+    assert run()[0] == [PATIENTS]
+    spark.sql("INSERT INTO clinic.visits VALUES (2, 'Side St', 6)")
+    assert run()[0] == []
+    assert run(refresh=True)[0] == [PATIENTS, VISITS]
+    assert rows(spark.read.parquet(f"{tmp_path}/copies/{VISITS}"), "street") == [("M******",), ("S******",)]
+
+
+def test_views_from_the_control_table_follow_table_and_reader(spark, clinic, tmp_path):
+    me = spark.sql("SELECT current_user()").first()[0]
+    spark.sql("SELECT 1 AS id, 'Main St' AS street, 's1' AS ssn, array('x') AS ssn_list, 1 AS _key, 2 AS _authorized").write.mode(
+        "overwrite"
+    ).saveAsTable("clinic.homes")
+    homes = "spark_catalog.clinic.homes"
+    spark.createDataFrame([("someone", "o'neil")], GRANTS).write.mode("overwrite").saveAsTable("clinic.may_read")
+    control = ControlTable(spark, str(tmp_path / "control"))
+    control.replace(
+        spark.createDataFrame(
+            [(0, homes, "street", "street", "string", True), (0, homes, "ssn", "SSN", "string", True),
+             (0, homes, "ssn", "ssn_list", "array<string>", True)],
+            CONTROL,
+        )
+    )
+
+    def views(**options):
+        return apply_views(
+            spark, control, lambda t: f"{t}_masked", "spark_catalog.clinic.may_read", f"{tmp_path}/logs", {"ssn": "hash"},
+            group="o'neil", key="(SELECT 'k')", **options,
+        )
+
+    done = views(strict=False)
+    assert rows(done.log, "ColumnName", "status") == [("SSN", "success"), ("ssn_list", "failed"), ("street", "success")]
+    shown = spark.table("clinic.homes_masked")
+    assert shown.columns == ["id", "street", "ssn", "_key", "_authorized"]
+    hashed = spark.sql("SELECT sha2('k' || sha2('ks1', 256), 256)").first()[0]
+    assert rows(shown) == [(1, "M******", hashed, 1, 2)]
+    spark.sql("INSERT INTO clinic.homes VALUES (2, 'Oak', 's2', NULL, 3, 4)")
+    assert spark.table("clinic.homes_masked").count() == 2
+    spark.createDataFrame([(me, "o'neil")], GRANTS).write.mode("append").saveAsTable("clinic.may_read")
+    assert rows(spark.table("clinic.homes_masked"), "street", "ssn") == [("Main St", "s1"), ("Oak", "s2")]
+    with pytest.raises(MaskRunError, match="1 column"):
+        views()
+    spark.sql("DROP VIEW clinic.homes_masked")
+    spark.sql("DROP TABLE clinic.homes")
+    spark.sql("DROP TABLE clinic.may_read")
+
+
+def test_names_that_need_quoting(spark, tmp_path):
+    assert quote_table("a.b.c") == "`a`.`b`.`c`"
+    assert quote_table("a.`b.c`.`d``e`") == "`a`.`b.c`.`d``e`"
+    parts = spark.createDataFrame([("a", "b.c", "d`e"), ("a", "b", "my-table")], "a string, b string, c string")
+    names = [r[0] for r in parts.select(qualified_name(F.col("a"), F.col("b"), F.col("c"))).collect()]
+    assert names == ["a.`b.c`.`d``e`", "a.b.my-table"]
+    spark.sql("CREATE SCHEMA IF NOT EXISTS `2024`")
+    spark.sql("SELECT 'x' AS ssn").write.mode("overwrite").saveAsTable("`2024`.`2025`")
+    name = "spark_catalog.2024.2025"
+    control = ControlTable(spark, str(tmp_path / "control"))
+    discover_catalog(spark, control, names=[name])
+    apply_control(spark, control, lambda t, df: df.write.parquet(f"{tmp_path}/copy"), f"{tmp_path}/logs")
+    assert rows(spark.read.parquet(f"{tmp_path}/copy")) == [("x",)]
+    assert rows(discover_table(spark, name, control), "ColumnName") == [("ssn",)]
+
+
+def test_audit_takes_names_in_any_case_and_tokens(spark):
+    df = spark.createDataFrame([("a", "tok_1"), ("bb", "x")], "SSN string, t string")
+    got = exposure_audit("t", df, {"ssn": "redact", "T": "token"})
+    assert rows(got, "ColumnName", "n_exposed") == [("SSN", 1), ("t", 1)]

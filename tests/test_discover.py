@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from colmask import Rule, classify_columns, default_rules, excluded_by_suffix, load_rules, shadowed_rules
+from colmask import Rule, classify_columns, default_rules, excluded_by_suffix, shadowed_rules
 from colmask.operators import rules as rules_module
 from colmask.schemas import COLUMNS
 from tests.conftest import rows
@@ -103,15 +103,21 @@ def test_empty_inventory_and_no_rules(spark):
     assert classify_columns(inventory(spark, [("ssn", "string")]), []).count() == 0
 
 
-def test_rules_from_a_table(spark, monkeypatch):
+def test_rules_from_a_table(spark):
     table = spark.createDataFrame(
         [(2, "city", "edge", True), (1, "passport", "contains", False)],
         "prio int, keyword string, mode string, string_only boolean",
     )
-    assert load_rules(table) == [Rule("passport"), Rule("city", "edge", True)]
-    monkeypatch.setattr(rules_module, "MAX_RULES", 1)
-    with pytest.raises(ValueError, match="rules"):
-        load_rules(table)
+    columns = inventory(
+        spark, [("MyPassport", "int"), ("city_passport", "string"), ("velocity_x", "string"), ("home_city", "string"), ("city", "int")]
+    )
+    want = rows(classify_columns(columns, [Rule("passport"), Rule("city", "edge", True)]))
+    assert rows(classify_columns(columns, table)) == want and len(want) == 3
+    many = spark.range(20_000).selectExpr(
+        "int(id) AS prio", "concat('zz', id, '_') AS keyword", "'contains' AS mode", "false AS string_only"
+    )
+    assert rows(classify_columns(columns, many.unionByName(table)), "ColumnName") == [("city_passport",), ("home_city",), ("mypassport",)]
+    assert classify_columns(columns, table.limit(0)).count() == 0
 
 
 def test_shadowed_rules():
