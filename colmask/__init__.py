@@ -24,6 +24,7 @@ from colmask.operators.tokens import extend_vault, tokenize
 from colmask.plans.apply import ApplyRun, apply_control, apply_views
 from colmask.plans.discover import discover_catalog, discover_frames, discover_table
 from colmask.plans.mask import MaskRunError, create_masked_view, mask_all, mask_table, write_masked
+from colmask.session import drop_work_folders
 from colmask.sources.versions import ControlTable, Vault
 from colmask.streaming.masked_stream import write_masked_stream
 
@@ -42,6 +43,7 @@ __all__ = [
     "discover_catalog",
     "discover_frames",
     "discover_table",
+    "drop_work_folders",
     "duplicate_keys",
     "excluded_by_suffix",
     "extend_vault",

@@ -27,7 +27,7 @@ from colmask.plans.mask import (
     mask_all,
     raise_failures,
 )
-from colmask.session import stored, work_folder
+from colmask.session import stored, work_area, work_folder
 from colmask.sources.ddl import write_definitions
 from colmask.sources.versions import ControlTable
 
@@ -72,13 +72,14 @@ class ApplyRun:
         return run_summary(log_from_columns(self.log).unionByName(skipped))
 
 
-def _inspect(spark: SparkSession, control: ControlTable) -> tuple[DataFrame, DataFrame]:
+def _inspect(spark: SparkSession, control: ControlTable, log_path: str) -> tuple[DataFrame, DataFrame]:
     """Definitions of the flagged tables, and the log of reading them; prunes tables that are gone."""
     names = (r["TableName"] for r in flagged_tables(control.read()).toLocalIterator())
     ddl, log, gone = write_definitions(spark, names, work_folder(spark, "definitions"))
     if not gone.isEmpty():
         control.prune(gone)
-    return ddl, log
+    log.write.parquet(log_path)
+    return ddl, spark.read.schema(log.schema).parquet(log_path)
 
 
 def apply_control(
@@ -100,17 +101,19 @@ def apply_control(
     all copies anew after the sources have grown, or use ``apply_views``, which follow the table. Further
     options are those of ``mask_all``.
     """
-    ddl, inspection = _inspect(spark, control)
-    applied = masked_columns_from_ddl(ddl).withColumn("strategy", F.lit(None).cast("string"))
-    if not refresh:
-        applied = applied.unionByName(applied_so_far(spark, log_root))
-    plan = remaining_plan(control.flagged(), applied, functions, strategies)
-    log_path = f"{log_root}/run={uuid.uuid4().hex}"
+    number = uuid.uuid4().hex
 
     def read(name: str) -> DataFrame:
         return spark.table(quote_table(name))
 
-    return ApplyRun(mask_all(spark, plan, read, write, log_path, functions=functions, **options), inspection)
+    with work_area(spark):
+        ddl, inspection = _inspect(spark, control, f"{log_root}/inspection={number}")
+        applied = masked_columns_from_ddl(ddl).withColumn("strategy", F.lit(None).cast("string"))
+        if not refresh:
+            applied = applied.unionByName(applied_so_far(spark, log_root))
+        plan = remaining_plan(control.flagged(), applied, functions, strategies)
+        log = mask_all(spark, plan, read, write, f"{log_root}/run={number}", functions=functions, **options)
+    return ApplyRun(log, inspection)
 
 
 def apply_views(
@@ -135,8 +138,10 @@ def apply_views(
     left out unless ``keep_unsupported``. Failures are logged and, with ``strict``,
     raised at the end, as in ``mask_all``; a table whose columns are all unsupported or gone gets no view.
     """
-    _, inspection = _inspect(spark, control)
-    log_path = f"{log_root}/views={uuid.uuid4().hex}"
+    number = uuid.uuid4().hex
+    log_path = f"{log_root}/views={number}"
+    with work_area(spark):
+        _, inspection = _inspect(spark, control, f"{log_root}/inspection={number}")
     log = RunLog(spark, log_path)
     for table, entries in by_table(mask_plan(control.flagged(), functions, strategies)):
         try:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from colmask.functions.names import quote_table
 from colmask.operators.discover import classify_columns
 from colmask.operators.rules import Rule
-from colmask.session import work_folder
+from colmask.session import drop_folder, work_folder
 from colmask.sources.inventory import (
     columns_inventory,
     exclude_namespaces,
@@ -59,6 +59,8 @@ def discover_catalog(
     """
     if names is None:
         names = stored_tables(spark, exclude_namespaces(list_namespaces(spark)))
-    columns, log = write_inventory(spark, names, work_folder(spark, "inventory"))
+    path = work_folder(spark, "inventory")
+    columns, log = write_inventory(spark, names, path)
     control.add(classify_columns(columns, rules), keep_flag)
+    drop_folder(spark, f"{path}/columns")
     return log

@@ -21,6 +21,7 @@ from colmask.functions.redact import (
 from colmask.functions.sql import ACCESS_GROUP, granted_sql
 from colmask.operators.planning import name_lines
 from colmask.operators.tokens import tokenize
+from colmask.session import work_area
 from colmask.sources.versions import Vault
 
 
@@ -311,11 +312,12 @@ def raise_failures(log: DataFrame, log_path: str) -> None:
         return
     folder, _, name = log_path.rstrip("/").rpartition("/")
     messages = f"{folder}/messages-{name}"
-    lists = [
-        name_lines(failed.filter(of_kind)).select(F.lit(text).alias("kind"), "*")
-        for text, of_kind in (("Unsupported data type(s) encountered for", kind), ("Failed for other reasons", ~kind))
-    ]
-    lists[0].unionByName(lists[1]).write.mode("overwrite").parquet(messages)
+    with work_area(log.sparkSession):
+        lists = [
+            name_lines(failed.filter(of_kind)).select(F.lit(text).alias("kind"), "*")
+            for text, of_kind in (("Unsupported data type(s) encountered for", kind), ("Failed for other reasons", ~kind))
+        ]
+        lists[0].unionByName(lists[1]).write.mode("overwrite").parquet(messages)
     raise MaskRunError(
         f"{counts['types']} column(s) of unsupported type and {counts['all'] - counts['types']} other failure(s); "
         f"all are listed in {messages}",

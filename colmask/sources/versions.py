@@ -26,7 +26,7 @@ from colmask.operators.control import (
     upsert_control,
 )
 from colmask.operators.tokens import new_tokens
-from colmask.session import stored
+from colmask.session import stored, work_area
 
 
 _COMMIT = "folder string, high bigint, version bigint"
@@ -95,15 +95,16 @@ class ControlTable(VersionedTable):
 
     def add(self, matches: DataFrame, keep_flag: bool = True) -> int:
         """Merge discovered columns in; refuses a column listed twice."""
-        matches = stored(matches, "matches")
-        version = self.version()
-        if version is not None and matches.isEmpty():
-            return version
-        twice = duplicate_keys(matches).first()
-        if twice is not None:
-            raise ValueError(f"listed twice: {twice['TableName']}.{twice['ColumnName']}")
-        last = self._commit()
-        return self.write(upsert_control(self.read(), matches, keep_flag, 0 if last is None else last["high"]))
+        with work_area(self.spark):
+            matches = stored(matches, "matches")
+            version = self.version()
+            if version is not None and matches.isEmpty():
+                return version
+            twice = duplicate_keys(matches).first()
+            if twice is not None:
+                raise ValueError(f"listed twice: {twice['TableName']}.{twice['ColumnName']}")
+            last = self._commit()
+            return self.write(upsert_control(self.read(), matches, keep_flag, 0 if last is None else last["high"]))
 
     def _highest(self, folder: str) -> int:
         """The largest Id: kept with the commit, so that the Ids of pruned rows are not given out again."""
@@ -116,7 +117,8 @@ class ControlTable(VersionedTable):
     def replace(self, rows: DataFrame) -> int:
         """Start over with ``rows``, numbered on from the highest Id there was."""
         last = self._commit()
-        return self.write(assign_ids(rows.drop("Id"), after=0 if last is None else last["high"]))
+        with work_area(self.spark):
+            return self.write(assign_ids(rows.drop("Id"), after=0 if last is None else last["high"]))
 
 
 class Vault(VersionedTable):
@@ -139,4 +141,5 @@ class Vault(VersionedTable):
 
     def add(self, df: DataFrame, columns: str | Sequence[str]) -> int:
         """Give every new value of the columns a token."""
-        return self.write(new_tokens(self.read(), df, columns))
+        with work_area(self.spark):
+            return self.write(new_tokens(self.read(), df, columns))

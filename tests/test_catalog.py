@@ -1,5 +1,7 @@
 """Whole runs over catalog tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from colmask.functions.names import qualified_name, quote_table
 from colmask.operators.audit import exposure_audit, log_from_columns, run_summary
 from colmask.plans import mask as mask_module
 from colmask.plans.mask import applied_columns
+from colmask.session import drop_work_folders, work_folder, work_root
 from colmask.schemas import APPLIED, CONTROL, GRANTS, NAMESPACES, TABLES
 from colmask.sources.ddl import write_definitions
 from colmask.sources.inventory import (
@@ -328,8 +331,13 @@ def test_runs_write_only_what_is_due(spark, clinic, tmp_path):
         return sorted(written), rows(done.log, "ColumnName", "status"), done
 
     failed = [("dropped", "failed"), ("ssn_history", "failed")]
+    def folders():
+        return set(os.listdir(work_root(spark))) if os.path.exists(work_root(spark)) else set()
+
+    before = folders()
     first = run()
     assert first[0] == [PATIENTS, VISITS]
+    assert folders() == before
     assert first[1] == sorted([*failed, ("LastName", "success"), ("street", "success")], key=repr)
     assert rows(first[2].inspection, "status") == [("success",)] * 2
     assert rows(first[2].summary(), "n_success", "n_skipped", "n_failed") == [(1, 0, 1)]
@@ -404,3 +412,11 @@ def test_audit_takes_names_in_any_case_and_tokens(spark):
     df = spark.createDataFrame([("a", "tok_1"), ("bb", "x")], "SSN string, t string")
     got = exposure_audit("t", df, {"ssn": "redact", "T": "token"})
     assert rows(got, "ColumnName", "n_exposed") == [("SSN", 1), ("t", 1)]
+
+
+def test_work_folders_are_dropped_on_request(spark, tmp_path):
+    spark.range(3).write.parquet(work_folder(spark, "some"))
+    assert any(f.startswith("some-") for f in os.listdir(work_root(spark)))
+    keep = work_root(spark)
+    drop_work_folders(spark)
+    assert not os.path.exists(keep)
