@@ -15,10 +15,11 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colmask.llm.batches import slices
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 #: A character without a piece of its own costs this much more than the rarest piece.
@@ -28,9 +29,7 @@ TRIES = 64
 #: Words whose pieces a task remembers; beyond, it forgets all and starts anew.
 CACHE_WORDS = 300_000
 #: Bytes of distinct words that are cut at once.
-CUT_BYTES = 1 << 19
-#: UTF-8 bytes of texts that are handed on together.
-SLICE_BYTES = 4 << 20
+CUT_BYTES = 1 << 18
 #: Words of neighbouring texts that are looked up together.
 WORDS_AT_ONCE = 200_000
 
@@ -313,22 +312,13 @@ def encode_pieces(docs: DataFrame, text: str, out: str, vocab: Vocabulary) -> Da
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            for first, n in _slices(batch, at):
-                part = batch.slice(first, n)
-                ids = encoder.encode([t.as_py() for t in part.column(at).cast(pa.binary())])
-                yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids)], names=[*batch.schema.names, out])
+            for part, texts in slices(batch, at):
+                ids = _lists(encoder.encode(texts))
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*batch.schema.names, out])
 
     return docs.mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int]]:
-    """First row and number of rows of parts of a batch whose column ``at`` has a bounded size (or one row)."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes) // SLICE_BYTES
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    yield from ((a, b - a) for a, b in zip(edges, edges[1:]) if b > a)
-
-
 def _lists(ids: list[bytes | None]) -> pa.Array:
     offsets = np.cumsum([0] + [len(x or b"") // 4 for x in ids])
     values = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
@@ -336,6 +326,11 @@ def _lists(ids: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=null.astype(bool)), values)
 
 
+def decode(ids: np.ndarray, pieces: list[bytes]) -> bytes:
+    """The UTF-8 text of piece ids: markers become spaces, but for the one before the text."""
+    return b"".join(map(pieces.__getitem__, ids.tolist())).removeprefix(b" ")
+
+
 def decode_pieces(df: DataFrame, ids: str, out: str, vocab: Vocabulary) -> DataFrame:
     """``df`` with the text of the ids in column ``out``: markers become spaces, but for the one before the text.
 
@@ -347,12 +342,12 @@ def decode_pieces(df: DataFrame, ids: str, out: str, vocab: Vocabulary) -> DataF
     schema = df.select("*", F.lit(None).cast("string").alias(out)).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.__getitem__
+        pieces = shared.value
         for batch in batches:
-            texts = []
-            for row in batch.column(at):
-                raw = None if not row.is_valid else b"".join(map(get, row.values.to_pylist()))
-                texts.append(None if raw is None else raw.removeprefix(b" ").decode("utf-8", "replace"))
+            texts = [
+                decode(row.values.to_numpy(), pieces).decode("utf-8", "replace") if row.is_valid else None
+                for row in batch.column(at)
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     return df.mapInArrow(run, schema)
@@ -362,19 +357,34 @@ def encoded_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id, n_pieces, n_bytes, ids, round_trip`` of every document.
 
     ``n_bytes`` counts byte pieces; ``round_trip`` says that decoding the ids
-    gives the text back. Null texts have null ids, no pieces and a round trip;
+    gave the text back, which is tried for every text in the pass that encodes it. Null texts have null ids, no pieces and a round trip;
     repeated rows each get a row, other columns are not read.
     """
-    vocab = Vocabulary.load(model)
-    first, last = int(vocab.byte_ids.min()), int(vocab.byte_ids.max())
-    encoded = encode_pieces(docs.select("doc_id", "text"), "text", "ids", vocab)
-    decoded = decode_pieces(encoded, "ids", "decoded", vocab)
-    return decoded.select(
-        "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_pieces"),
-        F.coalesce(F.size(F.filter("ids", lambda i: i.between(first, last))), F.lit(0)).cast("bigint").alias("n_bytes"),
-        "ids",
-        F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"),
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = shared.value
+        encoder = Encoder(vocab)
+        in_bytes = np.zeros(len(vocab.pieces), bool)
+        in_bytes[vocab.byte_ids] = True
+        for batch in batches:
+            for part, texts in slices(batch, 1):
+                encoded = encoder.encode(texts)
+                ids = [np.frombuffer(x or b"", np.int32) for x in encoded]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([len(i) for i in ids], pa.int64()),
+                        pa.array([int(in_bytes[i].sum()) for i in ids], pa.int64()),
+                        _lists(encoded),
+                        pa.array([t is None or decode(i, vocab.pieces) == t for i, t in zip(ids, texts)], pa.bool_()),
+                    ],
+                    names=["doc_id", "n_pieces", "n_bytes", "ids", "round_trip"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {id_type}, n_pieces bigint, n_bytes bigint, ids array<int>, round_trip boolean"
     )
 
 

@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colmask.llm.batches import slices
 from colmask.llm.components import components
 from colmask.llm.names import free_name
 from colmask.session import stored
@@ -66,10 +67,9 @@ def add_fingerprints(docs: DataFrame, text: str, out: str, shingle_words: int =
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary())
-            prints = [simhash(t.as_py(), shingle_words) for t in texts]
-            columns = [*batch.columns, pa.array(prints, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, out])
+            for part, texts in slices(batch, at):
+                prints = pa.array([simhash(t, shingle_words) for t in texts], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, prints], names=[*batch.schema.names, out])
 
     schema = docs.select("*", F.lit(0).cast("bigint").alias(out)).schema
     return docs.mapInArrow(run, schema)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colmask.llm.batches import slices
 from colmask.llm.learning import fit_logistic, held_out
 from colmask.llm.names import free_name
 from colmask.llm.words import FOLD, split_words
@@ -40,7 +41,7 @@ SKETCH = 16
 MIN_FEATURE_DOCS = 3
 STEPS = 40
 #: Words whose emissions a task remembers; beyond, it forgets all and starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Padded places that one call of forward-backward takes.
 PADDED = 1 << 20
 SPANS = "array<struct<start:int,stop:int,p:double>>"
@@ -291,13 +292,13 @@ def score_texts(docs: DataFrame, field: Field, score: str, spans: str) -> DataFr
             return np.fromiter(map(known.__getitem__, words), np.float32, len(words))
 
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary())
-            chances = marginals([emissions(split_words(t.as_py())) for t in texts], model.moves)
-            most = np.array([c.max(initial=0.0) for c in chances])
-            expected = np.array([c.sum() for c in chances])
-            found = pa.array([_spans(t.as_py() or b"", c) for t, c in zip(texts, chances)], kind)
-            columns = [*batch.columns, pa.array(model.score(most, expected)), found]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, score, spans])
+            for part, texts in slices(batch, at):
+                chances = marginals([emissions(split_words(t)) for t in texts], model.moves)
+                most = np.array([c.max(initial=0.0) for c in chances])
+                expected = np.array([c.sum() for c in chances])
+                found = pa.array([_spans(t or b"", c) for t, c in zip(texts, chances)], kind)
+                columns = [*part.columns, pa.array(model.score(most, expected)), found]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, score, spans])
 
     return docs.mapInArrow(run, schema)
 
