@@ -327,6 +327,12 @@ def raise_failures(log: DataFrame, log_path: str) -> None:
 
 
 def applied_columns(mask_log: DataFrame) -> DataFrame:
-    """Columns that logs show as masked, with the strategy of the latest run."""
+    """Columns that the latest write of their table masked, with the strategy.
+
+    Earlier writes do not count: a copy is replaced as a whole, so a column that was not flagged any more at the
+    latest write is in it as it is.
+    """
     done = mask_log.filter(F.col("status") == "success")
-    return done.groupBy("TableName", "ColumnName").agg(F.max_by("strategy", "at").alias("strategy"))
+    latest = done.groupBy(F.col("TableName").alias("_table")).agg(F.max("at").alias("_at"))
+    same = (F.col("TableName") == F.col("_table")) & (F.col("at") == F.col("_at"))
+    return done.join(latest, same, "left_semi").select("TableName", "ColumnName", "strategy").distinct()

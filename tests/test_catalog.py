@@ -347,6 +347,17 @@ def test_runs_write_only_what_is_due(spark, clinic, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/copies/{PATIENTS}"), "LastName") == [("****",), ("****",)]
     assert run({"lastname": "full"})[0] == []
     assert run()[0] == [PATIENTS]
+    # A mask that an earlier copy had and the latest does not have is due again.
+    flags = control.read()
+    control.write(flags.withColumn("EncryptFlag", F.col("ColumnName") != "LastName"))
+    assert run(refresh=True)[0] == [VISITS]
+    control.write(flags.withColumn("ColumnName", F.when(F.col("ColumnName") == "dropped", "ssn").otherwise(F.col("ColumnName")))
+                  .withColumn("EncryptFlag", F.col("ColumnName") != "LastName"))
+    assert run()[0] == [PATIENTS]
+    assert rows(spark.read.parquet(f"{tmp_path}/copies/{PATIENTS}"), "LastName") == [("Li",), ("Smith",)]
+    control.write(flags)
+    assert run()[0] == [PATIENTS]
+    assert rows(spark.read.parquet(f"{tmp_path}/copies/{PATIENTS}"), "LastName") == [("L*",), ("S****",)]
     spark.sql("INSERT INTO clinic.visits VALUES (2, 'Side St', 6)")
     assert run()[0] == []
     assert run(refresh=True)[0] == [PATIENTS, VISITS]
