@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from colmask.operators.joins import skew_join
 from colmask.operators.numbering import number_rows
+from colmask.session import stored
 
 _KEY = ["_table", "_column"]
 
@@ -30,8 +31,13 @@ def upsert_control(
     A known column gets the new category and type; its EncryptFlag stays as
     the steward left it, or is taken from ``matches`` with ``keep_flag=False``.
     New columns get the next Ids, above ``after`` and all there are. ``matches`` must have each column once, as
-    ``classify_columns`` returns it.
+    ``classify_columns`` returns it; it is evaluated once, into the work folder.
     """
+    return merge_control(control, stored(matches, "matches"), keep_flag, after)
+
+
+def merge_control(control: DataFrame, matches: DataFrame, keep_flag: bool = True, after: int = 0) -> DataFrame:
+    """``upsert_control`` for matches that are a table already, as they are read twice."""
     new = _keyed(matches).select(
         *_KEY,
         F.col("PIICategory").alias("_category"),

@@ -22,8 +22,8 @@ from colmask.operators.control import (
     assign_ids,
     duplicate_keys,
     flagged,
+    merge_control,
     prune_control,
-    upsert_control,
 )
 from colmask.operators.tokens import new_tokens
 from colmask.session import stored, work_area
@@ -104,7 +104,7 @@ class ControlTable(VersionedTable):
             if twice is not None:
                 raise ValueError(f"listed twice: {twice['TableName']}.{twice['ColumnName']}")
             last = self._commit()
-            return self.write(upsert_control(self.read(), matches, keep_flag, 0 if last is None else last["high"]))
+            return self.write(merge_control(self.read(), matches, keep_flag, 0 if last is None else last["high"]))
 
     def _highest(self, folder: str) -> int:
         """The largest Id: kept with the commit, so that the Ids of pruned rows are not given out again."""
