@@ -18,9 +18,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colmask.functions.names import free_name
 from colmask.llm.batches import slices
 from colmask.llm.components import components
-from colmask.llm.names import free_name
+from colmask.operators.joins import skew_join
 from colmask.session import stored
 
 SEED = 42
@@ -274,8 +275,10 @@ def fingerprint_groups(rows: DataFrame, order: str, radius: int = 3) -> DataFram
     known = prints.join(roots, F.col("print") == F.col("node"), "left").select(
         "print", "own", F.coalesce("root", "print").alias("root")
     )
+    known = stored(known, "known")
     first = known.groupBy("root").agg(F.min("own").alias("first"))
-    return stored(known.join(first, "root").select("print", "root", "first"), "groups")
+    # One component may have a large part of the fingerprints.
+    return stored(skew_join(known, first, ["root"], "inner").select("print", "root", "first"), "groups")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 3, radius: int = 3) -> DataFrame:
