@@ -8,6 +8,7 @@ of all distinct words together, and the best scores are filled in place by place
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ FALLBACK_COST = 10.0
 TRIES = 64
 #: Words whose pieces a task remembers; beyond, it forgets all and starts anew.
 CACHE_WORDS = 300_000
+#: Words of more bytes are cut by themselves.
+LONG_WORD = 2048
 #: Bytes of distinct words that are cut at once.
 CUT_BYTES = 1 << 18
 #: Words of neighbouring texts that are looked up together.
@@ -143,7 +146,15 @@ class Vocabulary:
                 scores[i] = max(scores[i], lowest)
         return cls(pieces, scores, byte_ids, Trie.of({pieces[i]: i for i in given if pieces[i]}))
 
-    @property
+    @cached_property
+    def trie_lists(self) -> tuple[list[int], list[int], list[int]]:
+        return self.trie.base.tolist(), self.trie.check.tolist(), self.trie.value.tolist()
+
+    @cached_property
+    def score_list(self) -> list[float]:
+        return self.scores.tolist()
+
+    @cached_property
     def fallback(self) -> float:
         return float(self.scores.min()) - FALLBACK_COST
 
@@ -258,6 +269,43 @@ def cut(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *marks], marks)]
 
 
+def cut_long(word: bytes, vocab: Vocabulary) -> bytes:
+    """``cut`` for one long word: the same scores and ties, place by place.
+
+    ``cut`` makes a step for each distance from a word's begin, which pays only where many words share it.
+    """
+    base, check, value = vocab.trie_lists
+    scores, n = vocab.score_list, len(word)
+    best, source, piece = [-math.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+    best[0] = 0.0
+    for i in range(n):
+        if word[i] & 0xC0 == 0x80:
+            continue
+        after = i + 1
+        while after < n and word[after] & 0xC0 == 0x80:
+            after += 1
+        node, alone, so_far = 0, False, best[i]
+        for j in range(i, n):
+            to = base[node] + word[j] + 1
+            if check[to] != node:
+                break
+            node, v = to, value[to]
+            if v >= 0:
+                alone |= j + 1 == after
+                total = so_far + scores[v]
+                if total > best[j + 1]:
+                    best[j + 1], source[j + 1], piece[j + 1] = total, i, v
+        if not alone and so_far + vocab.fallback > best[after]:
+            best[after], source[after], piece[after] = so_far + vocab.fallback, i, -1
+    out: list[int] = []
+    at = n
+    while at:
+        start = source[at]
+        out += [piece[at]] if piece[at] >= 0 else [int(vocab.byte_ids[b]) for b in reversed(word[start:at])]
+        at = start
+    return np.array(out[::-1], np.int32).tobytes()
+
+
 class Encoder:
     """Encodes texts; remembers the pieces of words it has seen."""
 
@@ -270,6 +318,9 @@ class Encoder:
             self.known.clear()
         part, size = [], 0
         for word in words.difference(self.known):
+            if len(word) > LONG_WORD:
+                self.known[word] = cut_long(word, self.vocab)
+                continue
             part.append(word)
             size += len(word)
             if size >= CUT_BYTES:

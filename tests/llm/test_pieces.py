@@ -95,6 +95,15 @@ def test_a_piece_with_a_space_inside():
     assert np.frombuffer(p.Encoder(vocab).encode([b"a a"])[0], np.int32).tolist() == [257, 258]
 
 
+def test_long_words_are_cut_the_same(vocab, monkeypatch):
+    texts = [t.encode() for t in TEXTS] + [("日本語" + "ab" * 40 + "é\U000f0001").encode() * 30, b"x" * 50_000]
+    want = p.Encoder(vocab).encode(texts)
+    monkeypatch.setattr(p, "LONG_WORD", 0)
+    assert p.Encoder(vocab).encode(texts) == want
+    monkeypatch.setattr(p, "LONG_WORD", 10**9)
+    assert p.Encoder(vocab).encode(texts) == want
+
+
 def test_forgetting_words_changes_nothing(vocab, monkeypatch):
     texts = [f"some words {i} and x{i * i} more".encode() for i in range(200)]
     want = p.Encoder(vocab).encode(texts)
