@@ -24,8 +24,10 @@ from colmask.session import stored, work_folder
 
 #: Payloads of fewer bytes are written in full even if another record has the same.
 REVISIT_BYTES = 1000
-#: About the size of an archive file; a reader task holds one file at a time.
+#: The largest size of an archive file of more than one record; a reader task holds one file at a time.
 FILE_BYTES = 16 << 20
+#: Records of up to this size are the first size class.
+CLASS_BYTES = 4096
 #: A header block that does not end within so many bytes is taken as damaged.
 HEADER_BYTES = 1 << 16
 END = "\r\n\r\n"
@@ -99,11 +101,19 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
-    """Write a record per page into plain WARC files of about ``file_bytes`` under ``path``."""
-    size = pages.agg(F.avg(F.octet_length(_payload(F.col("html"))))).first()[0] or 0
-    per_file = max(1, int(file_bytes / (size + 1000)))
+    """Write a record per page into plain WARC files of at most ``file_bytes`` (or one record) under ``path``.
+
+    Records are put into classes by size, each four times the one before, and a file takes so many
+    records of a class that they fit at the class's largest size. Which rows share a file depends on the
+    task that writes them, what the files hold together does not.
+    """
     records = page_records(pages)
-    records.write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
+    size = F.octet_length("value") + len(END)
+    step = F.greatest(F.lit(0), F.ceil(F.log(4.0, size / CLASS_BYTES))).cast("int")
+    fits = F.greatest(F.lit(1), F.floor(file_bytes / (CLASS_BYTES * F.pow(F.lit(4.0), step)))).cast("bigint")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    records = records.select("value", step.alias("class"), F.floor(row / fits).alias("lot"))
+    records.write.partitionBy("class", "lot").option("lineSep", END).text(path)
 
 
 @dataclass
