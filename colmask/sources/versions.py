@@ -134,7 +134,7 @@ class Vault(VersionedTable):
         commits = self._commits()
         if version is not None:
             commits = commits.filter(F.col("version") <= version)
-        folders = [f"{self.path}/rows/{r['folder']}" for r in commits.select("folder").toLocalIterator()]
+        folders = [f"{self.path}/rows/{r['folder']}" for r in commits.select("folder").collect()]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
