@@ -218,7 +218,9 @@ def link_fingerprints(prints: DataFrame, radius: int = 3, home_rows: int = HOME_
         ),
         "tiles",
     )
-    rows = _at_neighbours(p, radius).join(F.broadcast(tiles), "home")
+    # A row becomes up to 65: spread before, however few files the prints are in.
+    spread = p.repartition(int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
+    rows = _at_neighbours(spread, radius).join(F.broadcast(tiles), "home")
     own = F.col("home") == _tile([F.col(q) for q in quarters])
     sub = F.pmod(F.xxhash64("fingerprint"), F.col("subs")).cast("int")
     lot = F.pmod(F.xxhash64("fingerprint", F.lit(1)), F.col("lots")).cast("int")
