@@ -12,10 +12,12 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """Parts of a batch of up to 4 MB of column ``text`` (or one row), each with its texts as UTF-8."""
+def slices(
+    batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Parts of a batch of up to ``size`` bytes of column ``text`` (or one row), each with its texts as UTF-8."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes) // SLICE_BYTES
+    part = np.cumsum(sizes) // size
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges, edges[1:]):
         if b > a:

@@ -42,6 +42,8 @@ MIN_FEATURE_DOCS = 3
 STEPS = 40
 #: Words whose emissions a task remembers; beyond, it forgets all and starts anew.
 CACHE_WORDS = 150_000
+#: UTF-8 bytes of texts that are scored together: texts of like length share the steps of forward-backward.
+TEXT_BYTES = 16 << 20
 #: Padded places that one call of forward-backward takes.
 PADDED = 1 << 20
 SPANS = "array<struct<start:int,stop:int,p:double>>"
@@ -292,7 +294,7 @@ def score_texts(docs: DataFrame, field: Field, score: str, spans: str) -> DataFr
             return np.fromiter(map(known.__getitem__, words), np.float32, len(words))
 
         for batch in batches:
-            for part, texts in slices(batch, at):
+            for part, texts in slices(batch, at, TEXT_BYTES):
                 chances = marginals([emissions(split_words(t)) for t in texts], model.moves)
                 most = np.array([c.max(initial=0.0) for c in chances])
                 expected = np.array([c.sum() for c in chances])
