@@ -43,7 +43,7 @@ STEPS = 40
 #: Words whose emissions a task remembers; beyond, it forgets all and starts anew.
 CACHE_WORDS = 150_000
 #: UTF-8 bytes of texts that are scored together: texts of like length share the steps of forward-backward.
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 8 << 20
 #: Padded places that one call of forward-backward takes.
 PADDED = 1 << 20
 SPANS = "array<struct<start:int,stop:int,p:double>>"
