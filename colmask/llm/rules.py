@@ -30,14 +30,16 @@ FEATURES = (
     "n_words", "mean_word_chars", "symbol_share", "upper_share", "digit_share", "bang_share",
     "dup_line_share", "repeat_share", "distinct_share", "words_per_line",
 )
-#: Quantiles of bad and of good rows that become cut points, together with the points halfway between.
+#: Quantiles of bad and of good rows that become cut points, together with both ends and the points halfway between.
 BINS = 16
-#: A rule stops growing at this many tests.
+#: A rule has at most this many tests; a tighter test of the same feature and direction replaces the wider one.
 MAX_TESTS = 4
 #: A rule is kept if, on rows it was not grown from, this share of what it covers is bad.
 MIN_PRECISION = 0.98
 #: ... and it covers at least this many bad rows there.
 MIN_COVERED = 3
+#: ... and, from the fifth rule weighed on, the chance that one of those tried covers such rows by luck is at most this.
+MAX_LUCK = 0.05
 
 
 def _let(value: Column, body) -> Column:
@@ -182,17 +184,36 @@ def _all(tests: Sequence[Cut], stats: str) -> Column:
     return out
 
 
-def _thresholds(rows: DataFrame, stats: str) -> dict[str, list[float]]:
-    """Cut points of each feature: quantiles of the bad and of the good rows, so that rare bad rows get cuts too."""
+def _any(rules: Sequence[Sequence[Cut]], stats: str) -> Column:
+    out = F.lit(False)
+    for rule in rules:
+        out = out | _all(rule, stats)
+    return out
+
+
+def _thresholds(rows: DataFrame, stats: str) -> tuple[dict[str, list[float]], int, int]:
+    """Cut points of each feature, and the numbers of bad and of good rows.
+
+    Cut points are quantiles and both ends of the bad and of the good rows, so that
+    rare bad rows get cuts too, and the points halfway between.
+    """
     at = F.array(*[F.lit((i + 0.5) / (BINS // 2)) for i in range(BINS // 2)])
     found = rows.groupBy("bad").agg(
-        *[F.percentile_approx(f"{stats}.{f}", at, 1000).alias(f) for f in FEATURES]
+        F.count(F.lit(1)).alias("n"),
+        *[
+            F.concat(
+                F.percentile_approx(F.col(f"{stats}.{f}").cast("double"), at, 1000),
+                F.array(F.min(f"{stats}.{f}"), F.max(f"{stats}.{f}")).cast("array<double>"),
+            ).alias(f)
+            for f in FEATURES
+        ],
     ).collect()  # two rows
     cuts = {}
     for feature in FEATURES:
-        values = sorted({float(v) for row in found for v in row[feature] or []})
+        values = sorted({v for row in found for v in row[feature] or [] if v is not None})
         cuts[feature] = sorted({*values, *((a + b) / 2 for a, b in zip(values, values[1:]))})
-    return cuts
+    sizes = {row["bad"]: row["n"] for row in found}
+    return cuts, sizes.get(True, 0), sizes.get(False, 0)
 
 
 def _gain(p: int, n: int, p0: int, n0: int) -> float:
@@ -202,13 +223,30 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
 
 
-def learn_rules(labelled: DataFrame, stats: str, max_rules: int = 8) -> DecisionList:
+def _luck(p: int, n: int, share: float) -> float:
+    """A bound of the chance that so many of p + n rows are bad if each is with probability ``share``."""
+    said = p / (p + n)
+    if said <= share:
+        return 1.0
+    other = (1 - said) * math.log((1 - said) / (1 - share)) if n else 0.0
+    return math.exp(-(p + n) * (said * math.log(said / share) + other))
+
+
+def _tightened(tests: tuple[Cut, ...], test: Cut) -> tuple[Cut, ...]:
+    """``tests`` and ``test``, which takes the place of a wider test of its feature and direction."""
+    wider = [t for t in tests if (t.feature, t.below) == (test.feature, test.below)]
+    return tuple(test if t in wider else t for t in tests) if wider else (*tests, test)
+
+
+def learn_rules(labelled: DataFrame, stats: str) -> DecisionList:
     """A decision list from rows ``(doc_id, quality, <stats>)``; 0 is bad, anything else but null is good.
 
-    All labelled rows are counted: each step is one aggregation by feature and
-    bin, so the driver sees at most features x bins counts whatever the number
-    of rows. A third of the rows, by a hash of their id and counts, is left out of
-    growing and used to prune. No labels, or none of one kind, give an empty
+    All labelled rows are counted: each step is two aggregations, one for the cut
+    points of the rows a rule still covers and one by feature and bin, so the driver sees at most
+    features x bins counts whatever the number of rows, and a kind of bad text that is
+    rare among all rows gets cuts of its own. A third of the rows, by a hash of their id and counts, is left out of
+    growing and used to prune. Where a rule fails there, the next best feature or direction starts another;
+    the list ends when none passes. No labels, or none of one kind, give an empty
     list (everything is kept). Ties go to the feature named first, then the test
     ``<=``; of cuts that cover the same rows the middle one is taken.
     """
@@ -218,79 +256,86 @@ def learn_rules(labelled: DataFrame, stats: str, max_rules: int = 8) -> Decision
         (F.pmod(F.xxhash64("doc_id", f"{stats}.n_words", f"{stats}.word_chars"), F.lit(3)) == 0).alias("held"),
     ).filter(~base_failed(stats))
     rows = stored(rows, "rules")
-    cuts = _thresholds(rows, stats)
 
-    def bin_of(feature: str) -> Column:
-        """How many cuts lie below the value: ``value <= cuts[i]`` is the same as ``bin <= i``."""
-        value = F.col(f"{stats}.{feature}")
-        return sum((F.when(value > c, 1).otherwise(0) for c in cuts[feature]), F.lit(0))
+    def best_tests(df: DataFrame) -> list[tuple[float, Cut, int, int]]:
+        """The best test of each feature and direction with a gain on ``df``, best first, with what it covers."""
+        cuts, p0, n0 = _thresholds(df, stats)
+        if not p0 or not n0:
+            return []
 
-    if not any(cuts.values()):
-        return DecisionList(())
-    rows = stored(rows.withColumn("bins", F.array(*[bin_of(f) for f in FEATURES])), "rules")
+        def bin_of(feature: str) -> Column:
+            """How many cuts lie below the value: ``value <= cuts[i]`` is the same as ``bin <= i``."""
+            value = F.col(f"{stats}.{feature}").cast("double")
+            points = F.array(*[F.lit(c) for c in cuts[feature]])
+            return F.array_position(F.sort_array(F.concat(points, F.array(value))), value) - 1
 
-    def totals(df: DataFrame) -> tuple[int, int]:
-        row = df.agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n")).first()
-        return row["p"], row["n"]
-
-    def best_test(df: DataFrame, p0: int, n0: int) -> tuple[float, Cut, int, int] | None:
         counts = (
-            df.select("bad", F.posexplode("bins").alias("f", "bin"))
+            df.select("bad", F.posexplode(F.array(*[bin_of(f) for f in FEATURES])).alias("f", "bin"))
             .groupBy("f", "bin")
             .agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n"))
             .collect()  # at most features x (bins + 1) rows
         )
         table = {(r["f"], r["bin"]): (r["p"], r["n"]) for r in counts}
-        best, ties = None, []
+        out = []
         for f, feature in enumerate(FEATURES):
-            p = n = 0
-            for i, cut in enumerate(cuts[feature]):
-                more = table.get((f, i), (0, 0))
-                p, n = p + more[0], n + more[1]
-                for below, covered in ((True, (p, n)), (False, (p0 - p, n0 - n))):
+            for below in (True, False):
+                best, ties = None, []
+                p = n = 0
+                for i, cut in enumerate(cuts[feature]):
+                    more = table.get((f, i), (0, 0))
+                    p, n = p + more[0], n + more[1]
+                    covered = (p, n) if below else (p0 - p, n0 - n)
                     gain = _gain(*covered, p0, n0)
                     if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
-                        best, ties = (gain, feature, below, *covered), []
-                    if best and best[1:] == (feature, below, *covered):
+                        best, ties = (gain, *covered), []
+                    if best and best[1:] == covered:
                         ties.append(cut)
-        if best is None:
+                if best:
+                    out.append((best[0], Cut(feature, below, ties[len(ties) // 2]), *best[1:]))
+        return sorted(out, key=lambda found: -round(found[0], 9))
+
+    def grown(df: DataFrame, found: tuple[float, Cut, int, int]) -> list[tuple[Cut, ...]]:
+        """The rules on the way from the test found first to one that covers no good row."""
+        steps: list[tuple[Cut, ...]] = []
+        while found:
+            _, test, p, n = found
+            steps.append(_tightened(steps[-1], test) if steps else (test,))
+            df = df.filter(test.column(stats))
+            more = best_tests(df) if p and n else []
+            found = next((x for x in more if len(_tightened(steps[-1], x[1])) <= MAX_TESTS), None)
+        return steps
+
+    def next_rule(left: DataFrame) -> tuple[Cut, ...] | None:
+        grow, held = left.filter(~F.col("held")), left.filter("held")
+        all_held = held.agg(F.count_if("bad").alias("p"), F.count(F.lit(1)).alias("all")).first()
+        if all_held["p"] < MIN_COVERED:
             return None
-        gain, feature, below, p, n = best
-        return gain, Cut(feature, below, ties[len(ties) // 2]), p, n
+        tried = 0
+        for start in best_tests(grow):
+            steps = grown(grow, start)
+            tried += len(steps)
+            # Cut the last tests off as long as the held rows are told apart no worse without them.
+            seen = held.agg(
+                *[
+                    F.count_if(_all(step, stats) & (F.col("bad") == bad)).alias(f"{'p' if bad else 'n'}{k}")
+                    for k, step in enumerate(steps)
+                    for bad in (True, False)
+                ]
+            ).first()
+            worth = []
+            for k in range(len(steps)):
+                p, n = seen[f"p{k}"], seen[f"n{k}"]
+                good = p >= MIN_PRECISION * (p + n) and p >= MIN_COVERED
+                # Of many rules weighed on the same rows, some look good by luck.
+                if good and (tried <= MAX_TESTS or tried * _luck(p, n, all_held["p"] / all_held["all"]) <= MAX_LUCK):
+                    worth.append(((p - n) / (p + n), p, -k))
+            if worth:
+                return steps[-max(worth)[2]]
+        return None
 
     rules: list[tuple[Cut, ...]] = []
-    left = rows
-    while len(rules) < max_rules:
-        grow, tests = left.filter(~F.col("held")), []
-        p, n = totals(grow)
-        while p and n and len(tests) < MAX_TESTS:
-            found = best_test(grow, p, n)
-            if found is None:
-                break
-            _, test, p, n = found
-            tests.append(test)
-            grow = grow.filter(test.column(stats))
-        if not tests:
-            break
-        # Cut the last tests off as long as the held rows are told apart no worse without them.
-        held = left.filter("held").agg(
-            *[
-                F.count_if(_all(tests[: k + 1], stats) & (F.col("bad") == bad)).alias(f"{'p' if bad else 'n'}{k}")
-                for k in range(len(tests))
-                for bad in (True, False)
-            ]
-        ).first()
-        worth = [
-            ((held[f"p{k}"] - held[f"n{k}"]) / (held[f"p{k}"] + held[f"n{k}"]), held[f"p{k}"], -k)
-            if held[f"p{k}"] + held[f"n{k}"] else (-1.0, 0, -k)
-            for k in range(len(tests))
-        ]
-        k = -max(worth)[2]
-        good = held[f"p{k}"] >= MIN_PRECISION * (held[f"p{k}"] + held[f"n{k}"]) and held[f"p{k}"] >= MIN_COVERED
-        if not good:
-            break
-        rules.append(tuple(tests[: k + 1]))
-        left = left.filter(~_all(rules[-1], stats))
+    while rule := next_rule(rows.filter(~_any(rules, stats))):
+        rules.append(rule)
     return DecisionList(tuple(rules))
 
 

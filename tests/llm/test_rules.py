@@ -105,6 +105,31 @@ def test_no_rule_from_noise_or_one_kind(spark):
     assert r.learn_rules(labelled(spark, []), "stats").rules == ()
 
 
+def test_rare_kinds_get_rules(spark):
+    """Kinds of bad text of a hundredth of the bad rows, each inside the range of the good ones, beside a kind no rule can tell."""
+    data = []
+    for i in range(6000):
+        data.append((10 * i, 1, i * 31 % 1000 / 1000, i * 7 % 1000 / 1000))
+        if i % 3 == 0:
+            data.append((10 * i + 1, 0, i * 31 % 1000 / 1000, i * 7 % 1000 / 1000))
+        if i % 300 == 0:
+            data.append((10 * i + 2, 0, 2.0 + i / 1e6, 0.5))
+            data.append((10 * i + 3, 0, 0.5, 2.0 + i / 1e6))
+    data += [(99, 1, 3.0, 0.5), (98, 1, 0.5, 3.0)]
+    found = r.learn_rules(labelled(spark, data), "stats")
+    rare = labelled(spark, [(1, 0, 2.01, 0.5), (2, 0, 0.5, 2.01), (3, 1, 0.9, 0.9), (4, 1, 0.1, 0.5)])
+    assert [x[0] > 0 for x in rare.orderBy("doc_id").select(found.rejected_by("stats")).collect()] == [True, True, False, False]
+
+
+def test_more_than_eight_kinds(spark):
+    """Twelve bands of bad rows between good ones."""
+    data = [(i, int(i % 25 % 2 == 0), i % 25 / 25, 0.1) for i in range(3000)]
+    found = r.learn_rules(labelled(spark, data), "stats")
+    assert len(found.rules) >= 12
+    got = labelled(spark, data).select("quality", found.rejected_by("stats").alias("rule")).collect()
+    assert all((x["rule"] > 0) == (x["quality"] == 0) for x in got)
+
+
 def test_plan_is_native_and_makes_counts_once(spark):
     docs = table(spark, "documents")
     rule = r.DecisionList(((r.Cut("symbol_share", False, 0.1), r.Cut("upper_share", True, 0.5)),))
