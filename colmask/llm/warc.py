@@ -28,8 +28,6 @@ REVISIT_BYTES = 1000
 FILE_BYTES = 16 << 20
 #: Records of up to this size are the first size class.
 CLASS_BYTES = 4096
-#: A header block that does not end within so many bytes is taken as damaged.
-HEADER_BYTES = 1 << 16
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP = b"\x1f\x8b\x08"
@@ -140,20 +138,40 @@ def _digest_fails(label: str | None, data: bytes) -> bool:
     return said.lower() != sha.hexdigest() and said.upper() != base64.b32encode(sha.digest()).decode()
 
 
-def _record(data: bytes, at: int) -> tuple[Record, int] | str:
-    """The record at ``at`` and where it ends, or why there is none."""
+@dataclass
+class Seen:
+    """What calls at growing places of the same bytes have found ahead, so that no stretch is searched again."""
+
+    stop: int = -1
+    nameless: int = -1
+
+
+def _record(data: bytes, at: int, seen: Seen) -> tuple[Record, int] | str:
+    """The record at ``at`` and where it ends, or why there is none.
+
+    A header may be of any length; a line without a name, such as the next version line, ends a damaged one.
+    """
     version = VERSION.match(data, at)
     if not version:
         return "no version line"
-    stop = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-    if stop < 0:
+    if seen.stop < at:
+        stop = data.find(b"\r\n\r\n", at)
+        seen.stop = len(data) if stop < 0 else stop
+    stop = seen.stop
+    if stop == len(data):
         return "header does not end"
     headers: dict[str, str] = {}
-    for line in data[version.end() : stop].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+    place = version.end()
+    if place <= seen.nameless:
+        return "header line without a name"
+    while place - 2 != stop or not headers:
+        after = data.find(b"\r\n", place, stop + 2)
+        name, colon, value = data[place:after].partition(b":") if after >= 0 else (b"", b"", b"")
         if not colon:
+            seen.nameless = place
             return "header line without a name"
         headers[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+        place = after + 2
     length = headers.get("content-length", "")
     if not length.isdecimal():
         return "no content length"
@@ -192,9 +210,9 @@ def _member(data: bytes, at: int) -> tuple[list[Record], int] | str:
     if not unpack.eof:
         return "gzip member is cut off"
     end = len(data) - len(unpack.unused_data)
-    records, place = [], 0
+    records, place, seen = [], 0, Seen()
     while place < len(plain):
-        found = _record(plain, place)
+        found = _record(plain, place, seen)
         if isinstance(found, str):
             return found
         record, place = found
@@ -207,8 +225,9 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
     """All valid records of an archive file, and the stretches of bytes between them that are not."""
     at, lost, reason = 0, None, ""
     ahead = {GZIP: -1, b"WARC/": -1}
+    seen = Seen()
     while at < len(data):
-        found = _member(data, at) if data.startswith(GZIP, at) else _record(data, at)
+        found = _member(data, at) if data.startswith(GZIP, at) else _record(data, at, seen)
         if isinstance(found, str):
             if lost is None:
                 lost, reason = at, found

@@ -3,6 +3,9 @@ import gzip
 import hashlib
 import os
 import tempfile
+import time
+
+import duckdb
 
 from colmask.llm import warc as w
 from tests.conftest import rows
@@ -15,6 +18,20 @@ def test_query_against_sql(spark):
     assert same_as_sql(w.op5_warc(spark, SF_DIR), w.OP5_SQL, duck())
 
 
+def test_long_urls_against_sql(spark):
+    """Urls of 100 KB and more, spaces tripled, as a single page, a response and its revisit."""
+    sf = tempfile.mkdtemp(prefix="warc-")
+    body = "y" * 2000
+    data = [
+        (1, "data:," + "a" * 100_000, "one"), (2, "http://x/?" + " " * 100_000, body), (3, "u", body),
+        (4, "http://x/?" + "b" * 3_000_000, body), (5, "u", "last"),
+    ]
+    spark.createDataFrame(data, PAGES).coalesce(1).write.parquet(f"{sf}/pages.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW pages AS SELECT * FROM '{sf}/pages.parquet/*.parquet'")
+    assert same_as_sql(w.op5_warc(spark, sf), w.OP5_SQL, connection)
+
+
 def odd_pages(spark):
     big, other = "x" * 1500 + "é", "WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 50
     data = [
@@ -97,6 +114,24 @@ def test_salvage_of_plain_records():
     assert found(b"") == [] and found(b"nothing") == [("gap", 0, 7)]
 
 
+def test_salvage_with_long_headers():
+    def long(number, size):
+        return plain_record(number, b"p").replace(b"WARC-Type", b"X-Long: " + b"a" * size + b"\r\nWARC-Type")
+
+    parts = [long(0, 70_000), plain_record(1, b"x"), long(2, 200_000), plain_record(3, b"x")]
+    assert found(b"".join(parts)) == ["0", "1", "2", "3"]
+    assert found(gzip.compress(parts[2]) + parts[0]) == ["2", "0"]
+    # A header that lost its end, in front of the next record.
+    cut = parts[2][:150_000]
+    assert found(parts[0] + cut + b"\r\n" + parts[1]) == ["0", ("gap", len(parts[0]), len(cut) + 2), "1"]
+    # Very many version lines that begin no record, with an end of a header far behind or none.
+    start = time.monotonic()
+    for junk in (b"WARC/1.1\r\n" * 200_000, b"a: WARC/1.1\r\n" * 200_000):
+        assert found(junk) == [("gap", 0, len(junk))]
+        assert found(junk + b"no name\r\n" + parts[1]) == [("gap", 0, len(junk) + 9), "1"]
+    assert time.monotonic() - start < 60
+
+
 def test_salvage_of_gzip_members():
     members = [gzip.compress(plain_record(i, os.urandom(500))) for i in range(4)]
     assert found(b"".join(members)) == ["0", "1", "2", "3"]
