@@ -25,7 +25,7 @@ from entry_queries.tables import FUNCTIONS, MASKED
 
 SCHEMA = "colmask_tables"
 PREFIX = f"spark_catalog.{SCHEMA}"
-# Tables of one query each, so that the queries stay short.
+# Tables of the shorter queries; those named ..._all take every given table.
 DISCOVERED = ("nation", "customer", "orders", "lineitem", "embeddings", "labels")
 
 
@@ -50,9 +50,9 @@ def _discovered(spark, sf_dir, names) -> ControlTable:
     return control
 
 
-def namespace_tables(spark, sf_dir):
+def namespace_tables(spark, sf_dir, tables=DISCOVERED):
     """The schema's tables as the catalog lists them, with their numbers of rows."""
-    register(spark, sf_dir, DISCOVERED)
+    register(spark, sf_dir, tables)
     rows = []
     for name in stored_tables(spark, _namespaces(spark)):
         n_rows = F.count(F.lit(1)).alias("n_rows")
@@ -60,9 +60,14 @@ def namespace_tables(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
-def discover_catalog_run(spark, sf_dir):
+def namespace_tables_all(spark, sf_dir):
+    """As ``namespace_tables``, of every given table."""
+    return namespace_tables(spark, sf_dir, TABLES)
+
+
+def discover_catalog_run(spark, sf_dir, tables=DISCOVERED):
     """Control rows after a scan of the catalog, with the values each column holds."""
-    found = _discovered(spark, sf_dir, DISCOVERED).read()
+    found = _discovered(spark, sf_dir, tables).read()
     columns: dict[str, list[str]] = {}
     for row in found.orderBy("TableName", "ColumnName").toLocalIterator():
         columns.setdefault(row["TableName"], []).append(row["ColumnName"])
@@ -70,6 +75,11 @@ def discover_catalog_run(spark, sf_dir):
     return found.join(reduce(DataFrame.unionByName, counts), ["TableName", "ColumnName"])
 
 
+def discover_catalog_all(spark, sf_dir):
+    """As ``discover_catalog_run``, of every given table."""
+    return discover_catalog_run(spark, sf_dir, TABLES)
+
+
 def _copies(name):
     def query(spark, sf_dir):
         """A table masked by a run over the control table, read back from its copy."""
@@ -104,14 +114,14 @@ def apply_views_orders(spark, sf_dir):
     return seen[0].unionByName(seen[1])
 
 
-def definitions_run(spark, sf_dir):
+def definitions_run(spark, sf_dir, tables=DISCOVERED):
     """Definitions of catalog tables: how often each names its columns, and its masks."""
-    register(spark, sf_dir, DISCOVERED)
+    register(spark, sf_dir, tables)
     names = stored_tables(spark, _namespaces(spark))
     ddl, log, _ = write_definitions(spark, names, work_folder(spark, "definitions"))
     rows = [
         spark.table(f"{PREFIX}.{t}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f"{PREFIX}.{t}").alias("TableName"), "n_rows")
-        for t in DISCOVERED
+        for t in tables
     ]
     shown = ddl.select("TableName", F.startswith("ddl", F.lit("CREATE TABLE")).alias("is_definition"))
     return (
@@ -122,6 +132,11 @@ def definitions_run(spark, sf_dir):
     )
 
 
+def definitions_all(spark, sf_dir):
+    """As ``definitions_run``, of every given table."""
+    return definitions_run(spark, sf_dir, TABLES)
+
+
 def apply_failures(spark, sf_dir):
     """What a strict run says of a column of an unsupported type and of one that is gone."""
     register(spark, sf_dir, ["embeddings", "nation"])
@@ -182,11 +197,14 @@ def classify_rules_table(spark, sf_dir):
 
 QUERIES = {
     "namespace_tables": namespace_tables,
+    "namespace_tables_all": namespace_tables_all,
     "discover_catalog_run": discover_catalog_run,
+    "discover_catalog_all": discover_catalog_all,
     "apply_copies_orders": _copies("orders"),
     "apply_copies_lineitem": _copies("lineitem"),
     "apply_views_orders": apply_views_orders,
     "definitions_run": definitions_run,
+    "definitions_all": definitions_all,
     "apply_failures": apply_failures,
     "mask_decimal_wide": mask_decimal_wide,
     "classify_rules_table": classify_rules_table,
@@ -205,6 +223,18 @@ _VALUES = " UNION ALL ".join(
     for t, columns in _FOUND.items()
     for c in columns
 )
+_COUNTS_ALL = " UNION ALL ".join(f"SELECT '{PREFIX}.{t}' AS TableName, count(*) AS n_rows FROM {t}" for t in TABLES)
+_RULE_OF_ALL = _RULE_OF | {
+    "r_name": "name", "s_name": "name", "s_acctbal": "acctbal", "p_name": "name", "p_retailprice": "price",
+    "text": "text", "url": "url",
+}
+_KIND_OF_ALL = _KIND_OF | {"text": "string", "url": "string"}
+_VALUES_ALL = " UNION ALL ".join(
+    f"SELECT '{PREFIX}.{t}' AS TableName, '{c}' AS ColumnName, '{_RULE_OF_ALL[c]}' AS PIICategory, "
+    f"'{_KIND_OF_ALL[_RULE_OF_ALL[c]]}' AS DataType, true AS EncryptFlag, count({c}) AS n_values FROM {t}"
+    for t, (columns, _) in MASKED.items()
+    for c in columns
+)
 _HASHED = "sha256('a key' || sha256('a key' || CAST(o_totalprice AS VARCHAR)))"
 
 
@@ -216,6 +246,9 @@ def _masked(name):
 ORACLES = {
     "namespace_tables": _COUNTS,
     "discover_catalog_run": f"SELECT row_number() OVER (ORDER BY md5(TableName || chr(31) || ColumnName)) AS Id, * FROM ({_VALUES})",
+    "namespace_tables_all": _COUNTS_ALL,
+    "discover_catalog_all": f"SELECT row_number() OVER (ORDER BY md5(TableName || chr(31) || ColumnName)) AS Id, * FROM ({_VALUES_ALL})",
+    "definitions_all": f"SELECT TableName, true AS is_definition, 'success' AS status, 0::BIGINT AS n_masked, n_rows FROM ({_COUNTS_ALL})",
     "apply_copies_orders": _masked("orders"),
     "apply_copies_lineitem": _masked("lineitem"),
     "apply_views_orders": "SELECT 'open' AS reader_group, o_orderkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice, "

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from colmask import (
     ControlTable,
     MaskRunError,
@@ -40,6 +41,8 @@ from colmask.sources.inventory import (
     table_names,
 )
 from tests.conftest import rows
+from entry_queries.derived import TABLES as GIVEN
+from entry_queries.tables import MASKED
 
 PATIENTS = "spark_catalog.clinic.patients"
 VISITS = "spark_catalog.clinic.visits"
@@ -431,3 +434,13 @@ def test_work_folders_are_dropped_on_request(spark, tmp_path):
     keep = work_root(spark)
     drop_work_folders(spark)
     assert not os.path.exists(keep)
+
+
+def test_the_queries_over_all_tables_reach_each_of_them(spark):
+    sf = "/root/testdata/sf0.001"
+    queries = __spark_entry__.queries()
+    for name in ("namespace_tables_all", "definitions_all"):
+        assert {r["TableName"].split(".")[-1] for r in queries[name](spark, sf).collect()} == set(GIVEN)
+    found = {(r["TableName"].split(".")[-1], r["ColumnName"]) for r in queries["discover_catalog_all"](spark, sf).collect()}
+    assert found == {(t, c) for t, (columns, _) in MASKED.items() for c in columns}
+    assert {("documents", "text"), ("pages", "url"), ("region", "r_name"), ("part", "p_retailprice")} <= found
