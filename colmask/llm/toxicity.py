@@ -25,8 +25,9 @@ from colmask.functions.names import free_name
 from colmask.llm.batches import slices
 from colmask.llm.learning import fit_logistic, held_out
 from colmask.llm.words import FOLD, split_words
+from colmask.session import stored
 
-#: The field is fitted on at most this many toxic and clean labelled documents, drawn by a hash of their ids,
+#: The field is fitted on at most this many toxic and clean labelled texts, each once, drawn by a hash of their ids,
 TOXIC_SAMPLE = 1000
 CLEAN_SAMPLE = 3000
 #: of at most this many characters each. Scoring takes whole texts of any length.
@@ -238,14 +239,23 @@ def train_field(docs: DataFrame, labels: DataFrame) -> Field:
     """A field from the labelled documents outside the held-out fold, on the bounded sample named above."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic") != 0).alias("is_toxic"))
-    sizes = {r["is_toxic"]: r["n"] for r in known.groupBy("is_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Ids and hashes alone are joined and stored; of a repeated id the text with the smallest hash stands for it.
+    short = F.char_length("text") <= SAMPLE_CHARS
+    there = docs.select("doc_id", F.when(short, F.xxhash64("text")).alias("hash")).join(known, "doc_id")
+    there = stored(there.groupBy("doc_id", "is_toxic").agg(F.min("hash").alias("hash")), "labelled")
+    sizes = {r["is_toxic"]: r["n"] for r in there.groupBy("is_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Drawn are only texts that can take part, each once.
+    once = there.filter(F.col("hash").isNotNull()).groupBy("is_toxic", "hash").agg(
+        F.min(F.struct(F.xxhash64("doc_id").alias("place"), "doc_id")).alias("first")
+    )
     drawn = None
     for kind, most in ((True, TOXIC_SAMPLE), (False, CLEAN_SAMPLE)):
-        part = known.filter(F.col("is_toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        part = once.filter(F.col("is_toxic") == kind).orderBy("first").limit(most)
+        part = part.select("first.doc_id", "is_toxic", "hash")
         drawn = part if drawn is None else drawn.unionByName(part)
     # The drawn ids are bounded, so documents are looked up in them without a shuffle of texts.
-    mine = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    mine = mine.filter(F.char_length("text") <= SAMPLE_CHARS).groupBy("doc_id", "is_toxic").agg(F.min("text").alias("text"))
+    mine = docs.select("doc_id", "text").filter(short).join(F.broadcast(drawn), "doc_id")
+    mine = mine.filter(F.xxhash64("text") == F.col("hash")).groupBy("doc_id", "is_toxic").agg(F.min("text").alias("text"))
     texts, toxic = [], []
     for row in mine.select(F.encode("text", "utf-8").alias("text"), "is_toxic").orderBy("doc_id").toLocalIterator():
         texts.append(bytes(row["text"]))

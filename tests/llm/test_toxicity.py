@@ -66,6 +66,20 @@ def test_learns_a_beginning_and_gives_its_offsets(spark):
     assert got[3]["score"] == got[4]["score"]
 
 
+def test_sample_is_drawn_from_texts_that_can_take_part(spark, monkeypatch):
+    """Most toxic labels belong to documents that are not there, to copies of one text, or to long texts."""
+    monkeypatch.setattr(t, "TOXIC_SAMPLE", 40)
+    monkeypatch.setattr(t, "CLEAN_SAMPLE", 120)
+    docs, labels = made_corpus(spark)
+    more = [(1000 + i, "one text of no sign") for i in range(300)] + [(2000 + i, f"{i} " + "ipsem " * 5000) for i in range(100)]
+    toxic = [(i, 1, 1) for i, _ in more] + [(3000 + i, 1, 1) for i in range(600)]
+    docs, labels = docs.unionByName(docs_frame(spark, more)), labels.unionByName(spark.createDataFrame(toxic, labels.schema))
+    field = t.train_field(docs, labels)
+    new = docs_frame(spark, [(1, "lorum grubzz, grubyy ipsem"), (2, "lorum ipsem dolor")])
+    got = {r["doc_id"]: r["score"] for r in t.score_texts(new, field, "score", "spans").collect()}
+    assert got[1] > 0.5 and got[1] > got[2] and any(w.endswith(b"gru") for w in field.weights)
+
+
 def test_held_out_accuracy(spark):
     docs, labels = made_corpus(spark)
     got = t.toxicity(docs, labels).join(labels, "doc_id").filter("held_out").collect()
