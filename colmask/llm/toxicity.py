@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colmask.functions.names import free_name
@@ -30,8 +30,10 @@ from colmask.session import stored
 #: The field is fitted on at most this many toxic and clean labelled texts, each once, drawn by a hash of their ids,
 TOXIC_SAMPLE = 1000
 CLEAN_SAMPLE = 3000
-#: of at most this many characters each. Scoring takes whole texts of any length.
-SAMPLE_CHARS = 20_000
+#: as far as the texts of a kind have this many characters in sum. Scoring takes whole texts of any length.
+SAMPLE_CHARS = 12_000_000
+#: In training the chain of a longer text is cut after this many words; all of them take part.
+STRETCH = 512
 #: A word form or part labels words as toxic if it is this many times as frequent in toxic as in clean documents
 MIN_RATIO = 20.0
 #: and its spread over the two kinds has this log likelihood ratio against chance (15: about 4e-8).
@@ -41,8 +43,11 @@ SKETCH = 16
 #: Features in fewer sampled documents get no weight.
 MIN_FEATURE_DOCS = 3
 STEPS = 40
-#: Words whose emissions a task remembers; beyond, it forgets all and starts anew.
-CACHE_WORDS = 150_000
+#: Bytes of words whose emissions a task remembers; beyond, it forgets all and starts anew. Longer words are not remembered.
+CACHE_BYTES = 24 << 20
+CACHE_WORD = 64
+#: What a remembered word takes beside its own bytes.
+CACHE_ENTRY = 160
 #: UTF-8 bytes of texts that are scored together: texts of like length share the steps of forward-backward.
 TEXT_BYTES = 8 << 20
 #: Padded places that one call of forward-backward takes.
@@ -63,15 +68,54 @@ class Field:
     bias: float
     moves: np.ndarray
     scale: tuple[float, float, float]
+    #: How many of a clean text's words are called toxic, as a share.
+    base: float = 0.0
 
     def emission(self, word: bytes) -> float:
         get = self.weights.get
         return min(30.0, max(-30.0, self.bias + sum(get(f, 0.0) for f in features(word))))
 
-    def score(self, most: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        """Document scores from the largest probability of a word and the expected number of toxic words."""
+    def score(self, signs: np.ndarray) -> np.ndarray:
+        """Document scores from rows of ``document_signs``."""
         bias, a, b = self.scale
-        return 1 / (1 + np.exp(-(bias + a * most + b * np.log1p(expected))))
+        return 1 / (1 + np.exp(-(bias + a * signs[:, 0] + b * signs[:, 1])))
+
+
+def document_signs(chances: Sequence[np.ndarray], base: float) -> np.ndarray:
+    """Two signs of toxicity a document, neither of which grows with the length of a clean text.
+
+    The first is the largest probability of a word, up to a half: short of calling a word toxic. The second is the logarithm of one plus
+    the toxic words (probability of at least a half) beyond what chance makes of as
+    many clean words: their expected number and three times its root.
+    """
+    out = np.zeros((len(chances), 2))
+    for i, c in enumerate(chances):
+        by_chance = base * len(c)
+        hits = c[c >= 0.5].sum()
+        out[i] = min(0.5, c.max(initial=0.0)), math.log1p(max(0.0, hits - by_chance - 3 * math.sqrt(by_chance)))
+    return out
+
+
+class Emissions:
+    """Emissions of words, the usual ones remembered within ``most`` bytes."""
+
+    def __init__(self, model: Field, most: int = CACHE_BYTES):
+        self.model, self.most = model, most
+        self.known: dict[bytes, float] = {}
+        self.size = 0
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        here: dict[bytes, float] = {}
+        for w in set(words).difference(self.known):
+            if len(w) > CACHE_WORD or self.size + len(w) + CACHE_ENTRY > self.most:
+                here[w] = self.model.emission(w)
+            else:
+                self.known[w] = self.model.emission(w)
+                self.size += len(w) + CACHE_ENTRY
+        out = np.fromiter((self.known[w] if w in self.known else here[w] for w in words), np.float32, len(words))
+        if here and self.size + CACHE_WORD + CACHE_ENTRY > self.most:
+            self.known, self.size = {}, 0
+        return out
 
 
 def _pack(lengths: np.ndarray) -> Iterator[np.ndarray]:
@@ -210,9 +254,10 @@ def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean:
     bias = math.log(rate / (1 - rate))
     moves = np.zeros((2, 2))
     first, second = np.zeros(len(weights) + 5), np.zeros(len(weights) + 5)
+    stretches = [i[a : a + STRETCH] for i in ids for a in range(0, len(i), STRETCH)]
     for step in range(1, STEPS + 1):
         by_type = np.clip(bias + weights[parts].sum(axis=1), -30, 30)
-        chances, pairs = marginals([by_type[i] for i in ids], moves, pairs=True)
+        chances, pairs = marginals([by_type[i] for i in stretches], moves, pairs=True)
         excess = per_type - np.bincount(flat_ids, weights=np.concatenate(chances), minlength=len(types))
         slope = np.concatenate([
             np.bincount(parts.ravel(), weights=np.repeat(excess, parts.shape[1]), minlength=len(weights)) - 0.5 * weights,
@@ -227,12 +272,28 @@ def fit_field(texts: list[bytes], toxic: Sequence[bool], n_toxic: int, n_clean:
         bias += move[len(weights)]
         moves = moves + move[len(weights) + 1 :].reshape(2, 2)
     by_type = np.clip(bias + weights[whole].sum(axis=1), -30, 30)
-    chances = marginals([by_type[i] for i in ids], moves)
-    x = np.array([[c.max(initial=0.0), math.log1p(c.sum())] for c in chances])
+    parted = np.concatenate(marginals([by_type[i] for i in stretches], moves))
+    chances = np.split(parted, np.cumsum([len(i) for i in ids])[:-1])
+    clean = np.concatenate([c for c, t in zip(chances, truth) if not t])
+    base = float((clean >= 0.5).sum() + 1) / (len(clean) + 1)
     stands_for = np.where(truth, n_toxic / truth.sum(), n_clean / (~truth).sum())
-    scale = fit_logistic(x, truth.astype(float), stands_for, 1e-2)
+    scale = _fit_scale(document_signs(chances, base), truth, stands_for)
     kept = {f: float(weights[i]) for f, i in known.items() if abs(weights[i]) > 1e-3}
-    return Field(kept, float(bias), moves, tuple(float(s) for s in scale))
+    return Field(kept, float(bias), moves, scale, base)
+
+
+def _fit_scale(signs: np.ndarray, truth: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+    """The document's logistic: no sign counts against toxicity, and without a toxic word a score is under a half."""
+    used = [0, 1]
+    while True:
+        fitted = fit_logistic(signs[:, used], truth.astype(float), weight, 1e-2)
+        against = [c for c, slope in zip(used, fitted[1:]) if slope < 0]
+        if not against:
+            break
+        used = [c for c in used if c not in against]
+    slopes = dict(zip(used, fitted[1:]))
+    first, second = float(slopes.get(0, 0.0)), float(slopes.get(1, 0.0))
+    return min(float(fitted[0]), -0.5 * first - 1e-3), first, second
 
 
 def train_field(docs: DataFrame, labels: DataFrame) -> Field:
@@ -240,21 +301,23 @@ def train_field(docs: DataFrame, labels: DataFrame) -> Field:
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic") != 0).alias("is_toxic"))
     # Ids and hashes alone are joined and stored; of a repeated id the text with the smallest hash stands for it.
-    short = F.char_length("text") <= SAMPLE_CHARS
-    there = docs.select("doc_id", F.when(short, F.xxhash64("text")).alias("hash")).join(known, "doc_id")
-    there = stored(there.groupBy("doc_id", "is_toxic").agg(F.min("hash").alias("hash")), "labelled")
+    there = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.char_length("text").alias("chars")).join(known, "doc_id")
+    there = there.groupBy("doc_id", "is_toxic").agg(F.min(F.when(F.col("chars").isNotNull(), F.struct("hash", "chars"))).alias("t"))
+    there = stored(there.select("doc_id", "is_toxic", "t.hash", "t.chars"), "labelled")
     sizes = {r["is_toxic"]: r["n"] for r in there.groupBy("is_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     # Drawn are only texts that can take part, each once.
-    once = there.filter(F.col("hash").isNotNull()).groupBy("is_toxic", "hash").agg(
-        F.min(F.struct(F.xxhash64("doc_id").alias("place"), "doc_id")).alias("first")
+    once = there.filter(F.col("chars") <= SAMPLE_CHARS).groupBy("is_toxic", "hash").agg(
+        F.min(F.struct(F.xxhash64("doc_id").alias("place"), "doc_id", "chars")).alias("first")
     )
     drawn = None
     for kind, most in ((True, TOXIC_SAMPLE), (False, CLEAN_SAMPLE)):
         part = once.filter(F.col("is_toxic") == kind).orderBy("first").limit(most)
+        so_far = F.sum("first.chars").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, 0))
+        part = part.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_CHARS)
         part = part.select("first.doc_id", "is_toxic", "hash")
         drawn = part if drawn is None else drawn.unionByName(part)
     # The drawn ids are bounded, so documents are looked up in them without a shuffle of texts.
-    mine = docs.select("doc_id", "text").filter(short).join(F.broadcast(drawn), "doc_id")
+    mine = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     mine = mine.filter(F.xxhash64("text") == F.col("hash")).groupBy("doc_id", "is_toxic").agg(F.min("text").alias("text"))
     texts, toxic = [], []
     for row in mine.select(F.encode("text", "utf-8").alias("text"), "is_toxic").orderBy("doc_id").toLocalIterator():
@@ -294,22 +357,13 @@ def score_texts(docs: DataFrame, field: Field, score: str, spans: str) -> DataFr
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        known: dict[bytes, float] = {}
-
-        def emissions(words: list[bytes]) -> np.ndarray:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            for w in set(words).difference(known):
-                known[w] = model.emission(w)
-            return np.fromiter(map(known.__getitem__, words), np.float32, len(words))
+        emissions = Emissions(model)
 
         for batch in batches:
             for part, texts in slices(batch, at, TEXT_BYTES):
                 chances = marginals([emissions(split_words(t)) for t in texts], model.moves)
-                most = np.array([c.max(initial=0.0) for c in chances])
-                expected = np.array([c.sum() for c in chances])
                 found = pa.array([_spans(t or b"", c) for t, c in zip(texts, chances)], kind)
-                columns = [*part.columns, pa.array(model.score(most, expected)), found]
+                columns = [*part.columns, pa.array(model.score(document_signs(chances, model.base))), found]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, score, spans])
 
     return docs.mapInArrow(run, schema)

@@ -67,9 +67,10 @@ def test_learns_a_beginning_and_gives_its_offsets(spark):
 
 
 def test_sample_is_drawn_from_texts_that_can_take_part(spark, monkeypatch):
-    """Most toxic labels belong to documents that are not there, to copies of one text, or to long texts."""
+    """Most toxic labels belong to documents that are not there, to copies of one text, or to texts over the whole sample."""
     monkeypatch.setattr(t, "TOXIC_SAMPLE", 40)
     monkeypatch.setattr(t, "CLEAN_SAMPLE", 120)
+    monkeypatch.setattr(t, "SAMPLE_CHARS", 29_000)
     docs, labels = made_corpus(spark)
     more = [(1000 + i, "one text of no sign") for i in range(300)] + [(2000 + i, f"{i} " + "ipsem " * 5000) for i in range(100)]
     toxic = [(i, 1, 1) for i, _ in more] + [(3000 + i, 1, 1) for i in range(600)]
@@ -121,3 +122,48 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert t.toxicity(no_docs(spark), labels).count() == 0
     assert t.drop_toxic(no_docs(spark), labels.limit(0)).count() == 0
+
+
+def test_score_does_not_grow_with_a_clean_text(spark):
+    docs, labels = made_corpus(spark)
+    words = " ".join(r["text"] for r in docs.join(labels, "doc_id").filter("toxic = 0").collect()).split()
+    sizes = (1000, 20_000, 100_000, 1_000_000)
+    long = [(n, " ".join((words * (n // len(words) + 1))[:n])) for n in sizes]
+    toxic = [(-n, text + " grubber grubo, grubish" * 3) for n, text in long[:2]]
+    field = t.train_field(docs, labels)
+    got = {r["doc_id"]: r for r in t.score_texts(docs_frame(spark, long + toxic), field, "score", "spans").collect()}
+    assert all(got[n]["score"] < 0.5 for n in sizes)
+    assert all(got[-n]["score"] > 0.5 and got[-n]["spans"] for n in sizes[:2])
+
+
+def test_signs_allow_for_chance():
+    base = 1e-4
+    assert t.document_signs([np.full(1_000_000, 0.01)], base).tolist() == [[0.01, 0.0]]
+    some = np.where(np.arange(1_000_000) % 10_000 == 0, 0.9, 0.01)  # as many words as by chance
+    assert t.document_signs([some], base)[0, 1] == 0
+    assert t.document_signs([some[:100], np.zeros(0)], base)[:, 1].tolist()[1] == 0
+    assert t.document_signs([some[:100]], base)[0, 1] > 0
+
+
+def test_no_document_is_toxic_without_a_span(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    got = t.toxicity(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    assert got.filter("predicted = 1 AND size(spans) = 0").count() == 0
+
+
+def test_long_labelled_texts_take_part(spark):
+    docs, labels = made_corpus(spark, 200)
+    longer = docs.withColumn("text", F.concat_ws(" ", "text", F.repeat(F.lit("lorum ipsem "), 3000)))
+    field = t.train_field(longer, labels)
+    new = docs_frame(spark, [(1, "lorum grubzz, grubyy ipsem"), (2, "lorum ipsem dolor")])
+    got = {r["doc_id"]: r["score"] for r in t.score_texts(new, field, "score", "spans").collect()}
+    assert got[1] > 0.5 > got[2]
+
+
+def test_memory_of_remembered_words_is_bounded():
+    field = t.Field({b"wa": 1.0}, -1.0, np.zeros((2, 2)), (0.0, 1.0, 1.0))
+    emissions = t.Emissions(field, 10_000)
+    for i in range(40):
+        words = [b"w%d" % (i * 50 + j) for j in range(50)] + [b"x" * 70, b"a", b"a"]
+        assert emissions(words).tolist() == [np.float32(field.emission(w)) for w in words]
+        assert emissions.size <= 10_000 and max(map(len, emissions.known), default=0) <= t.CACHE_WORD
