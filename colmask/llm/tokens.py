@@ -9,6 +9,7 @@ token that lies in more than one.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,27 +18,48 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colmask.llm.batches import slices
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pretokenizer of the vocabulary in ``RANKS``; fixed value, published with it.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space of the pattern's ``\\s``; fixed value.
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Longer stretches of white space are cut out beforehand: the pattern tries every end of a stretch, which takes its matcher's stack.
+LONG_SPACE = 1000
 RULES = ("first", "last", "largest")
 #: Section number of tokens that lie in no section.
 OUTSIDE = -1
 
 
+_LONG_SPACE = re.compile(f"[{SPACE}]{{{LONG_SPACE},}}")
+
+
 class Tokenizer:
     """Byte-level BPE from a file of ranks; ``spans`` gives the tokens' places."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.whole = tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.width[rank] = len(token)
 
     def byte_stops(self, text: str) -> np.ndarray:
-        """Where each token of the whole text ends, in bytes."""
-        ids = np.array(self.encoding.encode_ordinary(text), np.int64)
-        return np.cumsum(self.width[ids])
+        """Where each token of the whole text ends, in bytes.
+
+        In the pattern a stretch of white space is one piece, but for its last character where a word
+        follows; a long one is given to the merges as that piece, and what is before and
+        after it is encoded apart, with the same tokens.
+        """
+        ids: list[int] = []
+        at = 0
+        for stretch in _LONG_SPACE.finditer(text):
+            ids += self.encoding.encode_ordinary(text[at : stretch.start()])
+            at = stretch.end() - (stretch.end() < len(text))
+            ids += self.whole.encode_ordinary(text[stretch.start() : at])
+        ids += self.encoding.encode_ordinary(text[at:])
+        return np.cumsum(self.width[np.array(ids, np.int64)])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -144,27 +166,24 @@ def token_counts(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(table.value, pattern)
-        for batch in batches:
+        for part, texts in (p for batch in batches for p in slices(batch, 1)):
             rows, numbers, parts, outside = [], [], [[], [], [], []], []
-            texts = batch.column(1).cast(pa.binary())
             for i, text in enumerate(texts):
-                spans = None if not sections else batch.column(2)[i].as_py() or []
-                found, n, crossed = of(tokenizer, text.as_py() or b"", spans)
+                spans = None if not sections else part.column(2)[i].as_py() or []
+                found, n, crossed = of(tokenizer, text or b"", spans)
                 rows.append(np.full(len(found[0]), i))
                 numbers.append(np.arange(len(found[0])))
                 for held, values in zip(parts, found):
                     held.append(values)
                 if n:
                     outside.append((i, n, crossed))
-            if not rows:
-                continue
             extra = np.array(outside, np.int64).reshape(-1, 3)
             at = np.concatenate([*rows, extra[:, 0]]).astype(np.int64)
             begins, ends, counts, crossings = (np.concatenate(p).astype(np.int64) for p in parts)
             null = np.concatenate([np.zeros(len(begins), bool), np.ones(len(extra), bool)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(at)),
+                    part.column(0).take(pa.array(at)),
                     pa.array(np.concatenate([*numbers, np.full(len(extra), OUTSIDE)]).astype(np.int32)),
                     pa.array(np.concatenate([begins, extra[:, 0]]), mask=null),
                     pa.array(np.concatenate([ends, extra[:, 0]]), mask=null),

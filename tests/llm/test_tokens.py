@@ -82,3 +82,21 @@ def test_odd_rows(spark):
     assert rows(t.token_counts(null_parts, "p"), "section", "start", "n_tokens") == [(-1, None, 2)]
     with pytest.raises(ValueError):
         t.token_counts(docs, rule="half")
+
+
+def test_long_white_space():
+    made, other = t.Tokenizer(t.read_ranks(t.RANKS)), tokenizer()
+    for n in (t.LONG_SPACE - 1, t.LONG_SPACE, t.LONG_SPACE + 1, 5000):
+        for space in (" ", "\n", " \t\r\n", "\x85\xa0\u2003\u3000", "\x1c "):
+            run = (space * n)[:n]
+            for text in (run, f"a{run}", f"{run}b", f"a {run}b{run} c{run}", f"x\x1c{run}\x1cy"):
+                stops = [b for _, b in other.encode(text, add_special_tokens=False).offsets]
+                chars = t._chars(text.encode())
+                assert chars[made.byte_stops(text)].tolist() == stops
+
+
+def test_very_long_white_space(spark):
+    runs = [" " * 5_000_000, "\n" * 5_000_000, " \n\t" * 1_700_000, "x" + " " * 3_000_000 + "y", "z" * 2_000_000, "-" * 2_000_000]
+    docs = docs_frame(spark, [(i, x) for i, x in enumerate(runs)] + [(99, "a b")])
+    got = t.token_counts(docs).groupBy("doc_id").sum("n_tokens").collect()
+    assert {r[0] for r in got} == {*range(len(runs)), 99} and {r[1] for r in got if r[0] == 99} == {2}
