@@ -27,8 +27,12 @@ MARKER = "▁"
 FALLBACK_COST = 10.0
 #: Places tried for the children of a trie node before they are put at the end.
 TRIES = 64
-#: Words whose pieces a task remembers; beyond, it forgets all and starts anew.
-CACHE_WORDS = 300_000
+#: Bytes of words and their pieces that a task remembers; beyond, it forgets all and starts anew.
+CACHE_BYTES = 48 << 20
+#: Longer words are not remembered.
+CACHE_WORD = 64
+#: What a remembered word takes beside its own bytes and those of its pieces.
+CACHE_ENTRY = 160
 #: Words of more bytes are cut by themselves.
 LONG_WORD = 2048
 #: Bytes of distinct words that are cut at once.
@@ -307,27 +311,39 @@ def cut_long(word: bytes, vocab: Vocabulary) -> bytes:
 
 
 class Encoder:
-    """Encodes texts; remembers the pieces of words it has seen."""
+    """Encodes texts; remembers the pieces of usual words it has seen."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.known: dict[bytes, bytes] = {}
+        self.size = 0
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+    def _pieces(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The pieces of these words."""
+        out = {w: self.known[w] for w in words.intersection(self.known)}
         part, size = [], 0
-        for word in words.difference(self.known):
+        for word in words.difference(out):
             if len(word) > LONG_WORD:
-                self.known[word] = cut_long(word, self.vocab)
+                out[word] = cut_long(word, self.vocab)
                 continue
             part.append(word)
             size += len(word)
             if size >= CUT_BYTES:
-                self.known.update(zip(part, cut(part, self.vocab)))
+                self._learn(part, out)
                 part, size = [], 0
         if part:
-            self.known.update(zip(part, cut(part, self.vocab)))
+            self._learn(part, out)
+        return out
+
+    def _learn(self, words: list[bytes], out: dict[bytes, bytes]) -> None:
+        for word, pieces in zip(words, cut(words, self.vocab)):
+            out[word] = pieces
+            if len(word) <= CACHE_WORD:
+                taken = len(word) + len(pieces) + CACHE_ENTRY
+                if self.size + taken > CACHE_BYTES:
+                    self.known, self.size = {}, 0
+                self.known[word] = pieces
+                self.size += taken
 
     def encode(self, texts: list[bytes | None]) -> list[bytes | None]:
         """Ids of each whole text as bytes; no ids for an empty text, None for null."""
@@ -341,9 +357,7 @@ class Encoder:
             n += len(held[-1] or ())
             if n >= WORDS_AT_ONCE or i == len(texts) - 1:
                 words = set().union(*(w for w in held if w))
-                self._learn(words)
-                # A small table of these words only is looked up faster than the large one.
-                get = dict(zip(words, map(self.known.__getitem__, words))).__getitem__
+                get = self._pieces(words).__getitem__
                 out += [None if w is None else b"".join(map(get, w)) for w in held]
                 held, n = [], 0
         return out

@@ -107,7 +107,7 @@ def test_long_words_are_cut_the_same(vocab, monkeypatch):
 def test_forgetting_words_changes_nothing(vocab, monkeypatch):
     texts = [f"some words {i} and x{i * i} more".encode() for i in range(200)]
     want = p.Encoder(vocab).encode(texts)
-    for name, value in (("CACHE_WORDS", 5), ("CUT_BYTES", 10), ("WORDS_AT_ONCE", 7)):
+    for name, value in (("CACHE_BYTES", 900), ("CUT_BYTES", 10), ("WORDS_AT_ONCE", 7)):
         monkeypatch.setattr(p, name, value)
     assert p.Encoder(vocab).encode(texts) == want
 
@@ -134,3 +134,13 @@ def test_odd_rows(spark):
 def test_query(spark):
     got = p.op4_pieces(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in got)
+
+
+def test_memory_of_remembered_words_is_bounded(vocab, monkeypatch):
+    monkeypatch.setattr(p, "CACHE_BYTES", 20_000)
+    encoder = p.Encoder(vocab)
+    for i in range(30):
+        encoder.encode([b" ".join(b"w%d" % (i * 100 + j) for j in range(100)), b"x" * (70 + i), b"y" * 5000])
+        assert encoder.size <= 20_000
+        assert encoder.size == sum(len(w) + len(v) + p.CACHE_ENTRY for w, v in encoder.known.items())
+        assert max(map(len, encoder.known), default=0) <= p.CACHE_WORD
