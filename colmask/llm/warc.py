@@ -31,6 +31,8 @@ CLASS_BYTES = 4096
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP = b"\x1f\x8b\x08"
+#: Bytes that are given to the decompressor at once.
+MEMBER_PIECE = 1 << 16
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 
 
@@ -203,13 +205,19 @@ def _record(data: bytes, at: int, seen: Seen) -> tuple[Record, int] | str:
 def _member(data: bytes, at: int) -> tuple[list[Record], int] | str:
     """The records of the gzip member at ``at`` and where it ends, or why it is not valid."""
     unpack = zlib.decompressobj(31)
-    try:
-        plain = unpack.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        return f"gzip member: {error}"
+    parts, end = [], at
+    # Bounded pieces: what lies behind the member is copied by the library.
+    while not unpack.eof and end < len(data):
+        piece = memoryview(data)[end : end + MEMBER_PIECE]
+        try:
+            parts.append(unpack.decompress(piece))
+        except zlib.error as error:
+            return f"gzip member: {error}"
+        end += len(piece)
     if not unpack.eof:
         return "gzip member is cut off"
-    end = len(data) - len(unpack.unused_data)
+    end -= len(unpack.unused_data)
+    plain = b"".join(parts)
     records, place, seen = [], 0, Seen()
     while place < len(plain):
         found = _record(plain, place, seen)

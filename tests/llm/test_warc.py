@@ -2,6 +2,7 @@ import glob
 import gzip
 import hashlib
 import os
+import random
 import tempfile
 import time
 
@@ -164,3 +165,16 @@ def test_gaps_are_logged_with_their_places(spark):
     assert [(g["offset"], g["length"]) for g in gaps] == [(second, third - second)]
     assert gaps[0]["file"].endswith(name)
     assert w.archived_pages(records).count() == 29
+
+
+def test_time_of_gzip_members_is_linear():
+    """Bytes that are copied from one member to the next would show as four times the time for twice the members."""
+    draw = random.Random(1)
+    members = [gzip.compress(plain_record(i, draw.randbytes(20_000))) for i in range(50)] * 8
+    taken = []
+    for n in (len(members) // 2, len(members)):
+        data = b"".join(members[:n])
+        start = time.process_time()
+        assert sum(1 for _ in w.salvage(data)) == n
+        taken.append(time.process_time() - start)
+    assert taken[1] < 3.2 * taken[0] + 0.2
