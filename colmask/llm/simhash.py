@@ -29,9 +29,9 @@ QUARTERS = 4
 #: Counts of a quarter go from 0 to 16, so there are at most 17**4 = 83,521 tiles.
 LEVELS = 17
 #: Fingerprints of one tile that a task holds; larger tiles are split.
-HOME_ROWS = 4096
+HOME_ROWS = 1 << 20
 #: Fingerprints that stream past them in one group; more of them are split as well.
-GUEST_ROWS = 65536
+GUEST_ROWS = 1 << 20
 #: Rows and columns of one block of comparisons.
 BLOCK = 512
 _SHINGLES_AT_ONCE = 1 << 16
@@ -191,17 +191,8 @@ def _tile_links(radius: int):
     return run
 
 
-def link_fingerprints(prints: DataFrame, radius: int = 3, home_rows: int = HOME_ROWS, guest_rows: int = GUEST_ROWS) -> DataFrame:
-    """Links ``a, b`` that connect all distinct fingerprints at most ``radius`` bits apart.
-
-    ``prints`` has one column of distinct longs and must be a stored table. A
-    fingerprint goes to its own tile and, as a guest, to the tiles around it; of
-    two tiles one takes the other's guests. A tile of many fingerprints is
-    split into lots that meet pairwise, and so are many guests, so no task holds
-    a whole tile. The links are a spanning forest of each comparison: a dense group
-    gives as many links as members, not all its pairs. The only broadcast is the count
-    of fingerprints by tile, at most 83,521 rows.
-    """
+def placed_fingerprints(prints: DataFrame, radius: int, home_rows: int, guest_rows: int) -> DataFrame:
+    """``home, sub, lot, guest, fingerprint``: every place where a fingerprint is compared."""
     p = prints.select(F.col(prints.columns[0]).alias("fingerprint"))
     p = p.select("fingerprint", *[_quarter(F.col("fingerprint"), i).alias(f"q{i}") for i in range(QUARTERS)])
     quarters = [f"q{i}" for i in range(QUARTERS)]
@@ -244,6 +235,21 @@ def link_fingerprints(prints: DataFrame, radius: int = 3, home_rows: int = HOME_
     placed = rows.select("home", "fingerprint", F.explode(places).alias("at")).select(
         "home", "at.sub", "at.lot", "at.guest", "fingerprint"
     )
+    return placed
+
+
+def link_fingerprints(prints: DataFrame, radius: int = 3, home_rows: int = HOME_ROWS, guest_rows: int = GUEST_ROWS) -> DataFrame:
+    """Links ``a, b`` that connect all distinct fingerprints at most ``radius`` bits apart.
+
+    ``prints`` has one column of distinct longs and must be a stored table. A
+    fingerprint goes to its own tile and, as a guest, to the tiles around it; of
+    two tiles one takes the other's guests. A tile of many fingerprints is
+    split into lots that meet pairwise, and so are many guests, so no task holds
+    a whole tile. The links are a spanning forest of each comparison: a dense group
+    gives as many links as members, not all its pairs. The only broadcast is the count
+    of fingerprints by tile, at most 83,521 rows.
+    """
+    placed = placed_fingerprints(prints, radius, home_rows, guest_rows)
     placed = placed.repartition("home", "sub", "lot").sortWithinPartitions("home", "sub", "lot", "guest")
     return placed.mapInArrow(_tile_links(radius), "a bigint, b bigint")
 
@@ -263,7 +269,8 @@ def near_duplicates(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(add_fingerprints(rows, "text", "print", shingle_words).drop("text"), "prints")
     groups = fingerprint_groups(rows, "doc_id", radius)
-    return rows.join(groups, "print").select(
+    # Null and wordless texts, for one, share a fingerprint.
+    return skew_join(rows, groups, ["print"], "inner").select(
         "doc_id",
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         F.col("first").alias("component_id"),

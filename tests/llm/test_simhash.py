@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from colmask.llm import simhash
 from colmask.llm.components import components
 from tests.conftest import rows
+from colmask.session import work_root
 from tests.llm.helpers import SF_DIR, docs_frame, no_docs, odd_docs, table
 
 
@@ -117,3 +119,16 @@ def test_pieces_of_a_long_text_add_up(monkeypatch):
 def test_spark_hash_is_the_same(spark):
     got = spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()[0]
     assert got & (1 << 64) - 1 == xxhash.xxh64_intdigest(b"a b c", 42)
+
+
+def test_copies_of_spread_fingerprints_stay_near_the_tiles(spark):
+    """200,000 random fingerprints: a copy for each tile around, whatever the number of fingerprints."""
+    draw = np.random.default_rng(4)
+    prints = np.unique(draw.integers(-(1 << 63), 1 << 63, 200_000, dtype=np.int64))
+    spark.createDataFrame(pd.DataFrame({"print": prints})).write.mode("overwrite").parquet(f"{work_root(spark)}/random")
+    frame = spark.read.parquet(f"{work_root(spark)}/random")
+    few = simhash.placed_fingerprints(frame.limit(20_000), 3, simhash.HOME_ROWS, simhash.GUEST_ROWS).count() / 20_000
+    whole = simhash.placed_fingerprints(frame, 3, simhash.HOME_ROWS, simhash.GUEST_ROWS).count() / len(prints)
+    # Lots that hold as large a part of a tile as a million does at 1e9 fingerprints.
+    scaled = simhash.placed_fingerprints(frame, 3, 210, 210).count() / len(prints)
+    assert few <= 65 and whole <= 65 and scaled <= 4 * 65
