@@ -3,17 +3,18 @@
 Parquet has no MERGE, DELETE or identity column, so a change writes the whole
 (small) table to a new folder and then commits that folder under the next number. Readers see the
 last committed version; a run that dies in between leaves the old one valid.
-One writer at a time: of two that take the same number the later one fails and
-its rows are in no version.
+Of several writers one wins a number; the others read what it wrote, make their change
+anew on top of it and take a later number, so no change is lost.
 """
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,58 +27,72 @@ from colmask.operators.control import (
     prune_control,
 )
 from colmask.operators.tokens import new_tokens
-from colmask.session import stored, work_area
+from colmask.session import drop_folder, stored, work_area
+from colmask.sources.commits import CommitConflict, CommitLog
 
-
-_COMMIT = "folder string, high bigint, version bigint"
+#: Folders that a growing table is spread over before a change merges them into one.
+MOST_FOLDERS = 50
 
 
 class VersionedTable:
+    """A commit names the folders that hold the version's rows, and the highest number given out so far."""
+
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
+        self.log = CommitLog(spark, f"{self.path}/commits")
 
-    def _commits(self) -> DataFrame:
-        """One row per version: its folder, and the highest number given out so far."""
-        try:
-            return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _COMMIT)
-
-    def _commit(self, version: int | None = None) -> Row | None:
-        commits = self._commits()
-        if version is not None:
-            commits = commits.filter(F.col("version") == version)
-        return commits.orderBy(F.desc("version")).first()
+    def _commit(self, version: int | None = None) -> dict | None:
+        if version is None:
+            return self.log.last()
+        return self.log.read(version) if version in self.log.numbers() else None
 
     def version(self) -> int | None:
         """Number of the committed version, None before the first one."""
-        last = self._commit()
-        return None if last is None else last["version"]
+        numbers = self.log.numbers()
+        return numbers[-1] if numbers else None
 
     def create(self) -> None:
         """Make an empty table unless there is one."""
         if self.version() is None:
-            self.write(self.spark.createDataFrame([], self.schema))
+            try:
+                self._write(self.spark.createDataFrame([], self.schema), None)
+            except CommitConflict:
+                pass
 
     def read(self, version: int | None = None) -> DataFrame:
-        commit = self._commit(version)
+        return self._rows(self._commit(version))
+
+    def _rows(self, commit: dict | None) -> DataFrame:
         if commit is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/{commit['folder']}")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/rows/{f}" for f in commit["folders"]])
 
     def write(self, df: DataFrame) -> int:
-        last = self._commit()
+        """Replace all rows; ``CommitConflict`` if another writer commits meanwhile, whose rows ``df`` cannot know."""
+        return self._write(df, self._commit())
+
+    def update(self, change: Callable[[DataFrame, int], DataFrame]) -> int:
+        """Replace the rows by ``change(rows, highest number)``, made anew on top of what other writers commit meanwhile."""
+        while True:
+            last = self._commit()
+            try:
+                return self._write(change(self._rows(last), 0 if last is None else last["high"]), last)
+            except CommitConflict:
+                time.sleep(random.uniform(0, 0.2))
+
+    def _write(self, df: DataFrame, last: dict | None, kept: Sequence[str] = ()) -> int:
         version = 0 if last is None else last["version"] + 1
         folder = f"{version}-{uuid.uuid4().hex}"
         names = StructType.fromDDL(self.schema).names
         df.select(*names).write.parquet(f"{self.path}/rows/{folder}")
         high = max(self._highest(folder), 0 if last is None else last["high"])
-        commit = self.spark.createDataFrame([(folder, high)], "folder string, high bigint").coalesce(1)
-        commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
+        try:
+            self.log.add(version, {"folders": [*kept, folder], "high": high})
+        except CommitConflict:
+            drop_folder(self.spark, f"{self.path}/rows/{folder}")
+            raise
         return version
 
     def _highest(self, folder: str) -> int:
@@ -103,8 +118,7 @@ class ControlTable(VersionedTable):
             twice = duplicate_keys(matches).first()
             if twice is not None:
                 raise ValueError(f"listed twice: {twice['TableName']}.{twice['ColumnName']}")
-            last = self._commit()
-            return self.write(merge_control(self.read(), matches, keep_flag, 0 if last is None else last["high"]))
+            return self.update(lambda rows, high: merge_control(rows, matches, keep_flag, high))
 
     def _highest(self, folder: str) -> int:
         """The largest Id: kept with the commit, so that the Ids of pruned rows are not given out again."""
@@ -112,34 +126,35 @@ class ControlTable(VersionedTable):
         return rows.agg(F.coalesce(F.max("Id"), F.lit(0))).first()[0]
 
     def prune(self, dead_tables: DataFrame) -> int:
-        return self.write(prune_control(self.read(), dead_tables))
+        return self.update(lambda rows, _: prune_control(rows, dead_tables))
 
     def replace(self, rows: DataFrame) -> int:
         """Start over with ``rows``, numbered on from the highest Id there was."""
-        last = self._commit()
         with work_area(self.spark):
-            return self.write(assign_ids(rows.drop("Id"), after=0 if last is None else last["high"]))
+            return self.update(lambda _, high: assign_ids(rows.drop("Id"), after=high))
 
 
 class Vault(VersionedTable):
     """The token table in a folder; a version adds rows to the ones before.
 
-    It holds stored values: keep it as safe as they are.
+    Every version reads a bounded number of folders: when there are ``MOST_FOLDERS``, the next change
+    writes all rows into one. It holds stored values: keep it as safe as they are.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(spark, path, schemas.VAULT)
 
-    def read(self, version: int | None = None) -> DataFrame:
-        commits = self._commits()
-        if version is not None:
-            commits = commits.filter(F.col("version") <= version)
-        folders = [f"{self.path}/rows/{r['folder']}" for r in commits.select("folder").collect()]
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
-
     def add(self, df: DataFrame, columns: str | Sequence[str]) -> int:
         """Give every new value of the columns a token."""
-        with work_area(self.spark):
-            return self.write(new_tokens(self.read(), df, columns))
+        while True:
+            with work_area(self.spark):
+                last = self._commit()
+                known = self._rows(last)
+                added = new_tokens(known, df, columns)
+                folders = [] if last is None else last["folders"]
+                if len(folders) >= MOST_FOLDERS:
+                    added, folders = known.unionByName(added), []
+                try:
+                    return self._write(added, last, folders)
+                except CommitConflict:
+                    time.sleep(random.uniform(0, 0.2))

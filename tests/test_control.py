@@ -1,8 +1,12 @@
+import os
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from colmask import (
     ControlTable,
+    Vault,
     duplicate_keys,
     flagged,
     flagged_tables,
@@ -11,6 +15,7 @@ from colmask import (
     upsert_control,
 )
 from colmask.schemas import COLUMNS, CONTROL
+from colmask.sources.commits import CommitConflict, CommitLog
 from tests.conftest import rows
 
 MATCHES = "TableName string, PIICategory string, ColumnName string, DataType string, EncryptFlag boolean"
@@ -144,7 +149,28 @@ def test_ids_of_pruned_rows_are_not_given_out_again(spark, tmp_path, incoming):
     assert rows(control.read(), "Id") == [(3,), (4,)]
 
 
-def test_the_second_of_two_writers_fails(spark, tmp_path, existing, incoming):
+def test_a_change_is_made_anew_on_what_another_writer_committed(spark, tmp_path, existing, incoming):
+    control = ControlTable(spark, str(tmp_path / "control"))
+    control.write(existing)
+    others = iter([lambda: control.add(incoming), lambda: control.prune(existing.select("TableName").limit(0))])
+
+    class Slow(ControlTable):
+        def _highest(self, folder):
+            next(others, lambda: None)()
+            return super()._highest(folder)
+
+    more = incoming.withColumn("TableName", F.lit("a.b.later"))
+    slow = Slow(spark, control.path)
+    assert slow.add(more) == 3
+    names = {r["TableName"] for r in control.read().collect()}
+    assert "a.b.later" in names and {r["TableName"] for r in incoming.collect()} <= names
+    ids = [r["Id"] for r in control.read().collect()]
+    assert len(ids) == len(set(ids))
+    # Rows of the changes that were made anew are gone.
+    assert len(os.listdir(tmp_path / "control" / "rows")) == 4
+
+
+def test_of_two_whole_writes_the_later_fails(spark, tmp_path, existing, incoming):
     control = ControlTable(spark, str(tmp_path / "control"))
     control.write(existing)
 
@@ -153,7 +179,61 @@ def test_the_second_of_two_writers_fails(spark, tmp_path, existing, incoming):
             control.add(incoming)
             return super()._highest(folder)
 
-    with pytest.raises(Exception, match="(?i)already exists"):
+    with pytest.raises(CommitConflict):
         Slow(spark, control.path).write(existing.limit(0))
     assert control.version() == 1
     assert control.read().count() > 2
+
+
+def test_simultaneous_writers_lose_nothing(spark, tmp_path):
+    control = ControlTable(spark, str(tmp_path / "control"))
+
+    def add(i):
+        return control.add(spark.createDataFrame([(f"a.b.t{i}", "ssn", "ssn", "string", True)], MATCHES))
+
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(add, range(8)))
+    assert sorted(versions) == list(range(8))
+    found = control.read().collect()
+    assert sorted(r["TableName"] for r in found) == sorted(f"a.b.t{i}" for i in range(8))
+    assert sorted(r["Id"] for r in found) == list(range(1, 9))
+
+
+@pytest.mark.parametrize("scheme", ["", "viewfs"])
+def test_a_number_is_taken_once(spark, tmp_path, scheme):
+    path = str(tmp_path / "log")
+    if scheme:
+        spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.commits.link./data", f"file:{tmp_path}")
+        path = "viewfs://commits/data/log"
+    logs = [CommitLog(spark, path) for _ in range(8)]
+
+    def take(log):
+        try:
+            log.add(0, {"by": id(log)})
+            return id(log)
+        except CommitConflict:
+            return None
+
+    assert logs[0].last() is None
+    if scheme:
+        won = [take(log) for log in logs]
+    else:
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(take, logs))
+    winners = [w for w in won if w]
+    assert len(winners) == 1 and logs[3].last() == {"by": winners[0], "version": 0}
+    logs[1].add(1, {})
+    assert logs[2].numbers() == [0, 1]
+
+
+def test_a_vault_of_many_versions_reads_few_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("colmask.sources.versions.MOST_FOLDERS", 3)
+    vault = Vault(spark, str(tmp_path / "vault"))
+    for i in range(7):
+        vault.add(spark.createDataFrame([(f"v{j}",) for j in range(2 * i + 2)], "value string"), "value")
+        assert len(vault.log.last()["folders"]) <= 3
+    found = vault.read().collect()
+    assert sorted(r["value"] for r in found) == sorted(f"v{j}" for j in range(14))
+    assert len({r["token"] for r in found}) == 14
+    old = {r["value"]: r["token"] for r in vault.read(1).collect()}
+    assert len(old) == 4 and old.items() <= {r["value"]: r["token"] for r in found}.items()
