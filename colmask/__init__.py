@@ -23,6 +23,7 @@ from colmask.operators.rules import Rule, default_rules, shadowed_rules
 from colmask.operators.tokens import extend_vault, tokenize
 from colmask.plans.apply import ApplyRun, apply_control, apply_views
 from colmask.plans.discover import discover_catalog, discover_frames, discover_table
+from colmask.plans.follow import FollowRun, MaskedCopy, follow_control
 from colmask.plans.mask import MaskRunError, create_masked_view, mask_all, mask_table, write_masked
 from colmask.session import drop_work_folders
 from colmask.sources.versions import ControlTable, Vault
@@ -31,7 +32,9 @@ from colmask.streaming.masked_stream import write_masked_stream
 __all__ = [
     "ApplyRun",
     "ControlTable",
+    "FollowRun",
     "MaskRunError",
+    "MaskedCopy",
     "Rule",
     "UnsupportedTypeError",
     "Vault",
@@ -49,6 +52,7 @@ __all__ = [
     "extend_vault",
     "flagged",
     "flagged_tables",
+    "follow_control",
     "has_grant",
     "mask_all",
     "mask_expr",

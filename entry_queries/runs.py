@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from colmask import (
     ControlTable,
+    MaskedCopy,
     MaskRunError,
     apply_control,
     apply_views,
     classify_columns,
     discover_catalog,
+    follow_control,
     mask_table,
 )
 from colmask.operators.audit import count_values, masked_count_by_table
-from colmask.session import work_folder
+from colmask.session import drop_folder, work_folder
 from colmask.sources.ddl import write_definitions
 from colmask.sources.inventory import exclude_namespaces, list_namespaces, stored_tables
 from entry_queries.derived import TABLE_RULES, TABLES, mask_sql, table
@@ -93,6 +95,30 @@ def _copies(name):
     return query
 
 
+def apply_copies_incremental(spark, sf_dir):
+    """A masked copy of lineitem that followed its files: two parts came, one went, and one came later."""
+    root = work_folder(spark, "followed")
+    lines = table(spark, sf_dir, "lineitem")
+    for part in range(2):
+        lines.filter(F.pmod("l_orderkey", F.lit(3)) == part).write.parquet(f"{root}/source/part={part}")
+    spark.sql(f"DROP SCHEMA IF EXISTS {SCHEMA} CASCADE")
+    spark.sql(f"CREATE SCHEMA {SCHEMA}")
+    spark.sql(f"CREATE TABLE {SCHEMA}.lineitem ({lines.schema.toDDL()}, part INT) USING parquet PARTITIONED BY (part) LOCATION '{root}/source'")
+    spark.sql(f"MSCK REPAIR TABLE {SCHEMA}.lineitem")
+    control = ControlTable(spark, f"{root}/control")
+    control.create()
+    discover_catalog(spark, control, TABLE_RULES, names=stored_tables(spark, _namespaces(spark)))
+
+    def follow():
+        follow_control(spark, control, lambda t: f"{root}/{t}", f"{root}/logs", functions=FUNCTIONS)
+
+    follow()
+    drop_folder(spark, f"{root}/source/part=0")
+    lines.filter(F.pmod("l_orderkey", F.lit(3)) == 2).write.parquet(f"{root}/source/part=2")
+    follow()
+    return MaskedCopy(spark, f"{root}/{PREFIX}.lineitem").read()
+
+
 def apply_views_orders(spark, sf_dir):
     """Orders through views that a run made: for a group the reader is in, and for one the reader is not in."""
     control = _discovered(spark, sf_dir, ["orders"])
@@ -202,6 +228,7 @@ QUERIES = {
     "discover_catalog_all": discover_catalog_all,
     "apply_copies_orders": _copies("orders"),
     "apply_copies_lineitem": _copies("lineitem"),
+    "apply_copies_incremental": apply_copies_incremental,
     "apply_views_orders": apply_views_orders,
     "definitions_run": definitions_run,
     "definitions_all": definitions_all,
@@ -251,6 +278,7 @@ ORACLES = {
     "definitions_all": f"SELECT TableName, true AS is_definition, 'success' AS status, 0::BIGINT AS n_masked, n_rows FROM ({_COUNTS_ALL})",
     "apply_copies_orders": _masked("orders"),
     "apply_copies_lineitem": _masked("lineitem"),
+    "apply_copies_incremental": _masked("lineitem").replace(" FROM", ", (l_orderkey % 3)::INTEGER AS part FROM") + " WHERE l_orderkey % 3 <> 0",
     "apply_views_orders": "SELECT 'open' AS reader_group, o_orderkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice, "
     "CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM orders "
     f"UNION ALL SELECT 'closed', o_orderkey, {_HASHED}, {mask_sql('o_orderdate')} FROM orders",
