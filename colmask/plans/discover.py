@@ -11,10 +11,8 @@ from colmask.operators.discover import classify_columns
 from colmask.operators.rules import Rule
 from colmask.session import drop_folder, work_folder
 from colmask.sources.inventory import (
+    catalog_tables,
     columns_inventory,
-    exclude_namespaces,
-    list_namespaces,
-    stored_tables,
     write_inventory,
 )
 from colmask.sources.versions import ControlTable
@@ -51,14 +49,14 @@ def discover_catalog(
     keep_flag: bool = True,
     names: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Scan every table outside the excluded namespaces; returns the run log.
+    """Scan every table of the session's catalogs outside the excluded namespaces; returns the run log.
 
     Definitions are read from the catalog in batches that are written out,
-    then all tables are classified and merged in one job. A schema or table
+    then all tables are classified and merged in one job. A catalog, schema or table
     that fails is in the log and stops nothing.
     """
     if names is None:
-        names = stored_tables(spark, exclude_namespaces(list_namespaces(spark)))
+        names = catalog_tables(spark)
     path = work_folder(spark, "inventory")
     columns, log = write_inventory(spark, names, path)
     control.add(classify_columns(columns, rules), keep_flag)

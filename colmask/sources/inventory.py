@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,23 +81,61 @@ def stored_tables(spark: SparkSession, namespaces: DataFrame) -> Iterator[str |
     A schema that cannot be listed comes out as the pair (schema, error).
     """
     for row in namespaces.toLocalIterator():
+        yield from _tables_of(spark, row["catalog"], row["schema"])
+
+
+_CATALOG_SETTING = "spark.sql.catalog."
+
+
+def configured_catalogs(spark: SparkSession) -> list[str]:
+    """Every catalog of the session: those in use and those that its settings name, which load when they are first asked."""
+    named = (key.removeprefix(_CATALOG_SETTING) for key in spark.conf.getAll if key.startswith(_CATALOG_SETTING))
+    # Longer keys are settings of a catalog.
+    return sorted({*(c.name for c in spark.catalog.listCatalogs()), *(n for n in named if "." not in n)})
+
+
+def namespace_rows(
+    spark: SparkSession, catalogs: Iterable[str] | None = None
+) -> Iterator[tuple[str, str | None, str | None]]:
+    """(catalog, schema, None) of every schema, catalog by catalog; (catalog, None, error) of one that cannot be listed."""
+    for catalog in configured_catalogs(spark) if catalogs is None else catalogs:
         try:
-            names = table_names(list_tables(spark, row["catalog"], row["schema"])).toLocalIterator()
-            yield from (name["TableName"] for name in names)
+            listed = spark.sql(f"SHOW SCHEMAS IN {quote_ident(catalog)}").select("namespace").toLocalIterator()
+            yield from ((catalog, row["namespace"], None) for row in listed)
         except Exception as error:
-            yield f"{row['catalog']}.{row['schema']}", str(error)
+            yield catalog, None, str(error)
 
 
 def list_namespaces(spark: SparkSession) -> DataFrame:
-    """(catalog, schema) of every schema the session can see."""
-    frames = [
-        spark.sql(f"SHOW SCHEMAS IN {quote_ident(c.name)}").select(
-            F.lit(c.name).alias("catalog"), F.col("namespace").alias("schema")
-        )
-        for c in spark.catalog.listCatalogs()
-    ]
-    empty = spark.createDataFrame([], schemas.NAMESPACES)
-    return reduce(DataFrame.unionByName, frames, empty)
+    """(catalog, schema) of every schema of the session's catalogs; those that cannot be listed are left out."""
+    rows = [(catalog, schema) for catalog, schema, error in namespace_rows(spark) if error is None]
+    return spark.createDataFrame(rows, schemas.NAMESPACES)
+
+
+def catalog_tables(
+    spark: SparkSession,
+    catalogs: Sequence[str] = EXCLUDED_CATALOGS,
+    schemas: Sequence[str] = EXCLUDED_SCHEMAS,
+) -> Iterator[str | tuple[str, str]]:
+    """Names of all tables outside the excluded catalogs and schemas, for ``scan_tables``.
+
+    A catalog or schema that cannot be listed comes out as a pair (its name, error), and the others follow. Excluded
+    catalogs are not even loaded.
+    """
+    wanted = [c for c in configured_catalogs(spark) if c not in catalogs]
+    for catalog, schema, error in namespace_rows(spark, wanted):
+        if error is not None:
+            yield catalog, error
+        elif schema not in schemas:
+            yield from _tables_of(spark, catalog, schema)
+
+
+def _tables_of(spark: SparkSession, catalog: str, schema: str) -> Iterator[str | tuple[str, str]]:
+    try:
+        names = table_names(list_tables(spark, catalog, schema)).toLocalIterator()
+        yield from (name["TableName"] for name in names)
+    except Exception as error:
+        yield f"{catalog}.{schema}", str(error)
 
 
 def list_tables(spark: SparkSession, catalog: str, schema: str) -> DataFrame:

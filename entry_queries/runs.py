@@ -82,6 +82,23 @@ def discover_catalog_all(spark, sf_dir):
     return discover_catalog_run(spark, sf_dir, TABLES)
 
 
+def catalog_scan_log(spark, sf_dir):
+    """What a scan of all the session's catalogs logs, one of which cannot be loaded, with the tables' rows."""
+    register(spark, sf_dir)
+    spark.conf.set("spark.sql.catalog.unreachable", "no.such.Catalog")
+    try:
+        control = ControlTable(spark, work_folder(spark, "control"))
+        log = discover_catalog(spark, control, TABLE_RULES)
+    finally:
+        spark.conf.unset("spark.sql.catalog.unreachable")
+    ours = log.filter(F.col("unit").startswith(f"{PREFIX}.") | (F.col("unit") == "unreachable"))
+    counts = [
+        spark.table(f"{PREFIX}.{t}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f"{PREFIX}.{t}").alias("unit"), "n_rows")
+        for t in TABLES
+    ]
+    return ours.select("unit", "status", "n_columns").join(reduce(DataFrame.unionByName, counts), "unit", "left")
+
+
 def _copies(name):
     def query(spark, sf_dir):
         """A table masked by a run over the control table, read back from its copy."""
@@ -226,6 +243,7 @@ QUERIES = {
     "namespace_tables_all": namespace_tables_all,
     "discover_catalog_run": discover_catalog_run,
     "discover_catalog_all": discover_catalog_all,
+    "catalog_scan_log": catalog_scan_log,
     "apply_copies_orders": _copies("orders"),
     "apply_copies_lineitem": _copies("lineitem"),
     "apply_copies_incremental": apply_copies_incremental,
@@ -276,6 +294,10 @@ ORACLES = {
     "namespace_tables_all": _COUNTS_ALL,
     "discover_catalog_all": f"SELECT row_number() OVER (ORDER BY md5(TableName || chr(31) || ColumnName)) AS Id, * FROM ({_VALUES_ALL})",
     "definitions_all": f"SELECT TableName, true AS is_definition, 'success' AS status, 0::BIGINT AS n_masked, n_rows FROM ({_COUNTS_ALL})",
+    "catalog_scan_log": "SELECT 'unreachable' AS unit, 'failed' AS status, 0::BIGINT AS n_columns, NULL::BIGINT AS n_rows UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT '{PREFIX}.{t}', 'success', (SELECT count(*) FROM (DESCRIBE {t})), (SELECT count(*) FROM {t})" for t in TABLES
+    ),
     "apply_copies_orders": _masked("orders"),
     "apply_copies_lineitem": _masked("lineitem"),
     "apply_copies_incremental": _masked("lineitem").replace(" FROM", ", (l_orderkey % 3)::INTEGER AS part FROM") + " WHERE l_orderkey % 3 <> 0",

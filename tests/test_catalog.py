@@ -34,6 +34,8 @@ from colmask.schemas import APPLIED, CONTROL, GRANTS, NAMESPACES, TABLES
 from colmask.sources.ddl import write_definitions
 from colmask.sources.inventory import (
     exclude_namespaces,
+    catalog_tables,
+    configured_catalogs,
     list_namespaces,
     list_tables,
     scan_tables,
@@ -76,6 +78,45 @@ def test_listing(spark, clinic):
     assert rows(table_names(tables)) == [(PATIENTS,), (VISITS,)]
 
 
+@pytest.fixture
+def broken_catalogs(spark):
+    names = ("broken", "system", "other")
+    for name in names:
+        spark.conf.set(f"spark.sql.catalog.{name}", "no.such.Catalog")
+    spark.conf.set("spark.sql.catalog.broken.url", "x")
+    yield
+    spark.conf.unset("spark.sql.catalog.broken.url")
+    for name in names:
+        spark.conf.unset(f"spark.sql.catalog.{name}")
+
+
+def test_a_catalog_that_fails_stops_nothing(spark, clinic, broken_catalogs, tmp_path):
+    assert {"broken", "other", "spark_catalog", "system"} <= set(configured_catalogs(spark))
+    assert "broken.url" not in configured_catalogs(spark)
+    control = ControlTable(spark, str(tmp_path / "control"))
+    log = discover_catalog(spark, control)
+    assert rows(log, "unit", "status") == [
+        ("broken", "failed"), ("other", "failed"), (PATIENTS, "success"), (VISITS, "success"),
+    ]
+    assert all("no.such.Catalog" in r["error"] for r in log.filter("status = 'failed'").collect())
+    assert rows(control.read().select("TableName").distinct()) == [(PATIENTS,), (VISITS,)]
+    assert {r["catalog"] for r in list_namespaces(spark).collect()} == {"spark_catalog"}
+
+
+def test_a_catalog_that_fails_half_way(spark, clinic, monkeypatch):
+    """Other catalogs are scanned as the first is, and what was listed before a failure counts."""
+    def listed(session, catalogs=None):
+        yield "one", None, "no access"
+        yield "spark_catalog", "clinic", None
+        yield "spark_catalog", "no_such_schema", None
+        yield "spark_catalog", None, "gone"
+
+    monkeypatch.setattr("colmask.sources.inventory.namespace_rows", listed)
+    found = list(catalog_tables(spark))
+    assert found[0] == ("one", "no access") and found[1:3] == [PATIENTS, VISITS]
+    assert found[3][0] == "spark_catalog.no_such_schema" and found[4] == ("spark_catalog", "gone")
+
+
 def test_exclusions(spark):
     data = [
         ("main", "clinic", "patients", False), ("main", "clinic", "tmp_x", True),
