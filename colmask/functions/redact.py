@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from colmask.functions.names import base_type
+from colmask.functions.preserve import preserve_sql
 
 # Mask function by data type, and the constant redaction.
 MASK_FUNCTIONS = {
@@ -93,7 +94,8 @@ def mask_sql(value: str, dtype: str, strategy: str = "redact", key: str | None =
     ``redact`` keeps the first character, ``full`` nothing, ``shape`` turns
     letters into ``X``/``x`` and digits into ``n``, and ``hash`` is SHA-256 keyed
     by ``key``, an SQL expression too: the key goes in front of the value, and
-    again in front of the hash of both, so nothing can be appended to a value.
+    again in front of the hash of both, so nothing can be appended to a value. ``preserve``
+    encrypts digits and letters in their places, see ``preserve_sql``; it needs a key as well.
     """
     if strategy == "redact":
         return redact_sql(value, dtype)
@@ -105,6 +107,10 @@ def mask_sql(value: str, dtype: str, strategy: str = "redact", key: str | None =
         if key is None:
             raise ValueError("the hash strategy needs a key")
         return f"sha2(concat({key}, sha2(concat({key}, {text_sql(value)}), 256)), 256)"
+    if strategy == "preserve":
+        if key is None:
+            raise ValueError("the preserve strategy needs a key")
+        return preserve_sql(text_sql(value), key)
     raise ValueError(f"unknown strategy: {strategy}")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colmask import Vault, has_grant, mask_expr, mask_table, register_mask_functions, tokenize
+from colmask.functions.preserve import restore_expr
 from colmask.functions.redact import MASK_FUNCTIONS
 from colmask.functions.sql import ACCESS_GROUP
 from colmask.session import work_folder
@@ -88,6 +89,13 @@ def mask_full(spark, sf_dir):
     return mask_table(people, {"lastname": "full", "ssn": "full", "npi": "full"})
 
 
+def mask_preserve(spark, sf_dir):
+    """Names, dates and numbers of orders and customers in their own form, and taken back with the key."""
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_acctbal").alias("balance"))
+    masked = mask_table(people, {"c_name": "preserve", "balance": "preserve"}, key=HASH_KEY)
+    return masked.withColumn("restored", restore_expr("c_name", f"'{HASH_KEY}'"))
+
+
 def mask_hash(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return mask_table(orders, {"o_custkey": "hash", "o_totalprice": "hash"}, key=HASH_KEY)
@@ -171,6 +179,29 @@ def _shape_sql(value):
     return rf"regexp_replace({lower}, '\p{{Nd}}', 'n', 'g')"
 
 
+def _preserved_sql(value):
+    """The network round by round: position lists of the two halves, and the other half's digest."""
+    key = HASH_KEY
+    digest = (
+        f"sha256('{key}' || sha256('{key}' || concat_ws('|', r, d, form, array_to_string(b, ''))))"
+    )
+    return f"""WITH RECURSIVE net AS (
+  SELECT c_custkey, 0 AS r, list_filter(k, lambda c, i: i % 2 = 1) AS a, list_filter(k, lambda c, i: i % 2 = 0) AS b, form, parts
+  FROM (SELECT c_custkey, regexp_extract_all(v, '[0-9A-Za-z]') AS k, string_split_regex(v, '[0-9A-Za-z]') AS parts,
+    translate(v, '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', '{"n" * 10}{"X" * 26}{"x" * 26}') AS form
+    FROM (SELECT c_custkey, {value} AS v FROM customer))
+  UNION ALL
+  SELECT c_custkey, r + 1, b, list_transform(a, lambda c, i: CASE
+      WHEN c <= '9' THEN chr((48 + (ascii(c) - 48 + f[i]) % 10)::INTEGER)
+      WHEN c <= 'Z' THEN chr((65 + (ascii(c) - 65 + f[i]) % 26)::INTEGER)
+      ELSE chr((97 + (ascii(c) - 97 + f[i]) % 26)::INTEGER) END), form, parts
+  FROM (SELECT *, list_transform(range(0, len(a)), lambda i:
+      ('0x' || substr(h[(i // 8 + 1)::INTEGER], ((i % 8) * 8 + 1)::INTEGER, 8))::BIGINT) AS f
+    FROM (SELECT *, list_transform(range(0, greatest(len(a) - 1, 0) // 8 + 1), lambda d: {digest}) AS h FROM net WHERE r < 10)))
+SELECT c_custkey, array_to_string(list_transform(parts, lambda p, i: p || coalesce(
+  CASE WHEN i % 2 = 1 THEN a[((i + 1) // 2)::INTEGER] ELSE b[(i // 2)::INTEGER] END, '')), '') AS masked FROM net WHERE r = 10"""
+
+
 def _hash_sql(value):
     return f"sha256('{HASH_KEY}' || sha256('{HASH_KEY}' || {value}))"
 
@@ -185,6 +216,7 @@ QUERIES |= {
     "mask_authorized": mask_authorized,
     "mask_sql_functions": mask_sql_functions,
     "mask_full": mask_full,
+    "mask_preserve": mask_preserve,
     "mask_hash": mask_hash,
     "mask_shape": mask_shape,
     "mask_token": mask_token,
@@ -202,6 +234,8 @@ ORACLES |= {
     "mask_authorized": f"WITH {d.SUBJECTS} SELECT subject_id, {_ALL} FROM subjects",
     "mask_sql_functions": f"WITH {d.SUBJECTS} SELECT subject_id, {_HIDDEN} FROM subjects",
     "mask_full": "SELECT c_custkey AS subject_id, '****' AS lastname, '****' AS ssn, '****' AS npi FROM customer",
+    "mask_preserve": f"""SELECT c_custkey, n.masked AS c_name, b.masked AS balance, c_name AS restored FROM customer
+JOIN ({_preserved_sql("c_name")}) AS n USING (c_custkey) JOIN ({_preserved_sql("CAST(c_acctbal AS VARCHAR)")}) AS b USING (c_custkey)""",
     "mask_hash": f"""SELECT o_orderkey, {_hash_sql('CAST(o_custkey AS VARCHAR)')} AS o_custkey,
 {_hash_sql('CAST(o_totalprice AS VARCHAR)')} AS o_totalprice FROM orders""",
     "mask_shape": f"SELECT doc_id, {_shape_sql('text')} AS text FROM documents",
