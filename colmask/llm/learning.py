@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,3 +36,30 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float)
         if np.abs(move).max() < 1e-6:
             break
     return beta
+
+
+def summed_rows(parts: DataFrame, kind: str) -> dict[int, np.ndarray]:
+    """Sums of equally long rows of numbers (``i int, row binary``) by their number ``i``.
+
+    Tasks give a row for each ``i`` they have, and the rows of one ``i`` stream through one task. For
+    few ``i`` and short rows: as many as a vector or a matrix of features has, however many documents there are.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(row, kind)
+                sums[i] = sums[i] + own if i in sums else own
+        if sums:
+            yield sum_batch(list(sums), [s.astype(kind) for s in sums.values()])
+
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    summed = parts.repartition(tasks, "i").mapInArrow(run, "i int, row binary")
+    return {r["i"]: np.frombuffer(bytes(r["row"]), kind) for r in summed.collect()}
+
+
+def sum_batch(numbers: list[int], rows: list[np.ndarray]) -> pa.RecordBatch:
+    """A task's part for ``summed_rows``."""
+    columns = [pa.array(numbers, pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["i", "row"])

@@ -9,24 +9,26 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colmask.llm.learning import fit_logistic, held_out, sigmoid
+from colmask.llm.batches import slices
+from colmask.llm.learning import fit_logistic, held_out, sigmoid, sum_batch, summed_rows
 from colmask.llm.rules import quality_labels
 from colmask.llm.words import split_words
+from colmask.session import stored
 
-#: The classifiers are fitted on at most this many labelled and unlabelled documents, drawn by a hash of their ids.
+#: The classifiers are fitted on at most this many labelled documents, drawn by a hash of their ids.
 LABELLED_SAMPLE = 6000
-UNLABELLED_SAMPLE = 6000
 ROUNDS = 4
-#: Of the unlabelled sample, the share that a view may label in a round,
-ROUND_SHARE = 0.05
+#: Of all unlabelled documents, a view labels in a round those it is surest of, this many,
+ROUND_ROWS = 300
 #: if it is at least this sure.
 SURE = 0.95
 #: A pseudo-label's weight next to a label's 1.
@@ -116,48 +118,49 @@ class CoTrained:
         return [sigmoid(o) for o in (*odds, joint)]
 
 
-def co_train(x: list[np.ndarray], y: np.ndarray, check: np.ndarray, pool: list[np.ndarray]) -> CoTrained:
-    """Co-train on features ``x`` (text, metadata) of labelled rows and ``pool`` of unlabelled ones.
+#: A document that a view is sure of: its key, the label, and its features of both views.
+Pick = tuple[int, float, np.ndarray, np.ndarray]
 
-    ``check`` marks labelled rows that only calibrate. Without rows of both kinds,
-    to fit and to calibrate, every score is the smoothed share of good rows.
+
+def shares(share: float) -> dict[float, int]:
+    """How many documents of each label a view picks in a round: as the labels suggest."""
+    return {1.0: math.ceil(ROUND_ROWS * share), 0.0: math.ceil(ROUND_ROWS * (1 - share))}
+
+
+def co_train(
+    x: list[np.ndarray],
+    y: np.ndarray,
+    check: np.ndarray,
+    frame: list[tuple[np.ndarray, np.ndarray]],
+    draw: Callable[[tuple[View, View], dict[float, int], list[set[int]]], list[list[Pick]]],
+) -> CoTrained:
+    """Co-train on features ``x`` (text, metadata) of labelled rows and on what ``draw`` picks from unlabelled ones.
+
+    ``frame`` has each view's means and deviations. ``draw(views, most, taken)`` gives for each view the
+    documents it is surest of, ``most`` of a label, without those whose keys are ``taken``. ``check`` marks labelled rows that
+    only calibrate. Without rows of both kinds, to fit and to calibrate, every score is the smoothed share of good rows.
     """
     share = (y.sum() + 1.5) / (len(y) + 2)
     prior = math.log(share / (1 - share)) if share < 1 else 30.0
     if len(set(y[~check])) < 2 or len(set(y[check])) < 2:
         return CoTrained(None, prior)
-    every = [np.concatenate(parts) if len(parts[1]) else parts[0] for parts in zip(x, pool)]
-    frame = [(e.mean(axis=0), e.std(axis=0) + 1e-6) for e in every]
-    # Pseudo-labels that each view learns from: row of the pool -> label.
-    given: list[dict[int, float]] = [{}, {}]
+    # Pseudo-labels that each view learns from, by key.
+    given: list[dict[int, Pick]] = [{}, {}]
 
     def fitted(v: int) -> View:
-        rows = np.fromiter(given[v], np.int64, len(given[v]))
-        features = np.concatenate([x[v][~check], pool[v][rows]])
-        labels = np.concatenate([y[~check], np.fromiter(given[v].values(), float, len(rows))])
-        weight = np.concatenate([np.ones((~check).sum()), np.full(len(rows), PSEUDO_WEIGHT)])
+        picks = list(given[v].values())
+        features = np.concatenate([x[v][~check], *(p[2 + v][None] for p in picks)])
+        labels = np.concatenate([y[~check], [p[1] for p in picks]])
+        weight = np.concatenate([np.ones((~check).sum()), np.full(len(picks), PSEUDO_WEIGHT)])
         return View.fit(features, labels, weight, *frame[v]).calibrated(x[v][check], y[check])
 
     exchanged = []
     for _ in range(ROUNDS):
-        new = []
+        found = draw((fitted(0), fitted(1)), shares(share), [set(given[1]), set(given[0])])
         for v in (0, 1):
-            if not len(pool[v]):
-                new.append(0)
-                continue
-            sure = sigmoid(fitted(v).log_odds(pool[v]))
-            other = given[1 - v]
-            added = 0
-            # As many of each kind as the labels suggest, the surest first; ties by row.
-            for label, part, chance in ((1.0, share, sure), (0.0, 1 - share, 1 - sure)):
-                most = math.ceil(ROUND_SHARE * len(pool[v]) * part)
-                best = np.argsort(-chance, kind="stable")
-                for row in [int(r) for r in best if chance[r] >= SURE and int(r) not in other][:most]:
-                    other[row] = label
-                    added += 1
-            new.append(added)
-        exchanged.append(tuple(new))
-        if not any(new):
+            given[1 - v].update((p[0], p) for p in found[v])
+        exchanged.append((len(found[0]), len(found[1])))
+        if not any(found):
             break
     views = (fitted(0), fitted(1))
     odds = [v.log_odds(part[check]) for v, part in zip(views, x)]
@@ -165,17 +168,6 @@ def co_train(x: list[np.ndarray], y: np.ndarray, check: np.ndarray, pool: list[n
     return CoTrained(views, prior, max(0.0, float(joint[1])), float(joint[0]), tuple(exchanged))
 
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
-
-def _views(batch: pa.RecordBatch) -> list[np.ndarray]:
-    texts = batch.column(1).cast(pa.binary())
-    meta = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
-    one = [text_view(t.as_py()) for t in texts]
-    two = [metadata_view(*m) for m in meta]
-    return [np.array(one), np.array(two)]
-
-
 def _needed(docs: DataFrame) -> DataFrame:
     """Id, text and metadata; a metadata column that the table lacks is null."""
     have = set(docs.columns)
@@ -185,41 +177,113 @@ def _needed(docs: DataFrame) -> DataFrame:
     )
 
 
-def train_quality(docs: DataFrame, labels: DataFrame) -> CoTrained:
-    """Co-train on bounded samples outside the held-out fold; every fifth sampled label only calibrates."""
-    known = quality_labels(labels).filter(~held_out()).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    mine = _needed(docs).filter(F.col("doc_id").isNotNull() & ~held_out())
-    free = mine.select("doc_id").distinct().join(known, "doc_id", "left_anti").withColumn("quality", F.lit(None).cast("int"))
-    drawn = known.orderBy(*order).limit(LABELLED_SAMPLE).unionByName(free.orderBy(*order).limit(UNLABELLED_SAMPLE))
-    # The drawn ids are bounded, so documents are looked up in them without a shuffle of texts.
-    rows = mine.join(F.broadcast(drawn), "doc_id").select(*COLUMNS, "quality")
+_WIDTHS = len(text_view(b"")), len(metadata_view(None, None, None))
+
+
+def _table(rows: Sequence, v: int) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, rows)), np.float32).reshape(-1, _WIDTHS[v]).astype(float)
+
+
+def quality_features(docs: DataFrame) -> DataFrame:
+    """``doc_id, held, key, one, two``: both views of every document as 32-bit numbers, and a hash of them; stored."""
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held boolean, key bigint, one binary, two binary"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            made = [[row.astype(np.float32).tobytes() for row in v] for v in _views(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(5), *[pa.array(m, pa.binary()) for m in made]],
-                names=["doc_id", "quality", "one", "two"],
-            )
+            for part, texts in slices(batch, 1):
+                one = [text_view(t).astype(np.float32).tobytes() for t in texts]
+                meta = zip(*(part.column(i).to_pylist() for i in (2, 3, 4)))
+                two = [metadata_view(*m).astype(np.float32).tobytes() for m in meta]
+                keys = np.array([xxhash.xxh64_intdigest(a + b) for a, b in zip(one, two)], np.uint64).view(np.int64)
+                columns = [part.column(0), part.column(5), pa.array(keys), pa.array(one, pa.binary()), pa.array(two, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held", "key", "one", "two"])
+
+    # Unknown ids are not learned from.
+    held = (F.col("doc_id").isNull() | held_out()).alias("held")
+    return stored(_needed(docs).select("*", held).mapInArrow(run, kind), "features")
+
+
+def _frames(features: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Means and deviations of both views over all documents."""
 
-    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, one binary, two binary"
-    made = rows.mapInArrow(run, kind).groupBy("doc_id", "quality").agg(F.min(F.struct("one", "two")).alias("made"))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = 0, [np.zeros(w) for w in _WIDTHS for _ in (1, 2)]
+        for batch in batches:
+            n += batch.num_rows
+            for v in (0, 1):
+                x = _table(batch.column(v).to_pylist(), v)
+                sums[2 * v] += x.sum(axis=0)
+                sums[2 * v + 1] += (x**2).sum(axis=0)
+        if n:
+            yield sum_batch(list(range(5)), [*sums, np.array([float(n)])])
+
+    found = summed_rows(features.select("one", "two").mapInArrow(run, "i int, row binary"), "<f8")
+    if not found:
+        return [(np.zeros(w), np.ones(w)) for w in _WIDTHS]
+    means = [found[2 * v] / found[4][0] for v in (0, 1)]
+    return [(m, np.sqrt(np.maximum(found[2 * v + 1] / found[4][0] - m**2, 0)) + 1e-6) for v, m in enumerate(means)]
+
+
+def surest(features: DataFrame, known: DataFrame):
+    """The ``draw`` of ``co_train`` over all documents that have no label and are not held out.
+
+    A pass over the features scores them and hands on keys of those a view is sure of; documents of equal features
+    count once, and equal chances go by key. Only the picks come to the driver.
+    """
+    free = features.filter(~F.col("held"))
+
+    def draw(views: tuple[View, View], most: dict[float, int], taken: list[set[int]]) -> list[list[Pick]]:
+        shared = features.sparkSession.sparkContext.broadcast((views, [np.array(sorted(t), np.int64) for t in taken]))
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            both, out = shared.value
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                keys = batch.column(1).to_numpy()
+                for v in (0, 1):
+                    chance = sigmoid(both[v].log_odds(_table(batch.column(2 + v).to_pylist(), v)))
+                    sure = np.flatnonzero((np.maximum(chance, 1 - chance) >= SURE) & ~np.isin(keys, out[v]))
+                    good = chance[sure] >= 0.5
+                    columns = [
+                        batch.column(0).take(pa.array(sure)), pa.array(keys[sure]), pa.array(np.full(len(sure), v, np.int32)),
+                        pa.array(good.astype(float)), pa.array(np.where(good, chance[sure], 1 - chance[sure])),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "v", "label", "chance"])
+
+        kind = f"doc_id {features.schema['doc_id'].dataType.simpleString()}, key bigint, v int, label double, chance double"
+        sure = free.select("doc_id", "key", "one", "two").mapInArrow(run, kind).join(known, "doc_id", "left_anti")
+        once = sure.groupBy("v", "label", "key").agg(F.max("chance").alias("chance"))
+        place = F.row_number().over(Window.partitionBy("v", "label").orderBy(F.col("chance").desc(), "key"))
+        enough = F.when(F.col("label") == 1.0, most[1.0]).otherwise(most[0.0])
+        picks = stored(once.withColumn("place", place).filter(F.col("place") <= enough), "picks")
+        # A few hundred picks for each view and label.
+        rows = free.select("key", "one", "two").join(F.broadcast(picks), "key")
+        rows = rows.groupBy("v", "label", "place", "key").agg(F.min(F.struct("one", "two")).alias("x")).collect()
+        out: list[list[Pick]] = [[], []]
+        for r in sorted(rows, key=lambda r: (r["v"], -r["label"], r["place"])):
+            out[r["v"]].append((r["key"], r["label"], _table([r["x"]["one"]], 0)[0], _table([r["x"]["two"]], 1)[0]))
+        return out
+
+    return draw
+
+
+def train_quality(features: DataFrame, labels: DataFrame) -> CoTrained:
+    """Co-train outside the held-out fold; every fifth sampled label only calibrates.
+
+    Labelled documents are a bounded sample, drawn by a hash of their ids; unlabelled ones all take part in every round.
+    """
+    known = quality_labels(labels).filter(~held_out()).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    there = known.join(features.select("doc_id"), "doc_id", "left_semi")
+    drawn = there.orderBy(F.xxhash64("doc_id"), F.col("doc_id")).limit(LABELLED_SAMPLE)
+    made = features.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct("one", "two")).alias("made"))
     sampled = sorted(
         made.select("doc_id", "quality", "made.*").collect(),  # a row for each drawn id at most
         key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]),
     )
-    parts = [[r for r in sampled if (r["quality"] is None) == unlabelled] for unlabelled in (False, True)]
-
-    def table(rows, name: str, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(bytes(r[name]) for r in rows), np.float32).reshape(-1, width).astype(float)
-
-    widths = len(text_view(b"")), len(metadata_view(None, None, None))
-    x, pool = ([table(rows, n, w) for n, w in zip(("one", "two"), widths)] for rows in parts)
-    y = np.array([float(r["quality"] != 0) for r in parts[0]])
-    return co_train(x, y, np.arange(len(y)) % 5 == 0, pool)
+    x = [_table([r[name] for r in sampled], v) for v, name in enumerate(("one", "two"))]
+    y = np.array([float(r["quality"] != 0) for r in sampled])
+    return co_train(x, y, np.arange(len(y)) % 5 == 0, _frames(features), surest(features, known))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -228,22 +292,23 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Scores are chances of quality 1; ``predicted`` is 1 from a half on. Labels are
     learned from outside the held-out fold only, and id and labels are no inputs of a score.
     Null and empty texts, and missing metadata, have features of their own. Repeated rows each get a
-    row, an empty table gives an empty result. Texts are read whole; nothing is
-    shuffled but the samples and their labels.
+    row, an empty table gives an empty result. Texts are read whole, once: their features are
+    stored. What is shuffled are keys of documents that a view is sure of, and labels.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(train_quality(docs, labels))
+    features = quality_features(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(train_quality(features, labels))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            made = shared.value.scores(_views(batch))
+            made = shared.value.scores([_table(batch.column(1 + v).to_pylist(), v) for v in (0, 1)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *map(pa.array, made)], names=["doc_id", "text_score", "metadata_score", "score"]
             )
 
     kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_score double, metadata_score double, score double"
-    return _needed(docs).mapInArrow(run, kind).select(
+    return features.select("doc_id", "one", "two").mapInArrow(run, kind).select(
         "doc_id",
         held_out().alias("held_out"),
         "text_score",

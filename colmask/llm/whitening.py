@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colmask.llm.learning import sum_batch, summed_rows
 from colmask.session import stored
 
 COMPONENTS = 4
@@ -58,23 +59,6 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<i8").reshape(-1, d)
 
 
-def _summed(parts: DataFrame, kind: str) -> dict[int, np.ndarray]:
-    """Sums of equally long rows of numbers by their number ``i``, of which there are as many as a vector has entries."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = np.frombuffer(row, kind)
-                sums[i] = sums[i] + own if i in sums else own
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["i", "row"])
-
-    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    summed = parts.repartition(tasks, "i").mapInArrow(run, "i int, row binary")
-    return {r["i"]: np.frombuffer(bytes(r["row"]), kind) for r in summed.collect()}
-
-
 def moments(fit: DataFrame, d: int) -> tuple[int, np.ndarray, np.ndarray]:
     """The number of vectors in ``fit`` (column ``_x``), their exact sums, and their covariance, centred before multiplying."""
     sums_kind, cov_kind = "<i8", "<f8"
@@ -86,10 +70,9 @@ def moments(fit: DataFrame, d: int) -> tuple[int, np.ndarray, np.ndarray]:
             x = _matrix(batch.column(0), d)
             n, low, high = n + len(x), low + (x & 0xFFFFFFFF).sum(axis=0), high + (x >> 32).sum(axis=0)
         if n:
-            rows = [np.array([n], sums_kind).tobytes(), low.astype(sums_kind).tobytes(), high.astype(sums_kind).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2], pa.int32()), pa.array(rows, pa.binary())], names=["i", "row"])
+            yield sum_batch([0, 1, 2], [np.array([n], sums_kind), low.astype(sums_kind), high.astype(sums_kind)])
 
-    found = _summed(fit.select("_x").mapInArrow(sums, "i int, row binary"), sums_kind)
+    found = summed_rows(fit.select("_x").mapInArrow(sums, "i int, row binary"), sums_kind)
     if not found:
         return 0, np.zeros(d, object), np.zeros((d, d))
     n = int(found[0][0])
@@ -101,11 +84,9 @@ def moments(fit: DataFrame, d: int) -> tuple[int, np.ndarray, np.ndarray]:
         for batch in batches:
             x = _matrix(batch.column(0), d) - mean
             held += x.T @ x
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(d), pa.int32()), pa.array([r.astype(cov_kind).tobytes() for r in held], pa.binary())], names=["i", "row"]
-        )
+        yield sum_batch(list(range(d)), [r.astype(cov_kind) for r in held])
 
-    rows = _summed(fit.select("_x").mapInArrow(products, "i int, row binary"), cov_kind)
+    rows = summed_rows(fit.select("_x").mapInArrow(products, "i int, row binary"), cov_kind)
     return n, total, np.stack([rows[i] for i in range(d)]) / n
 
 
