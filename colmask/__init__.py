@@ -10,8 +10,8 @@ from colmask.operators.control import (
     stale_columns,
     upsert_control,
 )
-from colmask.operators.discover import classify_columns, excluded_by_suffix
-from colmask.operators.grants import has_grant
+from colmask.operators.discover import classify_columns, classify_fields, excluded_by_suffix
+from colmask.operators.grants import group_closure, has_grant
 from colmask.operators.planning import (
     mask_plan,
     masked_columns_from_ddl,
@@ -19,6 +19,7 @@ from colmask.operators.planning import (
     unsupported,
     unsupported_messages,
 )
+from colmask.operators.rule_index import classify_indexed
 from colmask.operators.rules import Rule, default_rules, shadowed_rules
 from colmask.operators.tokens import extend_vault, tokenize
 from colmask.plans.apply import ApplyRun, apply_control, apply_views
@@ -41,6 +42,8 @@ __all__ = [
     "apply_control",
     "apply_views",
     "classify_columns",
+    "classify_fields",
+    "classify_indexed",
     "create_masked_view",
     "default_rules",
     "discover_catalog",
@@ -53,6 +56,7 @@ __all__ = [
     "flagged",
     "flagged_tables",
     "follow_control",
+    "group_closure",
     "has_grant",
     "mask_all",
     "mask_expr",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colmask.functions.names import base_type, find_column, quote_ident
+from colmask.functions.nested import leaves
 from colmask.functions.redact import MASK_FUNCTIONS, mask_sql, survives_redaction_sql, text_sql
 from colmask.operators.planning import masked_columns_from_ddl
 
@@ -78,6 +79,15 @@ def count_values(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
     return _by_column(name, df.selectExpr(*counts), columns, "n_values")
 
 
+def _same_sql(value: str, dtype: str, strategy: str) -> str:
+    """Whether a value comes through its mask unchanged."""
+    if strategy == "redact":
+        return survives_redaction_sql(value, dtype)
+    if strategy == "token":
+        return f"{text_sql(value)} RLIKE '^tok_[0-9]+$'"
+    return f"{mask_sql(value, dtype, strategy, key="''")} = {text_sql(value)}"
+
+
 def exposure_audit(
     name: str,
     df: DataFrame,
@@ -98,11 +108,32 @@ def exposure_audit(
     strategies = {find_column(df, c): strategy for c, strategy in strategies.items()}
     for i, (column, strategy) in enumerate(strategies.items()):
         value, dtype = quote_ident(column), types[column]
-        if strategy == "redact":
-            same = survives_redaction_sql(value, dtype)
-        elif strategy == "token":
-            same = f"{text_sql(value)} RLIKE '^tok_[0-9]+$'"
-        else:
-            same = f"{mask_sql(value, dtype, strategy, key="''")} = {text_sql(value)}"
+        same = _same_sql(value, dtype, strategy)
         counts += [f"count({value}) AS n_values{i}", f"count_if({same}) AS n_exposed{i}"]
     return _by_column(name, df.selectExpr(*counts), list(strategies), "n_values", "n_exposed")
+
+
+def fields_exposure(
+    name: str,
+    df: DataFrame,
+    strategies: Mapping[str, str] | None = None,
+    functions: Mapping[str, str] = MASK_FUNCTIONS,
+) -> DataFrame:
+    """``exposure_audit`` of the fields inside structs, arrays and maps too, by their paths.
+
+    Every value of an array or map counts on its own. ``strategies`` are by path of single fields.
+    """
+    found = {leaf.path.lower(): leaf for leaf in leaves(df.schema)}
+    if strategies is None:
+        strategies = {leaf.path: "redact" for leaf in found.values() if base_type(leaf.dtype) in functions}
+    missing = [path for path in strategies if path.lower() not in found]
+    if missing:
+        raise ValueError(f"no such field: {', '.join(missing)}")
+    counts = []
+    for i, (path, strategy) in enumerate(strategies.items()):
+        leaf = found[path.lower()]
+        same = _same_sql("_v", leaf.dtype, strategy)
+        for count, condition in (("n_values", "_v IS NOT NULL"), ("n_exposed", f"_v IS NOT NULL AND {same}")):
+            held = f"filter({leaf.values}, _v -> {condition})"
+            counts.append(f"coalesce(sum(coalesce(size({held}), 0)), 0) AS {count}{i}")
+    return _by_column(name, df.selectExpr(*counts), [found[p.lower()].path for p in strategies], "n_values", "n_exposed")

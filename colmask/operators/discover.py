@@ -17,7 +17,9 @@ from colmask.operators.rules import (
 )
 
 
-def _candidates(columns: DataFrame, rules: Sequence[Rule] | DataFrame | None, excluded: bool) -> DataFrame:
+def _candidates(
+    columns: DataFrame, rules: Sequence[Rule] | DataFrame | None, excluded: bool, also: Sequence[str] = ()
+) -> DataFrame:
     """Lowercased columns that a rule matches, with ``hit``: ``prio`` and ``keyword`` of the first such rule.
 
     The hit goes through ``explode`` so that the filter on it stays above
@@ -28,6 +30,7 @@ def _candidates(columns: DataFrame, rules: Sequence[Rule] | DataFrame | None, ex
         "Ordinal",
         F.lower("ColumnName").alias("ColumnName"),
         F.lower("DataType").alias("DataType"),
+        *also,
     )
     name, dtype = F.col("ColumnName"), F.col("DataType")
     if isinstance(rules, DataFrame):
@@ -42,7 +45,7 @@ def _candidates(columns: DataFrame, rules: Sequence[Rule] | DataFrame | None, ex
         hit = F.when(prio.isNotNull(), F.struct(prio.alias("prio"), F.get(words, prio).alias("keyword")))
     suffix = has_excluded_suffix(name)
     hit = F.when(suffix if excluded else ~suffix, hit)
-    kept = ["TableName", "Ordinal", "ColumnName", "DataType"]
+    kept = ["TableName", "Ordinal", "ColumnName", "DataType", *also]
     return lower.select(*kept, F.explode(F.array(hit)).alias("hit")).filter(F.col("hit").isNotNull())
 
 
@@ -69,6 +72,32 @@ def classify_columns(columns: DataFrame, rules: Sequence[Rule] | DataFrame | Non
     )
 
 
+def classify_fields(fields: DataFrame, rules: Sequence[Rule] | DataFrame | None = None) -> DataFrame:
+    """``classify_columns`` for an inventory that was made with ``nested``: one row per field, by its path.
+
+    A field counts if a rule matches its own name or a name around it, the nearest first: all of
+    ``address.line`` and ``ssn_history.element`` are found by their column. A field whose own name ends like one that
+    holds no personal data is left out, whatever is around it. Rules for texts look at the type of the field.
+    """
+    own = F.lower(F.get("Names", F.lit(0)))
+    named = fields.filter(~has_excluded_suffix(own)).select(
+        "TableName", "Ordinal", "DataType", F.lower("ColumnName").alias("_path"),
+        F.posexplode("Names").alias("_depth", "ColumnName"),
+    )
+    matched = _candidates(named, rules, excluded=False, also=("_path", "_depth"))
+    return (
+        matched.groupBy("TableName", "_path")
+        .agg(F.min(F.struct("_depth", "hit", "Ordinal", "DataType")).alias("best"))
+        .select(
+            "TableName",
+            F.col("best.hit.keyword").alias("PIICategory"),
+            F.col("_path").alias("ColumnName"),
+            F.col("best.DataType").alias("DataType"),
+            F.lit(True).alias("EncryptFlag"),
+        )
+    )
+
+
 def excluded_by_suffix(columns: DataFrame, rules: Sequence[Rule] | DataFrame | None = None) -> DataFrame:
     """Columns that a rule matches but whose name ending rules them out."""
     return _candidates(columns, rules, excluded=True).select(

@@ -129,6 +129,7 @@ def apply_views(
     temporary: bool = False,
     strict: bool = True,
     keep_unsupported: bool = False,
+    closure_table: str | None = None,
 ) -> ApplyRun:
     """Create or replace a masked view for every table with flagged columns.
 
@@ -145,11 +146,11 @@ def apply_views(
     log = RunLog(spark, log_path)
     for table, entries in by_table(mask_plan(control.flagged(), functions, strategies)):
         try:
-            columns, rows, unmasked = sort_out(spark.table(quote_table(table)), entries, functions)
+            columns, rows, unmasked = sort_out(spark.table(quote_table(table)), entries, functions, keep_unsupported)
             if columns:
                 create_masked_view(
                     spark, view(table), table, columns, grants_table, group, temporary, functions, key,
-                    () if keep_unsupported else unmasked,
+                    () if keep_unsupported else unmasked, closure_table,
                 )
         except Exception as error:
             rows = [(e["ColumnName"], "failed", str(error), e["strategy"]) for e in entries]

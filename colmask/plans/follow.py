@@ -217,7 +217,7 @@ def follow_control(
     runs: dict[str, FollowRun] = {}
     for table, entries in by_table(mask_plan(control.flagged(), functions, strategies)):
         try:
-            columns, rows, unmasked = sort_out(spark.table(quote_table(table)), entries, functions)
+            columns, rows, unmasked = sort_out(spark.table(quote_table(table)), entries, functions, keep_unsupported)
             if columns:
                 root, source_format, schema = table_source(spark, table)
                 runs[table] = MaskedCopy(spark, copy_path(table)).follow(

@@ -10,9 +10,11 @@ from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from colmask import schemas
 from colmask.functions.names import base_type, free_name, quote_ident, quote_table
+from colmask.functions.nested import OMIT, is_nested, leaves, masked_sql, path_part, paths
 from colmask.functions.redact import (
     MASK_FUNCTIONS,
     UnsupportedTypeError,
@@ -36,7 +38,8 @@ def mask_table(
     """``df`` as a reader sees it, with the given columns masked.
 
     ``columns`` lists names or maps names to strategies; names compare without
-    case. Masked columns are STRING, all others are as stored. It is one
+    case. A name may be the path of a field inside a struct, array or map, see ``colmask.functions.nested``; that
+    of a container with ``.*`` stands for all fields in it. Masked columns are STRING, all others are as stored. It is one
     projection: no shuffle, native expressions only, and a query that leaves
     masked columns out does not read them. Works on streams too.
 
@@ -46,12 +49,14 @@ def mask_table(
     strategy joins, with a ``vault`` that has all values (see
     ``extend_vault``); it is for copies, not for views.
     """
-    wanted = _by_lower_name(columns)
+    wanted = _by_path(df.schema, columns)
     _check_columns(df, wanted, functions)
-    tokens = [c for c in df.columns if wanted.get(c.lower()) == "token"]
+    tokens = [f.name for f in df.schema.fields if wanted.get(path_part(f.name).lower()) == "token"]
+    if sum(strategy == "token" for strategy in wanted.values()) > len(tokens):
+        raise ValueError("the token strategy is for whole columns")
     if tokens and (vault is None or authorized is not False):
         raise ValueError("the token strategy needs a vault and makes copies only")
-    types = df.dtypes
+    schema = df.schema
     if tokens:
         df = tokenize(df, tokens, vault)
 
@@ -68,16 +73,30 @@ def mask_table(
     if lookups:
         df = df.select("*", *lookups)
 
+    tokened = {path_part(name).lower() for name in tokens}
+    masks = {path: strategy for path, strategy in wanted.items() if path not in tokened}
+    return df.selectExpr(*_projection(schema, masks, authorized, key, functions))
+
+
+def _projection(schema, wanted, authorized, key, functions) -> list[str]:
+    """The columns of ``schema`` as SQL, with the fields at the ``wanted`` paths masked."""
+
+    def shown(value: str, dtype: str, strategy: str) -> str:
+        return shown_sql(value, dtype, authorized, strategy, key, functions)
+
     selected = []
-    for name, dtype in types:
-        ident = quote_ident(name)
-        if name.lower() in wanted and name not in tokens:
-            strategy = wanted[name.lower()]
-            shown = shown_sql(ident, dtype, authorized, strategy, key, functions)
-            selected.append(f"{shown} AS {ident}")
-        else:
-            selected.append(ident)
-    return df.selectExpr(*selected)
+    for field in schema.fields:
+        ident = quote_ident(field.name)
+        sql = masked_sql(ident, field.dataType, path_part(field.name), wanted, shown)
+        if sql is not None:
+            selected.append(ident if sql == ident else f"{sql} AS {ident}")
+    return selected
+
+
+def _by_path(schema, columns: Mapping[str, str] | Iterable[str]) -> dict[str, str]:
+    """Strategy by lowercase path; the name of a column counts as its path."""
+    names = {field.name.lower(): path_part(field.name).lower() for field in schema.fields}
+    return {names.get(name, name): strategy for name, strategy in _by_lower_name(columns).items()}
 
 
 def _by_lower_name(columns: Mapping[str, str] | Iterable[str]) -> dict[str, str]:
@@ -88,10 +107,23 @@ def _by_lower_name(columns: Mapping[str, str] | Iterable[str]) -> dict[str, str]
 
 
 def _check_columns(df: DataFrame, wanted: Mapping[str, str], functions: Mapping[str, str]) -> None:
-    missing = sorted(set(wanted) - {c.lower() for c in df.columns})
+    known = {path.lower(): (path, dtype) for path, dtype in paths(df.schema)}
+    whole = {f"{path}.*" for path, (_, dtype) in known.items() if is_nested(dtype)}
+    missing = sorted(set(wanted) - set(known) - whole)
     if missing:
         raise ValueError(f"no such column: {', '.join(missing)}")
-    bad = [c for c, t in df.dtypes if c.lower() in wanted and base_type(t) not in functions]
+
+    def strategy_of(path: str, dtype: DataType) -> str | None:
+        if path in wanted or is_nested(dtype):
+            return wanted.get(path)
+        around = [p for p in wanted if p.endswith(".*") and path.startswith(p[:-1])]
+        return wanted[max(around, key=len)] if around else None
+
+    bad = [
+        path
+        for lower, (path, dtype) in known.items()
+        if strategy_of(lower, dtype) not in (None, OMIT) and base_type(dtype.simpleString()) not in functions
+    ]
     if bad:
         raise UnsupportedTypeError(f"Unsupported data type(s) encountered for: {'; '.join(bad)}")
 
@@ -126,34 +158,25 @@ def create_masked_view(
     functions: Mapping[str, str] = MASK_FUNCTIONS,
     key: str | None = None,
     left_out: Iterable[str] = (),
+    closure_table: str | None = None,
 ) -> str:
     """A view over ``table`` that masks by who reads it; returns its SQL.
 
-    The reader is looked up in ``grants_table`` (principal, grp) once per
+    The reader is looked up in ``grants_table`` (principal, grp), and in ``closure_table`` for groups inside groups, once per
     query, so the view follows the grants and the table's rows. ``key`` is the SQL of a scalar subquery
     with the key of hashes, e.g. ``(SELECT key FROM gov.keys)``. Columns ``left_out`` are not in the
     view. Tokens need a copy. A view is no barrier for someone who
     can read the files; give those readers a masked copy instead.
     """
-    wanted = _by_lower_name(columns)
     source = spark.table(quote_table(table))
+    wanted = _by_path(source.schema, columns)
     _check_columns(source, wanted, functions)
     hidden = {c.lower() for c in left_out}
     granted, secret = free_name(source.columns, "_authorized"), free_name(source.columns, "_key")
-    selected = []
-    for name, dtype in source.dtypes:
-        ident = quote_ident(name)
-        if name.lower() in hidden:
-            continue
-        if name.lower() in wanted:
-            strategy = wanted[name.lower()]
-            shown = shown_sql(
-                ident, dtype, quote_ident(granted), strategy, None if key is None else quote_ident(secret), functions
-            )
-            selected.append(f"{shown} AS {ident}")
-        else:
-            selected.append(ident)
-    looked_up = f"{granted_sql(grants_table, group)} AS {quote_ident(granted)}"
+    wanted |= {path_part(c).lower(): OMIT for c in source.columns if c.lower() in hidden}
+    secret_ident = None if key is None else quote_ident(secret)
+    selected = _projection(source.schema, wanted, quote_ident(granted), secret_ident, functions)
+    looked_up = f"{granted_sql(grants_table, group, closure_table)} AS {quote_ident(granted)}"
     if key is not None:
         looked_up += f", {key} AS {quote_ident(secret)}"
     sql = (
@@ -242,8 +265,8 @@ def mask_all(
     def run(table: str, entries: list[Row]) -> list[tuple]:
         try:
             df = read(table)
-            columns, entries_log, unmasked = sort_out(df, entries, functions)
-            if any(e["due"] for e in entries if e["ColumnName"] in columns):
+            columns, entries_log, unmasked = sort_out(df, entries, functions, keep_unsupported)
+            if any(e["due"] for e in entries if columns.get(e["ColumnName"], OMIT) != OMIT):
                 masked = _masked_copy(df, columns, () if keep_unsupported else unmasked, key, functions, vault, one_at_a_time)
                 write(table, masked)
                 return entries_log
@@ -267,9 +290,15 @@ def mask_all(
     return frame
 
 
-def sort_out(df: DataFrame, entries: list[Row], functions: Mapping[str, str]):
-    """Strategy by column that can be masked, (column, status, error, strategy) of each entry, and the unsupported columns."""
-    types = {name.lower(): base_type(dtype) for name, dtype in df.dtypes}
+def sort_out(df: DataFrame, entries: list[Row], functions: Mapping[str, str], keep_unsupported: bool = False):
+    """Strategy by column that can be masked, (column, status, error, strategy) of each entry, and the unsupported columns.
+
+    Fields of unsupported types inside a column are not among those: they get the strategy that leaves them out, unless
+    ``keep_unsupported``.
+    """
+    types = {leaf.path.lower(): base_type(leaf.dtype) for leaf in leaves(df.schema)}
+    types |= {name.lower(): base_type(dtype) for name, dtype in df.dtypes}
+    plain = {name.lower() for name in df.columns}
     columns, unmasked, log = {}, set(), []
     for entry in entries:
         name, strategy = entry["ColumnName"], entry["strategy"]
@@ -278,7 +307,10 @@ def sort_out(df: DataFrame, entries: list[Row], functions: Mapping[str, str]):
             log.append((name, "failed", "no such column", strategy))
         elif entry["status"] == "unsupported" or dtype not in functions:
             shown = entry["DataType"] if entry["status"] == "unsupported" else dtype
-            unmasked.add(name.lower())
+            if name.lower() in plain:
+                unmasked.add(name.lower())
+            elif not keep_unsupported:
+                columns[name] = OMIT
             log.append((name, "failed", f"Unsupported data type: {shown}", strategy))
         else:
             columns[name] = strategy

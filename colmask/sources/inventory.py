@@ -6,9 +6,11 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from colmask import schemas
 from colmask.functions.names import qualified_name, quote_ident, quote_table
+from colmask.functions.nested import leaves
 
 # Namespaces that are never scanned, by their exact names. A
 # deployment adds its platform's internal catalogs.
@@ -16,29 +18,34 @@ EXCLUDED_CATALOGS = ("system", "samples", "hive_metastore")
 EXCLUDED_SCHEMAS = ("default", "information_schema", "test")
 
 
-def columns_inventory(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Name and type of every top-level column of the given tables."""
-    rows = [
-        (table, i, column, dtype)
-        for table, df in tables.items()
-        for i, (column, dtype) in enumerate(df.dtypes)
-    ]
-    return spark.createDataFrame(rows, schemas.COLUMNS)
+def _rows(table: str, schema: StructType, nested: bool) -> list[tuple]:
+    if nested:
+        return [(table, i, leaf.path, leaf.dtype, list(leaf.names)) for i, leaf in enumerate(leaves(schema))]
+    return [(table, i, field.name, field.dataType.simpleString()) for i, field in enumerate(schema.fields)]
+
+
+def columns_inventory(spark: SparkSession, tables: Mapping[str, DataFrame], nested: bool = False) -> DataFrame:
+    """Name and type of every top-level column of the given tables.
+
+    With ``nested``, of every field that holds no other fields: its path, its type and the names on its path.
+    """
+    rows = [row for table, df in tables.items() for row in _rows(table, df.schema, nested)]
+    return spark.createDataFrame(rows, schemas.FIELDS if nested else schemas.COLUMNS)
 
 
 def scan_tables(
-    spark: SparkSession, names: Iterable[str | tuple[str, str]], batch: int = 1000
+    spark: SparkSession, names: Iterable[str | tuple[str, str]], batch: int = 1000, nested: bool = False
 ) -> Iterator[tuple[DataFrame, DataFrame]]:
     """Inventory and run log of catalog tables, ``batch`` tables at a time.
 
-    A table that cannot be read is logged as failed and stops nothing. A pair
+    ``nested`` is that of ``columns_inventory``. A table that cannot be read is logged as failed and stops nothing. A pair
     (unit, error) among the names is logged as a failure as it is.
     """
     columns, log = [], []
 
     def frames():
         return (
-            spark.createDataFrame(columns, schemas.COLUMNS),
+            spark.createDataFrame(columns, schemas.FIELDS if nested else schemas.COLUMNS),
             spark.createDataFrame(log, schemas.RUN_LOG),
         )
 
@@ -47,12 +54,12 @@ def scan_tables(
             log.append((name[0], "failed", 0, name[1]))
         else:
             try:
-                dtypes = spark.table(quote_table(name)).dtypes
+                rows = _rows(name, spark.table(quote_table(name)).schema, nested)
             except Exception as error:
                 log.append((name, "failed", 0, str(error)))
             else:
-                columns += [(name, i, column, dtype) for i, (column, dtype) in enumerate(dtypes)]
-                log.append((name, "success", len(dtypes), None))
+                columns += rows
+                log.append((name, "success", len(rows), None))
         if len(log) == batch:
             yield frames()
             columns, log = [], []
@@ -61,16 +68,17 @@ def scan_tables(
 
 
 def write_inventory(
-    spark: SparkSession, names: Iterable[str | tuple[str, str]], path: str, batch: int = 1000
+    spark: SparkSession, names: Iterable[str | tuple[str, str]], path: str, batch: int = 1000, nested: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Scan catalog tables into two written tables; returns (inventory, run log)."""
-    spark.createDataFrame([], schemas.COLUMNS).write.mode("overwrite").parquet(f"{path}/columns")
+    columns_schema = schemas.FIELDS if nested else schemas.COLUMNS
+    spark.createDataFrame([], columns_schema).write.mode("overwrite").parquet(f"{path}/columns")
     spark.createDataFrame([], schemas.RUN_LOG).write.mode("overwrite").parquet(f"{path}/log")
-    for columns, log in scan_tables(spark, names, batch):
+    for columns, log in scan_tables(spark, names, batch, nested):
         columns.coalesce(1).write.mode("append").parquet(f"{path}/columns")
         log.coalesce(1).write.mode("append").parquet(f"{path}/log")
     return (
-        spark.read.schema(schemas.COLUMNS).parquet(f"{path}/columns"),
+        spark.read.schema(columns_schema).parquet(f"{path}/columns"),
         spark.read.schema(schemas.RUN_LOG).parquet(f"{path}/log"),
     )
 

@@ -290,3 +290,16 @@ DEAD = f"""dead AS (
 def mask_sql(value: str) -> str:
     text = f"CAST({value} AS VARCHAR)"
     return f"left({text}, 1) || repeat('*', greatest(length({text}) - 1, 0))"
+
+
+def nested_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as patients whose data stand inside structs, arrays and maps, some of them null."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS patient",
+        "CASE WHEN o_orderstatus <> 'P' THEN named_struct('lastname', o_orderpriority, 'home', "
+        "named_struct('home_city', o_orderstatus, 'zip_code', CAST(10000 + o_custkey AS INT), 'visits', 1)) END AS person",
+        "CASE WHEN o_custkey % 5 > 0 THEN array(CAST(o_custkey AS STRING), NULL, CAST(o_orderkey AS STRING)) END AS ssn_history",
+        "array(named_struct('kind', 'work', 'number', 100000 + o_custkey, 'row_id', 1), "
+        "named_struct('kind', o_orderstatus, 'number', o_orderkey, 'row_id', 2)) AS phones",
+        "map(o_orderpriority, o_totalprice, 'none', NULL) AS license_by_state",
+    )
