@@ -336,6 +336,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     at least a window. Every shard reports its longest match of an item, and the
     longest of those is kept; ties go to the smallest document id and place.
     """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     out = None
     for bench in _blocks(benchmark, window, BLOCK_BYTES):
         shared = docs.sparkSession.sparkContext.broadcast(bench)
@@ -350,12 +351,12 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         if owner not in best or n > best[owner][2]:
                             best[owner] = (held.names[owner], start, n, ids[first + doc].as_py(), place)
                     columns = list(zip(*best.values())) or [[]] * 5
-                    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                    kinds = (pa.string(), pa.int64(), pa.int64(), ids.type, pa.int64())
                     names = ["item_id", "item_word", "n_words", "doc_id", "doc_word"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-        rows = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-            run, "item_id string, item_word bigint, n_words bigint, doc_id bigint, doc_word bigint"
+        rows = docs.select("doc_id", "text").mapInArrow(
+            run, f"item_id string, item_word bigint, n_words bigint, doc_id {id_type}, doc_word bigint"
         )
         out = rows if out is None else out.unionByName(rows)
     first = F.struct((-F.col("n_words")).alias("order"), "doc_id", "doc_word", "item_word", "n_words")

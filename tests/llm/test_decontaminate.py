@@ -60,6 +60,10 @@ def test_longest_matches(spark):
     docs = docs_frame(spark, [(1, "x " + " ".join(parts[3:15])), (2, "y z " + " ".join(parts[10:29])), (3, "b1 b2")])
     got = d.longest_matches(docs, spark.createDataFrame([(7, item), (8, "q " * 12)], ITEMS))
     assert rows(got) == [("7", 10, 19, 2, 2)]
+    named = docs.selectExpr("concat('doc-', doc_id) AS doc_id", "text")
+    got = d.longest_matches(named, spark.createDataFrame([(7, item)], ITEMS))
+    assert rows(got) == [("7", 10, 19, "doc-2", 2)]
+    assert d.longest_matches(named, spark.createDataFrame([], ITEMS)).count() == 0
 
 
 def test_odd_rows(spark):
