@@ -19,6 +19,8 @@ from colmask.session import stored
 HEX_DIGITS = 13
 #: Hex digits of the order key that make a numbering bucket: 4,096 buckets a shard.
 BUCKET_DIGITS = 3
+#: Slots in one array while equal rows are unfolded.
+UNFOLDED = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -123,7 +125,8 @@ def assign_shards(
     Only five narrow columns are shuffled. Equal rows are counted before the
     shuffle and unfolded after it, and numbering works on 4,096 hash buckets a
     shard, whose counts (shards x 4,096 rows at most) give the offsets, so no
-    task sees a whole shard.
+    task sees a whole shard. Equal rows are unfolded in ranges of ``UNFOLDED`` slots, so however many there
+    are, no array holds them all.
     """
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("bigint") + 8
     rows = docs.select(
@@ -151,9 +154,13 @@ def assign_shards(
     return (
         same.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0)))
         .join(offsets, ["shard", "_bucket"])
+        .select(
+            "doc_id", "size", "text_crc32", "shard", "grown_shard", (first + F.col("_n")).alias("_end"),
+            F.explode(F.sequence(first, first + F.col("_n") - 1, F.lit(UNFOLDED))).alias("_start"),
+        )
         .select(
             "doc_id", "size", "text_crc32", "shard", "grown_shard",
-            F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("slot"),
+            F.explode(F.sequence("_start", F.least(F.col("_start") + UNFOLDED, "_end") - 1)).alias("slot"),
         )
     )
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from colmask.llm.sharding import ORACLES, assign_shards, layout, op10_shards
+from colmask.llm.sharding import ORACLES, UNFOLDED, assign_shards, layout, op10_shards
 from tests.conftest import rows
 from tests.llm.helpers import SF_DIR, duck, no_docs, odd_docs, same_as_sql
 
@@ -76,3 +76,12 @@ def test_a_third_of_all_rows_alike(spark):
         slots = sorted(r["slot"] for r in got.filter(F.col("shard") == shard).collect())
         assert slots == list(range(len(slots)))
     assert got.count() == 600
+
+
+def test_equal_rows_beyond_one_range(spark):
+    n = 2 * UNFOLDED + 1
+    docs = many(spark, 50).unionAll(spark.range(n).select(F.lit(-5).cast("bigint"), F.lit("t")))
+    got = assign_shards(docs, layout(3, base=3), layout(4, base=3))
+    assert got.filter("doc_id = -5").count() == n and got.count() == n + 50
+    spans = got.groupBy("shard").agg(F.min("slot"), F.max("slot") + 1, F.countDistinct("slot"), F.count(F.lit(1)))
+    assert all(first == 0 and end == distinct == count for _, first, end, distinct, count in spans.collect())
