@@ -11,6 +11,8 @@ from colmask.session import stored
 
 #: Letters of a piece; shorter keywords are a piece of their own.
 PIECE = 3
+#: Rules with at most so many bytes of keywords, and 64 more for each, are broadcast; more are joined by shuffles.
+BROADCAST_BYTES = 1 << 20
 
 
 def pieces(text: Column, lengths: list[int]) -> Column:
@@ -35,12 +37,25 @@ def classify_indexed(columns: DataFrame, rules: DataFrame) -> DataFrame:
     ``classify_columns``; a null keyword matches nothing. Without rules or without columns there is no row.
     """
     name, dtype = F.lower("ColumnName"), F.lower("DataType")
-    lower = columns.select(
-        "TableName", "Ordinal", name.alias("ColumnName"), dtype.alias("DataType"), (dtype == "string").alias("_text")
-    ).filter(~has_excluded_suffix(F.col("ColumnName")))
+    # Equal columns of a table meet the same rules: they are merged before anything else moves.
+    lower = (
+        columns.select("TableName", "Ordinal", name.alias("ColumnName"), dtype.alias("DataType"))
+        .filter(~has_excluded_suffix(F.col("ColumnName")))
+        .groupBy("TableName", "ColumnName", "DataType")
+        .agg(F.min("Ordinal").alias("Ordinal"))
+        .withColumn("_text", F.col("DataType") == "string")
+    )
+    lower = stored(lower, "columns")
     names = stored(lower.select("ColumnName", "_text").distinct(), "names")
 
-    rules = stored(rules.select("prio", F.lower("keyword").alias("keyword"), "mode", "string_only").filter("keyword IS NOT NULL").distinct(), "rules")
+    rules = rules.select("prio", F.lower("keyword").alias("keyword"), "mode", "string_only").filter("keyword IS NOT NULL")
+    rules = stored(rules.distinct(), "rules")
+    size = rules.agg(F.coalesce(F.sum(F.octet_length("keyword") + 64), F.lit(0))).first()[0]
+
+    def of_bounded_size(df: DataFrame) -> DataFrame:
+        """A frame of at most one row per letter of the rules: sent to all tasks if the rules are small."""
+        return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
     length = F.least(F.length("keyword"), F.lit(PIECE))
     lengths = sorted(r["n"] for r in rules.select(length.alias("n")).distinct().collect())  # four at most
     if not lengths:
@@ -49,7 +64,8 @@ def classify_indexed(columns: DataFrame, rules: DataFrame) -> DataFrame:
     of_rules = rules.select("keyword").distinct().select("keyword", F.explode(own).alias("_piece"))
     of_names = names.select("*", F.explode(pieces(F.col("ColumnName"), lengths)).alias("_piece"))
 
-    counts = of_names.join(of_rules.select("_piece").distinct(), "_piece", "left_semi").groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    known = of_names.join(of_bounded_size(of_rules.select("_piece").distinct()), "_piece", "left_semi")
+    counts = known.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
     # A keyword with a piece that no name has is in no name: it needs no place in the index.
     filed = (
         of_rules.join(counts, "_piece", "left")
@@ -62,9 +78,9 @@ def classify_indexed(columns: DataFrame, rules: DataFrame) -> DataFrame:
     edge = of.startswith(word) | of.endswith(word)
     found = F.when(F.col("mode") == "edge", edge).otherwise(of.contains(word))
     met = (
-        of_names.join(filed, "_piece")
+        of_names.join(of_bounded_size(filed), "_piece")
         .filter(of.contains(word))
-        .join(rules, "keyword")
+        .join(of_bounded_size(rules), "keyword")
         .filter(found & (~F.col("string_only") | F.col("_text")))
     )
     first = met.groupBy("ColumnName", "_text").agg(F.min(F.struct("prio", "keyword")).alias("hit"))

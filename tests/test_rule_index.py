@@ -5,6 +5,7 @@ import random
 import pytest
 
 from colmask import classify_columns, classify_indexed, group_closure, has_grant, mask_table, register_mask_functions
+from colmask.operators import rule_index
 from colmask.plans.mask import create_masked_view
 from tests.conftest import rows
 
@@ -12,8 +13,10 @@ RULES = "prio int, keyword string, mode string, string_only boolean"
 COLUMNS = "TableName string, Ordinal int, ColumnName string, DataType string"
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_equals_scan(spark, seed):
+@pytest.mark.parametrize("seed", range(2))
+def test_equals_scan(spark, seed, monkeypatch):
+    if seed == 1:
+        monkeypatch.setattr(rule_index, "BROADCAST_BYTES", 0)
     draw = random.Random(seed)
 
     def word(low, high):
