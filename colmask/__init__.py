@@ -27,8 +27,8 @@ from colmask.plans.discover import discover_catalog, discover_frames, discover_t
 from colmask.plans.follow import FollowRun, MaskedCopy, follow_control
 from colmask.plans.mask import MaskRunError, create_masked_view, mask_all, mask_table, write_masked
 from colmask.session import drop_work_folders
-from colmask.sources.versions import ControlTable, Vault
-from colmask.streaming.masked_stream import write_masked_stream
+from colmask.sources.versions import ControlTable, StreamedCopy, Vault
+from colmask.streaming.masked_stream import write_masked_stream, write_tokenized_stream
 
 __all__ = [
     "ApplyRun",
@@ -37,6 +37,7 @@ __all__ = [
     "MaskRunError",
     "MaskedCopy",
     "Rule",
+    "StreamedCopy",
     "UnsupportedTypeError",
     "Vault",
     "apply_control",
@@ -74,4 +75,5 @@ __all__ = [
     "upsert_control",
     "write_masked",
     "write_masked_stream",
+    "write_tokenized_stream",
 ]

@@ -12,17 +12,31 @@ from colmask.operators.joins import default_share, hot_keys, skew_join
 from colmask.operators.numbering import number_rows
 
 
-def new_tokens(vault: DataFrame, df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+def _values(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """The distinct values of the columns, in one pass; made distinct before they are shuffled."""
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    texts = [F.col(quote_ident(find_column(df, c))).cast("string") for c in columns]
+    return df.select(F.explode(F.array(*texts)).alias("value")).filter("value IS NOT NULL").distinct()
+
+
+def known_tokens(vault: DataFrame, df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """The rows of ``vault`` for the values of the columns.
+
+    Few values are broadcast by Spark's own estimate of their size, and the vault, however large, is not shuffled.
+    """
+    return vault.join(_values(df, columns), "value", "left_semi")
+
+
+def new_tokens(
+    vault: DataFrame, df: DataFrame, columns: str | Sequence[str], known: DataFrame | None = None
+) -> DataFrame:
     """Tokens for the values of the columns that ``vault`` (value, token) does not have.
 
     One pass over ``df`` whatever the number of columns. Values are made
     distinct before they are shuffled to the vault, so a frequent value costs
-    one row per task.
+    one row per task. ``known`` are the ``known_tokens``, if there are any at hand: the values then meet these only.
     """
-    columns = [columns] if isinstance(columns, str) else list(columns)
-    texts = [F.col(quote_ident(find_column(df, c))).cast("string") for c in columns]
-    values = df.select(F.explode(F.array(*texts)).alias("value")).filter("value IS NOT NULL")
-    fresh = values.distinct().join(vault, "value", "left_anti")
+    fresh = _values(df, columns).join(vault if known is None else known, "value", "left_anti")
     after = F.coalesce(vault.agg(F.max("token")).scalar(), F.lit(0))
     return number_rows(fresh, ["value"], "token", after=after)
 

@@ -9,7 +9,8 @@ from colmask.functions.preserve import restore_expr
 from colmask.functions.redact import MASK_FUNCTIONS
 from colmask.functions.sql import ACCESS_GROUP
 from colmask.session import work_folder
-from colmask.streaming.masked_stream import write_masked_stream
+from colmask.sources.versions import StreamedCopy
+from colmask.streaming.masked_stream import write_masked_stream, write_tokenized_stream
 from entry_queries import derived as d
 from entry_queries.derived import mask_sql, table
 
@@ -173,6 +174,33 @@ def mask_stream(spark, sf_dir):
     return spark.read.schema(mask_table(source, columns).schema).parquet(f"{folder}/rows")
 
 
+def mask_stream_token(spark, sf_dir):
+    """Events through a stream that gives users tokens as they come, in two runs; read back from its copy."""
+    events = table(spark, sf_dir, "events")
+    root = work_folder(spark, "tokenized-stream")
+    columns = {"user_id": "token", "value": "token", "props": "redact"}
+    for part in (0, 1):
+        events.filter(F.pmod("event_id", F.lit(2)) == part).write.mode("append").parquet(f"{root}/source")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/source")
+        write_tokenized_stream(
+            stream, columns, f"{root}/copy", f"{root}/state", Vault(spark, f"{root}/vault")
+        ).awaitTermination()
+    return StreamedCopy(spark, f"{root}/copy").read()
+
+
+MASK_STREAM_TOKEN_SQL = f"""WITH held AS (
+  SELECT event_id % 2 AS part, unnest([CAST(user_id AS VARCHAR), CAST(value AS VARCHAR)]) AS value FROM events),
+first AS (
+  SELECT value, row_number() OVER (ORDER BY md5(value), value) AS token
+  FROM (SELECT DISTINCT value FROM held WHERE part = 0 AND value IS NOT NULL)),
+more AS (
+  SELECT value, row_number() OVER (ORDER BY md5(value), value) + (SELECT max(token) FROM first) AS token
+  FROM (SELECT DISTINCT value FROM held WHERE part = 1 AND value IS NOT NULL AND value NOT IN (SELECT value FROM first))),
+vault AS (SELECT value, 'tok_' || token AS token FROM first UNION ALL SELECT value, 'tok_' || token FROM more)
+SELECT event_id, ts, u.token AS user_id, event_type, v.token AS value, {mask_sql("props")} AS props
+FROM events LEFT JOIN vault u ON u.value = CAST(user_id AS VARCHAR) LEFT JOIN vault v ON v.value = CAST(events.value AS VARCHAR)"""
+
+
 def _shape_sql(value):
     upper = rf"regexp_replace({value}, '\p{{Lu}}', 'X', 'g')"
     lower = rf"regexp_replace({upper}, '\p{{Ll}}', 'x', 'g')"
@@ -223,6 +251,7 @@ QUERIES |= {
     "mask_token_skewed": mask_token_skewed,
     "mask_by_category": mask_by_category,
     "mask_stream": mask_stream,
+    "mask_stream_token": mask_stream_token,
 }
 
 _ALL = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in TYPE_COLUMNS.values())
@@ -243,6 +272,7 @@ JOIN ({_preserved_sql("c_name")}) AS n USING (c_custkey) JOIN ({_preserved_sql("
     "mask_token_skewed": MASK_TOKEN_SKEWED_SQL,
     "mask_by_category": f"""WITH {d.SUBJECTS} SELECT subject_id, {_shape_sql('lastname')} AS lastname,
 {_hash_sql('ssn')} AS ssn, '****' AS home_city, {mask_sql('dob')} AS dob FROM subjects""",
+    "mask_stream_token": MASK_STREAM_TOKEN_SQL,
     "mask_stream": "SELECT event_id, ts, "
     + ", ".join(f"{mask_sql(c)} AS {c}" for c in ("user_id", "event_type", "value", "props"))
     + " FROM events",
