@@ -26,6 +26,7 @@ from colmask.plans.apply import ApplyRun, apply_control, apply_views
 from colmask.plans.discover import discover_catalog, discover_frames, discover_table
 from colmask.plans.follow import FollowRun, MaskedCopy, follow_control
 from colmask.plans.mask import MaskRunError, create_masked_view, mask_all, mask_table, write_masked
+from colmask.plans.rescan import Rescan, Snapshot, discover_changes, rescan_catalog
 from colmask.session import drop_work_folders
 from colmask.sources.versions import ControlTable, StreamedCopy, Vault
 from colmask.streaming.masked_stream import write_masked_stream, write_tokenized_stream
@@ -36,7 +37,9 @@ __all__ = [
     "FollowRun",
     "MaskRunError",
     "MaskedCopy",
+    "Rescan",
     "Rule",
+    "Snapshot",
     "StreamedCopy",
     "UnsupportedTypeError",
     "Vault",
@@ -48,6 +51,7 @@ __all__ = [
     "create_masked_view",
     "default_rules",
     "discover_catalog",
+    "discover_changes",
     "discover_frames",
     "discover_table",
     "drop_work_folders",
@@ -67,6 +71,7 @@ __all__ = [
     "pending_columns",
     "prune_control",
     "register_mask_functions",
+    "rescan_catalog",
     "shadowed_rules",
     "stale_columns",
     "tokenize",
