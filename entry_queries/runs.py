@@ -11,6 +11,7 @@ from colmask import (
     ControlTable,
     MaskedCopy,
     MaskRunError,
+    Rule,
     apply_control,
     apply_views,
     classify_columns,
@@ -181,32 +182,25 @@ def definitions_all(spark, sf_dir):
 
 
 def apply_failures(spark, sf_dir):
-    """What a strict run says of a column of an unsupported type and of one that is gone."""
-    register(spark, sf_dir, ["embeddings", "nation"])
+    """What a strict run says of a column of an unsupported type, and of one that went after it was found.
+
+    With the rows of the table whose other column was masked all the same.
+    """
+    register(spark, sf_dir, ["embeddings", "orders"])
     control = ControlTable(spark, work_folder(spark, "control"))
-    rows = table(spark, sf_dir, "nation").limit(1).select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f"{PREFIX}.{t}").alias("TableName"), F.lit("x").alias("PIICategory"),
-                        F.lit(c).alias("ColumnName"), F.lit(k).alias("DataType"), F.lit(True).alias("EncryptFlag"),
-                    )
-                    for t, c, k in (
-                        ("embeddings", "embedding", "array<float>"), ("nation", "gone", "string"), ("nation", "n_name", "string"),
-                    )
-                ]
-            )
-        ).alias("row")
-    )
-    control.replace(rows.select("row.*").withColumn("Id", F.lit(0).cast("bigint")))
+    control.create()
+    rules = [*TABLE_RULES, Rule("embedding")]
+    discover_catalog(spark, control, rules, names=stored_tables(spark, _namespaces(spark)))
+    rest = table(spark, sf_dir, "orders").drop("o_orderdate").schema.toDDL()
+    spark.sql(f"DROP TABLE {SCHEMA}.orders")
+    spark.sql(f"CREATE TABLE {SCHEMA}.orders ({rest}) USING parquet OPTIONS (path '{sf_dir}/orders.parquet')")
     root = work_folder(spark, "failures")
     try:
         apply_control(spark, control, lambda t, df: df.write.parquet(f"{root}/{t}"), f"{root}/logs", functions=FUNCTIONS)
     except MaskRunError as error:
-        return spark.read.parquet(error.messages).crossJoin(
-            spark.read.parquet(f"{root}/{PREFIX}.nation").agg(F.count(F.lit(1)).alias("n_written"))
-        )
+        written = spark.read.parquet(f"{root}/{PREFIX}.orders")
+        counted = F.count(F.lit(1)).alias("n_written"), F.count_if(F.col("o_totalprice").endswith("*")).alias("n_masked")
+        return spark.read.parquet(error.messages).crossJoin(written.agg(*counted))
     raise AssertionError("a strict run with failures must raise")
 
 
@@ -305,9 +299,10 @@ ORACLES = {
     "CAST(o_orderdate AS VARCHAR) AS o_orderdate FROM orders "
     f"UNION ALL SELECT 'closed', o_orderkey, {_HASHED}, {mask_sql('o_orderdate')} FROM orders",
     "definitions_run": f"SELECT TableName, true AS is_definition, 'success' AS status, 0::BIGINT AS n_masked, n_rows FROM ({_COUNTS})",
-    "apply_failures": f"""SELECT kind, 0::BIGINT AS line, 1::BIGINT AS n_columns, message, n_written
+    "apply_failures": f"""SELECT kind, 0::BIGINT AS line, 1::BIGINT AS n_columns, message, n_written, n_masked
 FROM (VALUES ('Unsupported data type(s) encountered for', '{PREFIX}.embeddings.embedding'),
-  ('Failed for other reasons', '{PREFIX}.nation.gone')) AS v(kind, message), (SELECT count(*) AS n_written FROM nation)""",
+  ('Failed for other reasons', '{PREFIX}.orders.o_orderdate')) AS v(kind, message),
+  (SELECT count(*) AS n_written, count(*) FILTER (WHERE length(CAST(o_totalprice AS VARCHAR)) > 1) AS n_masked FROM orders)""",
     "mask_decimal_wide": f"SELECT o_orderkey, {mask_sql('CAST(o_totalprice AS DECIMAL(12,4))')} AS amount FROM orders",
     "classify_rules_table": """WITH rules AS (
   SELECT keyword, min(item_id)::INTEGER AS prio
