@@ -29,7 +29,7 @@ FILES_AT_ONCE = 10_000
 MANIFEST = "path string, file bigint, folder string"
 
 
-def _file_id() -> Column:
+def file_id() -> Column:
     """A file as it is now: another size or time makes it another file."""
     return F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
 
@@ -37,7 +37,7 @@ def _file_id() -> Column:
 def source_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, file`` of every data file under ``root``; the files are listed, not read."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return listed.filter(F.col("length") > 0).select("path", _file_id().alias("file"))
+    return listed.filter(F.col("length") > 0).select("path", file_id().alias("file"))
 
 
 @dataclass(frozen=True)
@@ -145,9 +145,9 @@ class MaskedCopy:
     def _mask(self, new, root, schema, shown, mark, columns, out, files_at_once, source_format, options) -> int:
         """Write the masked rows of new files, ``files_at_once`` in a job; returns the number of files."""
         count = 0
-        for paths in _parts((r["path"] for r in new.toLocalIterator()), files_at_once):
+        for paths in in_parts((r["path"] for r in new.toLocalIterator()), files_at_once):
             rows = self.spark.read.format(source_format).schema(schema).option("basePath", root).load(paths)
-            rows = rows.select(*map(quote_ident, shown), _file_id().alias(mark))
+            rows = rows.select(*map(quote_ident, shown), file_id().alias(mark))
             mask_table(rows, columns, **options).write.mode("append").parquet(out)
             count += len(paths)
         if count:
@@ -171,7 +171,7 @@ class MaskedCopy:
         return dropped
 
 
-def _parts(values: Iterable[str], size: int) -> Iterator[list[str]]:
+def in_parts(values: Iterable[str], size: int) -> Iterator[list[str]]:
     rest = iter(values)
     while part := list(islice(rest, size)):
         yield part

@@ -17,3 +17,4 @@ MASK_LOG = (
 )
 RUN_LOG = "unit string, status string, n_columns bigint, error string"
 VAULT = "value string, token bigint"
+SKETCHES = "TableName string, Columns string, unit string, theta bigint, hash bigint, n bigint"
