@@ -53,7 +53,7 @@ def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(c_acctbal AS FLOAT) AS race_score",
         "CAST(c_acctbal AS DECIMAL(10,2)) AS medicare_amt",
         "date_add(DATE'1940-01-01', CAST(c_custkey % 20000 AS INT)) AS dob",
-        "timestampadd(SECOND, CAST(c_custkey AS INT) * 3601, TIMESTAMP'2020-01-01 00:00:00') AS doa",
+        "timestampadd(SECOND, CAST(c_custkey AS BIGINT) * 3601, TIMESTAMP'2020-01-01 00:00:00') AS doa",
         "c_acctbal > 0 AS license_active",
         "c_nationkey = 3 AS ssn_flag",
     )

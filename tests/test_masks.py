@@ -13,6 +13,7 @@ from colmask.functions.redact import (
     text_sql,
 )
 from colmask.operators.audit import exposure_audit
+from entry_queries import masks
 from tests.conftest import rows
 
 EXAMPLES = [
@@ -172,3 +173,17 @@ def test_masked_text_is_as_long_as_the_stored_text(spark):
             masked = F.char_length(mask_expr(column, dtype, functions=functions))
             text = F.char_length(F.col(column).cast("string"))
             assert df.filter(~masked.eqNullSafe(text)).isEmpty(), (name, column)
+
+
+@pytest.mark.parametrize("name", ["mask_timestamp", "mask_authorized", "mask_sql_functions"])
+def test_queries_take_large_customer_keys(spark, tmp_path, name):
+    customer = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    people = [(596_523, "a", 1, 1.0, "x"), (900_000, "b", 1, 2.0, "x"), (None, "d", 1, 4.0, "x")]
+    spark.createDataFrame(people, customer).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([("s", -1.0)], "s_name string, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = masks.QUERIES[name](spark, str(tmp_path))
+    shown = {r["subject_id"]: r["masked" if name == "mask_timestamp" else "doa"] for r in got.collect()}
+    if name == "mask_authorized":
+        assert shown == {596_523: "2088-01-26 00:42:03", 900_000: "2122-09-13 10:00:00", None: None}
+    else:
+        assert shown == {596_523: "2" + "*" * 18, 900_000: "2" + "*" * 18, None: None}
