@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colmask.operators.joins import skew_join
+from colmask.operators.joins import shuffled, skew_join
 from colmask.operators.numbering import number_rows
 from colmask.session import stored
 
@@ -51,7 +51,7 @@ def merge_control(control: DataFrame, matches: DataFrame, keep_flag: bool = True
         flag = F.when(found, F.col("_flag")).otherwise(flag)
     kept = (
         _keyed(control)
-        .join(new, _KEY, "left")
+        .join(shuffled(new), _KEY, "left")
         .select(
             "Id",
             "TableName",
@@ -61,7 +61,7 @@ def merge_control(control: DataFrame, matches: DataFrame, keep_flag: bool = True
             flag.alias("EncryptFlag"),
         )
     )
-    fresh = _keyed(matches).join(_keyed(control).select(*_KEY), _KEY, "left_anti").drop(*_KEY)
+    fresh = _keyed(matches).join(shuffled(_keyed(control).select(*_KEY)), _KEY, "left_anti").drop(*_KEY)
     return kept.unionByName(assign_ids(fresh, control, after))
 
 
@@ -95,4 +95,4 @@ def duplicate_keys(control: DataFrame) -> DataFrame:
 def stale_columns(control: DataFrame, columns: DataFrame) -> DataFrame:
     """Control rows whose column is no longer in the inventory."""
     known = _keyed(columns).select(*_KEY)
-    return _keyed(control).join(known, _KEY, "left_anti").select(*control.columns)
+    return _keyed(control).join(shuffled(known), _KEY, "left_anti").select(*control.columns)

@@ -26,6 +26,15 @@ def default_share(spark: SparkSession) -> float:
     return min(0.01, 1 / int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def shuffled(right: DataFrame) -> DataFrame:
+    """The right side of a join that must be shuffled whatever Spark takes its size for.
+
+    Spark knows the size of the files, not how many rows come of each of theirs: an inventory, made of a row a table,
+    would be broadcast and collected in the driver.
+    """
+    return right.hint("merge")
+
+
 def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], share: float) -> list[list[int]]:
     """For each set of key columns, the hashes of keys that own at least ``share`` of the rows.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from colmask.functions.names import base_type_column
 from colmask.functions.redact import MASK_FUNCTIONS
 from colmask.operators.control import flagged
+from colmask.operators.joins import shuffled
 from colmask.operators.numbering import number_rows
 
 
@@ -48,7 +49,7 @@ def pending_columns(control: DataFrame, applied: DataFrame) -> DataFrame:
         flagged(control)
         .withColumn("_table", table)
         .withColumn("_column", column)
-        .join(done, ["_table", "_column"], "left_anti")
+        .join(shuffled(done), ["_table", "_column"], "left_anti")
         .select(*control.columns)
     )
 
@@ -100,7 +101,7 @@ def mark_due(plan: DataFrame, applied: DataFrame) -> DataFrame:
     return (
         plan.withColumn("_table", table)
         .withColumn("_column", column)
-        .join(done, ["_table", "_column"], "left")
+        .join(shuffled(done), ["_table", "_column"], "left")
         .select(*plan.columns, (~same).alias("due"))
     )
 

@@ -72,6 +72,15 @@ SUBJECTS = """subjects AS (
   FROM customer)"""
 
 
+def tenants(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Columns of the customers, dealt out by key, as every row becomes many columns of an inventory.
+
+    A file of customers may be a single row group, which one task reads however many customers it holds.
+    """
+    customers = table(spark, sf_dir, "customer").select("c_custkey", *columns)
+    return customers.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+
+
 def tenant_table(key: str = "c_custkey", segment: str = "c_mktsegment"):
     return F.concat(
         F.lit("clinic."), F.lower(segment), F.lit(".patients_"), F.col(key).cast("string")
@@ -91,9 +100,7 @@ def patient_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
             for i, (n, t) in enumerate(PATIENT_COLUMNS)
         ]
     )
-    return table(spark, sf_dir, "customer").select(
-        tenant_table().alias("TableName"), F.inline(columns)
-    )
+    return tenants(spark, sf_dir, "c_mktsegment").select(tenant_table().alias("TableName"), F.inline(columns))
 
 
 PATIENTS = (
@@ -162,7 +169,8 @@ def control(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(True).alias("EncryptFlag"),
         ),
     )
-    rows = table(spark, sf_dir, "customer").select(tenant_table().alias("TableName"), F.inline(entries))
+    customers = tenants(spark, sf_dir, "c_mktsegment", "c_nationkey", "c_acctbal")
+    rows = customers.select(tenant_table().alias("TableName"), F.inline(entries))
     return rows.select("Id", "TableName", "PIICategory", "ColumnName", "DataType", "EncryptFlag")
 
 
@@ -244,7 +252,7 @@ def ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     mask = F.when(F.col("c_acctbal") > 0, _DDL_MASK).otherwise("")
     gone = F.when(F.col("c_acctbal") > 5000, _DDL_GONE).otherwise("")
     text = F.concat(F.lit(_DDL_HEAD), name, F.lit(_DDL_SSN), mask, gone, F.lit(_DDL_REST))
-    return table(spark, sf_dir, "customer").select(name.alias("TableName"), text.alias("ddl"))
+    return tenants(spark, sf_dir, "c_mktsegment", "c_acctbal").select(name.alias("TableName"), text.alias("ddl"))
 
 
 def _sql_text(text: str) -> str:

@@ -14,8 +14,10 @@ from colmask import (
     stale_columns,
     upsert_control,
 )
+from colmask.operators.planning import masked_columns_from_ddl, pending_columns
 from colmask.schemas import COLUMNS, CONTROL
 from colmask.sources.commits import CommitConflict, CommitLog
+from entry_queries import derived
 from tests.conftest import rows
 
 MATCHES = "TableName string, PIICategory string, ColumnName string, DataType string, EncryptFlag boolean"
@@ -237,3 +239,20 @@ def test_a_vault_of_many_versions_reads_few_folders(spark, tmp_path, monkeypatch
     assert len({r["token"] for r in found}) == 14
     old = {r["value"]: r["token"] for r in vault.read(1).collect()}
     assert len(old) == 4 and old.items() <= {r["value"]: r["token"] for r in found}.items()
+
+
+def test_inventories_are_shuffled_and_dealt_out_before_they_grow(spark, tmp_path):
+    """The size of a file of customers says nothing of the rows of the inventory made of it."""
+    customer = "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"
+    people = spark.range(400).selectExpr("id", "CAST(id % 3 AS INT)", "CAST(id % 2 AS DOUBLE)", "'x'").toDF(*[c.split()[0] for c in customer.split(", ")])
+    people.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    columns = derived.patient_columns(spark, str(tmp_path))
+    assert columns.rdd.getNumPartitions() == 4
+    assert columns.count() == 400 * len(derived.PATIENT_COLUMNS)
+    control = derived.control(spark, str(tmp_path))
+    ddl = masked_columns_from_ddl(derived.ddl(spark, str(tmp_path)))
+    matches = columns.limit(0).selectExpr("TableName", "'ssn' AS PIICategory", "ColumnName", "DataType", "true AS EncryptFlag")
+    for df in (stale_columns(control, columns), pending_columns(control, ddl), upsert_control(control, matches).filter("Id < 0")):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin [_table" in plan and "BroadcastHashJoin [_table" not in plan
+    assert stale_columns(control, columns).count() == 400
