@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colmask.operators.rule_index import classify_indexed
 from colmask.operators.rules import (
     Rule,
     default_rules,
@@ -53,11 +54,14 @@ def classify_columns(columns: DataFrame, rules: Sequence[Rule] | DataFrame | Non
     """One row per column that a rule matches, with the first such rule's keyword.
 
     ``rules`` are a list of rules, which becomes part of the query, or a table
-    ``(prio, keyword, mode, string_only)`` of any length. Two columns of a table whose names differ only in case count as one: the
+    ``(prio, keyword, mode, string_only)`` of any length, which are looked up by an index and not tried one by one on
+    every column. Two columns of a table whose names differ only in case count as one: the
     better rule wins, then the earlier column. That step sees matches only,
     combines them before the shuffle, and is keyed by table and column, so a
     table that holds most of the inventory spreads over all tasks.
     """
+    if isinstance(rules, DataFrame):
+        return classify_indexed(columns, rules, nulls=True)
     matched = _candidates(columns, rules, excluded=False)
     return (
         matched.groupBy("TableName", "ColumnName")

@@ -27,7 +27,7 @@ def pieces(text: Column, lengths: list[int]) -> Column:
     return F.array_distinct(F.flatten(F.array(*[of_length(n) for n in lengths])))
 
 
-def classify_indexed(columns: DataFrame, rules: DataFrame) -> DataFrame:
+def classify_indexed(columns: DataFrame, rules: DataFrame, nulls: bool = False) -> DataFrame:
     """``classify_columns`` for a table of many rules ``(prio, keyword, mode, string_only)``.
 
     Every rule is filed under the piece of three letters of its keyword that the fewest names have, and a name meets
@@ -35,15 +35,19 @@ def classify_indexed(columns: DataFrame, rules: DataFrame) -> DataFrame:
     names and with the pairs that share a rare piece, not with rules times names. Equal names are looked up once.
     Keywords of one or two letters are pieces themselves and an empty one is found in every name, as in
     ``classify_columns``; a null keyword matches nothing. Without rules or without columns there is no row.
+    ``nulls`` keeps columns without a type, which rules for texts do not match, and takes a null place for the first.
     """
     name, dtype = F.lower("ColumnName"), F.lower("DataType")
+    text, place = F.col("DataType") == "string", F.col("Ordinal")
+    if nulls:
+        place = F.coalesce(place.cast("bigint"), F.lit(-(1 << 62)))
     # Equal columns of a table meet the same rules: they are merged before anything else moves.
     lower = (
         columns.select("TableName", "Ordinal", name.alias("ColumnName"), dtype.alias("DataType"))
         .filter(~has_excluded_suffix(F.col("ColumnName")))
         .groupBy("TableName", "ColumnName", "DataType")
-        .agg(F.min("Ordinal").alias("Ordinal"))
-        .withColumn("_text", F.col("DataType") == "string")
+        .agg(F.min(place).alias("Ordinal"))
+        .withColumn("_text", F.coalesce(text, F.lit(False)) if nulls else text)
     )
     lower = stored(lower, "columns")
     names = stored(lower.select("ColumnName", "_text").distinct(), "names")

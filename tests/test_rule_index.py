@@ -7,6 +7,8 @@ import pytest
 from colmask import classify_columns, classify_indexed, group_closure, has_grant, mask_table, register_mask_functions
 from colmask.operators import rule_index
 from colmask.plans.mask import create_masked_view
+from colmask.operators.rules import Rule
+from colmask.schemas import COLUMNS
 from tests.conftest import rows
 
 RULES = "prio int, keyword string, mode string, string_only boolean"
@@ -82,3 +84,27 @@ def test_closure_in_views_and_functions(spark, grants):
         assert spark.table("ng_shown").first()[0] == shown
         register_mask_functions(spark, "ng_grants", closure_table="ng_closure")
         assert spark.sql("SELECT tc_string_mask(lastname) FROM ng_people").first()[0] == shown
+
+
+def test_a_rules_table_finds_what_the_same_list_finds(spark):
+    """Columns without a type, a place or a name count too, and no rule is tried on every column."""
+    listed = [Rule("mail", string_only=True), Rule("fax", mode="edge"), Rule("st"), Rule("")]
+    names = ["Email", "EMAIL", "fax_no", "no_fax_x", "street", "a_id", "zz", None]
+    columns = spark.createDataFrame(
+        [
+            (t, place, name, dtype)
+            for t in ("a.b.t", None)
+            for i, name in enumerate(names)
+            for place, dtype in ((i, "string"), (None, "INT"), (i + 9, None), (i, "string"))
+        ],
+        COLUMNS,
+    )
+    for n in (3, 4):
+        table = spark.createDataFrame(
+            [(i, r.keyword, r.mode, r.string_only) for i, r in enumerate(listed[:n])],
+            "prio int, keyword string, mode string, string_only boolean",
+        )
+        got = classify_columns(columns, table)
+        assert rows(got) == rows(classify_columns(columns, listed[:n]))
+        assert got.count()
+        assert "scalar-subquery" not in got._jdf.queryExecution().optimizedPlan().toString()
