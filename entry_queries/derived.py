@@ -73,7 +73,7 @@ SUBJECTS = """subjects AS (
 
 
 def tenants(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Columns of the customers, dealt out by key, as every row becomes many columns of an inventory.
+    """Columns of the customers, dealt out by key, for steps that do much with every row.
 
     A file of customers may be a single row group, which one task reads however many customers it holds.
     """

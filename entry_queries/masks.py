@@ -92,7 +92,7 @@ def mask_full(spark, sf_dir):
 
 def mask_preserve(spark, sf_dir):
     """Names, dates and numbers of orders and customers in their own form, and taken back with the key."""
-    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_acctbal").alias("balance"))
+    people = d.tenants(spark, sf_dir, "c_name", "c_acctbal").withColumnRenamed("c_acctbal", "balance")
     masked = mask_table(people, {"c_name": "preserve", "balance": "preserve"}, key=HASH_KEY)
     return masked.withColumn("restored", restore_expr("c_name", f"'{HASH_KEY}'"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from colmask import mask_expr, mask_table
 from colmask.functions.preserve import preserve_sql, restore_expr
+from entry_queries import masks
 
 KEY = "the key"
 
@@ -75,3 +76,11 @@ def test_as_a_strategy(spark):
     assert tuple(got) == (plain("123-45-6789"), plain("4321"), plain("x"))
     with pytest.raises(ValueError, match="needs a key"):
         mask_expr("ssn", "string", strategy="preserve")
+
+
+def test_customers_of_one_file_are_dealt_out(spark, tmp_path):
+    people = spark.range(200).selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id AS DOUBLE) AS c_acctbal")
+    people.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    masked = masks.mask_preserve(spark, str(tmp_path))
+    assert masked.rdd.getNumPartitions() == 4
+    assert {r["c_custkey"]: r["restored"] for r in masked.collect()} == {i: f"Customer#{i}" for i in range(200)}
