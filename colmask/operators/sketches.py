@@ -21,33 +21,64 @@ HASHES = 1 << 60
 _UNIT = ["TableName", "Columns", "unit"]
 
 
+def _texts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    return [F.col(quote_ident(find_column(df, c))).cast("string") for c in columns]
+
+
 def _value_hash(df: DataFrame, columns: Sequence[str]) -> Column:
     """Hash of the values, each with its length in front, so that no two rows read alike; NULL is a value of its own."""
-    texts = [F.col(quote_ident(find_column(df, c))).cast("string") for c in columns]
-    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in _texts(df, columns)]
     return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("bigint")
 
 
+def _bounds(df: DataFrame, key: Column, sets: Sequence[Sequence[str]], k: int) -> DataFrame:
+    """``unit, _below0, ...``: a hash below which a unit has its k + 1 lowest hashes of each set, for units of many values.
+
+    Hashes are evenly spread, so it follows from the number of different values. That is estimated, to some 5 %, and
+    the bound leaves room for twice k and 256 more, hence for an estimate twice the number. Units of few values are left out.
+    """
+    room = 2 * k + 256
+    counts = [F.approx_count_distinct(F.xxhash64(*_texts(df, c))).alias(f"_n{i}") for i, c in enumerate(sets)]
+    counted = df.groupBy(key).agg(*counts).filter(F.greatest(F.lit(0), *[F.col(f"_n{i}") for i in range(len(sets))]) > room)
+    share = [F.lit(float(room)) / F.greatest(F.col(f"_n{i}"), F.lit(room)) for i in range(len(sets))]
+    return counted.select("unit", *[F.ceil(s * F.lit(float(HASHES))).alias(f"_below{i}") for i, s in enumerate(share)])
+
+
 def exposure_sketch(
     name: str, df: DataFrame, unit: str, sets: Mapping[str, Sequence[str]], k: int = K
 ) -> DataFrame:
     """Sketches of a masked table: ``TableName, Columns, unit, theta, hash, n``.
 
     ``unit`` is the column that tells units apart, ``sets`` names sets of columns. Each unit and set has a row
-    without a hash and with the unit's number of rows. Equal values are counted before they are
-    shuffled, and a task hands on at most k + 1 hashes of a unit and set.
+    without a hash and with the unit's number of rows. ``df`` is read three times: for the units' sizes, for their numbers of
+    different values, and for the hashes. Hashes that cannot be among the k + 1 lowest of a unit are not shuffled,
+    and equal values are counted before they are.
     """
     key = F.col(quote_ident(find_column(df, unit))).cast("string").alias("unit")
-    hashes = F.array(*[F.struct(F.lit(s).alias("Columns"), _value_hash(df, c).alias("hash")) for s, c in sets.items()])
+    hashed = df.select(key, *[_value_hash(df, c).alias(f"_hash{i}") for i, c in enumerate(sets.values())])
+    bounds = F.broadcast(_bounds(df, key, list(sets.values()), k).withColumnRenamed("unit", "_unit"))
+    hashes = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("Columns"),
+                F.col(f"_hash{i}").alias("hash"),
+                F.coalesce(F.col(f"_below{i}"), F.lit(HASHES)).alias("below"),
+            )
+            for i, s in enumerate(sets)
+        ]
+    )
     counted = (
-        df.select(F.lit(name).alias("TableName"), key, F.inline(hashes))
-        .groupBy(*_UNIT, "hash")
-        .agg(F.count(F.lit(1)).alias("n"))
+        hashed.join(bounds, F.col("unit").eqNullSafe(F.col("_unit")), "left")
+        .select("unit", F.inline(hashes))
+        .filter("hash < below")
+        .groupBy("Columns", "unit", "hash")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("below").alias("below"))
+        .withColumn("TableName", F.lit(name))
     )
     rank = F.row_number().over(Window.partitionBy(*_UNIT).orderBy("hash")).alias("_rank")
     lowest = counted.select("*", rank).filter(F.col("_rank") <= k + 1)
     beyond = F.max(F.when(F.col("_rank") == k + 1, F.col("hash"))).over(Window.partitionBy(*_UNIT))
-    kept = lowest.withColumn("theta", F.coalesce(beyond, F.lit(HASHES))).filter(F.col("_rank") <= k)
+    kept = lowest.withColumn("theta", F.coalesce(beyond, F.col("below"))).filter(F.col("_rank") <= k)
     names = F.array(*[F.lit(s) for s in sets])
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(name).alias("TableName"), F.explode(names).alias("Columns"), "unit", F.lit(HASHES).alias("theta"),
@@ -59,7 +90,8 @@ def exposure_sketch(
 def merged_exposure(sketches: DataFrame, few: int = 5) -> DataFrame:
     """Per table and set of columns: rows, different values, and values of one row and of fewer than ``few`` rows.
 
-    ``TableName, Columns, n_rows, n_values, n_unique, n_few, exact``; a unit's sketch must be there once.
+    ``TableName, Columns, n_rows, n_values, n_unique, n_few, exact``; a unit's sketch must be there once. The sketches
+    are read twice, so pass a written table.
     """
     key = ["TableName", "Columns"]
     whole = sketches.groupBy(*key).agg(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from colmask import mask_table
 from colmask.operators.sketches import HASHES, K, exposure_sketch, merged_exposure
+from colmask.session import stored
 from entry_queries.derived import mask_sql, table
 
 SETS = {
@@ -19,7 +20,7 @@ def exposure_sketches(spark, sf_dir):
     """How many values of each set of columns of masked lines are one of a kind, from a sketch of each ship year."""
     lines = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
     sketch = exposure_sketch("lineitem", mask_table(lines, ["l_extendedprice"]), "year", SETS)
-    return merged_exposure(sketch)
+    return merged_exposure(stored(sketch, "sketch"))
 
 
 QUERIES = {"exposure_sketches": exposure_sketches}

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from colmask.operators.sketches import exposure_sketch, merged_exposure
+from colmask.operators.sketches import HASHES, _value_hash, exposure_sketch, merged_exposure
 from colmask.plans.exposure import ExposureSketches
 from colmask.session import drop_folder
 from tests.conftest import rows
@@ -43,6 +43,44 @@ def test_many_values_within_the_error(spark):
     assert got["n_unique"] == pytest.approx(40_000, rel=0.1) and got["n_few"] == got["n_unique"]
 
 
+def test_only_hashes_that_may_be_low_are_shuffled(spark, tmp_path):
+    """The sketch of many values is that of all hashes, of which each unit hands on little more than it keeps."""
+    spark.range(60_000).selectExpr(
+        "CASE WHEN id % 50 > 0 THEN id % 30000 END AS a", "id % 5 AS b", "nullif(id % 4, 3) AS part"
+    ).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    sets, k = {"a": ["a"], "b": ["b"], "a, b": ["a", "b"]}, 100
+    sketch = exposure_sketch("t", df, "part", sets, k=k)
+    got = rows(sketch.filter("hash IS NOT NULL"), "Columns", "unit", "theta", "hash", "n")
+    found = {}
+    for r in df.select("part", *[_value_hash(df, c).alias(s) for s, c in sets.items()]).collect():
+        for s in sets:
+            found.setdefault((s, None if r["part"] is None else str(r["part"])), Counter())[r[s]] += 1
+    want = []
+    for (s, unit), counts in found.items():
+        low = sorted(counts)
+        theta = low[k] if len(low) > k else HASHES
+        want += [(s, unit, theta, h, counts[h]) for h in low[:k]]
+    assert got == sorted(want, key=repr)
+    metrics = []
+
+    def walk(plan):
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            plan = plan.executedPlan()
+        if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+            plan = plan.plan()
+        if plan.getClass().getSimpleName() == "ShuffleExchangeExec":
+            metrics.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(plan.children().size()):
+            walk(plan.children().apply(i))
+
+    counting = sketch.groupBy("Columns").count()
+    frame = counting._jdf
+    frame.collectToPython()
+    walk(frame.queryExecution().executedPlan())
+    assert metrics and max(metrics) < 15_000
+
+
 def test_a_new_file_costs_one_scan(spark, tmp_path, monkeypatch):
     found = [(f"{'abc'[i % 3]}{i}", "x" if i % 2 else None) for i in range(30)]
     schema = "a string, b string"
