@@ -10,6 +10,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a file that later steps read. Spark deals files out by their bytes and takes each for at least 4 MB, 32 to a task: names
+#: compress so well that a task would else read, and sort, as many rows as the table has.
+ROWS_PER_FILE = 50_000
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 _AREAS = threading.local()
 
@@ -75,9 +79,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a work folder and read back.
 
     For results that several later steps need: they then read files, which
-    outlive lost executors, and do not compute the result again.
+    outlive lost executors, and do not compute the result again. Files are short, so that a task reads a bounded number of rows.
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -28,7 +28,7 @@ from colmask.operators.control import (
     prune_control,
 )
 from colmask.operators.tokens import known_tokens, new_tokens
-from colmask.session import drop_folder, stored, work_area
+from colmask.session import ROWS_PER_FILE, drop_folder, stored, work_area
 from colmask.sources.commits import CommitConflict, CommitLog
 
 #: Folders of one level of a growing table that a change merges into one of the next level.
@@ -90,7 +90,8 @@ class VersionedTable:
         version = 0 if last is None else last["version"] + 1
         folder = f"{version}-{uuid.uuid4().hex}"
         names = StructType.fromDDL(self.schema).names
-        df.select(*map(quote_ident, names)).write.parquet(f"{self.path}/rows/{folder}")
+        rows = df.select(*map(quote_ident, names))
+        rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{self.path}/rows/{folder}")
         high = max(self._highest(folder), 0 if last is None else last["high"])
         try:
             self.log.add(version, {"folders": [*kept, folder], "high": high, **content})

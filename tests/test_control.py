@@ -4,6 +4,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from colmask import session
 from colmask import (
     ControlTable,
     Vault,
@@ -16,6 +17,7 @@ from colmask import (
 )
 from colmask.operators.planning import masked_columns_from_ddl, pending_columns
 from colmask.schemas import COLUMNS, CONTROL
+from colmask.sources import versions
 from colmask.sources.commits import CommitConflict, CommitLog
 from entry_queries import derived
 from tests.conftest import rows
@@ -256,3 +258,19 @@ def test_inventories_are_shuffled_and_dealt_out_before_they_grow(spark, tmp_path
         plan = df._jdf.queryExecution().sparkPlan().toString()
         assert "SortMergeJoin [_table" in plan and "BroadcastHashJoin [_table" not in plan
     assert stale_columns(control, columns).count() == 400
+
+
+def test_written_tables_are_read_in_bounded_numbers_of_rows(spark, tmp_path, monkeypatch):
+    """Names compress so well that files, dealt out by their bytes, would give a task any number of rows."""
+    for module in (session, versions):
+        monkeypatch.setattr(module, "ROWS_PER_FILE", 100, raising=False)
+
+    def longest(df):
+        return df.groupBy(F.input_file_name()).count().agg(F.max("count"), F.sum("count")).first()
+
+    names = spark.range(0, 1000, 1, 1).selectExpr("id AS Id", "'t' AS TableName", "concat('c', id) AS ColumnName")
+    assert tuple(longest(session.stored(names, "names"))) == (100, 1000)
+    table = ControlTable(spark, str(tmp_path / "control"))
+    table.create()
+    table.write(names.selectExpr("Id", "TableName", "'ssn' AS PIICategory", "ColumnName", "'int' AS DataType", "true AS EncryptFlag"))
+    assert tuple(longest(table.read())) == (100, 1000)
